@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that cache small tables)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def open_store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path as Spark writes it (scheme:/path, scheme://host/path or a plain path), and the path there."""
+    if "://" not in path:
+        scheme, sep, rest = path.partition(":/")
+        path = f"{scheme}:///{rest.lstrip('/')}" if sep else f"file://{os.path.abspath(path)}"
+    return pafs.FileSystem.from_uri(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/t"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import bpe, quality_rules, token_counts
 from .common import table
 
 
@@ -16,6 +16,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file; a machine without the package sets a path of its own."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document by the transducer, decoded again by the streaming decoder."""
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by scanning flat files of ids for the free id 50256."""
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     try:
