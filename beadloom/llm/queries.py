@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, token_counts
+from . import bpe, fingerprints, near_dup, pii, quality_rules, token_counts, warc
 from .common import table
 
 
@@ -37,6 +38,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, with likeness to that and to the next document."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as dictionary-compressed archives and read back."""
+    rows = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base patterns, and disguised identifiers by their source spans."""
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document, links confirmed on full shingle sets."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumn("component_id", F.col("component_id").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     try:
@@ -73,5 +95,26 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 """
 
 
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i : i + 4], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS k FROM s GROUP BY doc_id),
+link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.k, y.k HAVING 100 * count(*) >= 85 * (x.k + y.k - count(*))),
+reach AS (SELECT DISTINCT u AS id, u AS r FROM link UNION SELECT link.v, reach.r FROM reach JOIN link ON link.u = reach.id),
+c AS (SELECT id, min(r) AS r FROM reach GROUP BY id)
+SELECT w.doc_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_shingles, coalesce(c.r, w.doc_id) AS component_id, coalesce(c.r, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.id = w.doc_id
+"""
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS b, sha256(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT d, min(page_id) AS first FROM p WHERE b >= 100 GROUP BY d)
+SELECT page_id, CAST(b AS BIGINT) AS payload_bytes, p.d AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN m ON p.d = m.d AND b >= 100
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": OP8_SQL.strip()}
+    return {"op4_warc": OP4_SQL.strip(), "op8_quality_rules": OP8_SQL.strip(), "op9_near_duplicates": OP9_SQL.strip()}
