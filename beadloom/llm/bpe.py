@@ -12,7 +12,9 @@ Defined cases: null and empty texts have no tokens; other columns are ignored; r
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -23,7 +25,9 @@ from pyspark.sql import DataFrame
 from .common import SegmentCache, map_batches
 
 #: Determinised states kept at most; beyond, the table is emptied and grows anew.
-MAX_STATES = 150_000
+MAX_STATES = 250_000
+NODE_BITS = 24
+NODE = (1 << NODE_BITS) - 1
 #: Bytes of one pre-token read before the tokens that are already sure are emitted.
 FLUSH = 256
 
@@ -43,30 +47,33 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        children: list[dict[int, int]] = [{}]
-        token_at = [-1]
-        depth = [0]
+        self.length = {i: len(t) for t, i in ranks.items()}
+        # edges of the trie by node << 8 | byte: (child, token that ends there or -1)
+        child: dict[int, int] = {}
+        token_at, depth, inner = [-1], [0], {0}
         for token, rank in ranks.items():
             node = 0
             for b in token:
-                nxt = children[node].get(b)
+                nxt = child.get(node << 8 | b)
                 if nxt is None:
-                    nxt = children[node][b] = len(children)
-                    children.append({})
+                    nxt = child[node << 8 | b] = len(token_at)
                     token_at.append(-1)
                     depth.append(depth[node] + 1)
+                    inner.add(node)
                 node = nxt
             token_at[node] = rank
-        self.children, self.token_at, self.depth = children, token_at, depth
+        self.edge = {k: (c, token_at[c], c in inner) for k, c in child.items()}
+        self.depth = depth
         self.spines: dict[int, tuple[list, list]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        start = ((-1, 0),)
+        # a hypothesis is packed: (last token + 1) << NODE_BITS | node
+        start = (0,)
         self.number = {start: 0}
         self.state = [start]
-        self.step: list[dict[int, tuple[int, int]]] = [{}]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.step: dict[int, tuple[int, int]] = {}  # state << 8 | byte -> (state << 8, token that ends or -1)
+        self.pairs: dict[int, bool] = {}
 
     def merge(self, data: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by repeated merging of the pair with the lowest rank, leftmost first; for one token's bytes."""
@@ -113,40 +120,45 @@ class Transducer:
             else:
                 return True
 
-    def _advance(self, number: int, byte: int) -> tuple[int, int]:
+    def _advance(self, at: int, byte: int) -> tuple[int, int]:
+        """The step from state `at` >> 8 over a byte, worked out from its hypotheses and remembered."""
         live, ended = [], -1
-        children, token_at, pairs = self.children, self.token_at, self.pairs
-        for last, node in self.state[number]:
-            nxt = children[node].get(byte)
-            if nxt is not None:
-                if children[nxt]:
-                    live.append((last, nxt))
-                token = token_at[nxt]
+        edge, pairs = self.edge.get, self.pairs
+        for h in self.state[at >> 8]:
+            found = edge((h & NODE) << 8 | byte)
+            if found is not None:
+                nxt, token, inner = found
                 if token >= 0 and ended < 0:
-                    sides = pairs.get((last, token))
-                    if sides is None:
-                        sides = pairs[last, token] = last < 0 or self.follows(last, token)
-                    if sides:
+                    last = h >> NODE_BITS
+                    if last:
+                        sides = pairs.get(last << NODE_BITS | token)
+                        if sides is None:
+                            sides = pairs[last << NODE_BITS | token] = self.follows(last - 1, token)
+                        if sides:
+                            ended = token
+                    else:
                         ended = token
+                if inner:
+                    live.append(h - (h & NODE) + nxt)
         if ended >= 0:
-            live.append((ended, 0))
+            live.append((ended + 1) << NODE_BITS)
         new = tuple(live)
-        at = self.number.get(new)
-        if at is None:
-            at = self.number[new] = len(self.state)
+        to = self.number.get(new)
+        if to is None:
+            to = self.number[new] = len(self.state)
             self.state.append(new)
-            self.step.append({})
-        found = self.step[number][byte] = at, ended
-        return found
+        out = self.step[at | byte] = to << 8, ended
+        return out
 
     def _back(self, ends: list[int], at: int) -> list[int]:
         """The tokens up to `at`, read backwards off the ends of tokens."""
-        ids = []
+        ids, length = [], self.length
         while at:
             token = ends[at - 1]
             ids.append(token)
-            at -= len(self.bytes_of[token])
-        return ids[::-1]
+            at -= length[token]
+        ids.reverse()
+        return ids
 
     def encode(self, data: bytes) -> list[int]:
         """Token ids of one pre-token."""
@@ -157,24 +169,26 @@ class Transducer:
             self._reset()
         ids: list[int] = []
         ends: list[int] = []
-        at, step, put = 0, self.step, ends.append
+        at, step, put, advance = 0, self.step.get, ends.append, self._advance
         if len(data) <= FLUSH:
             for b in data:
-                found = step[at].get(b) or self._advance(at, b)
-                at = found[0]
-                put(found[1])
+                at, token = step(at | b) or advance(at, b)
+                put(token)
             return self._back(ends, len(ends))
         for b in data:
-            at, token = step[at].get(b) or self._advance(at, b)
+            at, token = step(at | b) or advance(at, b)
             put(token)
-            if len(ends) > FLUSH and len(self.state[at]) == 1:
+            if len(ends) > FLUSH and len(self.state[at >> 8]) == 1:
                 # one hypothesis: what lies before its open token is sure
-                sure = len(ends) - self.depth[self.state[at][0][1]]
+                sure = len(ends) - self.depth[self.state[at >> 8][0] & NODE]
                 ids += self._back(ends, sure)
                 del ends[:sure]
         return ids + self._back(ends, len(ends))
 
 
+_MARKS = frozenset(".,;:!?|")
+
+
 class TextEncoder:
     """Whole texts: split by the pattern, each match through the transducer, with bounded caches.
 
@@ -192,14 +206,27 @@ class TextEncoder:
         self.parts = SegmentCache(self._part, 250_000)
         self.splittable = regex.compile(r" (?=\s|$)").search
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(self.machine.encode(piece.encode("utf-8", "surrogatepass")))
+    def _piece(self, piece: str) -> list[int]:
+        return self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
 
     def _part(self, part: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.find(part):
-            ids += self.pieces[piece]
-        return np.array(ids, self.dtype).tobytes()
+        if part.isascii():  # most parts: a word, perhaps with one mark behind it; what the pattern would find
+            word = part[1:] if part[0] == " " else part
+            if word.isalpha():
+                return self.pack(self.pieces[part])
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return self.pack(self.pieces[part[:-1]] + self.pieces[word[-1]])
+        found = self.find(part)
+        if len(found) == 1:
+            ids = self.pieces[found[0]]
+        else:
+            ids = []
+            for piece in found:
+                ids += self.pieces[piece]
+        return self.pack(ids)
 
     def packed(self, text: str | None) -> bytes:
         """The ids as packed little-endian unsigned integers."""
@@ -235,6 +262,9 @@ def utf8_states() -> np.ndarray:
     return t
 
 
+UTF8 = utf8_states().tolist()
+
+
 class StreamDecoder:
     """ids in, bytes of whole characters out; an unfinished character waits for the next call.
 
@@ -243,8 +273,8 @@ class StreamDecoder:
     """
 
     def __init__(self, bytes_of: dict[int, bytes], table: tuple | None = None):
-        self.size, self.start, self.flat, self.closed = table or self.tables(bytes_of)
-        self.next = utf8_states()
+        self.tokens, self.size, self.closed = table or self.tables(bytes_of)
+        self.next = UTF8
         self.state, self.valid, self.held = 0, True, b""
 
     @staticmethod
@@ -260,17 +290,20 @@ class StreamDecoder:
                 return False
             return True
 
-        return size, np.cumsum(size) - size, np.frombuffer(b"".join(tokens), np.uint8), np.array([closed(t) for t in tokens])
+        return tokens, size, np.array([closed(t) for t in tokens])
 
     def feed(self, ids: np.ndarray) -> bytes:
         if not len(ids):
             return b""
+        tokens = self.tokens
+        data = b"".join([tokens[i] for i in ids.tolist()])
+        is_open = np.flatnonzero(~self.closed[ids])
+        if not len(is_open) and not self.state:
+            return data
         n = self.size[ids]
         ends = np.cumsum(n)
-        data = self.flat[np.repeat(self.start[ids] - (ends - n), n) + np.arange(ends[-1])]
-        is_open = np.flatnonzero(~self.closed[ids])
         # bytes that the machine has to see: those of open tokens, and of closed ones inside a character
-        state, table, boundary = self.state, self.next, len(data)
+        state, table = self.state, self.next
         walk = np.union1d(is_open, [0]) if state else is_open
         done = -1
         for i in walk.tolist():
@@ -278,8 +311,8 @@ class StreamDecoder:
                 continue
             j = i
             while True:
-                for b in data[ends[j] - n[j] : ends[j]].tolist():
-                    state = int(table[state, b])
+                for b in data[ends[j] - n[j] : ends[j]]:
+                    state = table[state][b]
                     if state == 8:
                         self.valid, state = False, 0
                 done = j
@@ -287,7 +320,7 @@ class StreamDecoder:
                 if not state or j == len(ids):
                     break
         self.state = state
-        raw = self.held + data.tobytes()
+        raw = self.held + data
         if state:  # the last character's lead byte is at most three bytes back
             boundary = next(len(raw) - k for k in range(1, 5) if raw[-k] >= 0xC0)
             raw, self.held = raw[:boundary], raw[boundary:]
@@ -304,7 +337,11 @@ class StreamDecoder:
 
 @lru_cache(maxsize=4)
 def encoder(ranks_path: str, pattern: str) -> TextEncoder:
-    return TextEncoder(ranks_path, pattern)
+    e = TextEncoder(ranks_path, pattern)
+    # a worker's tables are millions of objects without cycles: keep the collector from walking them all the time
+    gc.freeze()
+    gc.set_threshold(200_000, 20, 50)
+    return e
 
 
 @lru_cache(maxsize=4)
