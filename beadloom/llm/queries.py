@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, near_dup, pii, quality_rules, token_counts, warc
+from . import bpe, fingerprints, near_dup, packing, pii, pu, quality_rules, token_counts, warc
 from .common import table
 
 
@@ -59,6 +59,21 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumn("component_id", F.col("component_id").cast("long"))
 
 
+def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from trusted good ones and unlabelled text."""
+    return pu.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", 3, lambda r: r == 1, pu.QUALITY)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids along the Hilbert curve."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op6_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document from confirmed toxic ones and unlabelled text."""
+    return pu.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", 5, lambda r: r == 0, pu.TOXICITY)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     try:
