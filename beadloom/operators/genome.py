@@ -40,9 +40,11 @@ def bin_index(rows: DataFrame, table: DataFrame, resolution: int) -> DataFrame:
     return rows.join(at, "chrom", "left").withColumn("bin", (F.floor(F.col("start_pos") / resolution) + F.col("offset")).cast("long")).drop("offset")
 
 
-def bin_position(bins: DataFrame, table: DataFrame, resolution: int) -> DataFrame:
-    """Bin -> chromosome and position: the last offset that isn't above it. The assembly's rows go as one small array."""
-    at = offsets(table, resolution).agg(F.array_sort(F.collect_list(F.struct("offset", "chrom"))).alias("at"))  # some twenty entries
-    hit = F.element_at(F.filter("at", lambda x: x["offset"] <= F.col("bin")), -1)
-    rows = bins.join(F.broadcast(at)).withColumn("hit", hit)
-    return rows.select(*bins.columns, F.col("hit.chrom").alias("chrom"), ((F.col("bin") - F.col("hit.offset")) * resolution).alias("pos"))
+def bin_position(bins: DataFrame, name: str, resolution: int) -> DataFrame:
+    """Bin -> chromosome and position: the last offset that isn't above it. The assembly's rows go as one small literal."""
+    at, entries = 0, []
+    for _, chrom, size in chromosomes(name):
+        entries.append(F.struct(F.lit(at).cast("long").alias("offset"), F.lit(chrom).alias("chrom")))
+        at += -(-size // resolution)
+    hit = F.element_at(F.filter(F.array(*entries), lambda x: x["offset"] <= F.col("bin")), -1)
+    return bins.withColumn("__hit", hit).select(*bins.columns, F.col("__hit.chrom").alias("chrom"), ((F.col("bin") - F.col("__hit.offset")) * resolution).alias("pos"))

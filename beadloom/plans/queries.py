@@ -539,7 +539,7 @@ def genome_bin(spark, d):
 @query
 def genome_bin_inverse(spark, d):
     bins = view(spark, d, "reads_v").select((F.col("rec_no") % 3000).alias("bin")).distinct()
-    return genome.bin_position(bins, genome.assembly(spark, "hg38"), 1000000)
+    return genome.bin_position(bins, "hg38", 1000000)
 
 
 @over("positions_v")

@@ -68,7 +68,7 @@ def assign_chunks(rows: DataFrame, order: str, k: int) -> DataFrame:
     ranged = rows.withColumn("__p", sum((F.when(F.col(order) > b, 1).otherwise(0) for b in borders), F.lit(0)))
     counts = ranged.groupBy("__p").agg(F.count("*").alias("n"))
     before = counts.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")  # a row per range
-    total = rows.agg(F.count("*").alias("__total"))
+    size = rows.count() // k + 1
     numbered = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(order)) - 1)
-    at = numbered.join(F.broadcast(before), "__p").join(F.broadcast(total))
-    return at.withColumn("chunk_no", F.floor((F.col("__i") + F.col("__before")) / (F.floor(F.col("__total") / k) + 1)).cast("long")).drop("__p", "__i", "__before", "__total")
+    at = numbered.join(F.broadcast(before), "__p")
+    return at.withColumn("chunk_no", F.floor((F.col("__i") + F.col("__before")) / F.lit(size)).cast("long")).drop("__p", "__i", "__before")
