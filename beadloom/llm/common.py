@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that cache small tables)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

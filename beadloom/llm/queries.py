@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,15 +76,7 @@ def op6_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
-    try:
-        import corpus_pipeline
-    except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline":
-            raise
-    else:
-        found["pipeline"] = corpus_pipeline.run
-    return found
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name) and callable(f)}
 
 
 OP8_SQL = r"""

@@ -165,17 +165,70 @@ def test_dictionary_pays(tmp_path):
 
 
 def test_pipeline_stages(spark):
+    """Each stage against brute force over what the one before it kept."""
     import corpus_pipeline
+    import zlib
+    from tokenizers import Tokenizer
+
+    from beadloom.llm import pii
 
     folder = "/root/testdata/sf0.001"
     docs = common.table(spark, folder, "documents")
-    kept = [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, folder))
-        assert docs.columns == common.table(spark, folder, "documents").columns, name
-        kept.append(docs.count())
-    assert kept[0] > kept[1] >= kept[2] >= kept[3] == kept[4] > 0
-    want, _ = components_by_hand([(r.doc_id, r.text) for r in docs.collect()])
-    assert all(d == c for d, c in want.items())  # no near-duplicates are left (masks may join none)
-    packed = corpus_pipeline.run(spark, folder)
-    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+    labels = {r.doc_id: r.quality for r in common.table(spark, folder, "labels").collect()}
+    columns, rows = docs.columns, {r.doc_id: r.text for r in docs.collect()}
+
+    def run(i):
+        nonlocal docs
+        docs = common.materialise(corpus_pipeline.STAGES[i][1](spark, docs, folder))
+        assert docs.columns == columns
+        return {r.doc_id: r.text for r in docs.collect()}
+
+    def passes(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        n, joined = len(words), "".join(words)
+        at = {}
+        for i in range(n - 2):
+            at.setdefault(tuple(words[i : i + 3]), []).append(i)
+        repeated = {j for v in at.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)}
+        lines = [x for x in text.split("\n") if x.strip()]
+        again = len(lines) - len(set(lines))
+        return not (
+            n < 50 or 2 * len(repeated) > n or 10 * sum(joined.count(c) for c in "#*$%&|<>") > 3 * n or not 2 * n <= len(joined) <= 20 * n
+            or (len(lines) >= 4 and 2 * again > len(lines)) or 10 * joined.count("!!") > 3 * n or 5 * joined.count("|") > n
+        )
+
+    after = run(0)
+    assert after == {d: t for d, t in rows.items() if passes(t or "")} and 0 < len(after) < len(rows)
+
+    model = pu.learn(docs, common.table(spark, folder, "labels"), "quality", pu.fold(3) != 1, pu.QUALITY)
+    scores = dict(zip(after, pu.logits(model, pu.Rows([pu.inputs(t, pu.QUALITY) for t in after.values()])))) if model else {}
+    rows, after = after, run(1)
+    assert after == {d: t for d, t in rows.items() if scores.get(d, 1) >= 0}
+    assert {d for d in rows if labels.get(d) == 1} <= set(after)  # clean documents stay
+
+    rows, after = after, run(2)
+    want, _ = components_by_hand(list(rows.items()))
+    assert after == {d: t for d, t in rows.items() if want[d] == d}
+
+    rows, after = after, run(3)
+    assert after == {d: pii.mask(t) for d, t in rows.items()}
+    assert not any(pii.base_spans(t) for t in after.values())
+    assert docs.filter("n_chars <> length(text)").isEmpty()
+
+    t = Tokenizer.from_file(queries.tokenizer_file("word_bpe_49k.json"))
+    t.encode_special_tokens = True
+    ids = {d: np.array([*t.encode(x, add_special_tokens=False).ids, 1], "<u4") for d, x in after.items()}
+    pieces = corpus_pipeline.STAGES[4][1](spark, docs, folder).collect()
+    assert sum(r.length for r in pieces) == sum(map(len, ids.values()))
+    assert all(zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in pieces)
+    whole = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in whole.select("doc_id").distinct().collect()} == set(after)
+
+
+def test_pipeline_without_rows(spark):
+    import corpus_pipeline
+
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = common.materialise(stage(spark, docs, "/root/testdata/sf0.001"))
+    assert docs.count() == 0
