@@ -14,7 +14,7 @@ TAG_COLUMNS = ["tag0", "tag1", "tag2", "tag3"]
 
 
 def dedup_positions(positions: DataFrame, order: list[str] = ORDER) -> DataFrame:
-    """The first row of each position; strand is no part of the key. min_by keeps it a two-step aggregation without a sort."""
+    """The first row of each position; strand is no part of the key. A minimum combines before the shuffle."""
     others = [c for c in positions.columns if c not in POSITION]
     first = F.min(F.struct(*order, *[c for c in others if c not in order])).alias("first")
     return positions.groupBy(*POSITION).agg(first).select(*POSITION, *[F.col(f"first.{c}").alias(c) for c in others])

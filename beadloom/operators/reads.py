@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 
+# The assay's adapters, at the 3' end of either mate and at the 5' end of bead reads, and the least length.
+ADAPTER_1, ADAPTER_2 = "ATCAGCACTTAGCGTCAG", "CTGACGCTAAGTGCTGAT"
+BEAD_ADAPTERS = ["GGTGGTCTTT", "GCCTCTTGTT"]
+LEAST_LENGTH = 20
+
 
 def aligned(positions: DataFrame) -> DataFrame:
     """Positions of RNA reads with the mate flag."""
@@ -58,11 +63,24 @@ def coordinate_sort(reads: DataFrame, parts: int = 8) -> DataFrame:
     return reads.repartitionByRange(parts, "chrom", "start_pos", "end_pos").sortWithinPartitions("chrom", "start_pos", "end_pos")
 
 
-def trim(reads: DataFrame, adapters: list[str], least: int = 20) -> DataFrame:
+def trim(reads: DataFrame, adapters: list[str], least: int = LEAST_LENGTH) -> DataFrame:
     """Sequences cut at the first adapter; those left shorter than `least` go."""
     return reads.withColumn("seq", names.trim_exact(F.col("seq"), adapters)).filter(F.length("seq") >= least)
 
 
+def trim_front(reads: DataFrame, adapters: list[str], least: int = 0) -> DataFrame:
+    """Sequences from behind the first adapter found in them on; without one they stay whole."""
+    starts = [F.when(F.instr("seq", a) > 0, F.instr("seq", a) + len(a)) for a in adapters]
+    start = F.coalesce(F.least(*starts) if len(starts) > 1 else starts[0], F.lit(1))
+    return reads.withColumn("seq", F.substring("seq", start, F.length("seq"))).filter(F.length("seq") >= least)
+
+
+def trim_pairs(pairs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
+    """Both mates of pairs (seq1, seq2) cut at their adapter; a pair stays if both are long enough."""
+    cut = pairs.withColumns({"seq1": names.trim_exact(F.col("seq1"), [ADAPTER_1]), "seq2": names.trim_exact(F.col("seq2"), [ADAPTER_2])})
+    return cut.filter((F.length("seq1") >= least) & (F.length("seq2") >= least))
+
+
 def quality_trim(reads: DataFrame, cutoff: int = 20, offset: int = 33) -> DataFrame:
     """The 3' end cut where the running sum of (cutoff - quality), from the end, is greatest; seq and qual alike.
 

@@ -76,11 +76,18 @@ def test_pairs_and_trim(spark):
     assert [r.name for r in reads.paired_only(df.union(df.limit(1))).select("name").distinct().collect()] == ["a"]
 
 
+def test_front_and_pair_adapters(spark):
+    df = spark.createDataFrame([("AAGGTGGTCTTTCCC",), ("GCCTCTTGTTGGTGGTCTTTA",), ("ACGT",)], "seq string")
+    assert [r.seq for r in reads.trim_front(df, reads.BEAD_ADAPTERS).collect()] == ["CCC", "GGTGGTCTTTA", "ACGT"]
+    pairs = spark.createDataFrame([("A" * 20 + reads.ADAPTER_1, "C" * 25), ("A" * 30, "C" * 19 + reads.ADAPTER_2 + "G")], "seq1 string, seq2 string")
+    assert [(r.seq1, r.seq2) for r in reads.trim_pairs(pairs).collect()] == [("A" * 20, "C" * 25)]
+
+
 def test_genome_bins_invert(spark):
     t = genome.assembly(spark, "mm10")
     rows = spark.createDataFrame([("chr1", 5), ("chr2", 2_500_000), ("chrM", 3), ("odd", 1)], "chrom string, start_pos int")
     found = genome.bin_index(rows, t, 1_000_000)
-    assert {(r.chrom, r.bin) for r in found.collect()} == {("chr1", 0), ("chr2", 198), ("chrM", 2739), ("odd", None)} or found.filter("chrom = 'odd' AND bin IS NULL").count() == 1
+    assert {(r.chrom, r.bin) for r in found.filter("chrom <> 'chrM'").collect()} == {("chr1", 0), ("chr2", 198), ("odd", None)}
     back = genome.bin_position(found.filter("bin IS NOT NULL").select("bin", F.col("chrom").alias("was")), "mm10", 1_000_000)
     assert back.filter("chrom <> was").isEmpty()
 
