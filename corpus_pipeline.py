@@ -15,16 +15,23 @@ from beadloom.llm.common import materialise, table
 from beadloom.llm.queries import tokenizer_file
 
 
+#: The quality score below which a document goes.
+SURE = 0.25
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule policy keeps."""
     return quality_rules.keep(docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.5 or more; it learns from the trusted labels among its own input."""
-    labels = table(spark, sf_dir, "labels")
-    model = pu.learn(docs, labels, "quality", pu.fold(3) != 1, pu.QUALITY)
-    return pu.keep(docs, model)
+    """Documents but those that the classifier is sure are bad.
+
+    It learns from the raw table: behind the rules hardly any bad text is left to learn from.
+    """
+    raw, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = pu.learn(raw, labels, "quality", pu.fold(3) != 1, pu.QUALITY)
+    return pu.keep(docs, model, SURE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
