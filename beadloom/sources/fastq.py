@@ -5,12 +5,11 @@ Fields: file, rec_no (from 0, within the file), name, seq, plus, qual. A record
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
@@ -120,5 +119,10 @@ def group_samples(files: DataFrame) -> DataFrame:
     return found.groupBy("sample", "read").agg(F.array_join(F.array_sort(F.collect_list("path")), ",").alias("paths"))
 
 
-def basename(path: str) -> str:
-    return os.path.basename(path)
+def split_manifest(files: DataFrame, k: int) -> DataFrame:
+    """sample, read, path -> with chunk: a sample's files in order, cut at the k-th parts of their number (halves to even)."""
+    w = Window.partitionBy("sample", "read")  # the files of one sample
+    rows = files.withColumn("__i", F.row_number().over(w.orderBy("path")) - 1).withColumn("__n", F.count("*").over(w))
+    cuts = sum((F.when(F.col("__i") >= F.bround(F.col("__n") * F.lit(i / k), 0), 1).otherwise(0) for i in range(1, k)), F.lit(0))
+    return rows.withColumn("chunk", cuts).drop("__i", "__n")
+

@@ -31,3 +31,16 @@ def test_equal(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     other = duck.sql(ORACLE[name])
     assert rows(df.columns, df.collect()) == rows(other.columns, other.fetchall())
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_nested_loops(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_scans_read_few_columns_and_push_filters(spark, sf_dir):
+    plan = QUERIES["cluster_label"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" not in plan and "l_shipdate" not in plan
+    plan = QUERIES["tag_ambiguity"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(p_partkey,96)" in plan

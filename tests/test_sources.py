@@ -61,3 +61,9 @@ def test_small_tables(spark, tmp_path):
     assert tables.manifest(spark, str(tmp_path / "m.json")).count() == 3
     (tmp_path / "r.tsv").write_text("0\tA\tx\n1\tB\n")
     assert {(r.pos, r.name) for r in tables.rounds(spark, str(tmp_path / "r.tsv")).collect()} == {(0, "A"), (1, "B")}
+
+
+def test_manifest_chunks(spark):
+    df = spark.createDataFrame([("s", "R1", f"f{i}") for i in range(5)] + [("t", "R1", "g")], "sample string, read string, path string")
+    got = {r.path: r.chunk for r in fastq.split_manifest(df, 2).collect()}
+    assert got == {"f0": 0, "f1": 0, "f2": 1, "f3": 1, "f4": 1, "g": 1}  # round(2.5) and round(0.5) go to even
