@@ -36,7 +36,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted by scanning flat files of ids for the free id 50256."""
     import public_tokenizers
 
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
+    rows = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
+    return rows.select("doc_id", "n_tokens")
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
