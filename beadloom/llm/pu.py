@@ -75,7 +75,7 @@ def _features_of(word: bytes) -> tuple[int, ...]:
 
 @lru_cache(maxsize=1)
 def _cache() -> SegmentCache:
-    return SegmentCache(_features_of, 150_000)
+    return SegmentCache(_features_of, 60_000)
 
 
 def hashed(words: list[bytes]) -> np.ndarray:
@@ -259,34 +259,42 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
     return train(positive, unlabelled, config) if len(positive) > 1 and len(unlabelled) > 1 else None
 
 
-def _scorer(model: Model | None) -> Callable[[list], list[float]]:
+def _scorer(model: Model | None) -> Callable[[], Callable[[list], list[float]]]:
+    """What a task calls once for its scoring function. Only weights that aren't zero go to the tasks, a few hundred."""
     if model is None:
-        return lambda texts: [0.0] * len(texts)
-    w = model.weights.astype(np.float64)
+        return lambda: lambda texts: [0.0] * len(texts)
     hashes = HASHES * model.config.hashed
-    wd = w[hashes:-1] / model.scale
+    used = np.flatnonzero(model.weights[:hashes])
+    of_hash = dict(zip(used.tolist(), model.weights[used].tolist()))
+    wd = model.weights[hashes:-1] / model.scale
     offset = model.bias - float(wd @ model.centre)
-    word_scores = SegmentCache(lambda word: float(sum(w[i] for i in _features_of(word))), 200_000).__getitem__
-
-    def run(texts: list) -> list[float]:
-        out = []
-        for text in texts:
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            words = raw.split()
-            f = offset + (sum(map(word_scores, set(words))) if hashes else 0.0)
-            if len(wd):
-                f += float(dense(raw, words) @ wd)
-            out.append(float(_sigmoid(np.float64(f))))
-        return out
 
-    return run
+    def make():
+        get = of_hash.get
+        word_scores = SegmentCache(lambda word: sum(get(i, 0.0) for i in _features_of(word)), 100_000).__getitem__
+
+        def run(texts: list) -> list[float]:
+            out = []
+            for text in texts:
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                words = raw.split()
+                f = offset + (sum(map(word_scores, set(words))) if hashes else 0.0)
+                if len(wd):
+                    f += float(dense(raw, words) @ wd)
+                out.append(float(_sigmoid(np.float64(f))))
+            return out
+
+        return run
+
+    return make
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """documents -> doc_id, score."""
+    scorer = _scorer(model)
 
     def make():
-        run = _scorer(model)
+        run = scorer()
         return lambda batch: {"doc_id": batch["doc_id"], "score": run(batch["text"])}
 
     return map_batches(docs.select("doc_id", "text"), make, "doc_id long, score double")
@@ -296,9 +304,10 @@ def keep(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
     """The documents with a score of at least `least`, all columns as they were; without a model all stay."""
     if model is None:
         return docs
+    scorer = _scorer(model)
 
     def make():
-        run = _scorer(model)
+        run = scorer()
         return lambda batch: {"__score": run(batch["text"])}
 
     return append_batches(docs, make, "__score double", ["text"]).filter(F.col("__score") >= least).select(docs.columns)
