@@ -13,6 +13,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import gc
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,30 +29,40 @@ from .common import SegmentCache, map_batches, materialise
 
 SIZE = 2048
 DIMENSIONS, BITS = 4, 12
-#: Bytes of packed ids of a range, about.
-RANGE_BYTES = 8 << 20
+#: Bytes of packed ids of a range, about, and ranges at most.
+RANGE_BYTES, MAX_RANGES = 4 << 20, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-_MARKS = frozenset(".,;:!?|")
+#: Marks that can stand behind a word; a run of them is a piece of its own (the apostrophe begins other pieces).
+_MARKS = "".join(c for c in string.punctuation if c != "'")
 
 
 class WordEncoder:
     """Ids by the tokenizers library, for a vocabulary whose words are parted by white space, with bounded caches.
 
     Its normaliser turns line ends and tabs into spaces and no word of it reaches over a space, so texts are cut
-    there. Words of ASCII letters, whose lower case is plain, and a mark behind them are looked up apart.
+    there. Words of Latin letters, whose lower case is plain, and marks behind them are looked up apart.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.char = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.char == "H" else "<u4")
-        self.stems = SegmentCache(self._encode, 150_000)
-        self.words = SegmentCache(self._word, 300_000)
+        # what the byte-level step makes of each Latin letter; a lower-case word then goes straight to the model
+        split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: split(chr(c))[0][0] for c in range(0x21, 0x100) if not 0x7F <= c <= 0xA0}
+        self.stems = SegmentCache(self._stem, 400_000)
+        self.words = SegmentCache(self._word, 200_000)
         self.words[""] = b""
 
+    def _stem(self, stem: str) -> bytes:
+        """A run of lower-case Latin letters, or of marks."""
+        ids = [t.id for t in self.tokenizer.model.tokenize(stem.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{self.char}", *ids)
+
     def _encode(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}{self.char}", *ids)
@@ -59,12 +70,10 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
-        if word.isascii():
-            low = word.lower()
-            if low.isalpha():
-                return self.stems[low]
-            if low[-1] in _MARKS and low[:-1].isalpha():
-                return self.stems[low[:-1]] + self.stems[low[-1]]
+        stem = word.rstrip(_MARKS)
+        if stem.isalpha() and max(stem) < "Ā":
+            low = stem.lower()
+            return self.stems[low] + self.stems[word[len(stem) :]] if len(stem) < len(word) else self.stems[low]
         return self._encode(word)
 
     def packed(self, text: str | None) -> bytes:
@@ -187,7 +196,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, size: int = SIZE) -> DataF
     """documents -> one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     rows = materialise(tokenise(docs, path, end_id))
     total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    ranges = max(1, -(-total // RANGE_BYTES))
+    ranges = min(MAX_RANGES, max(1, -(-total // RANGE_BYTES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = word_encoder(path).dtype
