@@ -137,4 +137,5 @@ def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, separator: int,
     folder = shared_dir(spark)
     manifest = write_flat(docs, folder, ranks_path, pattern, separator)
     counts = stitch(scan(spark, folder, separator, block=block))
-    return manifest.join(counts, ["file", "ordinal"], "left").select("doc_id", "n_tokens", "file", "ordinal")
+    # both sides have a row per document; their repeated names compress so well that a broadcast would look cheap
+    return manifest.join(counts.hint("merge"), ["file", "ordinal"], "left").select("doc_id", "n_tokens", "file", "ordinal")
