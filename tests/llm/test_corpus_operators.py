@@ -57,6 +57,26 @@ def test_components(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_links_of_short_texts(spark):
+    """Words put in or taken out at the ends of texts at the edge of 85 %, and long texts of few distinct shingles."""
+    rng = random.Random(6)
+    rows = []
+    for n in range(4, 16):
+        for _ in range(4):
+            w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            for x in (w, ["front", *w], [*w, "behind"], w[1:], [*w[: n // 2], "amid", *w[n // 2 :]]):
+                rows.append((len(rows) + 1, " ".join(x)))
+    for n in range(3, 9):  # distinct shingles of a cycle of n words, and of one with a word behind
+        w = [f"c{rng.randrange(10**6)}" for _ in range(n)] * 8
+        rows += [(len(rows) + 1, " ".join(w)), (len(rows) + 2, " ".join([*w, "behind"]))]
+    want, sizes = components_by_hand(rows)
+    got = near_dup.near_duplicates(spark.createDataFrame([(d, t, 1, 2) for d, t in rows], SCHEMA)).collect()
+    linked = [d for d in want if want[d] != d]
+    assert {sizes[d] for d in linked} >= {6, 7} and not {sizes[d] for d in linked} & {1, 2, 3, 4}
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert {r.doc_id: r.n_shingles for r in got} == sizes
+
+
 def test_repeated_rows_and_null_ids(spark):
     t = "a b c d e f g h"
     rows = [(5, t, 1, 1), (5, t, 1, 1), (None, t, 1, 1), (3, t, 1, 1), (None, None, 1, 1), (8, "x", 1, 1)]
