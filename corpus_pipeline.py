@@ -15,8 +15,8 @@ from beadloom.llm.common import materialise, table
 from beadloom.llm.queries import tokenizer_file
 
 
-#: The quality score below which a document goes.
-SURE = 0.25
+#: The quality score below which a document goes: where op2_quality_pu predicts 0.
+SURE = 0.5
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents but those that the classifier is sure are bad.
+    """Documents but those that the classifier predicts as bad.
 
     It learns from the raw table: behind the rules hardly any bad text is left to learn from.
     """

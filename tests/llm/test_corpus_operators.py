@@ -246,6 +246,31 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in whole.select("doc_id").distinct().collect()} == set(after)
 
 
+def test_quality_stage_drops_what_op2_rejects(spark):
+    """Planted texts from clean to bad, all passing the rules: those go that op2 predicts as 0, and no others."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    raw, labels = common.table(spark, folder, "documents"), common.table(spark, folder, "labels")
+    rng = random.Random(4)
+    words = [w for r in raw.filter("lang = 'en'").orderBy("doc_id").limit(20).collect() for w in (r.text or "").split() if w.isalpha()]
+    rows = []
+    for k in range(60):  # ever more symbols, bangs, pipes and capitals, below each rule's bound
+        w = [rng.choice(words) for _ in range(100)]
+        w = [x.upper() if rng.random() < k / 60 else x for x in w]
+        w += ["#$%"] * (9 * k // 60) + ["win!!"] * (28 * k // 60) + ["a|b"] * (18 * k // 60)
+        rng.shuffle(w)
+        rows.append((10**9 + k, " ".join(w)))
+    planted = raw.limit(1).crossJoin(spark.createDataFrame(rows, "id long, t string")).select(*[{"doc_id": "id", "text": "t"}.get(c, c) for c in raw.columns]).toDF(*raw.columns)
+    docs = common.materialise(corpus_pipeline.rules(spark, raw.unionByName(planted), folder))
+    assert docs.filter(f"doc_id >= {10**9}").count() == len(rows)
+    model = pu.learn(raw, labels, "quality", pu.fold(3) != 1, pu.QUALITY)
+    scores = {r.doc_id: r.score for r in pu.score(docs, model).collect()}
+    assert sum(0.25 <= x < 0.5 for x in scores.values()) >= 3 and sum(scores[d] < 0.5 for d, _ in rows) >= 10 and scores[10**9] >= 0.5
+    after = {r.doc_id for r in corpus_pipeline.quality(spark, docs, folder).collect()}
+    assert after == {d for d, x in scores.items() if x >= 0.5}
+
+
 def test_pipeline_without_rows(spark):
     import corpus_pipeline
 
