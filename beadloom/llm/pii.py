@@ -15,6 +15,7 @@ import bisect
 import hashlib
 import re
 import unicodedata
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -35,12 +36,24 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 
 #: An identifier spelled in words has this many digits at least, so that prose with number words isn't touched.
 MIN_SPELLED = 7
-_SPELLED = re.compile(r"\b(?:%s)(?:[\s,-]+(?:%s)\b){%d,}" % ("|".join(DIGIT_WORDS), "|".join(DIGIT_WORDS), MIN_SPELLED - 1), re.IGNORECASE)
-_WORD = re.compile("|".join(DIGIT_WORDS), re.IGNORECASE)
-#: "name at host dot tld" with bracketed or spaced words; a bare "at" counts only if a "dot" follows its host.
+_NUMBER_WORD = r"\b(?:%s)\b" % "|".join(DIGIT_WORDS)
+_TOKEN = rf"(?:{_NUMBER_WORD}|(?<![\w.])[0-9]++(?!\w|\.[0-9]))"
+#: Number words and groups of digits in a row.
+_SPELLED = re.compile(rf"{_TOKEN}(?:[\s,-]++{_TOKEN})++", re.IGNORECASE)
+_WORD = re.compile(_NUMBER_WORD, re.IGNORECASE)
+_PART = re.compile(rf"{_NUMBER_WORD}|[0-9]+", re.IGNORECASE)
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: A number without a plus sign counts as a phone number if so many of its digits are words.
+MIN_BARE_WORDS = 4
+#: "name at host dot tld" with bracketed, spaced or plain separators in any mixture; a bare "at" counts only if a
+#: disguised dot is in its host. A name has 64 characters at most, so 32 parts.
 _BRACKETED = re.compile(r"\s*[\[({<]\s*(at|dot|@|\.)\s*[\])}>]\s*", re.IGNORECASE)
-_SPACED = re.compile(r"(?<![\w.])[\w.%+-]+(\s+at\s+)[\w-]+((?:\s+dot\s+[\w-]+)+)(?![\w])", re.IGNORECASE)
-_DOT = re.compile(r"\s+dot\s+", re.IGNORECASE)
+_AT = r"(?:\s*+[\[({<]\s*+(?:at|@)\s*+[\])}>]\s*+|\s++at\s++|\s*+@\s*+)"
+_HIDDEN_DOT = r"(?:\s*+[\[({<]\s*+(?:dot|\.)\s*+[\])}>]\s*+|\s++dot\s++)"
+_HOST = rf"[\w-]++(?:(?:{_HIDDEN_DOT}|\.)[\w-]++)++"
+_ADDRESS = re.compile(rf"(?<![\w.%+-])(?P<name>[\w.%+-]++(?:{_HIDDEN_DOT}[\w.%+-]++){{0,31}})(?P<at>{_AT})(?P<host>{_HOST})", re.IGNORECASE)
+_AT_AGAIN = re.compile(rf"(?!\s++at\s){_AT}{_HOST}|{_AT}[\w-]++(?:\.[\w-]++)*+{_HIDDEN_DOT}[\w-]", re.IGNORECASE)
+_DOT = re.compile(_HIDDEN_DOT, re.IGNORECASE)
 _HINT = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]|\sdot\s", re.IGNORECASE)
 
 
@@ -97,7 +110,7 @@ class Mapped:
     """A text with the source span of each of its characters; edits compose."""
 
     def __init__(self, text: str):
-        self.text = text
+        self.text = self.source_text = text
         self.edits: list[tuple[int, int, int, int]] = []  # (start here, end here, source start, source end), in order
 
     def rewrite(self, changes: list[tuple[int, int, str]]) -> None:
@@ -163,43 +176,68 @@ def normalise(text: str) -> Mapped:
     if not text.isascii():
         m.rewrite(_homoglyph_changes(m.text))
     changes = []
-    for run in _SPELLED.finditer(m.text):
-        words = list(_WORD.finditer(m.text, *run.span()))
-        for k, w in enumerate(words):
+    for parts in _spelled_runs(m.text):
+        for k, w in enumerate(parts):
             # the separator goes with the digit before it
-            end = words[k + 1].start() if k + 1 < len(words) else w.end()
-            changes.append((w.start(), end, DIGIT_WORDS[w.group().lower()]))
+            end = parts[k + 1].start() if k + 1 < len(parts) else w.end()
+            changes.append((w.start(), end, DIGIT_WORDS.get(w.group().casefold(), w.group())))
     m.rewrite(changes)
     if _HINT.search(m.text):
-        m.rewrite([(x.start(), x.end(), "@" if x.group(1).lower() in ("at", "@") else ".") for x in _BRACKETED.finditer(m.text)])
-        changes = []
-        for x in _SPACED.finditer(m.text):
-            changes.append((*x.span(1), "@"))
-            changes += [(*d.span(), ".") for d in _DOT.finditer(m.text, *x.span(2))]
-        m.rewrite(changes)
+        m.rewrite(_address_changes(m.text))
     return m
 
 
+def _spelled_runs(text: str) -> Iterator[list[re.Match]]:
+    """The parts of each run of number words, or of number words and digits, that is long enough."""
+    for run in _SPELLED.finditer(text):
+        parts = list(_PART.finditer(text, *run.span()))
+        words = sum(not "0" <= p.group()[0] <= "9" for p in parts)
+        if words and words + sum(len(p.group()) for p in parts if "0" <= p.group()[0] <= "9") >= MIN_SPELLED:
+            yield parts
+
+
+def _address_changes(text: str) -> list[tuple[int, int, str]]:
+    """Separators of disguised addresses, and bracketed ones anywhere else."""
+    changes, at = [], 0
+    while m := _ADDRESS.search(text, at):
+        sign = m["at"].strip().lower()
+        names, hosts = (list(_DOT.finditer(text, *m.span(k))) for k in ("name", "host"))
+        # in "me at john dot doe at host dot tld" the first "at" is prose
+        hidden = bool(hosts) and not _AT_AGAIN.match(text, m.end()) if sign == "at" else sign != "@" or bool(names or hosts)
+        if not hidden:
+            at = m.end("name")
+            continue
+        changes += [*((*d.span(), ".") for d in names), (*m.span("at"), "@"), *((*d.span(), ".") for d in hosts)]
+        at = m.end()
+    rest, k = [], 0
+    for x in _BRACKETED.finditer(text):
+        while k < len(changes) and changes[k][1] <= x.start():
+            k += 1
+        if k == len(changes) or changes[k][0] >= x.end():
+            rest.append((*x.span(), "@" if x.group(1).lower() in ("at", "@") else "."))
+    return sorted(changes + rest)
+
+
 _BRACKET = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]", re.IGNORECASE).search
-_AT_DOT = re.compile(r"\sat\s+[\w-]+\s+dot\s").search
-_IS_DIGIT_WORD = frozenset(DIGIT_WORDS).__contains__
+_SPACED_DOT = re.compile(r"\sdot\s").search
+_LATIN_1 = re.compile("[\xa0\xaa\xad\xb2\xb3\xb9\xba]").search
 
 
 def suspect(text: str) -> bool:
     """Whether a transducer could change anything; a cheap test that never misses."""
     if not text.isascii():
         try:
-            text.encode("latin-1")  # no look-alikes there but the soft hyphen
-            if "\xad" in text:
+            text.encode("latin-1")  # the soft hyphen, and what NFKC makes ASCII
+            if _LATIN_1(text):
                 return True
         except UnicodeEncodeError:
             return True
     if any(c in text for c in "([{<") and _BRACKET(text):
         return True
     low = text.lower()
-    if "dot" in low and _AT_DOT(low):
+    if "dot" in low and _SPACED_DOT(low):
         return True
-    return sum(map(_IS_DIGIT_WORD, low.replace("-", " ").replace(",", " ").split())) >= MIN_SPELLED
+    return _WORD.search(low) is not None and next(_spelled_runs(low), None) is not None
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -219,11 +257,11 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
 
 
 def _bare_phones(m: Mapped, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Numbers spelled out in words have no plus sign; a run of 10 to 12 spelled digits counts as a phone number."""
+    """Numbers spelled out in words have no plus sign; a run of 10 to 12 digits, enough of them spelled, counts as a phone number."""
     spans = []
     for run in re.finditer(r"(?<![0-9])[0-9]{10,12}(?![0-9])", m.text):
         start, end = m.source(*run.span())
-        if end - start > 2 * (run.end() - run.start()) and all(b <= start or a >= end for a, b in taken):
+        if end - start > 2 * (run.end() - run.start()) and len(_LETTERS.findall(m.source_text, start, end)) >= MIN_BARE_WORDS and all(b <= start or a >= end for a, b in taken):
             spans.append((start, end))
     return spans
 

@@ -176,6 +176,49 @@ def test_disguises(text, kind, found):
     assert found not in pii.mask(text)
 
 
+@pytest.mark.parametrize(
+    "text,kind,found",
+    [
+        ("mail john [at] example dot com now", "email", "john [at] example dot com"),
+        ("mail john at example [dot] com now", "email", "john at example [dot] com"),
+        ("mail john dot doe at example dot com now", "email", "john dot doe at example dot com"),
+        ("write me at john dot doe at example dot co (dot) uk.", "email", "john dot doe at example dot co (dot) uk"),
+        ("mail john (dot) doe at example.com now, or john@example dot com", "email", "john@example dot com"),
+        ("john at example dot com at noon.Then", "email", "john at example dot com"),
+        ("me at john dot doe [at] example.com", "email", "john dot doe [at] example.com"),
+        ("JOHN DOT DOE <AT> EXAMPLE.COM", "email", "JOHN DOT DOE <AT> EXAMPLE.COM"),
+        ("call +49 30 555 one two three four now", "phone", "+49 30 555 one two three four"),
+        ("call 555 one two three 4567 eight nine ok", "phone", None),
+        ("call 555 one two three four 56 seven eight ok", "phone", "555 one two three four 56 seven eight"),
+        ("(five five five one two three four five six seven)", "phone", "five five five one two three four five six seven"),
+        ("pay 4111 1111 1111 one one one one now", "card", "4111 1111 1111 one one one one"),
+        ("call +49\xa030\xa0555\xa01234 now", "phone", "+49\xa030\xa0555\xa01234"),
+        ("\u017fix seven eight nine one two three four five six", "phone", "\u017fix seven eight nine one two three four five six"),
+    ],
+)
+def test_mixed_disguises(text, kind, found):
+    if found is None:
+        found = text[5:-3]
+    base, spans = pii.find(text)
+    assert (kind, found) in [(k, text[s:e]) for k, s, e in spans]
+    assert set(base) <= set(spans) and found not in pii.mask(text)
+
+
+def test_suspect_never_misses():
+    rng = random.Random(8)
+    bits = ["at", "dot", "@", ".", "[at]", "(dot)", "john", "ex", "com", "one", "Two", "three", "55", "1234", "+49", "(", ")", ",", "-", "\xa0", "\xb2", "\u043e"]
+    for _ in range(20000):
+        t = "".join(rng.choice(bits) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(0, 14)))
+        assert pii.suspect(t) or not pii.normalise(t).edits, t
+
+
+def test_clean_prose_with_numbers_and_dots_stays():
+    for t in ("look at example.com for one of 2000 pages", "in 1999, three of 2001 and seven in 2010", "1999 three 2001 seven", "meet at noon dot", "a dot at home"):
+        assert pii.find(t) == ([], []), t
+    long = "a dot " * 20000 + "a-" * 20000 + "one 2 " * 20000
+    assert pii.mask(long) is not None
+
+
 def test_clean_text_stays():
     for t in ("I was at home and saw one dot on two of three pages", "one two three", "", "at dot at dot"):
         assert pii.find(t) == ([], []) and pii.mask(t) == t
