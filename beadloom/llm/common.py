@@ -24,12 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests, one machine)
-    a folder of the driver's own is made and set.
+    The folder is the session's spark.checkpoint.dir. Where that is unset, a session on one machine (tests) gets a
+    folder of its own; on a cluster executors and driver would each write to their own disk, so that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext.getCheckpointDir()
+        if not known and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = os.path.dirname(known.rstrip("/")) if known else "file://" + tempfile.mkdtemp(prefix="beadloom-")
         if not known:
             spark.sparkContext.setCheckpointDir(base)
@@ -88,7 +90,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
 def append_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, inputs: list[str]) -> DataFrame:
     """df with all its columns plus those of `schema`, computed from the columns `inputs` batch by batch.
 
-    The names in `schema` must not clash with the frame's; callers prefix them with "__".
+    The names in `schema` must not clash with the frame's; `fresh` makes such.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -108,10 +110,23 @@ def append_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], sc
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *more.fields]))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, letter case aside."""
+    known = {c.lower() for c in df.columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
+#: Longer words aren't remembered: text without spaces (other scripts, encoded data) is one word of any length.
+LONGEST_CACHED = 64
+
+
 class SegmentCache(dict):
     """word -> computed value, of two generations: after `cap` new words the old generation goes.
 
-    Lookups of known words stay in C (dict with __missing__); memory is bounded by 2 * cap entries.
+    Lookups of known words stay in C (dict with __missing__); memory is bounded by 2 * cap words of LONGEST_CACHED
+    characters.
     """
 
     def __init__(self, compute: Callable, cap: int = 250_000):
@@ -122,6 +137,8 @@ class SegmentCache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+            if len(key) > LONGEST_CACHED:
+                return value
         if len(self) >= self.cap:
             self.old = dict(self)
             self.clear()
@@ -139,7 +156,8 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
     limit = max(1000, total // HEAVY_SHARE)
     heavy = groups.filter(F.col(size) > limit)
     light = groups.filter(F.col(size) <= limit).drop(size)
-    marked = rows.join(F.broadcast(heavy.select(F.col(key), F.lit(True).alias("__heavy"))), key, "left")
-    hot = marked.filter(F.col("__heavy")).drop("__heavy").join(F.broadcast(heavy.drop(size)), key, "inner")
-    rest = marked.filter(F.col("__heavy").isNull()).drop("__heavy").join(light.hint("merge"), key, how)
+    mark = fresh(rows, "__heavy")
+    marked = rows.join(F.broadcast(heavy.select(F.col(key), F.lit(True).alias(mark))), key, "left")
+    hot = marked.filter(F.col(mark)).drop(mark).join(F.broadcast(heavy.drop(size)), key, "inner")
+    rest = marked.filter(F.col(mark).isNull()).drop(mark).join(light.hint("merge"), key, how)
     return hot.unionByName(rest)

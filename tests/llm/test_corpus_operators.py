@@ -85,6 +85,88 @@ def test_repeated_rows_and_null_ids(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_keep_one_of_repeated_and_null_ids(spark):
+    t, u, w = "a b c d e f g h", "q r s t u v w x y", "one text of its own with words enough"
+    rows = [(3, t, 1, 1), (3, t, 1, 1), (5, t, 1, 1), (None, t, 1, 1), (None, u, 1, 1), (None, u.upper(), 1, 1), (None, u, 2, 2), (7, w, 1, 1), (8, "", 1, 1), (8, "", 1, 1), (8, None, 1, 1), (None, " ", 1, 1)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA + ", __odd long")
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "").strip().lower()) for r in kept.collect())
+    assert got == sorted([("3", t), ("None", u), ("7", w), ("8", ""), ("8", ""), ("8", ""), ("None", "")])
+
+
+def test_recall_at_the_threshold():
+    """Pairs of sets at 85 to 86 % that share a band, measured."""
+    rng = np.random.default_rng(2)
+    found = n = 0
+    for size in (7, 20, 100, 700) * 250:
+        both = int(np.ceil(0.85 * 2 * size / 1.85))
+        s = rng.integers(0, 1 << 63, 2 * size - both).astype(np.uint64) << np.uint64(1)
+        a, b = np.unique(s[:size]), np.unique(s[size - both :])
+        assert 100 * both >= 85 * len(np.union1d(a, b))
+        x, y = (near_dup.registers(v)[0] for v in (a, b))
+        found += bool(set(near_dup.band_keys(x)) & set(near_dup.band_keys(y)))
+        n += 1
+    assert found >= 0.999 * n
+
+
+def test_chained_texts_meet_by_keys_only(spark, monkeypatch, tmp_path):
+    """Texts that all share a half: few of their pairs are compared, and copies among them are found still."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    half = [word() for _ in range(60)]
+    rows = [(i + 1, " ".join([*half, *(word() for _ in range(60))])) for i in range(400)]
+    rows += [(1000 + i, t + " more") for i, t in rows[:20]]
+    log, inner = str(tmp_path / "pairs"), near_dup.link
+
+    def counted(sets, known=None, apart=None, percent=85):
+        n = len(sets)
+        with open(log, "a") as f:
+            f.write(f"{sum(int((~apart(i)).sum()) if apart else n - i - 1 for i in range(n - 1))}\n")
+        return inner(sets, known, apart, percent)
+
+    monkeypatch.setattr(near_dup, "BLOCK", 20)
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], SCHEMA)
+    group, key = near_dup._link_group, near_dup._link_key
+
+    def by_group(table):
+        near_dup.link = counted
+        return group(table)
+
+    def by_key(table):
+        near_dup.link = counted
+        return key(table)
+
+    monkeypatch.setattr(near_dup, "_link_group", by_group)
+    monkeypatch.setattr(near_dup, "_link_key", by_key)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {**{d: d for d, _ in rows[:400]}, **{1000 + d: d for d, _ in rows[:20]}}
+    pairs = sum(map(int, open(log)))
+    assert 0 < pairs < 0.75 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Elsewhere:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default):
+            return default
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(type("Session", (), {"sparkContext": Elsewhere()})())
+
+
+def test_long_words_are_not_cached():
+    cache = common.SegmentCache(len, 100)
+    assert [cache["x" * 3000 + str(i)] for i in range(10_000)][0] == 3001 and not cache and cache["word"] == 4 and len(cache) == 1
+
+
 def test_long_chain_of_edges(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "u long, v long")
     got = {r.id: r.component for r in near_dup.components(edges).collect()}
