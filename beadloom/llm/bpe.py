@@ -4,9 +4,13 @@ A token sequence is the BPE encoding of its bytes exactly when each neighbouring
 of that pair's bytes. So the encodings of all strings are the paths of a nondeterministic transducer whose states
 are (tokens not yet emitted, place in the vocabulary's trie), and whose token boundaries are allowed by that pair
 test. Its subsets are determinised on demand: a state is the tuple of live hypotheses, a step reads one byte, and the
-tokens that all hypotheses share are emitted, after a lookahead bounded by how long the hypotheses disagree.
+tokens that all hypotheses share are emitted as soon as one hypothesis is left, so the lookahead lasts only as long as
+hypotheses disagree.
 
-Defined cases: null and empty texts have no tokens; other columns are ignored; repeated rows give a row each.
+Defined cases: null and empty texts have no tokens; a null doc_id stays null; texts of any length are encoded whole (one
+match of the pattern, however long, is a stream through the transducer, and only its undecided tokens are held); other
+columns are ignored; repeated rows give a row each; an empty table gives an empty result. There are no ties: an encoding
+is unique.
 """
 
 from __future__ import annotations
@@ -28,8 +32,6 @@ from .common import SegmentCache, map_batches
 MAX_STATES = 250_000
 NODE_BITS = 24
 NODE = (1 << NODE_BITS) - 1
-#: Bytes of one pre-token read before the tokens that are already sure are emitted.
-FLUSH = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -72,6 +74,7 @@ class Transducer:
         start = (0,)
         self.number = {start: 0}
         self.state = [start]
+        self.sure = [0]  # of a state with one hypothesis: bytes in its open token; else -1
         self.step: dict[int, tuple[int, int]] = {}  # state << 8 | byte -> (state << 8, token that ends or -1)
         self.pairs: dict[int, bool] = {}
 
@@ -147,6 +150,7 @@ class Transducer:
         if to is None:
             to = self.number[new] = len(self.state)
             self.state.append(new)
+            self.sure.append(self.depth[new[0] & NODE] if len(new) == 1 else -1)
         out = self.step[at | byte] = to << 8, ended
         return out
 
@@ -168,22 +172,24 @@ class Transducer:
         if len(self.state) > MAX_STATES:
             self._reset()
         ids: list[int] = []
+        for tokens in self.stream(data):
+            ids += tokens
+        return ids
+
+    def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
+        """Tokens of a stream of bytes, given out at every state with one hypothesis: all before its open token are sure."""
         ends: list[int] = []
-        at, step, put, advance = 0, self.step.get, ends.append, self._advance
-        if len(data) <= FLUSH:
-            for b in data:
-                at, token = step(at | b) or advance(at, b)
-                put(token)
-            return self._back(ends, len(ends))
+        at, step, put, advance, sure = 0, self.step.get, ends.append, self._advance, self.sure
         for b in data:
             at, token = step(at | b) or advance(at, b)
             put(token)
-            if len(ends) > FLUSH and len(self.state[at >> 8]) == 1:
-                # one hypothesis: what lies before its open token is sure
-                sure = len(ends) - self.depth[self.state[at >> 8][0] & NODE]
-                ids += self._back(ends, sure)
-                del ends[:sure]
-        return ids + self._back(ends, len(ends))
+            held = sure[at >> 8]
+            if 0 <= held < len(ends):
+                cut = len(ends) - held
+                yield [ends[0]] if cut == 1 else self._back(ends, cut)
+                del ends[:cut]
+        if ends:
+            yield self._back(ends, len(ends))
 
 
 _MARKS = frozenset(".,;:!?|")

@@ -1,13 +1,14 @@
 """Packing of documents into sequences along a space-filling curve.
 
-A document is the ids of its words and an end id. The hashed vector of its ids is projected to a few dimensions, the
-place there becomes a Hilbert key, and the rows are sorted into ranges of that key, so that neighbours on the curve are
+A document is the ids of its words and an end id. The ids are hashed into a vector of FEATURES signed counts, whose roots
+are projected to a few dimensions; the place there becomes a Hilbert key, and the rows are sorted into ranges of that key, so that neighbours on the curve are
 neighbours in a range. Each range is one stream of ids, cut every `size` ids; what is left at its end is cut into powers
 of two, which need no padding.
 
 Defined cases: a null text is empty, and an empty document is its end id alone; equal texts have equal keys and go by
-doc_id (null first), so that any number of copies spreads over ranges; repeated rows are packed each; other columns are
-ignored; an empty table gives an empty result.
+doc_id (null first) and then by their place in the table of ids, so that any number of copies and of repeated rows
+spreads over ranges; a text of any length is cut into as many sequences as it needs; other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .common import SegmentCache, map_batches, materialise
 
 SIZE = 2048
 DIMENSIONS, BITS = 4, 12
+#: Of a document's hashed vector.
+FEATURES = 4096
 #: Bytes of packed ids of a range, about, and ranges at most.
 RANGE_BYTES, MAX_RANGES = 4 << 20, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -91,17 +94,28 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def _axes(n: int) -> np.ndarray:
-    return np.random.default_rng(3).standard_normal((n, DIMENSIONS)).astype(np.float32)
+def _axes() -> np.ndarray:
+    return np.random.default_rng(3).standard_normal((FEATURES, DIMENSIONS)).astype(np.float32)
 
 
-def place(ids: np.ndarray, n_ids: int = 1 << 16) -> np.ndarray:
-    """A document's place in few dimensions: its vector of root counts per id, of unit length, projected at random."""
-    if not len(ids):
-        return np.zeros(DIMENSIONS, np.float32)
-    kinds, counts = np.unique(ids, return_counts=True)
-    weights = np.sqrt(counts.astype(np.float32))
-    return (weights @ _axes(n_ids)[kinds.astype(np.int64) % n_ids]) / np.sqrt(np.float32(len(ids)))
+@lru_cache(maxsize=1)
+def _hashed() -> tuple[np.ndarray, np.ndarray]:
+    """(feature, sign) of each id below 2^16; larger ids share theirs."""
+    x = np.arange(1 << 16, dtype=np.uint64)
+    for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9):
+        x = x * np.uint64(m) & np.uint64((1 << 64) - 1)
+        x ^= x >> np.uint64(31)
+    return (x % np.uint64(FEATURES)).astype(np.int64), np.where(x >> np.uint64(63), 1.0, -1.0)
+
+
+def place(ids: np.ndarray) -> np.ndarray:
+    """A document's place in few dimensions: its hashed vector of signed root counts, of unit length, projected at random."""
+    feature, sign = _hashed()
+    at = ids.astype(np.int64) & 0xFFFF
+    vector = np.bincount(feature[at], sign[at], FEATURES)
+    used = np.flatnonzero(vector)
+    roots = np.sign(vector[used]) * np.sqrt(np.abs(vector[used]))
+    return (roots @ _axes()[used] / max(1.0, np.sqrt(np.abs(vector[used]).sum()))).astype(np.float32)
 
 
 def hilbert_keys(places: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -217,5 +231,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, size: int = SIZE) -> DataF
         if last := list(packer.finish()):
             yield table(last)
 
-    sorted_ = rows.repartitionByRange(ranges, F.col("key"), F.col("doc_id").asc_nulls_first()).sortWithinPartitions("key", F.col("doc_id").asc_nulls_first())
+    # the place in the written table parts repeated rows; a task that is run again reads the same places
+    order = [F.col("key"), F.col("doc_id").asc_nulls_first(), F.col("at")]
+    sorted_ = rows.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     return sorted_.select("doc_id", "ids").mapInArrow(run, PIECES)

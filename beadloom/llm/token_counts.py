@@ -4,9 +4,11 @@ A flat file is nothing but ids, each document closed by the end-of-document id.
 size. Per block the separators are found with numpy; a document that crosses blocks is stitched by a prefix scan:
 the tokens it has left in earlier blocks are a running sum since the last block with a separator.
 
-Defined cases: null and empty texts are documents of no tokens; repeated rows give a row each; a null doc_id stays
-null; other columns are ignored; an empty table gives an empty result. Tokens after a file's last separator are no
-document, and are reported by `scan` as the tail of its last block.
+Defined cases: null and empty texts are documents of no tokens; texts of any length are counted whole, over as many
+blocks as they fill; repeated rows give a row each, equal texts at places of their own; a null doc_id stays null; other
+columns are ignored; an empty table gives an empty result. Tokens after a file's last separator are no document, and are
+reported by `scan` as the tail of its last block. Files that no manifest row names (of tasks that were lost) are never
+opened. A separator that the vocabulary uses, and ids too large for the type of the files, are errors.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ def write_flat(docs: DataFrame, folder: str, ranks_path: str, pattern: str, sepa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(ranks_path, pattern)
+        if separator in e.machine.bytes_of:
+            raise ValueError(f"{separator} is a token's id, so it can't part documents")
+        if max(separator, *e.machine.bytes_of) > np.iinfo(dtype).max:
+            raise ValueError(f"ids don't fit {dtype}")
         end = np.array([separator], dtype).tobytes()
         fs, root = open_store(folder)
         out, name, size, ordinal = None, "", 0, 0
@@ -75,15 +81,16 @@ def scan_block(ids: np.ndarray, separator: int) -> tuple[int, int, list[int]]:
     return int(at[0]), int(len(ids) - at[-1] - 1), (np.diff(at) - 1).tolist()
 
 
-def blocks(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFrame:
-    """file, path, block, start, length of each block of a folder's flat files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder).select("path", "length")
+def blocks(spark: SparkSession, folder: str, manifest: DataFrame, block: int = BLOCK) -> DataFrame:
+    """file, path, block, start, length of each block of the flat files that a manifest names."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "length")
+    files = files.join(manifest.select("file").distinct(), "file", "left_semi")
     n = F.ceil(F.col("length") / F.lit(block)).cast("int")
-    each = files.filter("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "length", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"))
+    each = files.filter("length > 0").select("file", "path", "length", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"))
     return each.select("file", "path", "block", (F.col("block").cast("long") * block).alias("start"), F.least(F.lit(block).cast("long"), F.col("length") - F.col("block").cast("long") * block).alias("length"))
 
 
-def scan(spark: SparkSession, folder: str, separator: int, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
+def scan(spark: SparkSession, folder: str, manifest: DataFrame, separator: int, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
     """Per block: file, block, head, tail, n_seps, inner (lengths of documents wholly inside)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +118,7 @@ def scan(spark: SparkSession, folder: str, separator: int, dtype: str = "<u2", b
             )
 
     parts = max(8, spark.sparkContext.defaultParallelism * 2)
-    rows = blocks(spark, folder, block).repartition(parts, "file", "block")
+    rows = blocks(spark, folder, manifest, block).repartition(parts, "file", "block")
     return rows.mapInArrow(run, "file string, block int, head long, tail long, has_sep boolean, inner array<long>")
 
 
@@ -136,6 +143,6 @@ def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, separator: int,
     spark = docs.sparkSession
     folder = shared_dir(spark)
     manifest = write_flat(docs, folder, ranks_path, pattern, separator)
-    counts = stitch(scan(spark, folder, separator, block=block))
+    counts = stitch(scan(spark, folder, manifest, separator, block=block))
     # both sides have a row per document; their repeated names compress so well that a broadcast would look cheap
     return manifest.join(counts.hint("merge"), ["file", "ordinal"], "left").select("doc_id", "n_tokens", "file", "ordinal")

@@ -6,7 +6,11 @@ payloads seen before (of at least `min_payload` bytes) are revisits, which carry
 
 Defined cases: null html is an empty payload; rows of one page_id and equal payloads are of one type; a row with a
 null page_id can't be referred to, so it is a response unless a row with an id has its payload; a null url is written
-as an empty one; other columns are ignored; an empty table writes no archive and gives an empty result.
+as an empty one; payloads of any length are written whole (one longer than ARCHIVE closes its archive); of equal
+payloads the smallest page_id is the response, and other columns are ignored; an empty table writes no archive and gives
+an empty result. The dictionary is trained from slices spread over all records of its archive; where they are too few or
+too much alike to train from, the slices themselves are the dictionary (raw content), so every archive has one, unless
+its records are all empty.
 """
 
 from __future__ import annotations
@@ -32,6 +36,9 @@ ARCHIVE = 16 << 20
 #: Bytes of a dictionary, and of the records of an archive that it is trained from, at most.
 DICTIONARY = 32 << 10
 TRAINED_FROM = 2 << 20
+SLICE = 8 << 10
+#: Tasks that read archives back, at most; beyond, a task has several.
+READERS = 20_000
 LEVEL = 6
 DATE = "2026-01-01T00:00:00Z"
 
@@ -56,20 +63,17 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def train(records: list[bytes]) -> bytes:
-    """A dictionary from (a bounded part of) an archive's records; empty if there are too few to train from."""
-    step = max(1, sum(map(len, records)) // TRAINED_FROM)
-    samples, size = [], 0
-    for r in records[::step]:
-        if size >= TRAINED_FROM:
-            break
-        samples.append(r[:65536])
-        size += len(samples[-1])
-    if len(samples) < 16:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY, max(1024, size // 8)), samples, d=8, k=256, steps=1, level=LEVEL).as_bytes()
-    except zstandard.ZstdError:
-        return b""  # e.g. all samples alike
+    """A dictionary from slices of an archive's records, TRAINED_FROM bytes at most, spread evenly over all of them."""
+    slices = [(r, at) for r in records for at in range(0, len(r), SLICE)]
+    step = max(1, -(-len(slices) * SLICE // TRAINED_FROM))
+    samples = [r[at : at + SLICE] for r, at in slices[::step]]
+    if len(samples) >= 16:
+        try:
+            return zstandard.train_dictionary(min(DICTIONARY, max(1024, sum(map(len, samples)) // 8)), samples, d=8, k=256, steps=1, level=LEVEL).as_bytes()
+        except zstandard.ZstdError:
+            pass  # e.g. all samples alike
+    # what stands last in a raw dictionary is nearest, so the first record's head goes there
+    return b"".join(x[: max(64, DICTIONARY // max(1, len(samples)))] for x in reversed(samples))[-DICTIONARY:]
 
 
 def write_archive(records: list[bytes], out) -> list[tuple[int, int]]:
@@ -206,8 +210,9 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-    files = index.select("file").distinct()
-    return files.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    files = materialise(index.select("file").distinct())
+    # names are a few bytes but stand for archives, so adaptive coalescing must not pack them together
+    return files.repartition(min(READERS, max(1, files.count())), "file").mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_round_trip(pages: DataFrame, min_payload: int = 100) -> DataFrame:

@@ -91,6 +91,47 @@ def test_bpe_any_vocabulary():
         assert m.encode(data) == [ranks[x] for x in m.merge(data)], data
 
 
+def test_tokens_come_out_as_soon_as_they_are_sure():
+    machine = bpe.encoder(RANKS, P.PATTERN).machine
+    data = b"abcdefgh" * 4000
+    read = 0
+
+    def fed():
+        nonlocal read
+        for b in data:
+            read += 1
+            yield b
+
+    ids, most = [], 0
+    for tokens in machine.stream(fed()):
+        ids += tokens
+        most = max(most, read - sum(machine.length[t] for t in ids))
+    assert b"".join(machine.bytes_of[t] for t in ids) == data and most < 64
+
+
+def test_unspaced_texts_leave_the_caches_small():
+    from beadloom.llm import packing
+
+    e, w = bpe.TextEncoder(RANKS, P.PATTERN), packing.WordEncoder(WORDS)
+    rng = random.Random(4)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x5000)) for _ in range(300)) for _ in range(1000)]
+    own = tiktoken_encoding()
+    assert all(e.ids(t).tolist() == own.encode_ordinary(t) for t in texts[:50])
+    for t in texts:
+        e.ids(t), w.packed(t)
+    held = sum(len(k) for cache in (e.parts, e.pieces, w.words, w.stems) for k in cache)
+    assert held < 20_000
+
+
+def test_hashed_places_and_repeated_rows(spark):
+    a, b = np.arange(50, dtype="<u2"), np.arange(50, 100, dtype="<u2")
+    near = np.concatenate([a, a, [7]]).astype("<u2")
+    assert np.linalg.norm(packing.place(a) - packing.place(near)) < np.linalg.norm(packing.place(a) - packing.place(b))
+    docs = documents(spark, [(1, "the same words again " * 40)] * 300).repartition(6)
+    rows = packing.pack(docs, WORDS, size=64)
+    assert rows.count() > 300 and rows.agg(F.sum("length")).first()[0] == 300 * rows.first().doc_tokens
+
+
 def test_streaming_decoder():
     own, tables = bpe.encoder(RANKS, P.PATTERN), bpe.decode_tables(RANKS)
     text = "日本語 é😀 plain ñ" * 20
@@ -122,11 +163,20 @@ def test_token_counts(spark, tmp_path, block):
     e = tiktoken_encoding()
     folder = f"file://{tmp_path}"
     manifest = token_counts.write_flat(documents(spark, ODD).repartition(2), folder, RANKS, P.PATTERN, 50256, file_bytes=300)
-    counts = token_counts.stitch(token_counts.scan(spark, folder, 50256, block=block if block > 8 else 64))
+    with open(f"{tmp_path}/000000-left-behind.tok", "wb") as f:
+        f.write(b"odd")  # of a task that was lost
+    counts = token_counts.stitch(token_counts.scan(spark, folder, manifest, 50256, block=block if block > 8 else 64))
     got = sorted((str(r.doc_id), r.n_tokens) for r in manifest.join(counts, ["file", "ordinal"], "left").collect())
     assert got == sorted((str(i), len(e.encode_ordinary(t or ""))) for i, t in ODD)
 
 
+def test_separator_must_be_free(spark, tmp_path):
+    with pytest.raises(Exception, match="is a token's id"):
+        token_counts.write_flat(documents(spark, [(1, "a")]), f"file://{tmp_path}", RANKS, P.PATTERN, 100)
+    with pytest.raises(Exception, match="don't fit"):
+        token_counts.write_flat(documents(spark, [(1, "a")]), f"file://{tmp_path}", RANKS, P.PATTERN, 70000)
+
+
 def test_block_scan():
     assert token_counts.scan_block(np.array([1, 2, 9, 9, 3, 9, 4, 4], "<u2"), 9) == (2, 2, [0, 1])
     assert token_counts.scan_block(np.array([1, 2], "<u2"), 9) == (0, 2, [])
