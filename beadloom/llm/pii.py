@@ -1,12 +1,17 @@
 """Personal data, also where it is disguised, with spans of the source text.
 
 Two passes over each whole text. The base pass applies fixed patterns to the source itself. The second pass sends the
-text through transducers that normalise homoglyphs and full-width forms, numbers spelled in words and at/dot disguises;
-each keeps, for every character it emits, the source characters that it came from. Identifiers found in the normalised
-text are mapped back to source spans; those that no base span of their kind touches are added.
+text through three transducers, one after the other: characters (homoglyphs, full-width forms, marks without width),
+numbers (digits spelled in words, alone or mixed with numerals, with spelled dots), and addresses (at/dot disguises). The
+latter two are finite machines over tokens whose output is held back until an accepting state. Each keeps, for every
+character that it emits, the source characters that it came from, and these maps compose. Identifiers found in the
+normalised text are mapped back to source spans, and added unless a base span of their kind covers them.
 
-Defined cases: a null text is empty and has no spans; ties (equal spans of two kinds) are all returned; repeated rows
-and doc_ids give a row each; other columns are ignored; an empty table gives an empty result.
+Every step reads a text once from left to right, so time is linear in its length.
+
+Defined cases: a null text is empty and has no spans; texts of any length are taken whole; ties (equal spans of two kinds)
+are all returned; an added span may overlap base spans, which stay, and masking covers the union; repeated rows and
+doc_ids give a row each; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,46 +20,69 @@ import bisect
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from .common import append_batches, map_batches
+from .common import append_batches, fresh, map_batches
 
 # The base patterns of the four kinds.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # the lookbehind only spares tries inside a run of digits
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 
 # Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅοαενιρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXIJSoaevipтukABEZHIKMNOPTYX".replace("т", "t")))
-# Digits in words.
-DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-
-#: An identifier spelled in words has this many digits at least, so that prose with number words isn't touched.
-MIN_SPELLED = 7
-_NUMBER_WORD = r"\b(?:%s)\b" % "|".join(DIGIT_WORDS)
-_TOKEN = rf"(?:{_NUMBER_WORD}|(?<![\w.])[0-9]++(?!\w|\.[0-9]))"
-#: Number words and groups of digits in a row.
-_SPELLED = re.compile(rf"{_TOKEN}(?:[\s,-]++{_TOKEN})++", re.IGNORECASE)
-_WORD = re.compile(_NUMBER_WORD, re.IGNORECASE)
-_PART = re.compile(rf"{_NUMBER_WORD}|[0-9]+", re.IGNORECASE)
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Digits in words, English, German, French and Spanish.
+DIGIT_WORDS = {
+    w: str(d)
+    for d, words in enumerate(
+        [
+            "zero oh null zéro cero", "one eins un une uno", "two zwei zwo deux dos", "three drei trois tres", "four vier quatre cuatro",
+            "five fünf fuenf cinq cinco", "six sechs seis", "seven sieben sept siete", "eight acht huit ocho", "nine neun neuf nueve",
+        ]
+    )
+    for w in words.split()
+}
+# Those of them that are articles, too.
+ARTICLES = frozenset(("one", "un", "une"))
+# Words for the signs of addresses in these languages. "point" is prose behind an English "at".
+AT_WORDS = ("at", "ät", "arobase", "arroba")
+DOT_WORDS = ("dot", "punkt", "punto", "point")
+# Endings of hosts that a bare "name at host.tld" counts with, and words before it that are no names.
+ENDINGS = frozenset("com org net edu gov info io co uk eu de at ch fr be es mx ar us ca au nl it pl se".split())
+NO_NAMES = frozenset(
+    "a about again all also an and are around arrive arrived arrives as available back be been begin both buy buying call check click contact "
+    "day details download ends ever everyone find found free get go going good had has have he help here hosted i in info is it join just last "
+    "later learn listed live located look looked looking looks me meet meeting met more much news not now of offer offers on online open order "
+    "or out page people photo posted published read register see seen she shop shopping shot sign site starts stay store team that the them then "
+    "there they this to today together up us visit visited visiting was watch we website were while work working works you your".split()
+)
+
+#: No kind but an address of four numbers has fewer digits.
+MIN_DIGITS = 9
 #: A number without a plus sign counts as a phone number if so many of its digits are words.
 MIN_BARE_WORDS = 4
-#: "name at host dot tld" with bracketed, spaced or plain separators in any mixture; a bare "at" counts only if a
-#: disguised dot is in its host. A name has 64 characters at most, so 32 parts.
-_BRACKETED = re.compile(r"\s*[\[({<]\s*(at|dot|@|\.)\s*[\])}>]\s*", re.IGNORECASE)
-_AT = r"(?:\s*+[\[({<]\s*+(?:at|@)\s*+[\])}>]\s*+|\s++at\s++|\s*+@\s*+)"
-_HIDDEN_DOT = r"(?:\s*+[\[({<]\s*+(?:dot|\.)\s*+[\])}>]\s*+|\s++dot\s++)"
-_HOST = rf"[\w-]++(?:(?:{_HIDDEN_DOT}|\.)[\w-]++)++"
-_ADDRESS = re.compile(rf"(?<![\w.%+-])(?P<name>[\w.%+-]++(?:{_HIDDEN_DOT}[\w.%+-]++){{0,31}})(?P<at>{_AT})(?P<host>{_HOST})", re.IGNORECASE)
-_AT_AGAIN = re.compile(rf"(?!\s++at\s){_AT}{_HOST}|{_AT}[\w-]++(?:\.[\w-]++)*+{_HIDDEN_DOT}[\w-]", re.IGNORECASE)
-_DOT = re.compile(_HIDDEN_DOT, re.IGNORECASE)
-_HINT = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]|\sdot\s", re.IGNORECASE)
+_NUMBER_WORD = r"(?<!\w)(?=[zoenutdfvcqsha])(?:%s)(?!\w)" % "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_NUMERAL = r"(?<![\w.])[0-9]++(?!\w|\.[0-9])"
+_NUMBER = re.compile(rf"{_NUMBER_WORD}|{_NUMERAL}")
+_OPEN, _CLOSE = r"[\[({<]\s*+", r"\s*+[\])}>]"
+_AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
+_BETWEEN = re.compile(r"[\s,()/-]++")
+_SPELLED_DOT = re.compile(rf"\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\s*+\.\s*+")
+#: A number word beside another or a numeral, or a numeral beside one.
+_MIXED = re.compile(rf"{_NUMBER_WORD}(?:[\s,()/-]++|\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\.)(?:[0-9]|{_NUMBER_WORD})|[0-9](?:[\s,()/-]++|\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\.)(?={_NUMBER_WORD})")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Tokens of addresses; a run of white space is one token, so that it is read once.
+_TOKEN = re.compile(
+    rf"(?P<at>\s*+{_OPEN}(?:{_AT}|@){_CLOSE}\s*+|\s++(?:{_AT})\s++|\s*+@\s*+)"
+    rf"|(?P<dot>\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\.(?=[\w%+-]))"
+    rf"|(?P<atom>[\w%+-]++)|\s++|[^\w\s]",
+    re.IGNORECASE,
+)
+_HINT = re.compile(rf"{_OPEN}(?:{_AT}|{_DOT}|@|\.){_CLOSE}|\s(?:{_DOT})\s|\s(?:arobase|arroba|ät)\s|\sat\s++[\w-]++\.\w", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -175,51 +203,153 @@ def normalise(text: str) -> Mapped:
     m = Mapped(text)
     if not text.isascii():
         m.rewrite(_homoglyph_changes(m.text))
-    changes = []
-    for parts in _spelled_runs(m.text):
-        for k, w in enumerate(parts):
-            # the separator goes with the digit before it
-            end = parts[k + 1].start() if k + 1 < len(parts) else w.end()
-            changes.append((w.start(), end, DIGIT_WORDS.get(w.group().casefold(), w.group())))
-    m.rewrite(changes)
+    low = _lower(m.text)
+    if _MIXED.search(low):
+        m.rewrite(_number_changes(low))
     if _HINT.search(m.text):
         m.rewrite(_address_changes(m.text))
     return m
 
 
-def _spelled_runs(text: str) -> Iterator[list[re.Match]]:
-    """The parts of each run of number words, or of number words and digits, that is long enough."""
-    for run in _SPELLED.finditer(text):
-        parts = list(_PART.finditer(text, *run.span()))
-        words = sum(not "0" <= p.group()[0] <= "9" for p in parts)
-        if words and words + sum(len(p.group()) for p in parts if "0" <= p.group()[0] <= "9") >= MIN_SPELLED:
-            yield parts
+def _lower(text: str) -> str:
+    """Lower case of the same length (a few capitals would become two characters), the long s as s."""
+    low = text.lower().replace("ſ", "s")
+    return low if len(low) == len(text) else "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text))
+
+
+def _number_changes(text: str) -> list[tuple[int, int, str]]:
+    """The number transducer. Its states are idle and in a number; a token goes on with the number if only separators, or
+    one spelled dot, stand between. At a number's end its output is accepted or dropped."""
+    changes: list[tuple[int, int, str]] = []
+    groups: list[list[tuple[int, int, str]]] = []  # digits between dots
+    at = 0
+    for m in _NUMBER.finditer(text):
+        digits = DIGIT_WORDS.get(m.group()) or m.group()
+        token = (m.start(), m.end(), digits)
+        if groups and _BETWEEN.fullmatch(text, at, m.start()):
+            groups[-1].append(token)
+        elif groups and _SPELLED_DOT.fullmatch(text, at, m.start()):
+            groups.append([token])
+        else:
+            changes += _number(text, groups)
+            groups = [[token]]
+        at = m.end()
+    return changes + _number(text, groups)
+
+
+def _number(text: str, groups: list[list[tuple[int, int, str]]]) -> list[tuple[int, int, str]]:
+    """What a number is rewritten to: four groups up to 255 with dots, or else each group that is long enough.
+
+    An article at an end, with a numeral beside it, belongs to the prose: "+1 555-1373 Un homme".
+    """
+    for k, inner in ((-1, -2), (0, 1)):
+        if groups and len(groups[k]) > 1 and text[slice(*groups[k][k][:2])] in ARTICLES and text[groups[k][inner][0]] <= "9":
+            groups[k].pop(k)
+    spelled = [any(text[s] > "9" for s, _, _ in g) for g in groups]
+    if not any(spelled):
+        return []
+    values = ["".join(d for _, _, d in g) for g in groups]
+    dotted = len(groups) == 4 and all(len(v) <= 3 and int(v) <= 255 for v in values)
+    out = []
+    for k, g in enumerate(groups):
+        if dotted and k:
+            out.append((groups[k - 1][-1][1], g[0][0], "."))
+        if dotted or (spelled[k] and len(values[k]) >= MIN_DIGITS):
+            # the separator goes with the digit before it
+            out += [(s, g[i + 1][0] if i + 1 < len(g) else e, d) for i, (s, e, d) in enumerate(g)]
+    return out
+
+
+class _Address:
+    """What the address transducer holds back: separators of one candidate, as (token, start, end, sign)."""
+
+    def __init__(self, start: int, names: list):
+        self.start, self.names, self.hosts, self.at = start, names, [], None
+        self.host_start = self.end = start
+        self.ending = self.name = ""
+
+    def changes(self) -> list[tuple[int, int, str]]:
+        found = [*((d, ".") for d in self.names), (self.at, "@"), *((d, ".") for d in self.hosts)]
+        return [(*d.span(), put) for d, put in found if d.group() != put]
+
+    def accepted(self) -> bool:
+        if not self.hosts:
+            return False
+        sign = self.at.group().strip().lower()
+        hidden = [d.group().strip().lower() for d in self.hosts if d.group() != "."]
+        names = any(d.group() != "." for d in self.names)
+        if sign == "@":
+            return names or bool(hidden)
+        if sign != "at":
+            return True
+        if any(d != "point" for d in hidden) or names:
+            return True
+        # "jane at example.org", but not "look at example.org"
+        return not hidden and self.ending in ENDINGS and self.name not in NO_NAMES
+
+    def sure(self) -> bool:
+        """Whether it may take the host of an address before it as its name."""
+        return self.at.group().strip().lower() != "at" or any(d.group() != "." for d in self.hosts)
 
 
 def _address_changes(text: str) -> list[tuple[int, int, str]]:
-    """Separators of disguised addresses, and bracketed ones anywhere else."""
-    changes, at = [], 0
-    while m := _ADDRESS.search(text, at):
-        sign = m["at"].strip().lower()
-        names, hosts = (list(_DOT.finditer(text, *m.span(k))) for k in ("name", "host"))
-        # in "me at john dot doe at host dot tld" the first "at" is prose
-        hidden = bool(hosts) and not _AT_AGAIN.match(text, m.end()) if sign == "at" else sign != "@" or bool(names or hosts)
-        if not hidden:
-            at = m.end("name")
-            continue
-        changes += [*((*d.span(), ".") for d in names), (*m.span("at"), "@"), *((*d.span(), ".") for d in hosts)]
-        at = m.end()
-    rest, k = [], 0
-    for x in _BRACKETED.finditer(text):
-        while k < len(changes) and changes[k][1] <= x.start():
+    """The address transducer: states 0, N (name), M (dot in a name), A (at), H (host), D (dot in a host).
+
+    Output is held back until a token has no arc. Of two addresses that share a part, "me at john dot doe [at] host.tld",
+    the latter is taken if it is sure, else the former. Bracketed signs anywhere else are rewritten, too.
+    """
+    changes: list[tuple[int, int, str]] = []
+    rest: list[tuple[int, int, str]] = []
+    state, now, before, dot = "0", None, None, None
+
+    def finish() -> None:
+        nonlocal now, before
+        for c in (now if now is not None and now.at is not None and now.accepted() and (before is None or now.sure()) else before,):
+            if c is not None:
+                changes.extend(c.changes())
+        now = before = None
+
+    for m in _TOKEN.finditer(text):
+        kind = m.lastgroup
+        if kind in ("at", "dot") and m.group().strip()[0] in "[({<":
+            rest.append((*m.span(), "@" if kind == "at" else "."))
+        arc = state, kind
+        if arc == ("N", "dot"):
+            dot, state = m, "M"
+        elif arc == ("M", "atom"):
+            now.names.append(dot)
+            now.name, state = m.group().lower(), "N"
+        elif arc == ("N", "at"):
+            now.at, state = m, "A"
+        elif arc == ("A", "atom"):
+            now.host_start, now.ending, now.end, state = m.start(), m.group().lower(), m.end(), "H"
+        elif arc == ("H", "dot"):
+            dot, state = m, "D"
+        elif arc == ("D", "atom"):
+            now.hosts.append(dot)
+            now.ending, now.end, state = m.group().lower(), m.end(), "H"
+        elif arc == ("H", "at"):
+            if now.accepted() and (before is None or now.sure()):
+                before = now
+            ending, now = now.ending, _Address(now.host_start, now.hosts)
+            now.at, now.name, state = m, ending, "A"
+        else:
+            finish()
+            state = "0"
+            if kind == "atom":
+                now, state = _Address(m.start(), []), "N"
+                now.name = m.group().lower()
+    finish()
+    changes.sort()
+    out, k = [], 0
+    for x in rest:
+        while k < len(changes) and changes[k][1] <= x[0]:
             k += 1
-        if k == len(changes) or changes[k][0] >= x.end():
-            rest.append((*x.span(), "@" if x.group(1).lower() in ("at", "@") else "."))
-    return sorted(changes + rest)
+        if k == len(changes) or changes[k][0] >= x[1]:
+            out.append(x)
+    return sorted(changes + out)
 
 
-_BRACKET = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]", re.IGNORECASE).search
-_SPACED_DOT = re.compile(r"\sdot\s").search
 _LATIN_1 = re.compile("[\xa0\xaa\xad\xb2\xb3\xb9\xba]").search
 
 
@@ -232,16 +362,11 @@ def suspect(text: str) -> bool:
                 return True
         except UnicodeEncodeError:
             return True
-    if any(c in text for c in "([{<") and _BRACKET(text):
-        return True
-    low = text.lower()
-    if "dot" in low and _SPACED_DOT(low):
-        return True
-    return _WORD.search(low) is not None and next(_spelled_runs(low), None) is not None
+    return _HINT.search(text) is not None or _MIXED.search(_lower(text)) is not None
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Spans only the normalised text shows: (kind, start, end) in source characters, apart from all base spans of that kind."""
+    """Spans only the normalised text shows: (kind, start, end) in source characters, but those that a base span covers."""
     if not suspect(text):
         return []
     m = normalise(text)
@@ -251,9 +376,16 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     found = []
     for kind, s, e in base_spans(m.text):
         start, end = m.source(s, e)
-        if end > start and all(b <= start or a >= end for a, b in taken[kind]):
+        if end > start and not _covered(taken[kind], start, end):
             found.append((kind, start, end))
-    return found + [("phone", *p) for p in _bare_phones(m, taken["phone"] + [(a, b) for _, a, b in found])]
+    phones = sorted(taken["phone"] + [(s, e) for kind, s, e in found if kind in ("phone", "card")])
+    return found + [("phone", *p) for p in _bare_phones(m, phones)]
+
+
+def _covered(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of the sorted spans, which don't overlap, holds all of [start, end)."""
+    k = bisect.bisect_right(spans, start, key=lambda x: x[0]) - 1
+    return k >= 0 and spans[k][1] >= end
 
 
 def _bare_phones(m: Mapped, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -261,7 +393,7 @@ def _bare_phones(m: Mapped, taken: list[tuple[int, int]]) -> list[tuple[int, int
     spans = []
     for run in re.finditer(r"(?<![0-9])[0-9]{10,12}(?![0-9])", m.text):
         start, end = m.source(*run.span())
-        if end - start > 2 * (run.end() - run.start()) and len(_LETTERS.findall(m.source_text, start, end)) >= MIN_BARE_WORDS and all(b <= start or a >= end for a, b in taken):
+        if end - start > 2 * (run.end() - run.start()) and len(_LETTERS.findall(m.source_text, start, end)) >= MIN_BARE_WORDS and not any(a < end and b > start for a, b in taken):
             spans.append((start, end))
     return spans
 
@@ -316,8 +448,9 @@ def redact(docs: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
     def make():
-        return lambda batch: {"__text": [mask(t) for t in batch["text"]]}
+        return lambda batch: {new: [mask(t) for t in batch["text"]]}
 
-    rows = append_batches(docs, make, "__text string", ["text"])
-    columns = [F.col("__text").alias("text") if c == "text" else F.coalesce(F.length("__text"), F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    new = fresh(docs, "__text")
+    rows = append_batches(docs, make, f"{new} string", ["text"])
+    columns = [F.col(new).alias("text") if c == "text" else F.coalesce(F.length(new), F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return rows.select(*columns)
