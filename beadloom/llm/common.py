@@ -17,8 +17,13 @@ HEAVY_SHARE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table `name` of a data folder, through Spark's reader (any store that Spark reads)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table `name` of a data folder, through Spark's reader (any store that Spark reads).
+
+    A table of fewer pieces than there are cores (a file of one row group can't be split) is dealt out first.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def shared_dir(spark: SparkSession) -> str:

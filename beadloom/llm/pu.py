@@ -2,45 +2,53 @@
 
 Known are trusted positives and texts without a label, a mixture with an unknown share (the prior) of positives. With
 the logistic loss l, the risk pi * P[l(+f)] + max(0, U[l(-f)] - pi * P[l(-f)]) is minimised; where the second part turns
-negative, its gradient is followed upwards instead, as over-fitting has begun. The prior comes from the data: a first
-classifier of positives against unlabelled texts ranks both, and the share of unlabelled texts in a region of high
-rank over the share of positives there can't be below the prior, so the least such ratio estimates it.
-
-Only texts are inputs. Models are linear over hashed words and word beginnings and over dense measurements; they are
-trained with numpy on the driver from samples of at most `max_positive` and `max_unlabelled` texts (drawn by a hash of the
-id), and applied to every text in Arrow batches.
-
-Defined cases: null and empty texts have all measurements 0 and get a score like others; repeated rows and doc_ids give
-a row each; a null doc_id is in no fold (held_out null) and never trained on; labels that are null or of unknown ids are
-ignored; without any positive in the labels all scores are 0; other columns are ignored; an empty table gives an
-empty result.
+negative, its gradient is followed upwards instead, as over-fitting has begun. The prior comes from the data: classifiers
+of positives against unlabelled texts rank both, and the share of unlabelled texts in a region of high rank over the share
+of positives there can't be below the prior, so the least such ratio estimates it.
+
+Only texts are inputs. Models are linear over hashed features of words (the word, its beginnings of 4 and 5 bytes, its end, the marks behind it) and
+over dense measurements. What is counted, is counted over all documents by Spark: in how many each hashed feature occurs,
+which tells the features that set positives apart, and how many score above each threshold that the prior is read from
+(two classifiers, each for the half of the texts that it wasn't trained on). Only the gradient steps, with numpy on the
+driver, use samples: at most `max_positive` and `max_unlabelled` texts, one per id, drawn by a hash of the id.
+
+Defined cases: null and empty texts have no features and measurements 0 and get a score like others; texts of any length
+are taken whole; repeated rows and doc_ids give a row each, and count once in a sample (by the least text); a null doc_id
+is in no fold (held_out null) and never trained on; labels that are null or of unknown ids are ignored, an id with several
+labels is a positive if one of them is 1; ties in the sampling hash go by doc_id; without at least two positives all
+scores are 0; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, append_batches, map_batches
+from .common import SegmentCache, append_batches, fresh, map_batches, materialise
 
 HASH_BITS = 18
 HASHES = 1 << HASH_BITS
-#: Beginnings of words that are features besides the word itself.
-PREFIXES = (4, 5)
-DENSE = ("n_words", "symbols", "bangs", "pipes", "upper", "digits", "mean_word", "distinct", "window_repeats", "line_repeats", "few_words")
+#: Measurements of a text. All are shares or logarithms, none is cut at a bound of a rule.
+DENSE = ("n_words", "symbols", "bangs", "pipes", "upper", "digits", "mean_word", "distinct", "window_repeats", "line_repeats")
 _STRIP = b".,;:!?\"'()[]{}*#$%&|<>-+=/"
 
-
 @dataclass(frozen=True)
 class Config:
     hashed: bool
-    dense: bool
+    #: Names of DENSE that are used.
+    dense: tuple[str, ...] = ()
+    #: Features of ends, marks and capitals besides words and their beginnings.
+    shapes: bool = False
+    #: Whether features that are rarer in positives count, too, not only those that are more frequent.
+    both_ways: bool = False
     max_positive: int = 5000
     max_unlabelled: int = 10000
     epochs: int = 40
@@ -48,8 +56,8 @@ class Config:
     decay: float = 1e-4
     batch: int = 1500
     seed: int = 11
-    #: Hashed features used: at least so many standard deviations more frequent in positive than in unlabelled texts,
-    #: and in at least so many positive ones.
+    #: Hashed features used: at least so many standard deviations more frequent in positives than in all documents (or
+    #: rarer), and in at least so many positives (or documents of a sample of that size).
     least_z: float = 6.0
     least_texts: int = 4
 
@@ -64,50 +72,49 @@ class Model:
     scale: np.ndarray = field(default_factory=lambda: np.ones(0))
 
 
-def _features_of(word: bytes) -> tuple[int, ...]:
+def _features_of(word: bytes, shapes: bool = False) -> tuple[int, ...]:
     w = word.strip(_STRIP)
-    if not w:
-        return ()
-    text = w.decode("utf-8", "replace").lower()
-    h = xxhash.xxh3_64_intdigest
-    return (h(text, 0) % HASHES, *(h(text[:k], k) % HASHES for k in PREFIXES if len(text) > k))
+    # the last three bytes with marks, and the marks with whether the word is in capitals
+    shape = (crc32(word[-3:], 101) % HASHES, crc32(word[len(word.rstrip(_STRIP)) :][:3] + (b"A" if w.isupper() else b"a"), 102) % HASHES) if shapes else ()
+    w = w.lower() if w.isascii() else w.decode("utf-8", "replace").lower().encode()
+    if len(w) > 5:
+        return (crc32(w) % HASHES, crc32(w[:4], 4) % HASHES, crc32(w[:5], 5) % HASHES, *shape)
+    return (crc32(w) % HASHES, crc32(w[:4], 4) % HASHES, *shape) if len(w) == 5 else (crc32(w) % HASHES, *shape) if w else shape
 
 
-@lru_cache(maxsize=1)
-def _cache() -> SegmentCache:
-    return SegmentCache(_features_of, 60_000)
+@lru_cache(maxsize=2)
+def _cache(shapes: bool) -> SegmentCache:
+    return SegmentCache(lambda word: _features_of(word, shapes), 100_000)
 
 
-def hashed(words: list[bytes]) -> np.ndarray:
+def hashed(words: list[bytes], config: Config) -> np.ndarray:
     """Features of the distinct words of a text; a beginning that several words share comes as often."""
-    found = list(map(_cache().__getitem__, set(words)))
+    found = list(map(_cache(config.shapes).__getitem__, set(words)))
     return np.fromiter((i for x in found for i in x), np.int32)
 
 
-def dense(raw: bytes, words: list[bytes]) -> np.ndarray:
-    """Measurements of a text, each of about unit size."""
+def dense(raw: bytes, words: list[bytes], names: tuple[str, ...]) -> np.ndarray:
+    """The named measurements of a text."""
     n = len(words)
     if not n:
-        return np.zeros(len(DENSE))
+        return np.zeros(len(names))
     joined = b"".join(words)
-    symbols = len(joined) - len(joined.translate(None, b"#*$%&<>"))
-    upper = len(joined) - len(joined.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    digits = len(joined) - len(joined.translate(None, b"0123456789"))
-    windows = len(set(zip(words, words[1:], words[2:]))) / (n - 2) if n > 2 else 1.0
+    m: dict[str, float] = {"n_words": np.log1p(n), "mean_word": len(joined) / n, "distinct": len(set(words)) / n}
+    share = lambda k, of: math.sqrt(k / of)
+    m["symbols"] = share(len(joined) - len(joined.translate(None, b"#*$%&<>")), n)
+    m["bangs"], m["pipes"] = share(joined.count(b"!!"), n), share(joined.count(b"|"), n)
+    m["upper"] = share(len(joined) - len(joined.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")), len(joined))
+    m["digits"] = share(len(joined) - len(joined.translate(None, b"0123456789")), len(joined))
+    m["window_repeats"] = share(n - 2 - len(set(zip(words, words[1:], words[2:]))), n - 2) if n > 2 else 0.0
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    squash = lambda share, at: min(share / at, 2.0)
-    return np.array(
-        [
-            np.log1p(n) / 8, squash(symbols / n, 0.3), squash(joined.count(b"!!") / n, 0.3), squash(joined.count(b"|") / n, 0.2), squash(upper / len(joined), 0.3), squash(digits / len(joined), 0.1),
-            squash(len(joined) / n, 6.0), len(set(words)) / n, squash(1 - windows, 0.3), squash(1 - len(set(lines)) / len(lines), 0.5), float(n < 5),
-        ]
-    )
+    m["line_repeats"] = share(len(lines) - len(set(lines)), len(lines))
+    return np.array([m[k] for k in names])
 
 
 def inputs(text: str | None, config: Config) -> tuple[np.ndarray, np.ndarray]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
-    return hashed(words) if config.hashed else np.zeros(0, np.int32), dense(raw, words) if config.dense else np.zeros(0)
+    return hashed(words, config) if config.hashed else np.zeros(0, np.int32), dense(raw, words, config.dense) if config.dense else np.zeros(0)
 
 
 class Rows:
@@ -119,6 +126,12 @@ class Rows:
         self.ids = np.concatenate([*(i for i, _ in items), np.zeros(0, np.int32)])
         self.dense = np.stack([d for _, d in items]) if items else np.zeros((0, 0))
 
+    @classmethod
+    def of(cls, sizes: np.ndarray, ids: np.ndarray, dense: np.ndarray) -> Rows:
+        out = cls([])
+        out.sizes, out.starts, out.ids, out.dense = sizes, np.cumsum(sizes) - sizes, ids, dense
+        return out
+
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
@@ -134,53 +147,72 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit(positive: Rows, unlabelled: Rows, config: Config, prior: float | None) -> Model:
-    """Minimise the non-negative risk; prior None: plain classification of positive against unlabelled."""
-    rng = np.random.default_rng(config.seed)
-    d = positive.dense.shape[1]
-    both = np.concatenate([positive.dense, unlabelled.dense])
-    centre, scale = both.mean(0), both.std(0) + 1e-3
-    size = HASHES * config.hashed + d + 1
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
-    n_p, n_u = len(positive.sizes), len(unlabelled.sizes)
-    steps = max(1, -(-n_u // config.batch))
-    share = max(1, n_p // steps)
-    t = 0
-    hashes = HASHES * config.hashed
+def risk(fp: np.ndarray, fu: np.ndarray, prior: float | None) -> tuple[float, np.ndarray, np.ndarray]:
+    """(non-negative risk, direction of its slope at the positives' scores, and at the others').
+
+    Where the second part is negative, the direction is that of its growth. Prior None: plain classification.
+    """
+    a, b = 1 / len(fp), 1 / len(fu)
+    if prior is None:
+        return float(_softplus(-fp).mean() + _softplus(fu).mean()), -_sigmoid(-fp) * a, _sigmoid(fu) * b
+    plus, rest = prior * _softplus(-fp).mean(), _softplus(fu).mean() - prior * _softplus(fp).mean()
+    rest_p, rest_u = -prior * _sigmoid(fp) * a, _sigmoid(fu) * b
+    if rest < 0:
+        return float(plus), -rest_p, -rest_u
+    return float(plus + rest), rest_p - prior * _sigmoid(-fp) * a, rest_u
 
-    def score(x):
+
+class Linear:
+    """Scores of a linear model and their slope: weights are those of the hashed features, of the measurements, and a bias."""
+
+    def __init__(self, n_hashed: int, centre: np.ndarray, scale: np.ndarray):
+        self.hashes, self.centre, self.scale = n_hashed, centre, scale
+        self.size = n_hashed + len(centre) + 1
+
+    def score(self, w: np.ndarray, x: tuple) -> np.ndarray:
         ids, row, dn = x
-        f = np.bincount(row, w[ids], len(dn)) if config.hashed else np.zeros(len(dn))
-        return f + ((dn - centre) / scale) @ w[hashes : hashes + d] + w[-1]
+        f = np.bincount(row, w[ids], len(dn)) if self.hashes else np.zeros(len(dn))
+        return f + ((dn - self.centre) / self.scale) @ w[self.hashes : -1] + w[-1]
 
-    def gradient(x, g):
+    def slope(self, x: tuple, g: np.ndarray) -> np.ndarray:
         ids, row, dn = x
-        out = np.zeros(size)
-        if config.hashed:
-            out[:hashes] = np.bincount(ids, g[row], hashes)
-        out[hashes : hashes + d] = g @ ((dn - centre) / scale)
+        out = np.zeros(self.size)
+        if self.hashes:
+            out[: self.hashes] = np.bincount(ids, g[row], self.hashes)
+        out[self.hashes : -1] = g @ ((dn - self.centre) / self.scale)
         out[-1] = g.sum()
         return out
 
+
+def fit(positive: Rows, unlabelled: Rows, config: Config, prior: float | None) -> Model:
+    """Minimise the non-negative risk; prior None: plain classification of positive against unlabelled.
+
+    Only hashed features that occur in the rows are trained; the others' weights are 0.
+    """
+    rng = np.random.default_rng(config.seed)
+    both = np.concatenate([positive.dense, unlabelled.dense])
+    used = np.unique(np.concatenate([positive.ids, unlabelled.ids]))
+    positive, unlabelled = (Rows.of(r.sizes, np.searchsorted(used, r.ids), r.dense) for r in (positive, unlabelled))
+    line = Linear(len(used), both.mean(0), both.std(0) + 1e-3)
+    w, m, v = np.zeros(line.size), np.zeros(line.size), np.zeros(line.size)
+    n_p, n_u = len(positive.sizes), len(unlabelled.sizes)
+    steps = max(1, -(-n_u // config.batch))
+    share = max(1, n_p // steps)
+    t = 0
     for epoch in range(config.epochs):
         pu, pp = rng.permutation(n_u), rng.permutation(n_p)
         rate = config.rate * (1 - epoch / config.epochs) + config.rate * 0.05
         for s in range(steps):
             xp, xu = positive.take(pp[s * share : (s + 1) * share] if share * steps <= n_p else pp), unlabelled.take(pu[s::steps])
-            fp, fu = score(xp), score(xu)
-            a, b = 1 / len(fp), 1 / len(fu)
-            if prior is None:
-                g = gradient(xp, -_sigmoid(-fp) * a) + gradient(xu, _sigmoid(fu) * b)
-            else:
-                rest = _softplus(fu).mean() - prior * _softplus(fp).mean()
-                g_rest = gradient(xu, _sigmoid(fu) * b) - gradient(xp, prior * _sigmoid(fp) * a)
-                g = gradient(xp, -prior * _sigmoid(-fp) * a) + g_rest if rest >= 0 else -g_rest
-            g += config.decay * w
+            _, gp, gu = risk(line.score(w, xp), line.score(w, xu), prior)
+            g = line.slope(xp, gp) + line.slope(xu, gu) + config.decay * w
             t += 1
             m = 0.9 * m + 0.1 * g
             v = 0.999 * v + 0.001 * g * g
             w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return Model(config, prior or 0.5, w, float(w[-1]), centre, scale)
+    whole = np.zeros(HASHES * config.hashed)
+    whole[used] = w[: len(used)]
+    return Model(config, prior or 0.5, np.concatenate([whole, w[len(used) :]]), float(w[-1]), line.centre, line.scale)
 
 
 def logits(model: Model, rows: Rows) -> np.ndarray:
@@ -190,80 +222,148 @@ def logits(model: Model, rows: Rows) -> np.ndarray:
     return f + ((dn - model.centre) / model.scale) @ model.weights[hashes:-1] + model.bias
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.4) -> float:
-    """The least share of unlabelled over share of positive scores above a threshold that at least `least` of the positives pass."""
-    cuts = np.quantile(positive, np.linspace(0.0, 1 - least, 41))
-    u, p = np.array([(unlabelled >= c).mean() for c in cuts]), np.array([(positive >= c).mean() for c in cuts])
-    spread = np.sqrt(u * (1 - u) / max(1, len(unlabelled)))
-    return float(np.clip(((u + spread) / p).min(), 0.01, 0.99))
+#: Thresholds that the prior is read from are at these shares of the positives, from all down to 40 %.
+CUTS = np.linspace(0.0, 0.6, 41)
+LEAST_PRIOR = 0.001
 
 
-def select(positive: list, unlabelled: list, config: Config) -> tuple[list, list]:
-    """Both with those hashed features only that mark positives; without this, a few positives are learned by heart."""
-    if not config.hashed:
-        return positive, unlabelled
+def estimate_prior(positive: list[np.ndarray], above: Callable[[list[np.ndarray]], tuple[np.ndarray, int]]) -> float:
+    """The least share of all documents over share of positives above a threshold.
 
-    def texts_with(items):
-        out = np.zeros(HASHES)
-        for ids, _ in items:
-            out[np.unique(ids)] += 1
-        return out
+    `positive` are the positives' scores by each classifier, `above` counts the documents at or above given thresholds
+    (one row per classifier), and all documents.
+    """
+    cuts = [np.quantile(p, CUTS) for p in positive]
+    counts, n = above(cuts)
+    u = counts / max(1, n)
+    p = sum((x[:, None] >= c).sum(0) for x, c in zip(positive, cuts)) / sum(map(len, positive))
+    # a standard deviation of either share on top, as the least of many noisy ratios is too low
+    spread = np.sqrt(u * (1 - u) / max(1, n)) + u * np.sqrt((1 - p) / p / sum(map(len, positive)))
+    return float(np.clip(((u + spread) / p).min(), LEAST_PRIOR, 0.99))
 
-    n_p, n_u = len(positive), len(unlabelled)
-    p, u = texts_with(positive), texts_with(unlabelled)
-    rate = (u + 1) / (n_u + 2)
+
+def mark(positive: list, n_texts: np.ndarray, n: int, config: Config) -> np.ndarray:
+    """Which hashed features set positives apart; without this, a few positives are learned by heart.
+
+    `n_texts` tells in how many of all n documents each feature occurs.
+    """
+    p = np.zeros(HASHES)
+    for ids, _ in positive:
+        p[np.unique(ids)] += 1
+    n_p = len(positive)
+    rate = (n_texts + 1) / (n + 2)
     z = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
     used = (z >= config.least_z) & (p >= config.least_texts)
-    cut = lambda items: [(ids[used[ids]], d) for ids, d in items]
-    return cut(positive), cut(unlabelled)
+    return used | ((z <= -config.least_z) & (rate * n_p >= config.least_texts)) if config.both_ways else used
 
 
-def train(positive: list, unlabelled: list, config: Config) -> Model:
-    """Prior from one half against the other, then the non-negative risk over all."""
-    half_p, half_u = select(positive[::2], unlabelled[::2], config)
-    first = fit(Rows(half_p), Rows(half_u), config, None)
-    prior = estimate_prior(logits(first, Rows(positive[1::2])), logits(first, Rows(unlabelled[1::2])))
-    used_p, used_u = select(positive, unlabelled, config)
-    return fit(Rows(used_p), Rows(used_u), config, prior)
+def train(positive: list, unlabelled: list, config: Config, n_texts: np.ndarray, n: int, above: Callable) -> Model:
+    """The prior from two classifiers, each trained on one half and read on the other, then the non-negative risk over all."""
+
+    def fitted(p: list, u: list, prior: float | None) -> Model:
+        if config.hashed:
+            used = mark(p, n_texts, n, config)
+            p, u = ([(ids[used[ids]], d) for ids, d in rows] for rows in (p, u))
+        return fit(Rows(p), Rows(u), config, prior)
+
+    halves = [fitted(positive[k::2], unlabelled[k::2], None) for k in (0, 1)]
+    scores = [logits(m, Rows(positive[1 - k :: 2])) for k, m in enumerate(halves)]
+    return fitted(positive, unlabelled, estimate_prior(scores, lambda cuts: above(halves, cuts)))
 
 
 def _sample(ids: DataFrame, at_most: int, salt: int) -> DataFrame:
-    """About at_most of the rows at the most, by a hash of the id; all if there are fewer."""
+    """At most at_most distinct ids, those with the least hash; all if there are fewer."""
     n = ids.count()
-    if n <= at_most:
-        return ids
-    share = int(at_most / n * (1 << 30))
-    return ids.filter(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) < share)
+    mark = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30))
+    # some more than needed by a threshold, in which no id is left out for its number of rows
+    share = min(1.0, 2 * (at_most + 100) / max(1, n))
+    few = ids.withColumn("mark", mark).filter(F.col("mark") < int(share * (1 << 30))).distinct()
+    return few.orderBy("mark", "doc_id").limit(at_most).select("doc_id")
+
+
+def _count_features(docs: DataFrame, config: Config) -> tuple[np.ndarray, int]:
+    """(in how many documents each hashed feature occurs, number of documents): one pass, a sum per feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = np.zeros(HASHES, np.int64), 0
+        for batch in batches:
+            for text in batch.column("text"):
+                counts[np.unique(hashed((text.as_py() or "").encode("utf-8", "surrogatepass").split(), config))] += 1
+                n += 1
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"feature": pa.array([*at.tolist(), -1], pa.int32()), "n": pa.array([*counts[at].tolist(), n], pa.int64())})
+
+    rows = docs.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    feature, n = rows["feature"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(HASHES, np.int64)
+    out[feature[feature >= 0]] = n[feature >= 0]
+    return out, int(n[feature < 0].sum())
+
+
+def _half(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(3), doc_id), F.lit(2)).cast("int")
+
+
+def _count_above(docs: DataFrame, models: list[Model], cuts: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """(documents at or above each threshold, number of documents): each is scored by the model that hasn't seen its half."""
+    scorers = [_scorer(m, False) for m in models]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, counts, n = [make() for make in scorers], np.zeros(len(CUTS), np.int64), 0
+        for batch in batches:
+            half, texts = batch.column("half").to_numpy(), batch.column("text")
+            for k in (0, 1):
+                found = np.array(score[k]([texts[i].as_py() for i in np.flatnonzero(half != k)]))
+                counts += (found[:, None] >= cuts[k]).sum(0) if len(found) else 0
+            n += len(half)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(range(-1, len(CUTS)), pa.int32()), "n": pa.array([n, *counts.tolist()], pa.int64())})
+
+    half = F.coalesce(_half(F.col("doc_id")), F.lit(0))
+    rows = docs.select(half.alias("half"), "text").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    by = {r.k: r.n for r in rows}
+    return np.array([by.get(k, 0) for k in range(len(CUTS))]), by.get(-1, 0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, config: Config) -> Model | None:
     """A model from labels of the ids that `may_learn` holds for; None without positives."""
     trusted = labels.filter((F.col(label) == 1) & may_learn & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     chosen = _sample(trusted, config.max_positive, 1).withColumn("positive", F.lit(True))
-    others = _sample(docs.select("doc_id").filter("doc_id IS NOT NULL"), config.max_unlabelled, 2).distinct().withColumn("positive", F.lit(False))
-    # bounded by the two parameters, so the join is a broadcast
-    wanted = F.broadcast(chosen.unionByName(others))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("positive", "text", F.xxhash64("doc_id").alias("at"))
+    others = _sample(docs.select("doc_id").filter("doc_id IS NOT NULL"), config.max_unlabelled, 2).withColumn("positive", F.lit(False))
+    # ids, bounded by the two parameters, so the join is a broadcast; of an id's rows one stays
+    wanted = materialise(chosen.unionByName(others))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = texts.join(F.broadcast(wanted), "doc_id").select("positive", "text", _half(F.col("doc_id")).alias("half"), F.xxhash64("doc_id").alias("at"))
 
     def make():
         def run(batch: dict) -> dict:
             found = [inputs(t, config) for t in batch["text"]]
-            return {"positive": batch["positive"], "at": batch["at"], "ids": [i.tobytes() for i, _ in found], "dense": [d.tobytes() for _, d in found]}
+            return {"positive": batch["positive"], "half": batch["half"], "at": batch["at"], "ids": [i.tobytes() for i, _ in found], "dense": [d.tobytes() for _, d in found]}
 
         return run
 
-    rows = map_batches(texts, make, "positive boolean, at long, ids binary, dense binary").toArrow().sort_by([("at", "ascending"), ("ids", "ascending")])
+    rows = map_batches(texts, make, "positive boolean, half int, at long, ids binary, dense binary").toArrow().sort_by([("at", "ascending")])
+    if rows.num_rows > 0 and rows.num_rows > config.max_positive + config.max_unlabelled:
+        raise RuntimeError("more texts on the driver than the sample's bounds")
     items = [(np.frombuffer(i, np.int32), np.frombuffer(d)) for i, d in zip(rows["ids"].to_pylist(), rows["dense"].to_pylist())]
-    flags = rows["positive"].to_pylist()
-    positive, unlabelled = [x for x, p in zip(items, flags) if p], [x for x, p in zip(items, flags) if not p]
-    return train(positive, unlabelled, config) if len(positive) > 1 and len(unlabelled) > 1 else None
+    flags, halves = rows["positive"].to_pylist(), rows["half"].to_pylist()
+    positive, unlabelled = (interleave([[x for x, p, h in zip(items, flags, halves) if p == want and h == k] for k in (0, 1)]) for want in (True, False))
+    if min(len(positive), len(unlabelled)) < 2:
+        return None
+    n_texts, n = _count_features(docs, config) if config.hashed else (np.zeros(0), docs.count())
+    return train(positive, unlabelled, config, n_texts, n, lambda models, cuts: _count_above(docs, models, cuts))
+
 
+def interleave(halves: list[list]) -> list:
+    """Texts of the two halves by turns, as long as both last, so that every second one is of the same half."""
+    n = min(map(len, halves))
+    return [x for pair in zip(*halves) for x in pair] if n else [x for h in halves for x in h]
 
-def _scorer(model: Model | None) -> Callable[[], Callable[[list], list[float]]]:
+
+def _scorer(model: Model | None, squash: bool = True) -> Callable[[], Callable[[list], list[float]]]:
     """What a task calls once for its scoring function. Only weights that aren't zero go to the tasks, a few hundred."""
     if model is None:
         return lambda: lambda texts: [0.0] * len(texts)
-    hashes = HASHES * model.config.hashed
+    hashes, names, shapes = HASHES * model.config.hashed, model.config.dense, model.config.shapes
     used = np.flatnonzero(model.weights[:hashes])
     of_hash = dict(zip(used.tolist(), model.weights[used].tolist()))
     wd = model.weights[hashes:-1] / model.scale
@@ -271,17 +371,17 @@ def _scorer(model: Model | None) -> Callable[[], Callable[[list], list[float]]]:
 
     def make():
         get = of_hash.get
-        word_scores = SegmentCache(lambda word: sum(get(i, 0.0) for i in _features_of(word)), 100_000).__getitem__
+        word_scores = SegmentCache(lambda word: sum(get(i, 0.0) for i in _features_of(word, shapes)), 100_000).__getitem__
 
         def run(texts: list) -> list[float]:
             out = []
             for text in texts:
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 words = raw.split()
-                f = offset + (sum(map(word_scores, set(words))) if hashes else 0.0)
+                f = offset + (math.fsum(map(word_scores, set(words))) if hashes else 0.0)
                 if len(wd):
-                    f += float(dense(raw, words) @ wd)
-                out.append(float(_sigmoid(np.float64(f))))
+                    f += float(dense(raw, words, names) @ wd)
+                out.append(float(_sigmoid(np.float64(f))) if squash else f)
             return out
 
         return run
@@ -308,9 +408,10 @@ def keep(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
 
     def make():
         run = scorer()
-        return lambda batch: {"__score": run(batch["text"])}
+        return lambda batch: {name: run(batch["text"])}
 
-    return append_batches(docs, make, "__score double", ["text"]).filter(F.col("__score") >= least).select(docs.columns)
+    name = fresh(docs, "__score")
+    return append_batches(docs, make, f"{name} double", ["text"]).filter(F.col(name) >= least).select(docs.columns)
 
 
 def fold(modulus: int) -> Column:
@@ -325,5 +426,5 @@ def predict(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_o
     return rows.select("doc_id", held_out(fold(modulus)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
 
 
-QUALITY = Config(hashed=False, dense=True, epochs=60)
-TOXICITY = Config(hashed=True, dense=False, epochs=30, rate=0.03, least_z=5.0)
+QUALITY = Config(hashed=True, dense=DENSE, shapes=True, both_ways=True, epochs=60)
+TOXICITY = Config(hashed=True, epochs=30, rate=0.03, least_z=5.0)

@@ -189,14 +189,152 @@ def test_attach_splits_heavy_keys(spark, monkeypatch):
     assert {r.v: r["count"] for r in out} == {"H": 3000, "C": 1, None: 1}
 
 
-def test_prior_and_risk():
-    rng = np.random.default_rng(0)
-    config = pu.Config(hashed=False, dense=True, epochs=60)
-    make = lambda n, mean: [(np.zeros(0, np.int32), rng.normal(mean, 1, 2)) for _ in range(n)]
-    model = pu.train(make(600, 2), make(600, 2) + make(1400, -2), config)
-    assert abs(model.prior - 0.3) < 0.07
-    good, bad = pu.logits(model, pu.Rows(make(500, 2))), pu.logits(model, pu.Rows(make(500, -2)))
-    assert (good > 0).mean() > 0.95 and (bad < 0).mean() > 0.95
+def test_risk_against_a_plain_loop():
+    """Value and slope of the non-negative risk, both where its second part is positive and where it is not."""
+    from math import exp, log
+
+    rng = np.random.default_rng(1)
+    soft = lambda x: log(1 + exp(x))
+    signs = set()
+    for shift in (-3, 0, 3):
+        fp, fu = rng.normal(1 + shift, 1, 7), rng.normal(-shift, 1, 11)
+        for prior in (0.1, 0.5, 0.9):
+            plus = prior * sum(soft(-x) for x in fp) / 7
+            rest = sum(soft(x) for x in fu) / 11 - prior * sum(soft(x) for x in fp) / 7
+            value, gp, gu = pu.risk(fp, fu, prior)
+            assert value == pytest.approx(plus + max(0, rest))
+            signs.add(rest >= 0)
+            # what is followed: the risk itself, or minus its second part
+            followed = lambda p, u: (prior * np.logaddexp(0, -p).mean() if rest >= 0 else 0) + (1 if rest >= 0 else -1) * (np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean())
+            e = 1e-6
+            for g, f, at in ((gp, fp, 0), (gu, fu, 1)):
+                for i in range(len(f)):
+                    d = np.zeros(len(f))
+                    d[i] = e
+                    up, down = ((f + d, f - d) if at == 0 else (f + d, f - d))
+                    slope = (followed(up, fu) - followed(down, fu)) if at == 0 else (followed(fp, up) - followed(fp, down))
+                    assert g[i] == pytest.approx(slope / (2 * e), abs=1e-6)
+    assert signs == {True, False}
+
+
+def test_slope_of_the_model():
+    rng = np.random.default_rng(2)
+    line = pu.Linear(6, rng.normal(size=2), np.array([1.5, 0.5]))
+    rows = pu.Rows([(rng.integers(0, 6, n).astype(np.int32), rng.normal(size=2)) for n in (0, 3, 5, 1)])
+    x, w, g = rows.take(np.array([3, 1, 0])), rng.normal(size=line.size), rng.normal(size=3)
+    plain = [sum(w[i] for i in rows.ids[rows.starts[k] : rows.starts[k] + rows.sizes[k]]) + sum((rows.dense[k, c] - line.centre[c]) / line.scale[c] * w[6 + c] for c in (0, 1)) + w[-1] for k in (3, 1, 0)]
+    assert line.score(w, x) == pytest.approx(plain)
+    for i in range(line.size):
+        d = np.zeros(line.size)
+        d[i] = 1e-6
+        assert line.slope(x, g)[i] == pytest.approx(((line.score(w + d, x) - line.score(w - d, x)) @ g) / 2e-6, abs=1e-6)
+
+
+def mixture(rng, n, share, labelled):
+    """Texts of two vocabularies, that of positives with probability `share`; labels for some positives."""
+    rows, labels = [], []
+    for i in range(n):
+        good = rng.random() < share
+        words = [f"{'good' if good and rng.random() < 0.3 else 'any'}{rng.randrange(40)}x" for _ in range(30)]
+        rows.append((i, " ".join(words), good))
+        if good and rng.random() < labelled:
+            labels.append((i, 1))
+    return rows, labels
+
+
+@pytest.mark.parametrize("share", [0.1, 0.4, 0.8])
+def test_prior_of_known_mixtures(spark, share):
+    rows, labels = mixture(random.Random(7), 3000, share, 0.3)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(8)
+    config = pu.Config(hashed=True, both_ways=True, epochs=30)
+    model = pu.learn(docs, spark.createDataFrame(labels, "doc_id long, good int"), "good", pu.fold(3) != 1, config)
+    assert abs(model.prior - share) < 0.07
+    good = {i: g for i, _, g in rows}
+    found = pu.score(docs, model).collect()
+    assert np.mean([(r.score >= 0.5) == good[r.doc_id] for r in found]) > 0.97
+
+
+def test_counts_over_all_documents(spark):
+    """Both passes against plain loops."""
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents")
+    docs = docs.unionByName(docs.filter("doc_id < 9"))
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text", pu._half(docs.doc_id).alias("half")).collect()]
+    halves = {r.doc_id: r.half for r in docs.select("doc_id", pu._half(docs.doc_id).alias("half")).collect()}
+    counts, n = pu._count_features(docs, pu.QUALITY)
+    want = np.zeros(pu.HASHES, int)
+    for _, t in texts:
+        want[list(set(pu.hashed((t or "").encode().split(), pu.QUALITY).tolist()))] += 1
+    assert n == len(texts) and (counts == want).all()
+    items = [pu.inputs(t, pu.QUALITY) for _, t in texts]
+    models = [pu.fit(pu.Rows(items[:60]), pu.Rows(items[k::2]), pu.QUALITY, None) for k in (0, 1)]
+    scores = [pu.logits(m, pu.Rows(items)) for m in models]
+    cuts = [np.quantile(s, np.linspace(0.013, 0.97, len(pu.CUTS))) for s in scores]
+    above, total = pu._count_above(docs, models, cuts)
+    plain = [sum(scores[1 - halves[d]][i] >= cuts[1 - halves[d]][c] for i, (d, _) in enumerate(texts)) for c in range(len(pu.CUTS))]
+    assert total == len(texts) and np.abs(above - plain).max() <= 3  # equal scores at a threshold, up to rounding
+
+
+def test_samples_are_bounded_in_rows(spark):
+    """One id on very many rows, in texts and in labels."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text number ', id) AS text").unionByName(spark.range(30_000).selectExpr("7L AS doc_id", "concat('copy ', id % 3) AS text"))
+    labels = spark.range(200).selectExpr("id AS doc_id", "1 AS good").unionByName(spark.range(5000).selectExpr("7L AS doc_id", "1 AS good"))
+    seen = []
+    inner = pu.train
+    try:
+        pu.train = lambda positive, unlabelled, *rest: seen.append((len(positive), len(unlabelled)))
+        pu.learn(docs, labels, "good", pu.fold(3) != 5, pu.Config(hashed=True, max_positive=50, max_unlabelled=50))
+    finally:
+        pu.train = inner
+    assert 2 <= seen[0][0] <= 50 and 2 <= seen[0][1] <= 50
+
+
+def test_classifier_on_odd_rows(spark):
+    """Empty and very long texts, repeated rows, names that clash, and a real model on an empty table."""
+    rows, labels = mixture(random.Random(3), 600, 0.5, 0.5)
+    odd = [(None, "no id"), (9001, None), (9002, ""), (9003, "good1x " * 200_000), (9004, "twice"), (9004, "twice")]
+    docs = spark.createDataFrame([(i, t, 0.1, "x", True, 3, 0.5) for i, t in [*((i, t) for i, t, _ in rows), *odd]], "doc_id long, text string, score double, held_out string, positive boolean, at int, __score double")
+    marks = spark.createDataFrame([*labels, (None, 1), (9004, 1), (9004, 0), (5555555, 1)], "doc_id long, quality int")
+    config = pu.Config(hashed=True, both_ways=True, epochs=20)
+    out = pu.predict(docs, marks, "quality", 3, lambda r: r == 1, config)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    got = out.collect()
+    assert len(got) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append(r)
+    assert by[None][0].held_out is None and len(by[9004]) == 2 and by[9001][0].score == by[9002][0].score
+    model = pu.learn(docs, marks, "quality", pu.fold(3) != 1, config)
+    assert pu.keep(docs, model).columns == docs.columns and pu.score(docs.limit(0), model).count() == 0
+    assert {r.doc_id: r.score for r in out.collect()} == {r.doc_id: r.score for r in got}
+    assert pu.predict(docs.limit(0), marks, "quality", 3, lambda r: r == 1, config).count() == 0
+
+
+def test_toxic_texts_with_words_not_seen_in_training(spark):
+    """Recall of held-out toxic texts by whether a marking word of theirs was in a training text; both are reported."""
+    import zlib
+
+    folder = "/root/testdata/sf0.1"
+    docs, labels = common.table(spark, folder, "documents"), common.table(spark, folder, "labels")
+    model = pu.learn(docs, labels, "toxic", pu.fold(5) != 0, pu.TOXICITY)
+    marks = set(np.flatnonzero(model.weights[: pu.HASHES] > 0.5).tolist())
+    rows = docs.join(labels.filter("toxic = 1"), "doc_id").select("doc_id", "text").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    items = pu.Rows([pu.inputs(r.text, pu.TOXICITY) for r in held])
+    caught = pu.logits(model, items) >= 0
+    known = np.array([bool(marks & set(pu.hashed((r.text or "").encode().split(), pu.TOXICITY).tolist())) for r in held])
+    print("held-out toxic:", len(held), "caught:", caught.mean(), "with a known mark:", known.mean(), "caught of those:", caught[known].mean(), "of the others:", caught[~known].mean() if (~known).any() else None)
+    assert caught.mean() > 0.7 and caught[known].mean() > 0.8
+
+
+def test_quality_without_marker_measurements(spark):
+    from dataclasses import replace
+
+    folder = "/root/testdata/sf0.1"
+    docs, labels = common.table(spark, folder, "documents"), common.table(spark, folder, "labels")
+    config = replace(pu.QUALITY, dense=tuple(x for x in pu.DENSE if x not in ("symbols", "bangs", "pipes", "upper")))
+    model = pu.learn(docs, labels, "quality", pu.fold(3) != 1, config)
+    rows = pu.score(docs, model).join(labels.filter(pu.fold(3) == 1), "doc_id").select("score", "quality").collect()
+    assert np.mean([(r.score >= 0.5) == (r.quality == 1) for r in rows if r.quality is not None]) > 0.98
 
 
 @pytest.mark.parametrize("name,label,least", [("op2_quality_pu", "quality", 0.95), ("op6_toxicity_pu", "toxic", 0.9)])
