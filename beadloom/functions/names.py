@@ -111,6 +111,35 @@ def trim_exact(seq: Column, adapters: list[str]) -> Column:
     return F.substring(seq, F.lit(1), reduce(F.least, ends) if len(ends) > 1 else ends[0])
 
 
+def strand(flag: Column) -> Column:
+    return F.when(flag.bitwiseAND(F.lit(16)) == 0, "+").otherwise("-")
+
+
+def is_mapped(flag: Column) -> Column:
+    return flag.bitwiseAND(F.lit(4)) == 0
+
+
+def bead_of_position(text: Column) -> Column:
+    """The bead of a position's text: what stands behind the first underscore of its part before the colon."""
+    return F.regexp_extract(F.substring_index(text, ":", 1), r"^[^_]*_(.*)$", 1)
+
+
+def insert_blank(tag: Column) -> Column:
+    """A tag's name with BLANK as its second part."""
+    return F.array_join(F.array_insert(F.split(tag, "_"), 2, F.lit("BLANK")), "_")
+
+
+def adapter_place(seq: Column, adapter: str, errors: int = 0) -> Column:
+    """The first place (from 1) where a sequence is the adapter but for `errors` substitutions; 0 without one."""
+    if not errors:
+        return F.instr(seq, adapter)
+    n = len(adapter)
+    places = F.when(F.length(seq) >= n, F.sequence(F.lit(1), F.length(seq) - n + 1)).otherwise(F.array().cast("array<int>"))
+    # base by base with a constant, so a window costs n comparisons and no arrays
+    wrong = lambda at: reduce(lambda a, b: a + b, [(F.substring(seq, at + i, F.lit(1)) != c).cast("int") for i, c in enumerate(adapter)])
+    return F.coalesce(F.try_element_at(F.filter(places, lambda at: wrong(at) <= errors), F.lit(1)), F.lit(0))
+
+
 def seconds(text: Column) -> Column:
     """h:m:s as seconds."""
     parts = F.split(text, ":")

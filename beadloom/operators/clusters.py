@@ -26,6 +26,14 @@ def build(reads: DataFrame, order: list[str] = ORDER) -> DataFrame:
     return dedup_positions(known, order)
 
 
+def build_chunks(reads: DataFrame, chunk: str, order: list[str] = ORDER) -> DataFrame:
+    """Clusters built within each chunk, as separate jobs would: a position may come once per chunk. One pass."""
+    known = reads.filter(F.col("end_pos").isNotNull() & F.col("read_type").isin("BPM", "RPM", "DPM"))
+    others = [c for c in known.columns if c not in POSITION and c != chunk]
+    first = F.min(F.struct(*order, *[c for c in others if c not in order])).alias("first")
+    return known.groupBy(*POSITION, chunk).agg(first).select(*POSITION, chunk, *[F.col(f"first.{c}").alias(c) for c in others])
+
+
 def merge(*parts: DataFrame) -> DataFrame:
     """The union of clusters built from chunks: same barcode, set union of positions."""
     whole = parts[0]
@@ -97,11 +105,16 @@ def split_complete(positions: DataFrame, allowed: DataFrame, columns: list[str]
     return rows.select("barcode", "n_bad", (F.col("n_bad") == 0).alias("complete"))
 
 
-def render(positions: DataFrame) -> DataFrame:
-    """Cluster lines: barcode, then its positions by score and text, joined by tabs."""
+def rendered(positions: DataFrame) -> DataFrame:
+    """barcode, score, text of each position: a cluster line in long form, for clusters of any size."""
     text = names.position_text(F.col("read_type"), F.col("feature"), F.col("chrom"), F.col("start_pos"), F.col("end_pos"))
-    scored = positions.select("barcode", names.position_score(F.col("read_type"), F.col("chrom")).alias("score"), text.alias("text"))
-    rows = scored.groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("score", "text"))).alias("rows"))
+    return positions.select("barcode", names.position_score(F.col("read_type"), F.col("chrom")).alias("score"), text.alias("text"))
+
+
+def render(positions: DataFrame) -> DataFrame:
+    """Cluster lines: barcode, then its positions by score and text, joined by tabs. A line is a value, so a cluster has to
+    fit in one; `sources.tables.write_clusters` writes lines of any length from `rendered`."""
+    rows = rendered(positions).groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("score", "text"))).alias("rows"))
     return rows.select(F.concat_ws("\t", "barcode", F.array_join(F.transform("rows", lambda r: r["text"]), "\t")).alias("line"))
 
 
@@ -122,6 +135,12 @@ def stripped_lookup(positions: DataFrame) -> DataFrame:
     return rows.groupBy("barcode").agg(F.count("*").alias("n_positions"), F.min("position").alias("first_position"), F.max("position").alias("last_position"))
 
 
+def conditions(positions: DataFrame, round_tag: str = "ROUND1_") -> DataFrame:
+    """The distinct conditions that barcodes name in the tags of a round."""
+    t = positions.select(F.explode(F.filter(F.split("barcode", r"\."), lambda x: F.startswith(x, F.lit(round_tag)))).alias("tag")).distinct()
+    return t.select(F.element_at(F.split("tag", "_"), 2).alias("cond")).distinct()
+
+
 def category(n_bpm: Column, n_rpm: Column) -> Column:
     return F.when((n_bpm > 0) & (n_rpm > 0), "BPM_and_RPM").when(n_bpm > 0, "BPM_ONLY").when(n_rpm > 0, "RPM_ONLY")
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
-from . import clusters
+from . import clusters, order
 
 
 def ligation_by_count(reads: DataFrame) -> DataFrame:
@@ -33,10 +33,20 @@ def chunk_counts(reads: DataFrame) -> DataFrame:
     return reads.select(names.read_class(F.col("name")).alias("read_class"), "chunk").rollup("read_class", "chunk").agg(F.count("*").alias("reads"), F.grouping("read_class").alias("g")).filter("g = 0").drop("g")
 
 
+def umi_counts(umis: DataFrame) -> DataFrame:
+    """barcode, umi, n: reads of each molecule."""
+    return umis.groupBy("barcode", "umi").agg(F.count("*").alias("n"))
+
+
+def umi_totals(umis: DataFrame) -> DataFrame:
+    """Per barcode: distinct molecules, reads, duplicates."""
+    rows = umi_counts(umis).groupBy("barcode").agg(F.count("*").alias("unique_umis"), F.sum("n").alias("total"))
+    return rows.withColumn("duplicates", F.col("total") - F.col("unique_umis"))
+
+
 def umi_duplication(umis: DataFrame) -> DataFrame:
-    """Per barcode: distinct molecules, reads, duplicates and the list umi_count in order; per (barcode, molecule) first."""
-    per = umis.groupBy("barcode", "umi").agg(F.count("*").alias("n"))
-    rows = per.groupBy("barcode").agg(F.count("*").alias("unique_umis"), F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("umi", "n"))).alias("l"))
+    """`umi_totals` with a barcode's `umi_counts` as one text, umi_n in order; for barcodes whose molecules fit in a value."""
+    rows = umi_counts(umis).groupBy("barcode").agg(F.count("*").alias("unique_umis"), F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("umi", "n"))).alias("l"))
     return rows.select("barcode", "unique_umis", "total", (F.col("total") - F.col("unique_umis")).alias("duplicates"), F.array_join(F.transform("l", lambda r: F.concat_ws("_", r["umi"], r["n"].cast("string"))), ",").alias("umi_counts"))
 
 
@@ -102,25 +112,69 @@ def equal_width_histogram(rows: DataFrame, value: str, by: list[str], bins: int
     return joined.withColumn("bin", at.cast("int")).groupBy(*by, "bin").agg(F.count("*").alias("n"))
 
 
+# What a run log's lines look like.
+RULE, JOBID, LOG, FINISHED = r"Error in rule\s+(\w+):", r"jobid:\s*(\d+)", r"log:\s*([^\s()]+)", "Finished job"
+
+
 def error_blocks(lines: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
     """Blocks of a run log: a start line, then the last jobid and log before a blank line, a finished job or the next start.
 
-    `by` names the columns that tell files apart; a file's lines are one window.
+    `by` names the columns that tell files apart. Blocks and their ends are running counts over ranges of lines, so a file
+    of any length spreads over tasks; lines behind a block's end differ from it in the count of ends.
     """
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    start = F.col("line").rlike(r"Error in rule\s+(\w+):")
-    rows = lines.withColumn("block", F.sum(start.cast("int")).over(part.orderBy("line_no"))).filter("block > 0")
-    stop = (F.trim("line") == "") | F.contains("line", F.lit("Finished job"))
-    inside = Window.partitionBy(*by, "block").orderBy("line_no")
-    rows = rows.withColumn("closed", F.sum(stop.cast("int")).over(inside)).filter("closed = 0")
-    jobid = F.regexp_extract("line", r"jobid:\s*(\d+)", 1)
-    log = F.regexp_extract("line", r"log:\s*(\S+)", 1)
-    return rows.groupBy(*by, "block").agg(
+    start = F.col("line").rlike(RULE)
+    fields = F.col("line").rlike(JOBID) | F.col("line").rlike(LOG)
+    stop = ~start & ~fields & ((F.trim("line") == "") | F.contains("line", F.lit(FINISHED)))
+    rows = order.running_sums(lines.withColumns({"__start": start.cast("long"), "__stop": stop.cast("long")}), "line_no", {"block": "__start", "__ends": "__stop"}, by)
+    jobid, log = F.regexp_extract("line", JOBID, 1), F.regexp_extract("line", LOG, 1)
+    each = rows.filter("block > 0").groupBy(*by, "block", "__ends").agg(
         F.min("line_no").alias("line_no"),
-        F.max(F.regexp_extract("line", r"Error in rule\s+(\w+):", 1)).alias("rule"),
+        F.max(F.regexp_extract("line", RULE, 1)).alias("rule"),
         F.max_by(F.when(jobid != "", jobid), F.when(jobid != "", F.col("line_no"))).alias("jobid"),
-        F.max_by(F.when(log != "", log), F.when(log != "", F.col("line_no"))).alias("log"),
+        F.max_by(F.when((jobid == "") & (log != ""), log), F.when((jobid == "") & (log != ""), F.col("line_no"))).alias("log"),
     )
+    first = each.groupBy(*by, "block").agg(F.min(F.struct("__ends", "line_no", "rule", "jobid", "log")).alias("first"))
+    return first.select(*by, "block", "first.line_no", "first.rule", "first.jobid", "first.log")
+
+
+def sequence_lengths(reads: DataFrame, *carry: Column) -> DataFrame:
+    """Lengths of the sequences, with what is carried."""
+    return reads.select(*carry, F.length("seq").cast("long").alias("len"))
+
+
+def read_totals(reads: DataFrame) -> DataFrame:
+    """Reads and bases."""
+    return reads.agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))
+
+
+def name_totals(alignments: DataFrame, name: str) -> DataFrame:
+    """Distinct read names, and alignments."""
+    return alignments.agg(F.countDistinct(name).alias("names"), F.count("*").alias("alignments"))
+
+
+def reads_in_clusters(positions: DataFrame) -> DataFrame:
+    """RNA positions of all clusters."""
+    return clusters.sizes(positions).agg(F.sum("n_rpm").alias("reads"))
+
+
+# Labels of clusters without a bead of their own, as counts of assigned reads leave them out.
+UNASSIGNED = ("ambiguous", "none", "uncertain")
+
+
+def assigned_reads(labelled: DataFrame) -> DataFrame:
+    """Written reads with a label that counts as assigned ("filtered" does)."""
+    return labelled.filter((F.col("fate") == "written") & ~F.col("label").isin(*UNASSIGNED)).agg(F.count("*").alias("reads"))
+
+
+def output_counts(labelled: DataFrame) -> DataFrame:
+    """Written reads per output, label_library."""
+    return labelled.filter("fate = 'written'").groupBy(F.concat_ws("_", "label", "library").alias("output")).agg(F.count("*").alias("reads"))
+
+
+def type_ratio(positions: DataFrame) -> DataFrame:
+    """Bead and RNA positions of all clusters, and their ratio."""
+    s = clusters.sizes(positions).agg(F.sum("n_bpm").alias("bpm"), F.sum("n_rpm").alias("rpm"))
+    return s.withColumn("ratio", F.round(F.try_divide(F.col("bpm").cast("double"), F.col("rpm")), 6))
 
 
 def hash_sample(rows: DataFrame, key: list[str], fraction: float) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 
-# The assay's adapters, at the 3' end of either mate and at the 5' end of bead reads, and the least length.
+# The assay's adapters, at the 3' end of mate 1, at the 5' end of mate 2, and at the 5' end of bead reads; the
+# least length.
 ADAPTER_1, ADAPTER_2 = "ATCAGCACTTAGCGTCAG", "CTGACGCTAAGTGCTGAT"
 BEAD_ADAPTERS = ["GGTGGTCTTT", "GCCTCTTGTT"]
 LEAST_LENGTH = 20
@@ -45,6 +46,33 @@ def summary(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("fate", F.coalesce("label", F.lit("")).alias("label")).agg(F.count("*").alias("n"))
 
 
+def label_by_prefix(reads: DataFrame, keys: DataFrame) -> DataFrame:
+    """Reads with the label of clusters that carry it in front of their barcode (label.barcode); others are dropped."""
+    shape = r"^([^.]*)\.(.*)$"
+    given = keys.select(F.regexp_extract("key", shape, 2).alias("barcode"), F.regexp_extract("key", shape, 1).alias("label"))
+    return reads.join(given, "barcode")
+
+
+def full_barcodes(reads: DataFrame) -> DataFrame:
+    """rec_no, barcode, seq, qual of reads with all tags: RPM in front of RNA reads; a bead read's sequence is its name's end."""
+    bead = F.contains("name", F.lit("BEAD"))
+    t = names.tags(F.col("name"))
+    first = F.when(bead, F.element_at(t, 1)).otherwise("RPM")
+    seq = F.when(bead, names.oligo_sequence(F.col("name"))).otherwise(F.col("seq"))
+    rows = reads.select("rec_no", F.array_join(F.concat(F.array(first), names.rest(t)), "|").alias("barcode"), seq.alias("seq"), F.repeat(F.lit("F"), F.length(seq)).alias("qual"))
+    return rows.filter(~F.contains("barcode", F.lit(names.MISSING)))
+
+
+def antibody_oligos(reads: DataFrame) -> DataFrame:
+    """rec_no, seq (the name's end), name with PPM for a missing tag."""
+    return reads.select("rec_no", names.oligo_sequence(F.col("name")).alias("seq"), F.replace("name", F.lit(names.MISSING), F.lit("PPM")).alias("name"))
+
+
+def merge_alignments(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Alignments of two aligners under each other."""
+    return first.unionByName(second)
+
+
 def dedup_pairs(pairs: DataFrame) -> DataFrame:
     """One pair per pair of sequences, the first by record, and how many there were."""
     return pairs.groupBy("seq1", "seq2").agg(F.min("rec_no").alias("rec_no"), F.count("*").alias("copies"))
@@ -58,9 +86,21 @@ def keep_assembly(reads: DataFrame, assembly: DataFrame, ref: str = "ref", keep_
     return reads.withColumn("chrom", chrom).join(assembly.select("chrom"), "chrom", "left_semi")
 
 
-def coordinate_sort(reads: DataFrame, parts: int = 8) -> DataFrame:
-    """Reads in order of place, ranges of places to tasks."""
-    return reads.repartitionByRange(parts, "chrom", "start_pos", "end_pos").sortWithinPartitions("chrom", "start_pos", "end_pos")
+def sort_by(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows in order: ranges to as many tasks as the session's shuffles have, each range sorted there, spilling if need be."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+
+def coordinate_sort(reads: DataFrame) -> DataFrame:
+    """Reads in order of place."""
+    return sort_by(reads, "chrom", "start_pos", "end_pos")
+
+
+def name_sort(reads: DataFrame, name: str = "name", flag: str = "flag") -> DataFrame:
+    """Reads in order of name, of a pair the first mate before the second."""
+    mate = F.col(flag).bitwiseAND(F.lit(192))  # 64 and 128 mark the mates
+    return sort_by(reads.withColumn("__mate", mate), name, "__mate").drop("__mate")
 
 
 def trim(reads: DataFrame, adapters: list[str], least: int = LEAST_LENGTH) -> DataFrame:
@@ -75,9 +115,14 @@ def trim_front(reads: DataFrame, adapters: list[str], least: int = 0) -> DataFra
     return reads.withColumn("seq", F.substring("seq", start, F.length("seq"))).filter(F.length("seq") >= least)
 
 
-def trim_pairs(pairs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
-    """Both mates of pairs (seq1, seq2) cut at their adapter; a pair stays if both are long enough."""
-    cut = pairs.withColumns({"seq1": names.trim_exact(F.col("seq1"), [ADAPTER_1]), "seq2": names.trim_exact(F.col("seq2"), [ADAPTER_2])})
+def trim_pairs(pairs: DataFrame, least: int = LEAST_LENGTH, errors: int = 0) -> DataFrame:
+    """Pairs (seq1, seq2): of mate 1 what stands before its 3' adapter, of mate 2 what stands behind its 5' adapter; a pair
+    stays if both are long enough. `errors` substitutions are allowed in an adapter."""
+    one, two = names.adapter_place(F.col("seq1"), ADAPTER_1, errors), names.adapter_place(F.col("seq2"), ADAPTER_2, errors)
+    at = pairs.withColumns({"__one": one, "__two": two})
+    first = F.when(F.col("__one") > 0, F.substring("seq1", F.lit(1), F.col("__one") - 1)).otherwise(F.col("seq1"))
+    second = F.when(F.col("__two") > 0, F.substring("seq2", F.col("__two") + len(ADAPTER_2), F.length("seq2"))).otherwise(F.col("seq2"))
+    cut = at.withColumns({"seq1": first, "seq2": second}).drop("__one", "__two")
     return cut.filter((F.length("seq1") >= least) & (F.length("seq2") >= least))
 
 

@@ -6,9 +6,13 @@ windows of a read meet those strings by a hash join. No pair of read and tag is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import names
 from ..functions.names import MISSING
 
 # The layout's measures.
@@ -17,14 +21,19 @@ LAXITY = 6
 TAG_SPAN = 17
 
 
-def hamming_ball(tags: DataFrame, k: int = 1, alphabet: str = "ACGT", carry: tuple[str, ...] = ("ord", "name")) -> DataFrame:
-    """tags (carry..., tag) -> carry..., tag, neighbour: every string within k substitutions, the tag itself included."""
-    ball = tags.select(*carry, "tag", F.col("tag").alias("neighbour"))
-    for _ in range(k):
-        spots = ball.withColumn("p", F.explode(F.sequence(F.lit(1), F.length("tag"))))
+def hamming_ball(tags: DataFrame, k: int = 1, alphabet: str = "ACGT", carry: tuple[str, ...] = ("ord", "name"), tolerance: str | None = None) -> DataFrame:
+    """tags (carry..., tag) -> carry..., tag, neighbour: every string within k substitutions, the tag itself included.
+
+    With `tolerance`, a column of it says how many substitutions each tag allows, at most k.
+    """
+    allowed = F.col(tolerance) if tolerance else F.lit(k)
+    ball = tags.select(*carry, "tag", F.col("tag").alias("neighbour"), allowed.alias("__k"))
+    for step in range(k):
+        spots = ball.withColumn("p", F.explode(F.when(F.col("__k") > step, F.sequence(F.lit(1), F.length("tag"))).otherwise(F.array(F.lit(0)))))
         changed = spots.withColumn("c", F.explode(F.array(*[F.lit(c) for c in alphabet])))
-        ball = changed.select(*carry, "tag", F.overlay("neighbour", "c", "p", F.lit(1)).alias("neighbour")).distinct()
-    return ball
+        put = F.when(F.col("p") > 0, F.overlay("neighbour", "c", "p", F.lit(1))).otherwise(F.col("neighbour"))
+        ball = changed.select(*carry, "tag", put.alias("neighbour"), "__k").distinct()
+    return ball.drop("__k")
 
 
 def nearest(ball: DataFrame, last_wins: bool = True) -> DataFrame:
@@ -38,19 +47,29 @@ def ambiguous(ball: DataFrame) -> DataFrame:
     return ball.groupBy("neighbour").agg(F.countDistinct("name").alias("n_names"), F.min("name").alias("first_name"), F.max("name").alias("last_name")).filter("n_names > 1")
 
 
-def lengths(tags: DataFrame) -> list[int]:
-    """The distinct lengths of a tag table, a handful."""
-    return sorted(r[0] for r in tags.select(F.length("tag")).distinct().collect())
+def attach_tag(rows: DataFrame, seq: str, offset: int, near: DataFrame, sizes: list[int], name: str, advance: str | None = None) -> DataFrame:
+    """Rows with the tag at a fixed place of a sequence, the shorter first; a join per length, so nothing is exploded.
+
+    `near` has one name per neighbour. NOT_FOUND goes on by the longest length.
+    """
+    sizes = sorted(sizes)
+    for n in sizes:
+        key = F.when(F.length(seq) >= offset + n, F.substring(seq, offset + 1, n))
+        rows = rows.withColumn(f"__key{n}", key).join(near.select(F.col("neighbour").alias(f"__key{n}"), F.col("name").alias(f"__hit{n}")), f"__key{n}", "left").drop(f"__key{n}")
+    found = {name: F.coalesce(*[F.col(f"__hit{n}") for n in sizes], F.lit(MISSING))}
+    if advance:
+        found[advance] = F.coalesce(*[F.when(F.col(f"__hit{n}").isNotNull(), F.lit(n)) for n in sizes], F.lit(max(sizes)))
+    return rows.withColumns(found).drop(*[f"__hit{n}" for n in sizes])
+
 
+def exact(tags: DataFrame) -> DataFrame:
+    """neighbour, name of tags that allow no mismatch: of equal tags the last."""
+    return tags.groupBy(F.col("tag").alias("neighbour")).agg(F.max_by("name", "ord").alias("name"))
 
-def lookup_at(reads: DataFrame, tags: DataFrame, offset: int = 0, sizes: list[int] | None = None) -> DataFrame:
+
+def lookup_at(reads: DataFrame, tags: DataFrame, offset: int, sizes: list[int]) -> DataFrame:
     """rec_no, name, advance: the tag at a fixed offset, the shorter first; NOT_FOUND goes on by the longest length."""
-    sizes = sizes or lengths(tags)
-    table = tags.groupBy("tag").agg(F.max_by("name", "ord").alias("name"))
-    windows = reads.select("rec_no", "seq", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")).filter(F.length("seq") >= offset + F.col("size"))
-    hits = windows.withColumn("tag", F.substring("seq", F.lit(offset + 1), F.col("size"))).join(table, "tag")
-    best = hits.groupBy("rec_no").agg(F.min(F.struct("size", "name")).alias("hit"))
-    return reads.select("rec_no").join(best, "rec_no", "left").select("rec_no", F.coalesce("hit.name", F.lit(MISSING)).alias("name"), F.coalesce("hit.size", F.lit(max(sizes))).alias("advance"))
+    return attach_tag(reads.select("rec_no", "seq"), "seq", offset, exact(tags), sizes, "name", "advance").select("rec_no", "name", "advance")
 
 
 def _grid(sizes: list[int], laxity: int) -> Column:
@@ -71,40 +90,94 @@ def lookup_window(starts: DataFrame, near: DataFrame, sizes: list[int], laxity:
     return hits.groupBy(*keys).agg(F.min(F.struct("o", "size", "name", (F.col("start") + F.col("o") + F.col("size")).alias("hit_end"))).alias("hit")).select(*keys, "hit.name", "hit.hit_end")
 
 
-def walk_layout(reads: DataFrame, layout: str, terminal: DataFrame, near: dict[str, DataFrame], sizes: dict[str, list[int]], offset: int = 0, spacer: int = SPACER, span: int = TAG_SPAN, laxity: int = LAXITY) -> DataFrame:
-    """rec_no, barcode: the tags of a layout such as "Y|SPACER|ODD", as far as the read reaches, then NOT_FOUND.
+def lookup_next(starts: DataFrame, near: DataFrame, sizes: list[int], laxity: int = LAXITY) -> DataFrame:
+    """Starts (rec_no, slot, seq, start) -> rec_no, name, next_start: the variant that goes on at a match's own end."""
+    hits = lookup_window(starts, near, sizes, laxity)
+    return starts.select("rec_no", "start").join(hits, "rec_no", "left").select("rec_no", F.coalesce("name", F.lit(MISSING)).alias("name"), F.coalesce("hit_end", "start").cast("long").alias("next_start"))
 
-    Only the terminal tag's length depends on the data, so each slot's start is that plus a constant, and all slots are
-    looked up in one join per tag kind. A slot after the first is looked at if `span` bases are left.
-    """
-    parts = [p.strip() for p in layout.split("|")]
-    first = lookup_at(reads, terminal, offset) if parts[0] == "Y" else None
-    rows = reads.select("rec_no", "seq")
-    if first is not None:
-        rows = rows.join(first.withColumnRenamed("name", "terminal"), "rec_no")
-    else:
-        rows = rows.withColumns({"terminal": F.lit(None).cast("string"), "advance": F.lit(0)})
-    slots, at, n = [], 0, 0
-    for i, p in enumerate(parts):
+
+def _slots(layout: str, spacer: int, span: int) -> list[tuple[int, str, int, bool]]:
+    """(number, kind, distance behind the terminal tag, is the first) of a layout's slots other than the terminal."""
+    found, at = [], 0
+    for i, p in enumerate(x.strip() for x in layout.split("|")):
         if p == "SPACER":
             at += spacer
         elif p == "Y":
             if i:
                 raise ValueError("the terminal tag comes first")
-            n += 1
-        elif p in near:
-            slots.append((n, p, at, i == 0))
-            at, n = at + span, n + 1
+        elif p in ("ODD", "EVEN"):
+            found.append((len(found), p, at, i == 0))
+            at += span
         else:
             raise ValueError(f"no such part of a layout: {p}")
-    cases = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(k).alias("kind"), F.lit(a).alias("at"), F.lit(f).alias("is_first")) for s, k, a, f in slots])
-    start = F.lit(offset) + F.col("advance") + F.col("at")
-    places = rows.select("rec_no", "seq", "advance", F.inline(cases)).withColumn("start", start.cast("int")).filter(F.col("is_first") | (F.length("seq") - F.col("start") >= span))
-    found = None
-    for kind in sorted({k for _, k, _, _ in slots}):
-        part = lookup_window(places.filter(F.col("kind") == kind), near[kind], sizes[kind], laxity).select("rec_no", "slot", "name")
-        found = part if found is None else found.unionByName(part)
-    named = found.groupBy("rec_no").agg(F.map_from_entries(F.collect_list(F.struct("slot", "name"))).alias("by_slot"))  # one entry per slot of a read
-    tags_ = [F.coalesce("terminal", F.lit(MISSING))] if parts[0] == "Y" else []
-    tags_ += [F.coalesce(F.try_element_at("by_slot", F.lit(s)), F.lit(MISSING)) for s, _, _, _ in slots]
-    return rows.join(named, "rec_no", "left").select("rec_no", F.array(*tags_).alias("barcode"))
+    return found
+
+
+def walk_layout(reads: DataFrame, layout: str, near: dict[str, DataFrame], sizes: dict[str, list[int]], offset: int = 0, spacer: int = SPACER, span: int = TAG_SPAN, laxity: int = LAXITY, carry: tuple[str, ...] = ()) -> DataFrame:
+    """rec_no, barcode, carry...: the tags of a layout such as "Y|SPACER|ODD", as far as the read reaches, then NOT_FOUND.
+
+    Only the terminal tag's length depends on the data, so each slot's start is that plus a constant. One pass over the
+    reads: all windows of all slots meet all kinds' neighbours in one join; hits, and one row per read with what is carried,
+    are brought together by read in one shuffle. A slot after the first is looked at if `span` bases are left. Offsets 0
+    to laxity are tried in order, at each the shorter windows first; the first window that overruns the read ends a slot.
+    """
+    slots = _slots(layout, spacer, span)
+    terminal = layout.split("|")[0].strip() == "Y"
+    rows = reads.select("rec_no", "seq", *carry)
+    rows = attach_tag(rows, "seq", offset, near["Y"], sizes["Y"], "terminal", "advance") if terminal else rows.withColumns({"terminal": F.lit(None).cast("string"), "advance": F.lit(0)})
+    windows = [(-1, "", 0, True, 0, 0, 0), *((s, kind, at, first, o, n, max(sizes[kind])) for s, kind, at, first in slots for o in range(laxity + 1) for n in sorted(sizes[kind]))]
+    fields = ("slot", "kind", "at", "is_first", "o", "size", "longest")
+    grid = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, w)]) for w in windows])
+    w = rows.select("rec_no", "seq", "advance", F.struct("terminal", *carry).alias("carried"), F.inline(grid))
+    start, length = F.lit(offset) + F.col("advance") + F.col("at"), F.length("seq")
+    reached = F.col("is_first") | (length - start >= span)
+    fits = (start + F.col("o") + F.col("size") <= length) & ((F.col("o") == 0) | (start + F.col("o") - 1 + F.col("longest") <= length))
+    w = w.filter((F.col("slot") < 0) | (reached & fits)).withColumn("neighbour", F.when(F.col("slot") >= 0, F.concat("kind", F.substring("seq", (start + F.col("o") + 1).cast("int"), F.col("size")))))
+    lookup = reduce(DataFrame.unionByName, [near[k].select(F.concat(F.lit(k), "neighbour").alias("neighbour"), "name") for k in sorted({k for _, k, _, _ in slots})])
+    hits = w.join(lookup, "neighbour", "left").filter((F.col("slot") < 0) | F.col("name").isNotNull())
+    hits = hits.select("rec_no", "slot", "o", "size", "name", F.when(F.col("slot") < 0, F.col("carried")).alias("carried"))
+    best = [F.min(F.when(F.col("slot") == s, F.struct("o", "size", "name"))).alias(f"slot{s}") for s, _, _, _ in slots]
+    one = hits.groupBy("rec_no").agg(F.first("carried", ignorenulls=True).alias("carried"), *best)
+    names_ = ([F.col("carried.terminal")] if terminal else []) + [F.coalesce(F.col(f"slot{s}.name"), F.lit(MISSING)) for s, _, _, _ in slots]
+    return one.select("rec_no", F.array(*names_).alias("barcode"), *[F.col(f"carried.{c}").alias(c) for c in carry])
+
+
+#: Neighbours up to which a lookup table is broadcast; a tag of 15 bases that allows two mismatches has 991.
+BROADCAST_NEIGHBOURS = 500_000
+
+
+def lookups(config: DataFrame, most: int = 3) -> tuple[dict[str, DataFrame], dict[str, list[int]]]:
+    """(neighbours, lengths) by kind of a tag configuration (type, name, tag, tolerance, ord).
+
+    Beads (DPM) are exact; the others allow each tag's own tolerance, up to `most`. ODD and EVEN have the lengths of ODD
+    tags. A small job reads kinds, lengths and tolerances, a row for each combination, and with them the size that decides
+    on a broadcast.
+    """
+    facts = config.filter(F.col("type").isin("DPM", "Y", "ODD", "EVEN")).groupBy("type", F.length("tag").alias("n"), F.when(F.col("type") == "DPM", 0).otherwise(F.least("tolerance", F.lit(most))).alias("k")).agg(F.count("*").alias("tags")).collect()
+    sizes = {kind: sorted({r.n for r in facts if r.type == kind}) for kind in ("DPM", "Y", "ODD", "EVEN")}
+    if sizes["ODD"]:
+        sizes["EVEN"] = sizes["ODD"]
+    near = {}
+    for kind in sizes:
+        rows = config.filter(F.col("type") == kind)
+        k = max((r.k for r in facts if r.type == kind), default=0)
+        table = exact(rows) if not k else nearest(hamming_ball(rows, k, tolerance="tolerance"))
+        expected = sum(r.tags * sum(math.comb(r.n, j) * 3**j for j in range(r.k + 1)) for r in facts if r.type == kind)
+        near[kind] = F.broadcast(table) if expected <= BROADCAST_NEIGHBOURS else table
+    return near, sizes
+
+
+def identify(pairs: DataFrame, config: DataFrame, layout1: str = "DPM", layout2: str = "Y|SPACER|ODD|SPACER|EVEN", offset1: int = 0, offset2: int = 0, most: int = 3) -> DataFrame:
+    """Pairs (rec_no, name1, seq1, name2, seq2, ...) with the barcode found in both mates, and annotated names.
+
+    The bead's tag is looked up in mate 1, the layout is walked in mate 2; the barcode is padded to the number of tags of
+    both layouts and put behind both names. One pass over the pairs and one shuffle by record.
+    """
+    near, sizes = lookups(config, most)
+    n_tags = sum(x.strip() != "SPACER" for x in [*layout1.split("|"), *layout2.split("|")])
+    rest = tuple(c for c in pairs.columns if c != "rec_no")
+    beads = attach_tag(pairs, "seq1", offset1, near["DPM"], sizes["DPM"], "bead") if sizes["DPM"] else pairs.withColumn("bead", F.lit(MISSING))
+    walked = walk_layout(beads.withColumn("seq", F.col("seq2")), layout2, near, sizes, offset2, carry=("bead", *rest))
+    barcode = names.pad(F.concat(F.array("bead"), "barcode"), n_tags)
+    out = walked.withColumn("barcode", barcode)
+    return out.withColumns({c: names.annotate(F.col(c), F.col("barcode")) for c in ("name1", "name2")}).select("rec_no", *rest, "barcode")

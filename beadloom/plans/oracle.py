@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..operators.genome import chromosomes
+from ..operators.genome import SIZES, chromosomes
+from ..operators.reads import ADAPTER_1, ADAPTER_2
 from .adapters import oracle
 
 _DEDUP = """dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY barcode, read_type, chrom, start_pos, end_pos
@@ -34,6 +35,15 @@ _HG38 = ", ".join(f"({i}, '{c}', {n})" for i, c, n in chromosomes("hg38"))
 _OFFSETS = f"""asm AS (SELECT * FROM (VALUES {_HG38}) t(ord, chrom, size)),
 ofs AS (SELECT chrom, ord, coalesce(sum(CAST(ceil(size / 1000000.0) AS BIGINT)) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM asm)"""
 _UMI = "um AS (SELECT barcode, concat_ws('_', chrom, start_pos) AS umi, count(*) AS n FROM positions_v WHERE read_type = 'BPM' GROUP BY 1, 2)"
+_ALIGNED = """SELECT concat_ws(':', ord1, ord2, ord3, ord4) AS qname, CAST((CASE WHEN feature = '-' THEN 16 ELSE 0 END) + (CASE WHEN ord2 % 2 = 1 THEN 64 ELSE 128 END) AS BIGINT) AS flag,
+  chrom AS ref_name, start_pos, end_pos, barcode FROM positions_v WHERE read_type = 'RPM'"""
+# the first place of each adapter with at most k mismatches, place by place
+_TRIM = """WITH x AS (SELECT rec_no, CASE WHEN rec_no % 6 > 0 THEN concat(substr(seq, 1, rec_no % 45), '{c}', 'GGGG') ELSE seq END AS seq1,
+  CASE WHEN rec_no % 5 > 0 THEN concat(substr(seq, 1, rec_no % 50), '{d}', substr(seq, rec_no % 50 + 1)) ELSE seq END AS seq2 FROM reads_v),
+p AS (SELECT rec_no, min(i) FILTER (WHERE length(substr(seq1, i, 18)) = 18 AND hamming(rpad(substr(seq1, i, 18), 18, '-'), '{a}') <= {k}) AS p1,
+  min(i) FILTER (WHERE length(substr(seq2, i, 18)) = 18 AND hamming(rpad(substr(seq2, i, 18), 18, '-'), '{b}') <= {k}) AS p2 FROM x, (SELECT unnest(range(1, 90)) AS i) GROUP BY rec_no),
+c AS (SELECT rec_no, CASE WHEN p1 IS NULL THEN seq1 ELSE substr(seq1, 1, p1 - 1) END AS seq1, CASE WHEN p2 IS NULL THEN seq2 ELSE substr(seq2, p2 + 18) END AS seq2 FROM x JOIN p USING (rec_no))
+SELECT * FROM c WHERE length(seq1) >= 20 AND length(seq2) >= 20"""
 _MAXREP = _LABEL + ", mr AS (SELECT barcode, n AS top, round(CAST(n AS DOUBLE) / total, 6) AS share FROM tb WHERE rn = 1 AND total >= {least})"
 
 
@@ -91,7 +101,7 @@ SELECT mate, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((len - lo) / (CAST(h
     "adapter_trim_exact": """WITH x AS (SELECT rec_no, seq, least(CASE WHEN strpos(seq, 'ATCAGC') > 0 THEN strpos(seq, 'ATCAGC') - 1 ELSE 64 END, CASE WHEN strpos(seq, 'CTGACG') > 0 THEN strpos(seq, 'CTGACG') - 1 ELSE 64 END) AS n FROM reads_v)
 SELECT rec_no, substr(seq, 1, n) AS seq FROM x WHERE n >= 20""",
     "hms_to_seconds": "SELECT line_no, line_no % 30 * 3600 + line_no % 60 * 60 + line_no % 59 AS seconds FROM log_v",
-    "pair_mates": "SELECT rec_no, seq AS seq1, reverse(seq) AS seq2 FROM reads_v WHERE rec_no % 5 <> 0 AND rec_no % 7 <> 0",
+    "pair_mates": "SELECT rec_no, seq AS seq1, reverse(seq) AS seq2 FROM reads_v",
     "label_reads": f"WITH {_FATES} SELECT fate, coalesce(label, '') AS label, count(*) AS n FROM lf GROUP BY 1, 2",
     "label_reads_startonly": f"WITH {_READS.replace('{place}', chr(99) + 'oncat_ws(' + chr(39) + '_' + chr(39) + ', chrom, start_pos)')} SELECT fate, coalesce(label, '') AS label, count(*) AS n FROM lf GROUP BY 1, 2",
     "label_summary": f"WITH {_FATES} SELECT fate, count(*) AS n FROM lf GROUP BY 1",
@@ -124,10 +134,10 @@ j AS (SELECT barcode, count(*) FILTER (WHERE f.name IS NULL) AS n_bad FROM x LEF
     "cluster_statistics": f"WITH {_DEDUP} SELECT library, count(DISTINCT barcode) AS clusters, count(*) FILTER (WHERE read_type = 'BPM') AS n_bpm, count(*) FILTER (WHERE read_type = 'RPM') AS n_rpm, count(*) FILTER (WHERE read_type = 'DPM') AS n_dpm FROM dd GROUP BY library",
     "beads_per_barcode": f"WITH {_LABEL} SELECT barcode, string_agg(bead, ',' ORDER BY bead) AS beads, string_agg(CAST(n AS VARCHAR), ',' ORDER BY bead) AS counts FROM bc GROUP BY barcode",
     "bead_matrix": f"WITH {_DEDUP} SELECT barcode, " + ", ".join(f"count(*) FILTER (WHERE chrom = 'L{i}') AS \"L{i}\"" for i in range(20)) + " FROM dd WHERE read_type = 'BPM' GROUP BY barcode",
-    "consolidate_benchmarks": """SELECT 'A' AS sample, 'trim' AS rule, line_no * 2 AS s, line_no + 1 AS max_rss, NULL::BIGINT AS io_in FROM log_v WHERE line_no % 3 = 0
-UNION ALL SELECT 'A', 'align', line_no * 3, NULL, line_no % 7 FROM log_v WHERE line_no % 3 = 1 UNION ALL SELECT 'B', 'trim', line_no * 2, line_no + 1, NULL FROM log_v WHERE line_no % 3 = 0 AND line_no * 2 % 4 = 0""",
+    "consolidate_benchmarks": """SELECT 'A' AS sample, 'trim' AS rule, line_no * 2 AS s, line_no + 1 AS max_rss, NULL::BIGINT AS io_in FROM log_v
+UNION ALL SELECT 'A', 'align', line_no * 3, NULL, line_no % 7 FROM log_v UNION ALL SELECT 'B', 'trim', line_no * 2, line_no + 1, NULL FROM log_v""",
     "config_condition_diff": "SELECT 'BLANK' AS cond, 'left' AS side FROM positions_v GROUP BY 1, 2 UNION ALL SELECT 'HEAT', 'right' FROM positions_v GROUP BY 1, 2",
-    "dedup_pairs": "SELECT substr(seq, 1, 4) AS seq1, substr(seq, 33, 3) AS seq2, min(rec_no) AS rec_no, count(*) AS copies FROM reads_v GROUP BY 1, 2",
+    "dedup_pairs": "SELECT seq AS seq1, reverse(seq) AS seq2, min(rec_no) AS rec_no, CAST(sum(rec_no % 3 + 2) AS BIGINT) AS copies FROM reads_v GROUP BY 1, 2",
     "subsample_cumulative": """WITH c AS (SELECT DISTINCT chunk AS n_chunk FROM positions_v), x AS (SELECT n_chunk, concat_ws('.', tag0, tag1, tag2, tag3) AS b, count(*) FILTER (WHERE read_type = 'BPM') AS bpm, count(*) FILTER (WHERE read_type = 'RPM') AS rpm, count(*) AS n
   FROM c JOIN positions_v p ON p.chunk <= c.n_chunk GROUP BY 1, 2),
 y AS (SELECT n_chunk, CASE WHEN bpm > 0 AND rpm > 0 THEN 'BPM_and_RPM' WHEN bpm > 0 THEN 'BPM_ONLY' WHEN rpm > 0 THEN 'RPM_ONLY' END AS category, n FROM x), z AS (SELECT n_chunk, category, count(*) AS clusters, sum(n) AS reads FROM y WHERE category IS NOT NULL GROUP BY 1, 2)
@@ -138,10 +148,11 @@ SELECT CAST(n_chunk AS BIGINT) AS n_chunk, category, clusters, CAST(reads AS BIG
     "mixing_ratio": """WITH k AS (SELECT * FROM positions_v WHERE read_type = 'BPM' OR (read_type = 'RPM' AND CAST(concat('0x', substr(md5(concat_ws('|', barcode, chrom, start_pos, ord1)), 1, 8)) AS BIGINT) < 1288490188))
 SELECT barcode, count(*) AS size, count(*) FILTER (WHERE read_type = 'BPM') AS n_bpm, count(*) FILTER (WHERE read_type = 'RPM') AS n_rpm, count(*) FILTER (WHERE read_type = 'DPM') AS n_dpm FROM k GROUP BY barcode""",
     "chunk_assign": "SELECT rec_no, CAST(floor((row_number() OVER (ORDER BY rec_no) - 1) / CAST(floor((SELECT count(*) FROM reads_v) / 8) + 1 AS BIGINT)) AS BIGINT) AS chunk_no FROM reads_v",
-    "error_blocks": r"""WITH a AS (SELECT *, sum(CASE WHEN regexp_matches(line, 'Error in rule\s+(\w+):') THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS block FROM log_v),
-b AS (SELECT *, sum(CASE WHEN trim(line) = '' OR contains(line, 'Finished job') THEN 1 ELSE 0 END) OVER (PARTITION BY block ORDER BY line_no) AS closed FROM a WHERE block > 0)
-SELECT CAST(block AS BIGINT) AS block, min(line_no) AS line_no, max(regexp_extract(line, 'Error in rule\s+(\w+):', 1)) AS rule, arg_max(regexp_extract(line, 'jobid:\s*(\d+)', 1), line_no) FILTER (WHERE contains(line, 'jobid:')) AS jobid,
-  arg_max(regexp_extract(line, 'log:\s*(\S+)', 1), line_no) FILTER (WHERE contains(line, 'log:')) AS log FROM b WHERE closed = 0 GROUP BY block""",
+    "error_blocks": r"""WITH l AS (SELECT *, regexp_extract(line, 'Error in rule\\s+(\\w+):', 1) AS rule, regexp_extract(line, 'jobid:\\s*(\\d+)', 1) AS j, regexp_extract(line, 'log:\\s*([^\\s()]+)', 1) AS g FROM log_v),
+a AS (SELECT *, sum(CASE WHEN rule <> '' THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS block FROM l),
+b AS (SELECT *, sum(CASE WHEN rule = '' AND j = '' AND g = '' AND (trim(line) = '' OR contains(line, 'Finished job')) THEN 1 ELSE 0 END) OVER (PARTITION BY block ORDER BY line_no) AS closed FROM a WHERE block > 0)
+SELECT CAST(block AS BIGINT) AS block, min(line_no) AS line_no, max(rule) AS rule, arg_max(j, line_no) FILTER (WHERE j <> '') AS jobid,
+  arg_max(g, line_no) FILTER (WHERE j = '' AND g <> '') AS log FROM b WHERE closed = 0 GROUP BY block""".replace("\\\\", "\\"),
     "size_distribution": f"""WITH {_DEDUP}, c AS (SELECT library, barcode, count(*) AS n FROM dd WHERE read_type = 'BPM' GROUP BY 1, 2),
 g AS (SELECT library, CASE WHEN n <= 1 THEN '1' WHEN n <= 5 THEN '2-5' WHEN n <= 10 THEN '6-10' WHEN n <= 20 THEN '11-20' WHEN n <= 50 THEN '21-50' WHEN n <= 100 THEN '51-100' WHEN n <= 200 THEN '101-200' ELSE '201+' END AS size_bin, count(*) AS clusters, sum(n) AS reads FROM c GROUP BY 1, 2)
 SELECT library, size_bin, clusters, CAST(reads AS BIGINT) AS reads, round(clusters / CAST(sum(clusters) OVER (PARTITION BY library) AS DOUBLE), 6) AS cluster_share, round(CAST(reads AS DOUBLE) / CAST(sum(reads) OVER (PARTITION BY library) AS DOUBLE), 6) AS read_share FROM g""",
@@ -153,6 +164,45 @@ count(*) AS clusters, CAST(sum(size) AS BIGINT) AS positions FROM sz GROUP BY 1"
     "genome_bin": f"WITH {_OFFSETS} SELECT CAST(floor(start_pos * 30000 / 1000000.0) + off AS BIGINT) AS bin, count(*) AS n FROM positions_v LEFT JOIN ofs USING (chrom) WHERE read_type = 'RPM' GROUP BY 1",
     "genome_bin_inverse": f"WITH {_OFFSETS}, b AS (SELECT DISTINCT rec_no % 3000 AS bin FROM reads_v) SELECT bin, arg_max(chrom, ord) AS chrom, CAST((bin - max(off)) * 1000000 AS BIGINT) AS pos FROM b JOIN ofs ON off <= bin GROUP BY bin",
     "bpm_rpm_ratio": f"WITH {_LABEL} SELECT CAST(sum(n_bpm) AS BIGINT) AS bpm, CAST(sum(n_rpm) AS BIGINT) AS rpm, round(CAST(sum(n_bpm) AS DOUBLE) / nullif(sum(n_rpm), 0), 6) AS ratio FROM sz",
+    "fastq_round_trip": "SELECT chunk >= 4 AS packed, name, seq, '+' AS plus, CAST(length(seq) AS BIGINT) AS qual_length FROM reads_v",
+    "bam_round_trip": f"SELECT qname, flag, ref_name, CAST(start_pos AS BIGINT) AS ref_start, CAST(end_pos AS BIGINT) AS ref_end, concat(end_pos - start_pos, 'M') AS cigar, barcode FROM ({_ALIGNED})",
+    "bam_by_label": f"WITH {_LABEL} SELECT label, count(*) AS n, 0::BIGINT AS elsewhere FROM ({_ALIGNED}) JOIN lab USING (barcode) GROUP BY label",
+    "strand_of_alignments": f"SELECT ref_name, CASE WHEN flag & 16 = 0 THEN '+' ELSE '-' END AS strand, count(*) AS n FROM ({_ALIGNED}) GROUP BY 1, 2",
+    "name_sort": f"SELECT qname, flag FROM ({_ALIGNED})",
+    "sort_by_barcode": "SELECT barcode, read_type, chrom, start_pos FROM positions_v",
+    "unique_positions": f"WITH {_DEDUP} SELECT barcode, count(*) AS n, min(feature) AS feature FROM dd GROUP BY barcode",
+    "cluster_files": f"WITH {_DEDUP} SELECT barcode, read_type, feature, chrom, CAST(start_pos AS BIGINT) AS start_pos, CAST(end_pos AS BIGINT) AS end_pos FROM dd",
+    "tag_tables": "SELECT 'ODD' AS type, name, tag, CAST(ord % 3 AS BIGINT) AS tolerance FROM tags_v",
+    "round_tables": "SELECT CAST(pos AS BIGINT) AS pos, count(DISTINCT name) AS names, min(name) AS first FROM format_v GROUP BY pos",
+    "manifests": """SELECT DISTINCT concat('S', rec_no % 9) AS sample, read, concat(folder, rec_no % 5) AS path FROM reads_v, (VALUES ('R1', '/a/'), ('R2', '/b/')) t(read, folder)
+UNION ALL SELECT * FROM (VALUES ('settings', 'assembly', 'mm10'), ('settings', 'num_tags', '6'), ('settings', 'bID', 'config.txt')) u""",
+    "bead_of_position": "SELECT chrom AS bead, count(*) AS n FROM positions_v WHERE read_type = 'BPM' GROUP BY 1",
+    "identify": """WITH cf AS (SELECT CASE ord % 4 WHEN 0 THEN 'DPM' WHEN 1 THEN 'Y' WHEN 2 THEN 'ODD' ELSE 'EVEN' END AS kind, name, substr(tag, 1, CAST(6 + ord // 4 % 2 AS BIGINT)) AS tag, ord // 4 % 3 AS tol, ord FROM tags_v),
+r AS (SELECT rec_no, seq AS seq1, reverse(seq) AS seq2 FROM reads_v),
+b AS (SELECT rec_no, name, row_number() OVER (PARTITION BY rec_no ORDER BY length(tag), ord DESC) AS rn FROM r JOIN cf ON kind = 'DPM' AND substr(seq1, 3, length(tag)) = tag),
+yh AS (SELECT rec_no, name, length(tag) AS n, row_number() OVER (PARTITION BY rec_no ORDER BY length(tag), ord DESC) AS rn FROM r JOIN cf ON kind = 'Y' AND hamming(substr(seq2, 2, length(tag)), tag) <= tol),
+y AS (SELECT r.rec_no, seq2, coalesce(name, 'NOT_FOUND') AS name, coalesce(n, 7) AS adv FROM r LEFT JOIN yh ON r.rec_no = yh.rec_no AND rn = 1),
+st AS (SELECT rec_no, seq2, slot, kind, 1 + adv + far AS start FROM y, (VALUES (0, 'ODD', 7), (1, 'EVEN', 31), (2, 'ODD', 55)) t(slot, kind, far) WHERE length(seq2) - (1 + adv + far) >= 17),
+wn AS (SELECT *, substr(seq2, CAST(start + o + 1 AS BIGINT), CAST(s AS BIGINT)) AS w FROM st, (SELECT unnest(range(0, 7)) AS o), (SELECT unnest([6, 7]) AS s) WHERE start + o + s <= length(seq2) AND (o = 0 OR start + o - 1 + 7 <= length(seq2))),
+ht AS (SELECT rec_no, slot, name, row_number() OVER (PARTITION BY rec_no, slot ORDER BY o, s, ord DESC) AS rn FROM wn JOIN cf ON cf.kind = wn.kind AND length(tag) = s AND hamming(tag, w) <= tol),
+hit AS (SELECT * FROM ht WHERE rn = 1),
+t AS (SELECT y.rec_no, [coalesce(b.name, 'NOT_FOUND'), y.name, coalesce(h0.name, 'NOT_FOUND'), coalesce(h1.name, 'NOT_FOUND'), coalesce(h2.name, 'NOT_FOUND')] AS t FROM y LEFT JOIN b ON b.rec_no = y.rec_no AND b.rn = 1
+  LEFT JOIN hit h0 ON h0.rec_no = y.rec_no AND h0.slot = 0 LEFT JOIN hit h1 ON h1.rec_no = y.rec_no AND h1.slot = 1 LEFT JOIN hit h2 ON h2.rec_no = y.rec_no AND h2.slot = 2)
+SELECT rec_no, concat('@SIM:1:', rec_no, '::[', array_to_string(t, ']['), ']') AS name1, concat('@SIM:1:', rec_no, '::[', array_to_string(t, ']['), ']') AS name2, array_to_string(t, '|') AS barcode FROM t""",
+    "trim_pairs": _TRIM.format(a=ADAPTER_1, b=ADAPTER_2, k=0, c=ADAPTER_1, d=ADAPTER_2),
+    "trim_pairs_mismatch": _TRIM.format(a=ADAPTER_1, b=ADAPTER_2, k=1, c="T" + ADAPTER_1[1:], d=ADAPTER_2[:9] + "C" + ADAPTER_2[10:]),
+    "quality_trim": """WITH q AS (SELECT rec_no, seq, translate(seq, 'ACGT', 'I5+#') AS qual FROM reads_v),
+x AS (SELECT rec_no, k, sum(CASE substr(qual, 65 - k, 1) WHEN 'I' THEN -20 WHEN '5' THEN 0 WHEN '+' THEN 10 ELSE 18 END) OVER (PARTITION BY rec_no ORDER BY k) AS s FROM q, (SELECT unnest(range(1, 65)) AS k)),
+n AS (SELECT rec_no, coalesce(min(k) FILTER (WHERE s < 0), 65) AS stop FROM x GROUP BY rec_no),
+m AS (SELECT rec_no, max(s) AS top FROM x JOIN n USING (rec_no) WHERE k < stop GROUP BY rec_no),
+c AS (SELECT rec_no, min(k) AS cut FROM x JOIN n USING (rec_no) JOIN m USING (rec_no) WHERE k < stop AND s = top AND top > 0 GROUP BY rec_no)
+SELECT rec_no, substr(seq, 1, 64 - coalesce(cut, 0)) AS seq, substr(qual, 1, 64 - coalesce(cut, 0)) AS qual FROM q LEFT JOIN c USING (rec_no)""",
+    "split_manifest": """WITH f AS (SELECT concat('S', chunk) AS sample, concat('/d/', lpad(CAST(rec_no AS VARCHAR), 9, '0')) AS path FROM reads_v),
+x AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY path) - 1 AS i, count(*) OVER (PARTITION BY sample) AS n FROM f)
+SELECT sample, path, CAST((i >= round_even(n * 0.25::DOUBLE, 0))::INT + (i >= round_even(n * 0.5::DOUBLE, 0))::INT + (i >= round_even(n * 0.75::DOUBLE, 0))::INT AS BIGINT) AS chunk FROM x""",
+    "assembly_registry": "SELECT assembly, ord::BIGINT AS ord, chrom, size::BIGINT AS size FROM (VALUES "
+    + ", ".join(f"('{name}', {i}, '{c}', {n})" for name in SIZES for i, c, n in chromosomes(name))
+    + ") t(assembly, ord, chrom, size)",
 }
 
 ORACLE = {name: oracle(sql) for name, sql in _SQL.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import clusters, genome, qc, reads, tags
-from ..sources import fastq, tables
+from ..sources import bam, fastq, store, tables
 from .adapters import view
 
 ADAPTERS = ["ATCAGC", "CTGACG"]
@@ -41,6 +41,100 @@ def fastq_record_framing(r):
     return found.select("rec_no", "name", "seq", "plus", F.length("qual").cast("long").alias("qual_length"))
 
 
+def _records(r: DataFrame) -> DataFrame:
+    return r.select("name", "seq", F.lit("+").alias("plus"), F.repeat(F.lit("F"), F.length("seq")).alias("qual"))
+
+
+@query
+def fastq_round_trip(spark, d):
+    """Reads written as plain and as packed FASTQ, and read back."""
+    r, folder = view(spark, d, "reads_v"), store.scratch(spark)
+    fastq.write(_records(r.filter("chunk < 4")), folder)
+    fastq.write(_records(r.filter("chunk >= 4")), folder, packed=True)
+    return fastq.read(spark, folder).select(F.endswith("file", F.lit(".gz")).alias("packed"), "name", "seq", "plus", F.length("qual").cast("long").alias("qual_length"))
+
+
+REFERENCES = [(f"chr{i}", 44444444) for i in range(1, 23)] + [("chrX", 44444444), ("45S", 44444444), ("MT", 44444444)]
+
+
+def _alignments(p: DataFrame) -> DataFrame:
+    """Positions of RNA reads as alignments of 20 or more bases."""
+    span = (F.col("end_pos") - F.col("start_pos")).cast("int")
+    flag = F.when(F.col("feature") == "-", 16).otherwise(0) + F.when(F.col("ord2") % 2 == 1, 64).otherwise(128)
+    return p.filter("read_type = 'RPM'").select(
+        F.concat_ws(":", "ord1", "ord2", "ord3", "ord4").alias("qname"), flag.cast("int").alias("flag"), F.col("chrom").alias("ref_name"), F.col("start_pos").cast("int").alias("ref_start"), F.col("end_pos").cast("int").alias("ref_end"),
+        F.concat(span.cast("string"), F.lit("M")).alias("cigar"), F.repeat(F.lit("A"), span).alias("seq"), F.lit("").alias("qual"), F.create_map(F.lit("BC"), F.col("barcode")).alias("tags"), "barcode",
+    )
+
+
+@query
+def bam_round_trip(spark, d):
+    """Alignments written as BAM files and read back."""
+    folder = store.scratch(spark)
+    bam.write(_alignments(view(spark, d, "positions_v")), folder, REFERENCES)
+    rows = bam.read(spark, folder)
+    return rows.select("qname", F.col("flag").cast("long").alias("flag"), "ref_name", F.col("ref_start").cast("long").alias("ref_start"), F.col("ref_end").cast("long").alias("ref_end"), "cigar", F.element_at("tags", "BC").alias("barcode"))
+
+
+@query
+def bam_by_label(spark, d):
+    """Alignments routed to BAM files per label of their cluster, with read groups, and read back."""
+    p, folder = view(spark, d, "positions_v"), store.scratch(spark)
+    labels = clusters.label(clusters.build(p)).select("barcode", "label")
+    bam.write_by(_alignments(p).join(labels, "barcode"), folder, REFERENCES, "label")
+    rows = bam.read(spark, folder)
+    folder_label = F.regexp_extract("file", "label=([^/]*)/", 1)
+    return rows.groupBy(F.element_at("tags", "RG").alias("label")).agg(F.count("*").alias("n"), F.count_if(folder_label != F.element_at("tags", "RG")).alias("elsewhere"))
+
+
+@query
+def strand_of_alignments(spark, d):
+    rows = _alignments(view(spark, d, "positions_v"))
+    return rows.groupBy("ref_name", names.strand(F.col("flag")).alias("strand")).agg(F.count("*").alias("n"))
+
+
+@query
+def cluster_files(spark, d):
+    """Clusters written as text lines, streamed from sorted positions, and read back."""
+    folder = store.scratch(spark)
+    tables.write_clusters(clusters.build(view(spark, d, "positions_v")), folder)
+    return tables.read_clusters(spark, folder)
+
+
+@query
+def tag_tables(spark, d):
+    """A tag configuration written as text with comments and short lines, and read back."""
+    folder = store.scratch(spark)
+    lines = view(spark, d, "tags_v").select(F.concat_ws("\n", F.array_sort(F.collect_list(F.concat_ws("\t", F.lit("ODD"), "name", "tag", (F.col("ord") % 3).cast("string"))))).alias("t"))
+    text = F.concat(F.lit("READ1 = DPM\nREAD2 = Y|SPACER|ODD\n\n# type\tname\n"), "t", F.lit("\nODD\tshort\nODD\tbad\tACGT\tmany\n"))
+    lines.select(text.alias("value")).coalesce(1).write.text(folder)
+    return tables.tag_config(spark, folder).select("type", "name", "tag", F.col("tolerance").cast("long").alias("tolerance"))
+
+
+@query
+def round_tables(spark, d):
+    """Allowed positions written as tab-separated text, and read back both ways."""
+    folder = store.scratch(spark)
+    view(spark, d, "format_v").select(F.col("pos").cast("int").alias("pos"), "name", F.lit("x").alias("more")).write.csv(folder, sep="\t")
+    one = tables.rounds(spark, folder).groupBy("pos").agg(F.countDistinct("name").alias("names"))
+    two = tables.tab_separated(spark, folder, "pos int, name string, more string").groupBy("pos").agg(F.min("name").alias("first"))
+    return one.join(two, "pos").withColumn("pos", F.col("pos").cast("long"))
+
+
+@query
+def manifests(spark, d):
+    """A JSON manifest of files, and flat settings, written and read back."""
+    folder, other = store.scratch(spark), store.scratch(spark)
+    r = view(spark, d, "reads_v").select(F.concat(F.lit("S"), (F.col("rec_no") % 9).cast("string")).alias("sample"), (F.col("rec_no") % 5).cast("string").alias("k")).distinct()
+    each = r.groupBy("sample").agg(F.array_sort(F.collect_list("k")).alias("k"))
+    entry = F.struct("sample", F.create_map(F.lit("R1"), F.transform("k", lambda x: F.concat(F.lit("/a/"), x)), F.lit("R2"), F.transform("k", lambda x: F.concat(F.lit("/b/"), x))).alias("r"))
+    each.select(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(folder)
+    texts = spark.createDataFrame([("# settings\nassembly: mm10\nnum_tags: 6  # tags\nbID: 'config.txt'\nlist:\n  - a",)], "value string")
+    texts.coalesce(1).write.text(other)
+    found = tables.settings(spark, other).filter("value <> ''").select(F.lit("settings").alias("sample"), F.col("key").alias("read"), F.col("value").alias("path"))
+    return tables.manifest(spark, folder).unionByName(found)
+
+
 @over("positions_v")
 def render_clusters(p):
     return clusters.render(clusters.build(p))
@@ -84,32 +178,28 @@ def hamming_ball(t):
 
 @query
 def bead_lookup(spark, d):
-    return tags.lookup_at(view(spark, d, "reads_v"), view(spark, d, "tags_v"), 3).select("rec_no", "name")
+    return tags.lookup_at(view(spark, d, "reads_v"), view(spark, d, "tags_v"), 3, [7, 8]).select("rec_no", "name")
 
 
 @query
 def terminal_lookup(spark, d):
-    return tags.lookup_at(view(spark, d, "reads_v"), view(spark, d, "tags_v"), 0).select("rec_no", "name", F.col("advance").cast("long").alias("advance"))
-
-
-def _fuzzy(spark, d, alphabet):
-    t = view(spark, d, "tags_v")
-    near = tags.nearest(tags.hamming_ball(t, 1, alphabet))
-    starts = view(spark, d, "reads_v").select("rec_no", F.lit(0).alias("slot"), "seq", F.lit(10).alias("start"))
-    return starts, tags.lookup_window(starts, near, [7, 8])
+    return tags.lookup_at(view(spark, d, "reads_v"), view(spark, d, "tags_v"), 0, [7, 8]).select("rec_no", "name", F.col("advance").cast("long").alias("advance"))
 
 
 @query
 def fuzzy_tag_lookup(spark, d):
-    starts, hits = _fuzzy(spark, d, "ACGT")
+    near = tags.nearest(tags.hamming_ball(view(spark, d, "tags_v")))
+    starts = view(spark, d, "reads_v").select("rec_no", F.lit(0).alias("slot"), "seq", F.lit(10).alias("start"))
+    hits = tags.lookup_window(starts, near, [7, 8])
     return starts.select("rec_no").join(hits, "rec_no", "left").select("rec_no", F.coalesce("name", F.lit(names.MISSING)).alias("name"))
 
 
 @query
 def fuzzy_tag_lookup_n(spark, d):
     """With N in the alphabet, and the next start at the match's own end."""
-    starts, hits = _fuzzy(spark, d, "ACGTN")
-    return starts.select("rec_no", "start").join(hits, "rec_no", "left").select("rec_no", F.coalesce("name", F.lit(names.MISSING)).alias("name"), F.coalesce("hit_end", "start").cast("long").alias("next_start"))
+    near = tags.nearest(tags.hamming_ball(view(spark, d, "tags_v"), 1, "ACGTN"))
+    starts = view(spark, d, "reads_v").select("rec_no", F.lit(0).alias("slot"), "seq", F.lit(10).alias("start"))
+    return tags.lookup_next(starts, near, [7, 8])
 
 
 LAYOUT = "Y|SPACER|ODD|SPACER|ODD|SPACER|ODD"
@@ -117,7 +207,7 @@ LAYOUT = "Y|SPACER|ODD|SPACER|ODD|SPACER|ODD"
 
 def _barcodes(spark, d):
     t = view(spark, d, "tags_v")
-    return tags.walk_layout(view(spark, d, "reads_v"), LAYOUT, t, {"ODD": tags.nearest(tags.hamming_ball(t))}, {"ODD": [7, 8]})
+    return tags.walk_layout(view(spark, d, "reads_v"), LAYOUT, {"Y": tags.exact(t), "ODD": tags.nearest(tags.hamming_ball(t))}, {"Y": [7, 8], "ODD": [7, 8]})
 
 
 @query
@@ -125,6 +215,21 @@ def barcode_layout(spark, d):
     return _barcodes(spark, d).select("rec_no", F.array_join("barcode", "|").alias("barcode"))
 
 
+def tag_config(spark: SparkSession, d: str) -> DataFrame:
+    """The tags as a configuration: four kinds, tolerances 0, 1 and 2."""
+    kinds = F.element_at(F.array(*[F.lit(k) for k in ("DPM", "Y", "ODD", "EVEN")]), (F.col("ord") % 4 + 1).cast("int"))
+    return view(spark, d, "tags_v").select(kinds.alias("type"), "name", F.substring("tag", F.lit(1), (6 + F.floor(F.col("ord") / 4) % 2).cast("int")).alias("tag"), (F.floor(F.col("ord") / 4) % 3).cast("int").alias("tolerance"), "ord")
+
+
+@query
+def identify(spark, d):
+    """Both mates against beads, terminal, odd and even tags of tolerance 0 to 2; names annotated."""
+    r = view(spark, d, "reads_v").withColumn("bare", F.concat(F.substring_index("name", "::", 1), F.lit(" 1:N:0")))
+    pairs = r.select("rec_no", F.col("bare").alias("name1"), F.col("seq").alias("seq1"), F.col("bare").alias("name2"), F.reverse("seq").alias("seq2"))
+    found = tags.identify(pairs, tag_config(spark, d), "DPM", "Y|SPACER|ODD|SPACER|EVEN|SPACER|ODD", 2, 1)
+    return found.select("rec_no", "name1", "name2", F.array_join("barcode", "|").alias("barcode"))
+
+
 @over("reads_v")
 def pad_barcode(r):
     return r.select("rec_no", F.array_join(names.pad(names.tags(F.col("name")), 6), "|").alias("barcode"))
@@ -171,12 +276,7 @@ def classify_reads_dpm(r):
 
 @over("reads_v")
 def full_barcodes(r):
-    bead = F.contains("name", F.lit("BEAD"))
-    t = names.tags(F.col("name"))
-    first = F.when(bead, F.element_at(t, 1)).otherwise("RPM")
-    seq = F.when(bead, names.oligo_sequence(F.col("name"))).otherwise(F.col("seq"))
-    rows = r.select("rec_no", F.array_join(F.concat(F.array(first), names.rest(t)), "|").alias("barcode"), seq.alias("seq"), F.repeat(F.lit("F"), F.length(seq)).alias("qual"))
-    return rows.filter(~F.contains("barcode", F.lit(names.MISSING)))
+    return reads.full_barcodes(r)
 
 
 @over("reads_v")
@@ -191,7 +291,7 @@ def bead_name(r):
 
 @over("reads_v")
 def ab_oligo(r):
-    return r.select("rec_no", names.oligo_sequence(F.col("name")).alias("seq"), F.replace("name", F.lit(names.MISSING), F.lit("PPM")).alias("name"))
+    return reads.antibody_oligos(r)
 
 
 @over("reads_v")
@@ -209,8 +309,13 @@ def chrom_filter(spark, d):
 def flag_filter(p):
     flag = (F.when(F.col("chrom") == "MT", 4).otherwise(0) + F.when(F.col("feature") == "-", 16).otherwise(0)).alias("flag")
     rows = p.select("chrom", flag)
-    strand = F.when(F.col("flag").bitwiseAND(F.lit(16)) == 0, "+").otherwise("-")
-    return rows.select((F.col("flag").bitwiseAND(F.lit(4)) == 0).alias("mapped"), strand.alias("strand")).groupBy("mapped", "strand").agg(F.count("*").alias("n"))
+    return rows.groupBy(names.is_mapped(F.col("flag")).alias("mapped"), names.strand(F.col("flag")).alias("strand")).agg(F.count("*").alias("n"))
+
+
+@over("positions_v")
+def bead_of_position(p):
+    text = names.position_text(F.col("read_type"), F.col("feature"), F.col("chrom"), F.col("start_pos"), F.col("end_pos"))
+    return p.filter("read_type = 'BPM'").groupBy(names.bead_of_position(text).alias("bead")).agg(F.count("*").alias("n"))
 
 
 @over("positions_v")
@@ -225,8 +330,7 @@ def condition_split(p):
 
 @over("positions_v")
 def condition_discovery(p):
-    t = p.select(F.explode(F.filter(F.split("barcode", r"\."), lambda x: F.startswith(x, F.lit("ROUND1_")))).alias("tag")).distinct()
-    return t.select(F.element_at(F.split("tag", "_"), 2).alias("cond")).distinct()
+    return clusters.conditions(p)
 
 
 @over("positions_v")
@@ -236,7 +340,7 @@ def strip_library(p):
 
 @over("reads_v")
 def cdna_length_hist(r):
-    rows = r.select((F.col("chunk") % 2 + 1).alias("mate"), (F.length("seq") - F.instr("seq", "ACG")).cast("long").alias("len"))
+    rows = qc.sequence_lengths(r.withColumn("seq", F.substring("seq", F.instr("seq", "ACG") + 1, F.length("seq"))), (F.col("chunk") % 2 + 1).alias("mate"))
     return qc.equal_width_histogram(rows, "len", ["mate"]).select("mate", F.col("bin").cast("long").alias("bin"), "n")
 
 
@@ -249,7 +353,7 @@ def cluster_category(p):
 @over("positions_v")
 def fix_blank_tag(p):
     t = p.select("tag3").distinct()
-    return t.select("tag3", F.array_join(F.array_insert(F.split("tag3", "_"), 2, F.lit("BLANK")), "_").alias("fixed"))
+    return t.select("tag3", names.insert_blank(F.col("tag3")).alias("fixed"))
 
 
 @over("reads_v")
@@ -257,6 +361,32 @@ def adapter_trim_exact(r):
     return reads.trim(r.select("rec_no", "seq"), ADAPTERS, 20)
 
 
+def _with_adapters(r: DataFrame, one: str, two: str) -> DataFrame:
+    """Pairs with an adapter within mate 1 and one within mate 2 of most reads."""
+    at1, at2 = (F.col("rec_no") % 45).cast("int"), (F.col("rec_no") % 50).cast("int")
+    first = F.when(F.col("rec_no") % 6 > 0, F.concat(F.substring("seq", F.lit(1), at1), F.lit(one), F.lit("GGGG"))).otherwise(F.col("seq"))
+    second = F.when(F.col("rec_no") % 5 > 0, F.concat(F.substring("seq", F.lit(1), at2), F.lit(two), F.substring("seq", at2 + 1, F.lit(64)))).otherwise(F.col("seq"))
+    return r.select("rec_no", first.alias("seq1"), second.alias("seq2"))
+
+
+@over("reads_v")
+def trim_pairs(r):
+    return reads.trim_pairs(_with_adapters(r, reads.ADAPTER_1, reads.ADAPTER_2))
+
+
+@over("reads_v")
+def trim_pairs_mismatch(r):
+    """Adapters with one base changed, and one mismatch allowed."""
+    return reads.trim_pairs(_with_adapters(r, "T" + reads.ADAPTER_1[1:], reads.ADAPTER_2[:9] + "C" + reads.ADAPTER_2[10:]), errors=1)
+
+
+@over("reads_v")
+def quality_trim(r):
+    """Qualities made from the bases, so that tails differ."""
+    qual = F.translate(F.concat(F.substring("seq", 1, 40), F.substring("seq", 41, 24)), "ACGT", "I5+#")
+    return reads.quality_trim(r.select("rec_no", "seq", qual.alias("qual")), 20)
+
+
 @over("log_v")
 def hms_to_seconds(r):
     text = F.concat_ws(":", (F.col("line_no") % 30).cast("string"), (F.col("line_no") % 60).cast("string"), (F.col("line_no") % 59).cast("string"))
@@ -268,7 +398,7 @@ def hms_to_seconds(r):
 
 @over("reads_v")
 def pair_mates(r):
-    return reads.pair_mates(r.filter("rec_no % 5 <> 0"), r.filter("rec_no % 7 <> 0").withColumn("seq", F.reverse("seq"))).select("rec_no", "seq1", "seq2")
+    return reads.pair_mates(r, r.withColumn("seq", F.reverse("seq"))).select("rec_no", "seq1", "seq2")
 
 
 def _labelled(p: DataFrame, start_only: bool = False) -> DataFrame:
@@ -292,9 +422,8 @@ def label_summary(p):
 
 @over("positions_v")
 def label_reads_prelabelled(p):
-    given = clusters.label(clusters.build(p)).select(F.concat_ws(".", "label", "barcode").alias("key"))
-    parted = given.select(F.regexp_extract("key", r"^([^.]*)\.(.*)$", 2).alias("barcode"), F.regexp_extract("key", r"^([^.]*)\.(.*)$", 1).alias("label"))
-    return reads.aligned(p).join(parted, "barcode").groupBy("label").agg(F.count("*").alias("n"))
+    keys = clusters.label(clusters.build(p)).select(F.concat_ws(".", "label", "barcode").alias("key"))
+    return reads.label_by_prefix(reads.aligned(p), keys).groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query
@@ -357,8 +486,8 @@ def stripped_lookup(p):
 
 @over("positions_v")
 def cluster_merge(p):
-    """Built by chunk, then merged."""
-    merged = clusters.merge(*[clusters.build(p.filter(F.col("chunk") == c)) for c in range(4)])
+    """Built by chunk in one pass, then merged."""
+    merged = clusters.merge(clusters.build_chunks(p, "chunk"))
     return merged.groupBy("barcode", "read_type").agg(F.count("*").alias("n"), F.sum("start_pos").alias("starts"), F.count_if(F.expr("feature = '-'")).alias("minus"))
 
 
@@ -384,7 +513,7 @@ def barcode_completeness(r):
 
 @over("reads_v")
 def read_counts(r):
-    return r.agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))
+    return qc.read_totals(r)
 
 
 @over("reads_v")
@@ -394,7 +523,7 @@ def reads_per_chunk(r):
 
 @over("positions_v")
 def distinct_reads(p):
-    return p.filter("read_type = 'RPM'").agg(F.countDistinct("ord1").alias("names"), F.count("*").alias("alignments"))
+    return qc.name_totals(p.filter("read_type = 'RPM'"), "ord1")
 
 
 def _umis(p: DataFrame) -> DataFrame:
@@ -413,18 +542,17 @@ def duplication_rate(p):
 
 @over("positions_v")
 def reads_in_clusters(p):
-    return clusters.sizes(clusters.build(p)).agg(F.sum("n_rpm").alias("reads"))
+    return qc.reads_in_clusters(clusters.build(p))
 
 
 @over("positions_v")
 def reads_assigned(p):
-    return _labelled(p).filter("fate = 'written' AND label NOT IN ('ambiguous', 'none', 'uncertain')").agg(F.count("*").alias("reads"))
+    return qc.assigned_reads(_labelled(p))
 
 
 @over("positions_v")
 def splitbam_stats(p):
-    rows = _labelled(p).filter("fate = 'written'")
-    return rows.groupBy(F.concat_ws("_", "label", "library").alias("output")).agg(F.count("*").alias("reads"))
+    return qc.output_counts(_labelled(p))
 
 
 @over("positions_v")
@@ -444,9 +572,9 @@ def bead_matrix(p):
 
 @over("log_v")
 def consolidate_benchmarks(r):
-    a = r.filter("line_no % 3 = 0").select((F.col("line_no") * 2).alias("s"), (F.col("line_no") + 1).alias("max_rss"))
-    b = r.filter("line_no % 3 = 1").select((F.col("line_no") * 3).alias("s"), (F.col("line_no") % 7).alias("io_in"))
-    return tables.consolidate([("A", "trim", a), ("A", "align", b), ("B", "trim", a.filter("s % 4 = 0"))])
+    a = r.select((F.col("line_no") * 2).alias("s"), (F.col("line_no") + 1).alias("max_rss"))
+    b = r.select((F.col("line_no") * 3).alias("s"), (F.col("line_no") % 7).alias("io_in"))
+    return tables.consolidate([("A", "trim", a), ("A", "align", b), ("B", "trim", a)])
 
 
 @over("positions_v")
@@ -458,7 +586,10 @@ def config_condition_diff(p):
 
 @over("reads_v")
 def dedup_pairs(r):
-    return reads.dedup_pairs(r.select("rec_no", F.substring("seq", 1, 4).alias("seq1"), F.substring("seq", 33, 3).alias("seq2")))
+    """Whole sequences, and copies of them under other numbers."""
+    pairs = r.select("rec_no", F.col("seq").alias("seq1"), F.reverse("seq").alias("seq2"))
+    copies = pairs.withColumn("n", F.explode(F.sequence(F.lit(1), (F.col("rec_no") % 3 + 1).cast("int")))).select((F.col("rec_no") + F.col("n") * 100000000).alias("rec_no"), "seq1", "seq2")
+    return reads.dedup_pairs(pairs.unionByName(copies))
 
 
 @over("positions_v")
@@ -469,7 +600,7 @@ def subsample_cumulative(p):
 @over("positions_v")
 def merge_alignments(p):
     first, second = p.filter("chrom = '45S'"), p.filter("read_type = 'RPM' AND chrom <> '45S'")
-    return first.unionByName(second).groupBy("library", "chrom").agg(F.count("*").alias("n"))
+    return reads.merge_alignments(first, second).groupBy("library", "chrom").agg(F.count("*").alias("n"))
 
 
 # order, windows, samples
@@ -481,6 +612,36 @@ def coord_sort(p):
     return reads.coordinate_sort(rows)
 
 
+@query
+def name_sort(spark, d):
+    rows = reads.name_sort(_alignments(view(spark, d, "positions_v")), "qname")
+    return rows.select("qname", F.col("flag").cast("long").alias("flag"))
+
+
+@over("positions_v")
+def sort_by_barcode(p):
+    return reads.sort_by(p.select("barcode", "read_type", "chrom", "start_pos"), "barcode")
+
+
+@over("positions_v")
+def unique_positions(p):
+    """Positions written once, whatever number of reads has them."""
+    once = clusters.dedup_positions(p.unionByName(p))
+    return once.groupBy("barcode").agg(F.count("*").alias("n"), F.min("feature").alias("feature"))
+
+
+@over("reads_v")
+def split_manifest(r):
+    files = r.select(F.concat(F.lit("S"), F.col("chunk").cast("string")).alias("sample"), F.lit("R1").alias("read"), F.concat(F.lit("/d/"), F.lpad(F.col("rec_no").cast("string"), 9, "0")).alias("path"))
+    return fastq.split_manifest(files, 4).select("sample", "path", F.col("chunk").cast("long").alias("chunk"))
+
+
+@query
+def assembly_registry(spark, d):
+    every = [genome.assembly(spark, name).select(F.lit(name).alias("assembly"), F.col("ord").cast("long").alias("ord"), "chrom", "size") for name in genome.SIZES]
+    return tables.consolidate([("", "", e) for e in every]).drop("sample", "rule")
+
+
 @over("positions_v")
 def top_bead(p):
     return clusters.top_beads(clusters.build(p))
@@ -544,5 +705,4 @@ def genome_bin_inverse(spark, d):
 
 @over("positions_v")
 def bpm_rpm_ratio(p):
-    s = clusters.sizes(clusters.build(p)).agg(F.sum("n_bpm").alias("bpm"), F.sum("n_rpm").alias("rpm"))
-    return s.withColumn("ratio", F.round(F.try_divide(F.col("bpm").cast("double"), F.col("rpm")), 6))
+    return qc.type_ratio(clusters.build(p))

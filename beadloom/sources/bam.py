@@ -1,7 +1,8 @@
 """BAM as a Spark data source, after the published format: spark.read.format("bam").load(path).
 
 Fields: file, rec_no, qname, flag, ref_name, ref_start, ref_end (null if unplaced), cigar, seq, qual, tags (as text).
-A file is one partition and is read as a stream. `write` gives each partition a file of its own.
+A file is one partition and is read as a stream, in Arrow batches. `write` gives each partition a file of its own, and
+`write_by` one per value of a column; files get their names on the driver, once all tasks are done.
 """
 
 from __future__ import annotations
@@ -11,14 +12,23 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .store import list_files, locate, open_maybe_gzip
+from .fastq import in_batches
+from .store import Written, list_files, locate, open_maybe_gzip, show
 
 SCHEMA = "file string, rec_no long, qname string, flag int, ref_name string, ref_start int, ref_end int, cigar string, seq string, qual string, tags map<string,string>"
+ARROW = pa.schema(
+    [
+        ("file", pa.string()), ("rec_no", pa.int64()), ("qname", pa.string()), ("flag", pa.int32()), ("ref_name", pa.string()), ("ref_start", pa.int32()), ("ref_end", pa.int32()),
+        ("cigar", pa.string()), ("seq", pa.string()), ("qual", pa.string()), ("tags", pa.map_(pa.string(), pa.string())),
+    ]
+)
 # Codes of the format.
 BASES = "=ACMGRSVTWYHKDBN"
 OPS = "MIDNSHP=X"
@@ -96,7 +106,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: FilePart) -> Iterator[tuple]:
         with open_maybe_gzip(partition.path) as f:
-            yield from parse(f, partition.path)
+            yield from in_batches(parse(f, partition.path), ARROW)
 
 
 class BamSource(DataSource):
@@ -147,27 +157,59 @@ def block(data: bytes) -> bytes:
     return struct.pack("<BBBBIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(packed) + 25) + packed + struct.pack("<II", zlib.crc32(data), len(data))
 
 
-def write(rows: DataFrame, path: str, references: list[tuple[str, int]], groups: list[str] = []) -> DataFrame:  # noqa: B006
-    """One BAM file per partition under `path`; returns name and number of records of each. `references` is the header."""
-    numbers = {n: i for i, (n, _) in enumerate(references)}
+def _head(references: list[tuple[str, int]], groups: list[str]) -> bytes:
     text = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in references) + "".join(f"@RG\tID:{g}\tSM:{g}\n" for g in groups)
     head = b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(references))
-    head += b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in references)
+    return head + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in references)
+
+
+def _write(rows: DataFrame, path: str, references: list[tuple[str, int]], groups: list[str], by: str | None) -> DataFrame:
+    """Files of runs of rows with one value of `by`, each below a folder of that value; the driver shows them at the end."""
+    numbers = {n: i for i, (n, _) in enumerate(references)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = locate(path)
-        fs.create_dir(root, recursive=True)
-        name, n, held = f"part-{uuid.uuid4().hex}.bam", 0, head
-        with fs.open_output_stream(f"{root}/.{name}", compression=None) as out:
-            for batch in batches:
-                for r in batch.to_pylist():
-                    held += encode(r, numbers)
-                    n += 1
-                    while len(held) > 60_000:
-                        out.write(block(held[:60_000]))
-                        held = held[60_000:]
-            out.write((block(held) if held else b"") + END)
-        fs.move(f"{root}/.{name}", f"{root}/{name}")
-        yield pa.RecordBatch.from_pydict({"file": [name], "records": pa.array([n], pa.int64())})
-
-    return rows.mapInArrow(run, "file string, records long")
+        value, out, held, done = None, None, b"", []
+
+        def close() -> None:
+            if out is not None:
+                out.write((block(held) if held else b"") + END)
+                out.close()
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if out is None or (by and r[by] != value):
+                    close()
+                    value = r[by] if by else None
+                    folder = f"{by}={quote(str(value), safe='').replace('%', '=')}" if by else ""  # a percent sign would be read as part of a URL
+                    done.append(Written(folder, f"part-{uuid.uuid4().hex}.bam", 0))
+                    fs.create_dir(f"{root}/{folder}" if folder else root, recursive=True)
+                    out = fs.open_output_stream(f"{root}/{folder}/.{done[-1].name}" if folder else f"{root}/.{done[-1].name}", compression=None)
+                    held = _head(references, [str(value)] if by else groups)
+                held += encode(r, numbers)
+                done[-1].records += 1
+                while len(held) > 60_000:
+                    out.write(block(held[:60_000]))
+                    held = held[60_000:]
+        close()
+        yield pa.RecordBatch.from_pydict({"folder": pa.array([w.folder for w in done], pa.string()), "name": pa.array([w.name for w in done], pa.string()), "records": pa.array([w.records for w in done], pa.int64())})
+
+    found = [Written(*r) for r in rows.mapInArrow(run, "folder string, name string, records long").collect()]  # a row per file
+    show(path, found)
+    return rows.sparkSession.createDataFrame([(w.folder, w.name, w.records) for w in found], "folder string, file string, records long")
+
+
+def write(rows: DataFrame, path: str, references: list[tuple[str, int]], groups: list[str] = []) -> DataFrame:  # noqa: B006
+    """One BAM file per partition with rows under `path`; returns name and number of records of each. `references` is the header."""
+    return _write(rows, path, references, groups, None).drop("folder")
+
+
+def write_by(rows: DataFrame, path: str, references: list[tuple[str, int]], by: str, files: int = 8) -> DataFrame:
+    """BAM files per value of a column, such as a label, up to `files` each, with the value as read group and as RG tag.
+
+    A value with very many rows is dealt over `files` tasks by a hash of the name, so both mates are in one file.
+    """
+    tagged = rows.withColumn("tags", F.map_concat(F.coalesce(F.col("tags"), F.create_map().cast("map<string,string>")), F.create_map(F.lit("RG"), F.col(by).cast("string"))))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tagged.withColumn("__deal", F.pmod(F.xxhash64("qname"), F.lit(files))).repartition(parts, by, "__deal").drop("__deal")
+    return _write(dealt.sortWithinPartitions(by), path, references, [], by)

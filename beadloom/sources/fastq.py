@@ -1,23 +1,37 @@
 """FASTQ as a Spark data source: spark.read.format("fastq").load(path). One file is one partition, as its records have no marks.
 
 Fields: file, rec_no (from 0, within the file), name, seq, plus, qual. A record that is cut short or malformed is an error.
+Records pass to Spark in Arrow batches. The writer packs with .option("compression", "gzip").
 """
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from .store import lines, list_files, locate
+from .store import Written, lines, list_files, locate, show
 
 SCHEMA = "file string, rec_no long, name string, seq string, plus string, qual string"
 
 
+ARROW = pa.schema([("file", pa.string()), ("rec_no", pa.int64()), *((c, pa.string()) for c in ("name", "seq", "plus", "qual"))])
+#: Records of an Arrow batch.
+BATCH = 4096
+
+
+def in_batches(records: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while held := list(islice(records, BATCH)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
 def parse(rows: Iterator[bytes], file: str) -> Iterator[tuple]:
     for rec_no, name in enumerate(rows):
         seq, plus, qual = (next(rows, None) for _ in range(3))
@@ -41,39 +55,41 @@ class _Reader(DataSourceReader):
         return [FilePart(p) for p in list_files(self.path)]
 
     def read(self, partition: FilePart) -> Iterator[tuple]:
-        return parse(lines(partition.path), partition.path)
+        return in_batches(parse(lines(partition.path), partition.path), ARROW)
 
 
 @dataclass
-class _Written(WriterCommitMessage):
-    name: str
+class _Message(WriterCommitMessage):
+    file: Written
 
 
 class _Writer(DataSourceWriter):
     """Each task writes a file of its own under a hidden name; the commit shows those of the tasks that counted."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, packed: bool):
+        self.path, self.packed = path, packed
 
-    def write(self, rows: Iterator) -> _Written:
+    def write(self, rows: Iterator) -> _Message:
         fs, root = locate(self.path)
         fs.create_dir(root, recursive=True)
-        name = f"part-{uuid.uuid4().hex}.fastq"
-        with fs.open_output_stream(f"{root}/.{name}") as out:
+        name, n = f"part-{uuid.uuid4().hex}.fastq{'.gz' if self.packed else ''}", 0
+        with fs.open_output_stream(f"{root}/.{name}", compression=None) as raw:
+            out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if self.packed else raw
             for r in rows:
                 out.write(f"{r.name}\n{r.seq}\n{r.plus}\n{r.qual}\n".encode())
-        return _Written(name)
+                n += 1
+            if self.packed:
+                out.close()
+        return _Message(Written("", name, n))
 
     def commit(self, messages: list) -> None:
-        fs, root = locate(self.path)
-        for m in messages:
-            fs.move(f"{root}/.{m.name}", f"{root}/{m.name}")
+        show(self.path, [m.file for m in messages])
 
     def abort(self, messages: list) -> None:
         fs, root = locate(self.path)
         for m in messages:
             if m is not None:
-                fs.delete_file(f"{root}/.{m.name}")
+                fs.delete_file(f"{root}/.{m.file.name}")
 
 
 class FastqSource(DataSource):
@@ -88,7 +104,7 @@ class FastqSource(DataSource):
         return _Reader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], self.options.get("compression", "none").lower() == "gzip")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -96,6 +112,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("fastq").load(path)
 
 
+def write(records: DataFrame, path: str, packed: bool = False) -> None:
+    """name, seq, plus, qual as FASTQ files below a folder, packed if asked for."""
+    spark = records.sparkSession
+    spark.dataSource.register(FastqSource)
+    records.select("name", "seq", "plus", "qual").write.format("fastq").option("compression", "gzip" if packed else "none").mode("append").save(path)
+
+
 def frame_lines(rows: DataFrame) -> DataFrame:
     """Numbered lines (file, line_no from 0, line) -> records; for text that is already a table."""
     part = F.col("line_no") % 4

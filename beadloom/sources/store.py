@@ -5,9 +5,13 @@ from __future__ import annotations
 import gzip
 import io
 import os
+import tempfile
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow.fs as pafs
+from pyspark.sql import SparkSession
 
 
 def locate(path: str) -> tuple[pafs.FileSystem, str]:
@@ -17,6 +21,36 @@ def locate(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the session's spark.checkpoint.dir, which driver and executors share.
+
+    Only a session on one machine gets a folder of its own where that is unset.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="beadloom-")
+    return f"{base.rstrip('/')}/beadloom-files-{uuid.uuid4().hex}"
+
+
+@dataclass
+class Written:
+    """A file that a task wrote under a hidden name."""
+
+    folder: str
+    name: str
+    records: int
+
+
+def show(path: str, files: list[Written]) -> None:
+    """Give files of tasks that counted their names; called once, by the driver, so a task that ran twice leaves nothing."""
+    fs, root = locate(path)
+    for f in files:
+        folder = f"{root}/{f.folder}" if f.folder else root
+        fs.move(f"{folder}/.{f.name}", f"{folder}/{f.name}")
+
+
 def list_files(path: str) -> list[str]:
     """The file itself, or the files below a folder, in order; hidden ones left out."""
     fs, p = locate(path)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clusters
+from ..operators import clusters, order
+from .store import Written, locate, show
 
 
 def tag_config(spark: SparkSession, path: str, skip: int = 3) -> DataFrame:
@@ -31,17 +36,53 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode("m").alias("sample", "r")).select("sample", F.explode("r").alias("read", "p")).select("sample", "read", F.explode("p").alias("path"))
 
 
+def settings(spark: SparkSession, path: str) -> DataFrame:
+    """key, value of a flat YAML file: `key: value` lines, quotes taken off, comments and lists left out."""
+    rows = spark.read.text(path).filter(F.col("value").rlike(r"^[A-Za-z_][\w-]*\s*:"))
+    key = F.trim(F.substring_index("value", ":", 1))
+    rest = F.trim(F.regexp_replace(F.regexp_replace("value", r"^[^:]*:", ""), r"\s+#.*$", ""))
+    return rows.select(key.alias("key"), F.regexp_replace(rest, r"""^(["'])(.*)\1$""", "$2").alias("value"))
+
+
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     return clusters.parse(spark.read.text(path).withColumnRenamed("value", "line"))
 
 
-def write_clusters(positions: DataFrame, path: str) -> None:
-    clusters.render(positions).select(F.col("line").alias("value")).write.text(path)
-
+def write_clusters(positions: DataFrame, path: str) -> DataFrame:
+    """Cluster lines as text files below a folder; returns name and number of lines of each.
 
-def write_by(rows: DataFrame, path: str, column: str) -> None:
-    """A folder per value of a column, such as label or condition."""
-    rows.write.partitionBy(column).parquet(path)
+    A task streams its sorted positions, so a line may be of any length; the driver shows the files once all are done.
+    """
+    parts = int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = clusters.rendered(positions).repartition(parts, "barcode").sortWithinPartitions("barcode", "score", "text").select("barcode", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = locate(path)
+        fs.create_dir(root, recursive=True)
+        name, n, last, out = f"part-{uuid.uuid4().hex}.clusters", 0, None, None
+        for batch in batches:
+            for barcode, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if out is None:
+                    out = fs.open_output_stream(f"{root}/.{name}", compression=None, buffer_size=1 << 20)
+                if barcode != last:
+                    out.write((("\n" if n else "") + barcode).encode())
+                    last, n = barcode, n + 1
+                out.write(f"\t{text}".encode())
+        if out is not None:
+            out.write(b"\n")
+            out.close()
+            yield pa.RecordBatch.from_pydict({"file": [name], "lines": pa.array([n], pa.int64())})
+
+    found = rows.mapInArrow(run, "file string, lines long").collect()  # a row per file
+    show(path, [Written("", r.file, r.lines) for r in found])
+    return positions.sparkSession.createDataFrame([tuple(r) for r in found], "file string, lines long")
+
+
+def write_by(rows: DataFrame, path: str, column: str, files: int = 8) -> None:
+    """A folder per value of a column, such as label or condition, with up to `files` files each, however many tasks there are."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = F.floor(F.rand(17) * files)
+    rows.withColumn("__deal", deal).repartition(parts, column, "__deal").drop("__deal").write.partitionBy(column).parquet(path)
 
 
 def reports(spark: SparkSession, path: str) -> DataFrame:
@@ -58,17 +99,8 @@ def consolidate(parts: list[tuple[str, str, DataFrame]]) -> DataFrame:
     return whole
 
 
-def assign_chunks(rows: DataFrame, order: str, k: int) -> DataFrame:
-    """Contiguous chunks of floor(n/k)+1 rows in an order, without sorting all rows in one task.
-
-    Ranges of the order are numbered by their sizes, so a row's number is its place in its range plus the rows before.
-    """
-    parts = max(2, rows.sparkSession.sparkContext.defaultParallelism)
-    borders = sorted(set(rows.approxQuantile(order, [i / parts for i in range(1, parts)], 0.1 / parts)))
-    ranged = rows.withColumn("__p", sum((F.when(F.col(order) > b, 1).otherwise(0) for b in borders), F.lit(0)))
-    counts = ranged.groupBy("__p").agg(F.count("*").alias("n"))
-    before = counts.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")  # a row per range
+def assign_chunks(rows: DataFrame, by: str, k: int) -> DataFrame:
+    """Contiguous chunks of floor(n/k)+1 rows in an order, without sorting all rows in one task."""
     size = rows.count() // k + 1
-    numbered = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(order)) - 1)
-    at = numbered.join(F.broadcast(before), "__p")
-    return at.withColumn("chunk_no", F.floor((F.col("__i") + F.col("__before")) / F.lit(size)).cast("long")).drop("__p", "__i", "__before")
+    numbered = order.running_sums(rows.withColumn("__one", F.lit(1).cast("long")), by, {"__i": "__one"})
+    return numbered.withColumn("chunk_no", F.floor((F.col("__i") - 1) / F.lit(size)).cast("long")).drop("__one", "__i")

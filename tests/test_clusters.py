@@ -79,8 +79,11 @@ def test_pairs_and_trim(spark):
 def test_front_and_pair_adapters(spark):
     df = spark.createDataFrame([("AAGGTGGTCTTTCCC",), ("GCCTCTTGTTGGTGGTCTTTA",), ("ACGT",)], "seq string")
     assert [r.seq for r in reads.trim_front(df, reads.BEAD_ADAPTERS).collect()] == ["CCC", "GGTGGTCTTTA", "ACGT"]
-    pairs = spark.createDataFrame([("A" * 20 + reads.ADAPTER_1, "C" * 25), ("A" * 30, "C" * 19 + reads.ADAPTER_2 + "G")], "seq1 string, seq2 string")
-    assert [(r.seq1, r.seq2) for r in reads.trim_pairs(pairs).collect()] == [("A" * 20, "C" * 25)]
+    pairs = spark.createDataFrame([("A" * 20 + reads.ADAPTER_1, "C" * 25), ("A" * 30, "C" * 30 + reads.ADAPTER_2 + "G"), ("A" * 30, "T" * 9 + reads.ADAPTER_2 + "G" * 21)], "seq1 string, seq2 string")
+    # the adapter of mate 2 stands in front: what is before it goes, too
+    assert [(r.seq1, r.seq2) for r in reads.trim_pairs(pairs).collect()] == [("A" * 20, "C" * 25), ("A" * 30, "G" * 21)]
+    near = spark.createDataFrame([("A" * 20 + "T" + reads.ADAPTER_1[1:], "T" * 9 + reads.ADAPTER_2[:-1] + "C" + "G" * 21)], "seq1 string, seq2 string")
+    assert [len(r.seq1) for r in reads.trim_pairs(near).collect()] == [38] and [(len(r.seq1), r.seq2) for r in reads.trim_pairs(near, errors=1).collect()] == [(20, "G" * 21)]
 
 
 def test_genome_bins_invert(spark):
@@ -97,3 +100,40 @@ def test_error_blocks_per_file(spark):
     df = spark.createDataFrame([(f, i, x) for f in "pq" for i, x in enumerate(lines)], "file string, line_no int, line string")
     got = sorted((r.file, r.rule, r.jobid, r.log) for r in qc.error_blocks(df, ["file"]).collect())
     assert got == sorted((f, *x) for f in "pq" for x in [("a", "2", None), ("b", None, "l.txt"), ("c", None, None)])
+
+
+def test_long_log_over_ranges(spark):
+    """A log cut into many ranges of lines gives the blocks of a plain walk, with one file and with several."""
+    import random
+
+    rng = random.Random(5)
+    kinds = ["x", "", "Error in rule r{}:", "    jobid: {}", "    log: l{}.txt (see)", "Finished job {}.", "jobid: {} log: m.txt"]
+    lines = [rng.choice(kinds).format(i) for i in range(3000)]
+
+    def walk(rows):
+        out, now = [], None
+        for line in rows:
+            if line.startswith("Error in rule"):
+                now = [line[14:-1], None, None]
+                out.append(now)
+            elif now is not None and "jobid:" in line:
+                now[1] = line.split("jobid: ")[1].split()[0]
+            elif now is not None and "log:" in line:
+                now[2] = line.split("log: ")[1].split(" ")[0]
+            elif now is not None and (not line.strip() or "Finished job" in line):
+                now = None
+        return sorted(map(tuple, out), key=str)
+
+    df = spark.createDataFrame([(f, i, x) for f in "pq" for i, x in enumerate(lines if f == "p" else lines[::-1])], "file string, line_no int, line string").repartition(4)
+    got = {f: sorted(((r.rule, r.jobid, r.log) for r in qc.error_blocks(df, ["file"]).filter(F.col("file") == f).collect()), key=str) for f in "pq"}
+    assert got == {"p": walk(lines), "q": walk(lines[::-1])}
+    assert sorted(((r.rule, r.jobid, r.log) for r in qc.error_blocks(df.filter("file = 'p'")).collect()), key=str) == walk(lines)
+
+
+def test_molecule_totals_without_lists(spark, sf_dir):
+    from beadloom.plans.queries import _umis
+
+    u = _umis(view(spark, sf_dir, "positions_v"))
+    with_list = qc.umi_duplication(u)
+    assert qc.umi_totals(u).exceptAll(with_list.drop("umi_counts")).isEmpty()
+    assert qc.umi_counts(u).count() == with_list.agg(F.sum("unique_umis")).first()[0]

@@ -44,3 +44,30 @@ def test_scans_read_few_columns_and_push_filters(spark, sf_dir):
     assert "l_extendedprice" not in plan and "l_shipdate" not in plan
     plan = QUERIES["tag_ambiguity"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(p_partkey,96)" in plan
+
+
+#: Exchanges of data that grows with the input, at most. A single-partition exchange is allowed over rows per range, bin or name.
+EXCHANGES = {"cluster_label": 3, "cluster_merge": 3, "umi_duplication": 2, "coord_sort": 1, "render_clusters": 2}
+
+
+@pytest.mark.parametrize("name", list(EXCHANGES))
+def test_exchanges(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Exchange ") for line in plan.split("\n")) <= EXCHANGES[name], plan
+
+
+@pytest.mark.parametrize("name", ["barcode_layout", "identify", "bead_lookup", "terminal_lookup"])
+def test_reads_are_shuffled_once(spark, sf_dir, name):
+    """Tags shuffle for their own tables; the records of reads do at most once."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and plan.count("hashpartitioning(rec_no") <= 1, plan
+
+
+def test_no_row_data_in_one_partition(spark, sf_dir):
+    """Log blocks and chunks: what goes to one partition is behind an aggregation per range."""
+    for name in ("error_blocks", "chunk_assign"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                assert "HashAggregate(keys=[__p" in "".join(lines[i : i + 3]), plan

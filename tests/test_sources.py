@@ -67,3 +67,50 @@ def test_manifest_chunks(spark):
     df = spark.createDataFrame([("s", "R1", f"f{i}") for i in range(5)] + [("t", "R1", "g")], "sample string, read string, path string")
     got = {r.path: r.chunk for r in fastq.split_manifest(df, 2).collect()}
     assert got == {"f0": 0, "f1": 0, "f2": 1, "f3": 1, "f4": 1, "g": 1}  # round(2.5) and round(0.5) go to even
+
+
+def test_packed_writer(spark, tmp_path):
+    df = spark.createDataFrame(RECORDS, "name string, seq string, plus string, qual string").coalesce(1)
+    fastq.write(df, str(tmp_path / "out"), packed=True)
+    (name,) = [p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".gz"]
+    assert gzip.decompress((tmp_path / "out" / name).read_bytes()).decode() == as_text([(n, s, "+" if p == "+" else p, q) for n, s, p, q in RECORDS])
+    assert [r.name for r in fastq.read(spark, str(tmp_path / "out")).orderBy("rec_no").collect()] == [r[0] for r in RECORDS]
+
+
+def alignments(spark, n):
+    return spark.createDataFrame([("f", i, f"q{i // 2}", 64 if i % 2 else 128, "chr1", i, i + 4, "4M", "ACGT", "", {"XX": "1"}, "hot" if i % 10 else f"L/{i % 3}") for i in range(n)], bam.SCHEMA + ", label string")
+
+
+def test_bam_by_label(spark, tmp_path):
+    out = str(tmp_path / "out")
+    files = bam.write_by(alignments(spark, 2000).repartition(3), out, [("chr1", 10000)], "label", files=4).collect()
+    assert sum(r.records for r in files) == 2000 and 2 <= sum(r.folder == "label=hot" for r in files) <= 4
+    back = bam.read(spark, out).collect()
+    assert {(r.tags["RG"], r.file.split("label=")[1].split("/")[0].replace("=2F", "/")) for r in back} == {(x, x) for x in ("hot", "L/0", "L/1", "L/2")}
+    assert len(back) == 2000 and all(r.tags["XX"] == "1" for r in back)
+    by = {}
+    for r in back:
+        by.setdefault((r.qname, r.tags["RG"]), set()).add(r.file)
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_files_of_lost_tasks_stay_hidden(spark, tmp_path):
+    """A task that ran twice has written two files; only the one that the driver was told of is read."""
+    out = tmp_path / "out"
+    bam.write(alignments(spark, 10).drop("label").coalesce(1), str(out), [("chr1", 100)])
+    (out / ".part-again.bam").write_bytes(next(out.glob("part-*.bam")).read_bytes())
+    assert bam.read(spark, str(out)).count() == 10
+
+
+def test_settings_and_cluster_files(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text("# all\nassembly: \"mm10\"\nmax_size: 13   # reads\nempty:\nlist:\n  - a\nurl: http://x:1/y\n")
+    assert {r.key: r.value for r in tables.settings(spark, str(tmp_path / "c.yaml")).collect()} == {"assembly": "mm10", "max_size": "13", "empty": "", "list": "", "url": "http://x:1/y"}
+    p = spark.createDataFrame([(b, "RPM", "+", "chr1", i, i + 9) for b, n in (("a.b", 20000), ("c", 1)) for i in range(n)], "barcode string, read_type string, feature string, chrom string, start_pos int, end_pos int")
+    assert sum(r.lines for r in tables.write_clusters(p, str(tmp_path / "k")).collect()) == 2
+    assert tables.read_clusters(spark, str(tmp_path / "k")).groupBy("barcode").count().orderBy("barcode").collect() == [("a.b", 20000), ("c", 1)]
+
+
+def test_values_get_few_files(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'b' ELSE 'a' END AS label").repartition(8)
+    tables.write_by(rows, str(tmp_path / "w"), "label", files=2)
+    assert all(1 <= len(list((tmp_path / "w" / f"label={x}").glob("*.parquet"))) <= 2 for x in "ab") and spark.read.parquet(str(tmp_path / "w")).count() == 4000

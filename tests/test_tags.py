@@ -60,7 +60,7 @@ def test_layout_equals_walk(spark):
     t = spark.createDataFrame(table, "ord int, name string, tag string")
     r = spark.createDataFrame(reads, "rec_no int, seq string")
     layout = "Y|SPACER|ODD|SPACER|ODD"
-    got = {x.rec_no: x.barcode for x in tags.walk_layout(r, layout, t, {"ODD": tags.nearest(tags.hamming_ball(t))}, {"ODD": [5, 6]}).collect()}
+    got = {x.rec_no: x.barcode for x in tags.walk_layout(r, layout, {"Y": tags.exact(t), "ODD": tags.nearest(tags.hamming_ball(t))}, {"Y": [5, 6], "ODD": [5, 6]}).collect()}
     y, near = {}, {}
     for _, name, tag in table:
         y[tag] = name
@@ -82,3 +82,32 @@ def test_ambiguous(spark):
     assert {r.neighbour for r in tags.ambiguous(tags.hamming_ball(t)).collect()} == {"AACA", "AAAC"}
     assert {r.name for r in tags.nearest(tags.hamming_ball(t)).filter(F.col("neighbour") == "AACA").collect()} == {"B"}
     assert {r.name for r in tags.nearest(tags.hamming_ball(t), last_wins=False).filter(F.col("neighbour") == "AACA").collect()} == {"A"}
+
+
+def test_tolerance_per_tag(spark):
+    t = spark.createDataFrame([(0, "a", "AAAA", 0), (1, "b", "CCCC", 1), (2, "c", "GGGG", 2)], "ord int, name string, tag string, tolerance int")
+    got = {}
+    for r in tags.hamming_ball(t, 2, tolerance="tolerance").collect():
+        got.setdefault(r.name, set()).add(r.neighbour)
+    assert {k: len(v) for k, v in got.items()} == {"a": 1, "b": 13, "c": 1 + 12 + 54}
+
+
+def test_identify_is_one_pass(spark, sf_dir):
+    """One scan of the reads and one shuffle of them, whatever the number of slots and lengths."""
+    import re
+
+    from beadloom.plans.queries import QUERIES
+
+    df = QUERIES["identify"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet .*orders.parquet", plan)) == 1
+    # tags shuffle for their tables; of the reads' records one shuffle
+    assert len(re.findall(r"hashpartitioning\(rec_no", plan)) == 1
+
+
+def test_identify_without_beads_or_short_reads(spark):
+    config = spark.createDataFrame([("Y", "Y1", "ACG", 0, 0), ("ODD", "O1", "TTTTT", 1, 1)], "type string, name string, tag string, tolerance int, ord int")
+    pairs = spark.createDataFrame([(1, "@a x", "A", "@a y", "ACG" + "C" * 7 + "TTTAT" + "G" * 17), (2, "@b", "", "@b", "ACG")], "rec_no int, name1 string, seq1 string, name2 string, seq2 string")
+    got = {r.rec_no: (r.name1, r.barcode) for r in tags.identify(pairs, config, "DPM", "Y|SPACER|ODD").collect()}
+    assert got == {1: ("@a::[NOT_FOUND][Y1][O1]", ["NOT_FOUND", "Y1", "O1"]), 2: ("@b::[NOT_FOUND][Y1][NOT_FOUND]", ["NOT_FOUND", "Y1", "NOT_FOUND"])}
