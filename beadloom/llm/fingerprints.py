@@ -8,12 +8,14 @@ gives the pieces that differ. If peeling fails, both are built anew with four ti
 
 Defined cases: a null text is empty; empty texts have no pieces, two of them have likeness 1 (as equal texts have); the
 next document of the last is the first, that of a single row is itself; a null doc_id sorts first; rows of equal doc_id
-go by text; other columns are ignored; an empty table gives an empty result.
+go by a hash of the text, then by text; repeated rows give a row each, whose next document but for the last is the same
+text; texts of any length are taken whole; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -203,51 +205,92 @@ def _bounds(ids: DataFrame, parts: int) -> list[float]:
     return sorted(set(ids.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)))
 
 
+def _heavy(rows: DataFrame, limit: int) -> list[tuple[int | None, int]]:
+    """(id, distinct texts) of the ids with more than `limit` rows; at most one per range, so a bounded list."""
+    many = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("doc_id", F.lit(True).alias("many"))
+    if many.isEmpty():
+        return []
+    found = rows.join(F.broadcast(many), rows.doc_id.eqNullSafe(many.doc_id), "left_semi")
+    return [(r.doc_id, r.n) for r in found.select("doc_id", "h").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).collect()]
+
+
 def compare_with_next(docs: DataFrame, rows_per_range: int = 1000) -> DataFrame:
     """Fingerprints of every document and of its text edited with the next document's, and both likenesses.
 
-    Ranges of doc_id go to tasks, each range sorted; of the next range only its first row is copied, so the texts are
-    shuffled once. The driver sees the borders and first ids of ranges, not of rows.
+    Ranges of (doc_id, hash of the text) go to tasks, each range sorted; of the next range only its first row is copied, so
+    the texts are shuffled once. An id with more rows than a range has ranges of its own, cut by the hash, and its equal
+    rows are counted before the shuffle, and multiplied again behind the comparison. The driver sees the borders and first
+    ids of ranges, not of rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     ids = rows.select("doc_id")
-    borders = _bounds(ids.filter("doc_id IS NOT NULL"), min(MAX_RANGES, max(1, -(-ids.count() // rows_per_range))))
-    if borders:
+    ranges = min(MAX_RANGES, max(1, -(-ids.count() // rows_per_range)))
+    heavy = _heavy(rows.select("doc_id", "h"), max(rows_per_range, -(-ids.count() // ranges)))
+    hot = [i for i, _ in heavy if i is not None]
+    # a hot id lies between borders of its own
+    borders = sorted({*_bounds(ids.filter("doc_id IS NOT NULL"), ranges), *map(float, hot), *(float(i + 1) for i in hot)})
+    cuts = F.array(*[F.lit(b) for b in borders]) if len(borders) < 50 else None
+    if not borders:
+        base = lambda df: df.withColumn("base", F.when(F.col("doc_id").isNull(), 0).otherwise(1))
+    elif cuts is not None:
+        base = lambda df: df.withColumn("base", F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda b: b <= F.col("doc_id").cast("double"))) + 1))
+    else:
         from pyspark.ml.feature import Bucketizer
 
-        inner = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="__at", outputCol="__bucket", handleInvalid="keep")
-        spread = lambda df: inner.transform(df.withColumn("__at", F.col("doc_id").cast("double"))).drop("__at").withColumn("__bucket", F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("__bucket").cast("int")))
+        inner = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="at", outputCol="base", handleInvalid="keep")
+        base = lambda df: inner.transform(df.withColumn("at", F.col("doc_id").cast("double"))).drop("at").withColumn("base", F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("base").cast("int") + 1))
+    parts = {(0 if i is None else bisect.bisect_right(borders, float(i)) + 1): max(1, -(-n // rows_per_range)) for i, n in heavy}
+    offsets, total = [], 0
+    for k in range(len(borders) + 2):
+        offsets.append((k, total, parts.get(k, 1)))
+        total += offsets[-1][2]
+    places = F.broadcast(spark.createDataFrame(offsets, "base int, first int, parts int"))  # a row per range
+    # a hash's place among `parts` equal slices of the 64-bit numbers
+    slice_ = F.least(F.floor((F.col("h") / F.lit(2.0**64) + F.lit(0.5)) * F.col("parts")), F.col("parts") - 1)
+    spread = lambda df: base(df).join(places, "base").withColumn("bucket", (F.col("first") + slice_).cast("int")).drop("base", "first", "parts")
+    if heavy:
+        names = F.broadcast(spark.createDataFrame([(i,) for i, _ in heavy], "id long"))
+        same = rows.doc_id.eqNullSafe(names.id)
+        many = rows.join(names, same, "left_semi").groupBy("doc_id", "text", "h").agg(F.count("*").alias("times"))
+        rows = rows.join(names, same, "left_anti").withColumn("times", F.lit(1).cast("long")).unionByName(many)
     else:
-        spread = lambda df: df.withColumn("__bucket", F.lit(0))
-    heads = {r["__bucket"]: r["first"] for r in spread(ids).groupBy("__bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first")).collect()}
+        rows = rows.withColumn("times", F.lit(1).cast("long"))
+    heads = {r["bucket"]: r["first"] for r in spread(rows.select("doc_id", "h")).groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h")).alias("first")).collect()}
     order = sorted(heads)
-    if not order:
-        parts = rows.withColumn("__bucket", F.lit(0)).withColumn("__copy", F.lit(0))
-    else:
+    placed = spread(rows).withColumn("copy", F.lit(0))
+    if order:
         before = {order[i]: order[i - 1] for i in range(len(order))}  # the first's is the last
-        placed = spread(rows)
-        # ties: of rows with the head's id only the first by text is the head; all are copied, the task takes the least
-        lookup = F.broadcast(docs.sparkSession.createDataFrame([(b, before[b], heads[b]["doc_id"]) for b in order], "b int, to int, id long"))  # one row per range
-        heads_only = placed.join(lookup, (F.col("__bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", F.col("to").alias("__bucket"), F.lit(1).alias("__copy"))
-        parts = placed.withColumn("__copy", F.lit(0)).unionByName(heads_only)
-    width = max(1, len(order))
-    sorted_ = parts.repartition(width, "__bucket").sortWithinPartitions("__bucket", "__copy", F.col("doc_id").asc_nulls_first(), "text")
-    return sorted_.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        # ties: of rows with the head's id and hash only the first by text is the head; all are copied, the task takes the least
+        lookup = F.broadcast(spark.createDataFrame([(b, before[b], heads[b]["doc_id"], heads[b]["h"]) for b in order], "b int, to int, id long, hash long"))  # one row per range
+        heads_only = placed.join(lookup, (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash"))).select("doc_id", "text", "h", "times", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
+        placed = placed.unionByName(heads_only)
+    dealt = placed.repartition(max(1, len(order)), "bucket").sortWithinPartitions("bucket", "copy", F.col("doc_id").asc_nulls_first(), "h", "text")
+    found = dealt.select("doc_id", "text", "bucket", "copy", "times").mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, times int")
+    each = found.select(*[c for c in found.columns if c != "times"], F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time"))
+    return each.drop("time")
+
+
+#: Rows that one row stands for at most.
+TIMES = 10_000
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stream of (bucket, rows in order, then the copied head of the next bucket)."""
 
     def pairs():
-        held, done = None, False
+        held = None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "__bucket", "__copy"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "bucket", "copy", "times"))):
                 if held is not None and held[2] == row[2]:
-                    yield held[0], held[1], row[1]
-                    held = row if not row[3] else None
-                else:
-                    held = row if not row[3] else None
-        assert held is None, "a range's rows end with the copy of the next range's head"
+                    left = held[4] - 1
+                    while left > 0:  # the equal rows but the last are followed by their own text
+                        yield held[0], held[1], held[1], min(left, TIMES)
+                        left -= TIMES
+                    yield held[0], held[1], row[1], 1
+                held = row if not row[3] else None
+        if held is not None:
+            raise RuntimeError(f"range {held[2]} lacks the copy of the next range's first row")
 
     chunk: list = []
     size = 0
@@ -262,24 +305,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fingerprint_chunk(chunk: list[tuple]) -> pa.RecordBatch:
-    """Fingerprints of consecutive (doc_id, text, next text)."""
-    own = [keys(t) for _, t, _ in chunk]
-    nexts = [own[i + 1] if i + 1 < len(chunk) and chunk[i + 1][1] is n else keys(n) for i, (_, _, n) in enumerate(chunk)]
-    changed = [edited(t, n) for _, t, n in chunk]
+    """Fingerprints of consecutive (doc_id, text, next text, times)."""
+    own = [keys(t) for _, t, _, _ in chunk]
+    nexts = [own[i + 1] if i + 1 < len(chunk) and chunk[i + 1][1] is n else keys(n) for i, (_, _, n, _) in enumerate(chunk)]
+    changed = [edited(t, n) for _, t, n, _ in chunk]
     other = [keys(t) for t in changed]
     a, b, c = Sketches.build(own, CELLS), Sketches.build(other, CELLS), Sketches.build(nexts, CELLS)
-    same = np.array([x == y for (_, x, _), y in zip(chunk, changed)])
-    same_next = np.array([x == y for _, x, y in chunk])
+    same = np.array([x == y for (_, x, _, _), y in zip(chunk, changed)])
+    same_next = np.array([x == y for _, x, y, _ in chunk])
     near = np.where(same, 1.0, likeness(own, other, a, b))
     near_next = np.where(same_next, 1.0, likeness(own, nexts, a, c))
     return pa.RecordBatch.from_pydict(
         {
-            "doc_id": pa.array([d for d, _, _ in chunk], pa.int64()),
-            "n_chars": pa.array([len(t) for _, t, _ in chunk], pa.int64()),
+            "doc_id": pa.array([d for d, _, _, _ in chunk], pa.int64()),
+            "n_chars": pa.array([len(t) for _, t, _, _ in chunk], pa.int64()),
             "edited_sha256": pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed]),
             "fingerprint": pa.array([a.text(i) for i in range(len(chunk))]),
             "edited_fingerprint": pa.array([b.text(i) for i in range(len(chunk))]),
             "near_edited": pa.array(near, pa.float64()),
             "near_next": pa.array(near_next, pa.float64()),
+            "times": pa.array([n for _, _, _, n in chunk], pa.int32()),
         }
     )

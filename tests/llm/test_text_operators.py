@@ -353,24 +353,46 @@ def test_fingerprints_peel_and_retry():
     assert {k for k, s in zip(keys.tolist(), signs.tolist()) if s > 0} == set(np.setdiff1d(ka, kb).tolist())
 
 
+def fingerprints_by_hand(spark, texts):
+    """(doc_id, n_chars, edited_sha256, near_edited, near_next) row by row, likeness from the sets of keys."""
+    h = {t: h for t, h in spark.createDataFrame([(t or "",) for _, t in texts], "t string").select("t", F.xxhash64("t")).collect()}
+    rows = sorted(((i, t or "") for i, t in texts), key=lambda x: (x[0] is not None, x[0] or 0, h[x[1]], x[1]))
+
+    def like(a, b):
+        x, y = fingerprints.keys(a), fingerprints.keys(b)
+        total = fingerprints._total
+        return 1.0 if a == b or not total(x) + total(y) else 1 - total(np.setxor1d(x, y)) / (total(x) + total(y))
+
+    out = []
+    for k, (i, t) in enumerate(rows):
+        n = rows[(k + 1) % len(rows)][1]
+        e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
+        out.append((str(i), len(t), hashlib.sha256(e.encode()).hexdigest(), round(like(t, e), 9), round(like(t, n), 9)))
+    return sorted(out)
+
+
 def test_fingerprint_rows(spark):
-    texts = sorted(((i, t) for i, t in ODD), key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
-    plain = [(i, t or "") for i, t in texts]
-    for per_range in (2, 1000):
-        rows = fingerprints.compare_with_next(documents(spark, ODD), per_range).collect()
-        want = []
-        for k, (i, t) in enumerate(plain):
-            n = plain[(k + 1) % len(plain)][1]
-            e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
-            want.append((str(i), len(t), hashlib.sha256(e.encode()).hexdigest()))
-        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in rows) == sorted(want)
+    lines = ["first line of some words", "second line, other words", "a third line", "and a fourth one"]
+    texts = [*ODD, *((20 + i, "\n".join(lines[: i % 5])) for i in range(12)), *((40, f"hot id, text {i % 7}\n{lines[i % 4]}") for i in range(60)), *((None, f"no id {i % 3}") for i in range(20))]
+    want = fingerprints_by_hand(spark, texts)
+    for per_range in (2, 5, 1000):
+        rows = fingerprints.compare_with_next(documents(spark, texts), per_range).collect()
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in rows) == want
         assert len({r.fingerprint for r in rows if r.doc_id == 6}) == 1
-        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
     assert fingerprints.compare_with_next(documents(spark, []), 2).count() == 0
     one = fingerprints.compare_with_next(documents(spark, [(1, "alone")])).first()
     assert one.near_next == 1.0
 
 
+def test_fingerprints_of_a_hot_id_spread(spark):
+    """Neither the texts of one id nor its equal rows are one task's."""
+    rows = [(7, f"text {i} of the hot id") for i in range(600)] + [(7, "one and the same")] * 600 + [(i, f"other {i}") for i in range(100, 700)]
+    out = fingerprints.compare_with_next(documents(spark, rows), 100)
+    per = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]
+    assert out.count() == len(rows) and out.filter("doc_id = 7").count() == 1200 and per < 1200
+    assert out.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
