@@ -25,27 +25,34 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, append_batches, fresh, map_batches, materialise
+from .common import append_batches, fresh, map_batches, materialise
 
+#: Texts that are taken at once.
+SLICE = 512
 HASH_BITS = 18
 HASHES = 1 << HASH_BITS
+#: Beginnings of words, in bytes, that are features besides the word itself.
+PREFIXES = (4, 5)
 #: Measurements of a text. All are shares or logarithms, none is cut at a bound of a rule.
 DENSE = ("n_words", "symbols", "bangs", "pipes", "upper", "digits", "mean_word", "distinct", "window_repeats", "line_repeats")
+# Marks that are stripped from words.
 _STRIP = b".,;:!?\"'()[]{}*#$%&|<>-+=/"
+#: Bytes of text whose words are hashed at once; a longer word counts in pieces.
+PIECE = 1 << 20
+
 
 @dataclass(frozen=True)
 class Config:
     hashed: bool
     #: Names of DENSE that are used.
     dense: tuple[str, ...] = ()
-    #: Features of ends, marks and capitals besides words and their beginnings.
+    #: Features of a word's last three bytes, and of the marks behind it with whether it is in capitals.
     shapes: bool = False
     #: Whether features that are rarer in positives count, too, not only those that are more frequent.
     both_ways: bool = False
@@ -72,25 +79,119 @@ class Model:
     scale: np.ndarray = field(default_factory=lambda: np.ones(0))
 
 
-def _features_of(word: bytes, shapes: bool = False) -> tuple[int, ...]:
-    w = word.strip(_STRIP)
-    # the last three bytes with marks, and the marks with whether the word is in capitals
-    shape = (crc32(word[-3:], 101) % HASHES, crc32(word[len(word.rstrip(_STRIP)) :][:3] + (b"A" if w.isupper() else b"a"), 102) % HASHES) if shapes else ()
-    w = w.lower() if w.isascii() else w.decode("utf-8", "replace").lower().encode()
-    if len(w) > 5:
-        return (crc32(w) % HASHES, crc32(w[:4], 4) % HASHES, crc32(w[:5], 5) % HASHES, *shape)
-    return (crc32(w) % HASHES, crc32(w[:4], 4) % HASHES, *shape) if len(w) == 5 else (crc32(w) % HASHES, *shape) if w else shape
-
-
-@lru_cache(maxsize=2)
-def _cache(shapes: bool) -> SegmentCache:
-    return SegmentCache(lambda word: _features_of(word, shapes), 100_000)
-
-
-def hashed(words: list[bytes], config: Config) -> np.ndarray:
-    """Features of the distinct words of a text; a beginning that several words share comes as often."""
-    found = list(map(_cache(config.shapes).__getitem__, set(words)))
-    return np.fromiter((i for x in found for i in x), np.int32)
+def _table(of: Callable[[int], int]) -> np.ndarray:
+    return np.array([of(c) for c in range(256)], np.uint8)
+
+
+_SPACE = _table(lambda c: c in b" \t\n\v\f\r")
+_MARK = _table(lambda c: c in _STRIP)
+_LOW = _table(lambda c: c + 32 if 65 <= c <= 90 else c)
+_SMALL, _CAPITAL = _table(lambda c: 97 <= c <= 122), _table(lambda c: 65 <= c <= 90)
+_BASE = 0x9E3779B97F4A7C15
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64, and of its inverse: a stretch of bytes is hashed by a difference of sums."""
+    n = 2 * PIECE + 2
+    with np.errstate(over="ignore"):
+        return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def _sums(data: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers()[0][: len(data)], out=out[1:])
+    return out
+
+
+def _stretches(sums: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit hashes of data[start:end]."""
+    x = ((sums[end] - sums[start]) * _powers()[1][start] ^ np.uint64(salt * 0x632BE59BD9B4E019 % (1 << 64))) * _MIX
+    x ^= x >> np.uint64(31)
+    return x * _MIX ^ (x >> np.uint64(29))
+
+
+def _hash_words(data: np.ndarray, shapes: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, 64-bit identity, features) of each word of a text in bytes; features are one column each, HASHES for none."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[1], _SPACE[data], [1]])))
+    start, end = edges[::2], edges[1::2]
+    low = _LOW[data]
+    # capitals of Latin letters with accents: 0xC3 and 0x80 to 0x9E
+    accent = np.flatnonzero((data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[:-1] == 0xC3)) + 1
+    low[accent] += 32
+    raw, lower = _sums(data), _sums(low)
+    n, at, plain = len(data), np.arange(len(data)), _MARK[data] == 0
+    first = np.minimum(np.minimum.accumulate(np.where(plain, at, n)[::-1])[::-1][start], end)
+    last = np.maximum(np.maximum.accumulate(np.where(plain, at, -1))[end - 1] + 1, first)
+    size = last - first
+
+    def feature(hashes: np.ndarray, there: np.ndarray) -> np.ndarray:
+        return np.where(there, (hashes >> np.uint64(64 - HASH_BITS)).astype(np.int32), HASHES)
+
+    found = [feature(_stretches(lower, first, last, 1), size > 0)]
+    found += [feature(_stretches(lower, first, np.minimum(first + k, last), k), size > k) for k in PREFIXES]
+    if shapes:
+        small, capital = (np.concatenate([[0], np.cumsum(t[data])]) for t in (_SMALL, _CAPITAL))
+        loud = (small[last] == small[first]) & (capital[last] > capital[first])
+        found.append(feature(_stretches(raw, np.maximum(start, end - 3), end, 101), size >= 0))
+        found.append(feature(_stretches(raw, last, np.minimum(last + 3, end), 102) + loud.astype(np.uint64) * _MIX, size >= 0))
+    return start, _stretches(raw, start, end, 0), np.stack(found, 1).astype(np.int32)
+
+
+def _groups(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """(number, text) in groups of up to PIECE bytes; longer texts in pieces cut at white space, if there is any."""
+    held, size = [], 0
+    for i, t in enumerate(texts):
+        while len(t) > PIECE:
+            cut = max(t.rfind(c, 0, PIECE) for c in (b" ", b"\n", b"\t"))
+            cut = cut if cut > 0 else PIECE
+            yield [(i, t[:cut])]
+            t = t[cut:]
+        if held and size + len(t) > PIECE:
+            yield held
+            held, size = [], 0
+        held.append((i, t))
+        size += len(t) + 1
+    if held:
+        yield held
+
+
+def hash_texts(texts: list[str | None], shapes: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the text, features) of the distinct words of each text, by text; a beginning that several words of a text
+    share comes as often. Features are a row per word, HASHES where there is none."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    docs, names, rows = [], [], []
+    for group in _groups(raw):
+        data = np.frombuffer(b"\n".join([*(t for _, t in group), b""]), np.uint8)
+        at, name, found = _hash_words(data, shapes)
+        begins = np.cumsum([0, *(len(t) + 1 for _, t in group)])[:-1]
+        doc = np.array([i for i, _ in group])[np.searchsorted(begins, at, "right") - 1] if len(at) else np.zeros(0, np.int64)
+        docs.append(doc)
+        names.append(name)
+        rows.append(found)
+    if not docs:
+        return np.zeros(0, np.int64), np.zeros((0, 1), np.int32)
+    doc, name = np.concatenate(docs), np.concatenate(names)
+    # sorted by text, then by word: of equal words the first stays
+    order = np.lexsort((name, doc)) if len(docs) > 1 or len(doc) < 2 else _order(doc, name)
+    doc, name = doc[order], name[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (name[1:] != name[:-1])
+    return doc[new], np.concatenate(rows)[order[new]]
+
+
+def _order(doc: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """As lexsort, by one sort: the top bits are the text's number, the others of the word's hash decide but for accidents."""
+    bits = np.uint64(max(1, int(doc[-1]).bit_length()))
+    return np.argsort(doc.astype(np.uint64) << (np.uint64(64) - bits) | name >> bits)
+
+
+def hash_each(texts: list[str | None], shapes: bool) -> list[np.ndarray]:
+    """Features of each text."""
+    doc, found = hash_texts(texts, shapes)
+    cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
+    return [x[x < HASHES] for x in (found[a:b].ravel() for a, b in zip(cuts, cuts[1:]))]
 
 
 def dense(raw: bytes, words: list[bytes], names: tuple[str, ...]) -> np.ndarray:
@@ -111,10 +212,15 @@ def dense(raw: bytes, words: list[bytes], names: tuple[str, ...]) -> np.ndarray:
     return np.array([m[k] for k in names])
 
 
-def inputs(text: str | None, config: Config) -> tuple[np.ndarray, np.ndarray]:
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    words = raw.split()
-    return hashed(words, config) if config.hashed else np.zeros(0, np.int32), dense(raw, words, config.dense) if config.dense else np.zeros(0)
+def measurements(texts: list[str | None], names: tuple[str, ...]) -> list[np.ndarray]:
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts] if names else []
+    return [dense(r, r.split(), names) for r in raw] if names else [np.zeros(0)] * len(texts)
+
+
+def inputs(texts: list[str | None], config: Config) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashed features, measurements) of each text."""
+    found = hash_each(texts, config.shapes) if config.hashed else [np.zeros(0, np.int32)] * len(texts)
+    return list(zip(found, measurements(texts, config.dense)))
 
 
 class Rows:
@@ -285,11 +391,16 @@ def _count_features(docs: DataFrame, config: Config) -> tuple[np.ndarray, int]:
     """(in how many documents each hashed feature occurs, number of documents): one pass, a sum per feature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(HASHES, np.int64), 0
+        counts, n = np.zeros(HASHES + 1, np.int64), 0
         for batch in batches:
-            for text in batch.column("text"):
-                counts[np.unique(hashed((text.as_py() or "").encode("utf-8", "surrogatepass").split(), config))] += 1
-                n += 1
+            for at in range(0, batch.num_rows, SLICE):
+                texts = batch.column("text").slice(at, SLICE).to_pylist()
+                doc, found = hash_texts(texts, config.shapes)
+                # distinct pairs of text and feature
+                pairs = np.sort((doc[:, None] * (HASHES + 1) + found).ravel().astype(np.int32))
+                counts += np.bincount(pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)]] % (HASHES + 1), minlength=HASHES + 1)
+                n += len(texts)
+        counts = counts[:HASHES]
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"feature": pa.array([*at.tolist(), -1], pa.int32()), "n": pa.array([*counts[at].tolist(), n], pa.int64())})
 
@@ -313,8 +424,10 @@ def _count_above(docs: DataFrame, models: list[Model], cuts: list[np.ndarray]) -
         for batch in batches:
             half, texts = batch.column("half").to_numpy(), batch.column("text")
             for k in (0, 1):
-                found = np.array(score[k]([texts[i].as_py() for i in np.flatnonzero(half != k)]))
-                counts += (found[:, None] >= cuts[k]).sum(0) if len(found) else 0
+                own = np.flatnonzero(half != k)
+                for at in range(0, len(own), SLICE):
+                    found = np.array(score[k]([texts[i].as_py() for i in own[at : at + SLICE].tolist()]))
+                    counts += (found[:, None] >= cuts[k]).sum(0)
             n += len(half)
         yield pa.RecordBatch.from_pydict({"k": pa.array(range(-1, len(CUTS)), pa.int32()), "n": pa.array([n, *counts.tolist()], pa.int64())})
 
@@ -336,7 +449,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
 
     def make():
         def run(batch: dict) -> dict:
-            found = [inputs(t, config) for t in batch["text"]]
+            found = inputs(batch["text"], config)
             return {"positive": batch["positive"], "half": batch["half"], "at": batch["at"], "ids": [i.tobytes() for i, _ in found], "dense": [d.tobytes() for _, d in found]}
 
         return run
@@ -365,24 +478,22 @@ def _scorer(model: Model | None, squash: bool = True) -> Callable[[], Callable[[
         return lambda: lambda texts: [0.0] * len(texts)
     hashes, names, shapes = HASHES * model.config.hashed, model.config.dense, model.config.shapes
     used = np.flatnonzero(model.weights[:hashes])
-    of_hash = dict(zip(used.tolist(), model.weights[used].tolist()))
+    values = model.weights[used]
     wd = model.weights[hashes:-1] / model.scale
     offset = model.bias - float(wd @ model.centre)
 
     def make():
-        get = of_hash.get
-        word_scores = SegmentCache(lambda word: sum(get(i, 0.0) for i in _features_of(word, shapes)), 100_000).__getitem__
+        weights = np.zeros(HASHES + 1)
+        weights[used] = values
 
         def run(texts: list) -> list[float]:
-            out = []
-            for text in texts:
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                words = raw.split()
-                f = offset + (math.fsum(map(word_scores, set(words))) if hashes else 0.0)
-                if len(wd):
-                    f += float(dense(raw, words, names) @ wd)
-                out.append(float(_sigmoid(np.float64(f))) if squash else f)
-            return out
+            f = np.full(len(texts), offset)
+            if hashes:
+                doc, found = hash_texts(texts, shapes)
+                f += np.bincount(doc, weights[found].sum(1), len(texts))
+            if len(wd):
+                f += np.array(measurements(texts, names)).reshape(len(texts), -1) @ wd
+            return (_sigmoid(f) if squash else f).tolist()
 
         return run
 

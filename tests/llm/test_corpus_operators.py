@@ -189,6 +189,37 @@ def test_attach_splits_heavy_keys(spark, monkeypatch):
     assert {r.v: r["count"] for r in out} == {"H": 3000, "C": 1, None: 1}
 
 
+def test_word_features_against_a_plain_loop(monkeypatch):
+    """Equal words, beginnings, ends and marks have equal features, distinct ones almost never; texts cut in pieces, too."""
+    rng = random.Random(5)
+    bits = ["word", "Word", "WORD", "words!!", "(é", "École", "école", "a", "--", "x1", "日本", "wordy.", "\t", "\n", "  ", "\x1c", "***"]
+    texts = [None, "", " ", *("".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 40))) for _ in range(300))]
+
+    def plain(text):
+        out = []
+        for w in set((text or "").encode().split()):
+            core = w.strip(pu._STRIP)
+            low = core.decode("utf-8", "replace")
+            low = "".join(c.lower() if c.isascii() or "À" <= c <= "Þ" else c for c in low).encode()
+            out += [("w", low)] * bool(low) + [(k, low[:k]) for k in pu.PREFIXES if len(low) > k]
+            loud = not any(97 <= c <= 122 for c in core) and any(65 <= c <= 90 for c in core)
+            tail = w[len(w.rstrip(pu._STRIP)) :] if core else b""
+            out += [("end", w[-3:]), ("marks", tail[:3], loud)]
+        return out
+
+    for piece in (1 << 20, 64):
+        monkeypatch.setattr(pu, "PIECE", piece)
+        pu._powers.cache_clear()
+        name = {}
+        for text, ids in zip(texts, pu.hash_each(texts, True)):
+            want = plain(text)
+            assert len(ids) == len(want)
+            name.setdefault(tuple(sorted(ids.tolist())), set()).add(tuple(sorted(map(str, want))))
+        assert all(len(v) == 1 for v in name.values())
+        assert len({x for v in name.values() for x in v}) == len(name)
+    pu._powers.cache_clear()
+
+
 def test_risk_against_a_plain_loop():
     """Value and slope of the non-negative risk, both where its second part is positive and where it is not."""
     from math import exp, log
@@ -263,9 +294,9 @@ def test_counts_over_all_documents(spark):
     counts, n = pu._count_features(docs, pu.QUALITY)
     want = np.zeros(pu.HASHES, int)
     for _, t in texts:
-        want[list(set(pu.hashed((t or "").encode().split(), pu.QUALITY).tolist()))] += 1
+        want[list(set(pu.hash_each([t], True)[0].tolist()))] += 1
     assert n == len(texts) and (counts == want).all()
-    items = [pu.inputs(t, pu.QUALITY) for _, t in texts]
+    items = pu.inputs([t for _, t in texts], pu.QUALITY)
     models = [pu.fit(pu.Rows(items[:60]), pu.Rows(items[k::2]), pu.QUALITY, None) for k in (0, 1)]
     scores = [pu.logits(m, pu.Rows(items)) for m in models]
     cuts = [np.quantile(s, np.linspace(0.013, 0.97, len(pu.CUTS))) for s in scores]
@@ -319,9 +350,9 @@ def test_toxic_texts_with_words_not_seen_in_training(spark):
     marks = set(np.flatnonzero(model.weights[: pu.HASHES] > 0.5).tolist())
     rows = docs.join(labels.filter("toxic = 1"), "doc_id").select("doc_id", "text").collect()
     held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
-    items = pu.Rows([pu.inputs(r.text, pu.TOXICITY) for r in held])
+    items = pu.Rows(pu.inputs([r.text for r in held], pu.TOXICITY))
     caught = pu.logits(model, items) >= 0
-    known = np.array([bool(marks & set(pu.hashed((r.text or "").encode().split(), pu.TOXICITY).tolist())) for r in held])
+    known = np.array([bool(marks & set(pu.hash_each([r.text], False)[0].tolist())) for r in held])
     print("held-out toxic:", len(held), "caught:", caught.mean(), "with a known mark:", known.mean(), "caught of those:", caught[known].mean(), "of the others:", caught[~known].mean() if (~known).any() else None)
     assert caught.mean() > 0.7 and caught[known].mean() > 0.8
 
@@ -441,7 +472,7 @@ def test_pipeline_stages(spark):
     assert after == {d: t for d, t in rows.items() if passes(t or "")} and 0 < len(after) < len(rows)
 
     model = pu.learn(common.table(spark, folder, "documents"), common.table(spark, folder, "labels"), "quality", pu.fold(3) != 1, pu.QUALITY)
-    scores = dict(zip(after, pu.logits(model, pu.Rows([pu.inputs(t, pu.QUALITY) for t in after.values()])))) if model else {}
+    scores = dict(zip(after, pu.logits(model, pu.Rows(pu.inputs(list(after.values()), pu.QUALITY))))) if model else {}
     rows, after = after, run(1)
     assert after == {d: t for d, t in rows.items() if scores.get(d, 1) >= np.log(corpus_pipeline.SURE / (1 - corpus_pipeline.SURE))}
     clean = [d for d in rows if labels.get(d) == 1]
