@@ -3,8 +3,9 @@
 Policies are versioned masks over the bits, so that a new policy, or leaving a rule out, is a bitwise test over
 the ledger and never a second pass over the texts.
 
-Defined cases: a null or empty text has no words (all measurements 0, so the word-count rule fails); repeated rows
-and repeated doc_ids give a row each; a null doc_id stays null; other columns of the input are ignored; an empty
+Defined cases: a null or empty text has no words (all measurements 0, so the word-count rule fails); texts of any length
+are measured whole; a measurement equal to a rule's bound passes, and there are no other ties; repeated rows and repeated
+doc_ids give a row each; a null doc_id stays null; other columns of the input are ignored; an empty
 table gives an empty ledger.
 """
 
@@ -15,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_batches, map_batches
+from .common import append_batches, fresh, map_batches
 
 MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_pipes long, n_bangs long"
 
@@ -119,14 +120,15 @@ def keep(docs: DataFrame, policy: str | int = "v1") -> DataFrame:
     def make():
         def run(batch: dict) -> dict:
             columns = list(zip(*map(measure_text, batch["text"])))
-            return {f"__{n}": list(c) for n, c in zip(names, columns)}
+            return {own[n]: list(c) for n, c in zip(names, columns)}
 
         return run
 
-    rows = append_batches(docs, make, ", ".join(f"__{n} long" for n in names), ["text"])
+    own = {n: fresh(docs, f"__{n}") for n in names}
+    rows = append_batches(docs, make, ", ".join(f"{own[n]} long" for n in names), ["text"])
     bits = POLICIES[policy] | POLICIES["base"] if isinstance(policy, str) else policy | POLICIES["base"]
     fails = F.lit(False)
     for i, (_, test) in enumerate(RULES):
         if bits >> i & 1:
-            fails = fails | F.expr(re.sub(r"\b(n_\w+|word_chars)\b", r"__\1", test))
+            fails = fails | F.expr(re.sub(r"\b(n_\w+|word_chars)\b", lambda m: own[m.group()], test))
     return rows.filter(~fails).select(docs.columns)

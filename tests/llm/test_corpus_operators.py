@@ -522,6 +522,25 @@ def test_quality_stage_drops_what_op2_rejects(spark):
     assert after == {d for d, x in scores.items() if x >= 0.5}
 
 
+def test_pipeline_on_odd_rows(spark):
+    """Null and empty texts, repeated rows and ids, null ids, a very long text, and names that clash with the stages' own."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    base = common.table(spark, folder, "documents").filter("lang = 'en' AND n_chars > 1000").orderBy("doc_id").limit(12).collect()
+    texts = [r.text for r in base]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (1, texts[2]), (None, texts[3]), (None, "new " + texts[4]), (None, None), (50, ""), (51, None), (52, " ".join(texts) * 20)]
+    docs = spark.createDataFrame([(i, t, len(t or ""), 1, 2, 3, "z") for i, t in rows], "doc_id long, text string, n_chars long, __score int, __n_words int, __odd int, name string")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.materialise(stage(spark, docs, folder))
+        assert docs.columns == columns, name
+    kept = docs.collect()
+    assert len({r.doc_id for r in kept}) == len(kept) and all(r.text for r in kept)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in kept}
+
+
 def test_pipeline_without_rows(spark):
     import corpus_pipeline
 
