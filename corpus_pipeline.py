@@ -2,6 +2,12 @@
 
 Quality rules and the quality classifier drop documents, near-duplicate removal keeps one document of each group,
 personal data is masked in place, and packing returns the pieces of the sequences.
+
+Defined cases: a null or empty text fails the rules, so it never reaches the later stages; texts of any length are taken
+whole; repeated rows and ids are each judged by their own text, and one row of each group of near duplicates stays (the
+least id; of equal ids the least text); rows with a null doc_id go through all stages, are dropped as duplicates where a row
+with an id has the same words, and are packed first among equal keys; other columns pass through unchanged, whatever their
+names, up to packing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
