@@ -411,6 +411,14 @@ def _count_features(docs: DataFrame, config: Config) -> tuple[np.ndarray, int]:
     return out, int(n[feature < 0].sum())
 
 
+def _views(column: pa.Array, dtype: type) -> list[np.ndarray]:
+    """Binary values as arrays over the column's own memory."""
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset)
+    raw, size = memoryview(data) if data is not None else memoryview(b""), np.dtype(dtype).itemsize
+    return [np.frombuffer(raw, dtype, (b - a) // size, a) if b > a else np.zeros(0, dtype) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 def _half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(3), doc_id), F.lit(2)).cast("int")
 
@@ -454,11 +462,18 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
 
         return run
 
-    rows = map_batches(texts, make, "positive boolean, half int, at long, ids binary, dense binary").toArrow().sort_by([("at", "ascending")])
-    if rows.num_rows > 0 and rows.num_rows > config.max_positive + config.max_unlabelled:
+    rows = map_batches(texts, make, "positive boolean, half int, at long, ids binary, dense binary").toArrow()
+    if rows.num_rows > config.max_positive + config.max_unlabelled:
         raise RuntimeError("more texts on the driver than the sample's bounds")
-    items = [(np.frombuffer(i, np.int32), np.frombuffer(d)) for i, d in zip(rows["ids"].to_pylist(), rows["dense"].to_pylist())]
-    flags, halves = rows["positive"].to_pylist(), rows["half"].to_pylist()
+    # views of what was received, no copies: the sample is most of what the driver holds
+    items, flags, halves, at = [], [], [], []
+    for batch in rows.to_batches():
+        ids, measured = (_views(batch.column(c), t) for c, t in (("ids", np.int32), ("dense", np.float64)))
+        items += zip(ids, measured)
+        for found, c in ((flags, "positive"), (halves, "half"), (at, "at")):
+            found += batch.column(c).to_pylist()
+    order = np.lexsort((flags, at)).tolist()
+    items, flags, halves = ([x[i] for i in order] for x in (items, flags, halves))
     positive, unlabelled = (interleave([[x for x, p, h in zip(items, flags, halves) if p == want and h == k] for k in (0, 1)]) for want in (True, False))
     if min(len(positive), len(unlabelled)) < 2:
         return None
