@@ -21,6 +21,7 @@ import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -32,6 +33,8 @@ from .common import SegmentCache, map_batches
 MAX_STATES = 250_000
 NODE_BITS = 24
 NODE = (1 << NODE_BITS) - 1
+#: A pre-token of so many bytes is shorter than the lookahead may be, so its tokens are read off at once.
+SHORT = 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -171,10 +174,16 @@ class Transducer:
             return [whole]
         if len(self.state) > MAX_STATES:
             self._reset()
-        ids: list[int] = []
-        for tokens in self.stream(data):
-            ids += tokens
-        return ids
+        return list(chain.from_iterable(self.stream(data))) if len(data) > SHORT else self._short(data)
+
+    def _short(self, data: bytes) -> list[int]:
+        """As `stream`, for a few bytes: all steps first, then the tokens off the ends, which are the same."""
+        ends: list[int] = []
+        at, step, put, advance = 0, self.step.get, ends.append, self._advance
+        for b in data:
+            at, token = step(at | b) or advance(at, b)
+            put(token)
+        return self._back(ends, len(ends))
 
     def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
         """Tokens of a stream of bytes, given out at every state with one hypothesis: all before its open token are sure."""
