@@ -134,10 +134,14 @@ def adapter_place(seq: Column, adapter: str, errors: int = 0) -> Column:
     if not errors:
         return F.instr(seq, adapter)
     n = len(adapter)
-    places = F.when(F.length(seq) >= n, F.sequence(F.lit(1), F.length(seq) - n + 1)).otherwise(F.array().cast("array<int>"))
-    # base by base with a constant, so a window costs n comparisons and no arrays
+    # of errors + 1 parts of the adapter one is without a substitution, so only windows with such a part are compared base by base
+    cuts = [n * k // (errors + 1) for k in range(errors + 2)]
+    parts = [(a, adapter[a:b]) for a, b in zip(cuts, cuts[1:])]
+    has_part = lambda at: reduce(lambda a, b: a | b, [F.substring(seq, at + i, F.lit(len(part))) == part for i, part in parts])
     wrong = lambda at: reduce(lambda a, b: a + b, [(F.substring(seq, at + i, F.lit(1)) != c).cast("int") for i, c in enumerate(adapter)])
-    return F.coalesce(F.try_element_at(F.filter(places, lambda at: wrong(at) <= errors), F.lit(1)), F.lit(0))
+    possible = reduce(lambda a, b: a | b, [F.contains(seq, F.lit(part)) for _, part in parts]) & (F.length(seq) >= n)
+    places = F.when(possible, F.sequence(F.lit(1), F.length(seq) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(F.try_element_at(F.filter(places, lambda at: has_part(at) & (wrong(at) <= errors)), F.lit(1)), F.lit(0))
 
 
 def seconds(text: Column) -> Column:

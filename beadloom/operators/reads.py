@@ -119,7 +119,8 @@ def trim_pairs(pairs: DataFrame, least: int = LEAST_LENGTH, errors: int = 0) ->
     """Pairs (seq1, seq2): of mate 1 what stands before its 3' adapter, of mate 2 what stands behind its 5' adapter; a pair
     stays if both are long enough. `errors` substitutions are allowed in an adapter."""
     one, two = names.adapter_place(F.col("seq1"), ADAPTER_1, errors), names.adapter_place(F.col("seq2"), ADAPTER_2, errors)
-    at = pairs.withColumns({"__one": one, "__two": two})
+    # rows of a generator, not columns: the filter below would else be pushed under the search and repeat it, with all that makes up the sequences, per base
+    at = pairs.select("*", F.inline(F.array(F.struct(one.alias("__one"), two.alias("__two")))))
     first = F.when(F.col("__one") > 0, F.substring("seq1", F.lit(1), F.col("__one") - 1)).otherwise(F.col("seq1"))
     second = F.when(F.col("__two") > 0, F.substring("seq2", F.col("__two") + len(ADAPTER_2), F.length("seq2"))).otherwise(F.col("seq2"))
     cut = at.withColumns({"seq1": first, "seq2": second}).drop("__one", "__two")

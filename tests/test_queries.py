@@ -71,3 +71,9 @@ def test_no_row_data_in_one_partition(spark, sf_dir):
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
                 assert "HashAggregate(keys=[__p" in "".join(lines[i : i + 3]), plan
+
+
+def test_adapters_are_searched_once(spark, sf_dir):
+    """The length filter behind trimming isn't pushed under the search, which would repeat it."""
+    plan = QUERIES["trim_pairs_mismatch"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lambdafunction(") == 2, plan
