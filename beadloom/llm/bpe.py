@@ -19,7 +19,7 @@ import base64
 import gc
 import hashlib
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -42,11 +42,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Steps(dict):
+    """state << 8 | byte -> state << 8 behind it, worked out when first asked for."""
+
+    def __init__(self, work_out: Callable[[int], int]):
+        super().__init__()
+        self.work_out = work_out
+
+    def __missing__(self, key: int) -> int:
+        to = self[key] = self.work_out(key)
+        return to
+
+
 class Transducer:
     """Encoder of one pre-token at a time, from a table of ranks.
 
     A hypothesis is (last whole token, trie node of the open token). After each byte at most one token can end,
-    as every prefix has one encoding; a step yields it, and walking back over these ends gives the tokens.
+    as every prefix has one encoding; the state behind it names it, and walking back over these ends gives the tokens.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -78,7 +90,8 @@ class Transducer:
         self.number = {start: 0}
         self.state = [start]
         self.sure = [0]  # of a state with one hypothesis: bytes in its open token; else -1
-        self.step: dict[int, tuple[int, int]] = {}  # state << 8 | byte -> (state << 8, token that ends or -1)
+        self.ended = [-1]  # of a state: the token that ends where it begins, or -1
+        self.step = Steps(self._advance)
         self.pairs: dict[int, bool] = {}
 
     def merge(self, data: bytes, below: int = 1 << 60) -> list[bytes]:
@@ -126,11 +139,12 @@ class Transducer:
             else:
                 return True
 
-    def _advance(self, at: int, byte: int) -> tuple[int, int]:
-        """The step from state `at` >> 8 over a byte, worked out from its hypotheses and remembered."""
+    def _advance(self, key: int) -> int:
+        """The step of a key of `step`, from the hypotheses of its state."""
         live, ended = [], -1
         edge, pairs = self.edge.get, self.pairs
-        for h in self.state[at >> 8]:
+        byte = key & 255
+        for h in self.state[key >> 8]:
             found = edge((h & NODE) << 8 | byte)
             if found is not None:
                 nxt, token, inner = found
@@ -154,8 +168,8 @@ class Transducer:
             to = self.number[new] = len(self.state)
             self.state.append(new)
             self.sure.append(self.depth[new[0] & NODE] if len(new) == 1 else -1)
-        out = self.step[at | byte] = to << 8, ended
-        return out
+            self.ended.append(ended)
+        return to << 8
 
     def _back(self, ends: list[int], at: int) -> list[int]:
         """The tokens up to `at`, read backwards off the ends of tokens."""
@@ -178,20 +192,24 @@ class Transducer:
 
     def _short(self, data: bytes) -> list[int]:
         """As `stream`, for a few bytes: all steps first, then the tokens off the ends, which are the same."""
-        ends: list[int] = []
-        at, step, put, advance = 0, self.step.get, ends.append, self._advance
-        for b in data:
-            at, token = step(at | b) or advance(at, b)
-            put(token)
-        return self._back(ends, len(ends))
+        step, ended, length = self.step, self.ended, self.length
+        to = 0
+        states = [to := step[to | b] for b in data]
+        ids, at = [], len(data)
+        while at:
+            token = ended[states[at - 1] >> 8]
+            ids.append(token)
+            at -= length[token]
+        ids.reverse()
+        return ids
 
     def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
         """Tokens of a stream of bytes, given out at every state with one hypothesis: all before its open token are sure."""
         ends: list[int] = []
-        at, step, put, advance, sure = 0, self.step.get, ends.append, self._advance, self.sure
+        at, step, put, ended, sure = 0, self.step, ends.append, self.ended, self.sure
         for b in data:
-            at, token = step(at | b) or advance(at, b)
-            put(token)
+            at = step[at | b]
+            put(ended[at >> 8])
             held = sure[at >> 8]
             if 0 <= held < len(ends):
                 cut = len(ends) - held
