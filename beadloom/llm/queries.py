@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, near_dup, packing, pii, pu, quality_rules, token_counts, warc
+from . import bpe, fim, fingerprints, near_dup, packing, pii, pu, quality_rules, secrets, token_counts, vector_codes, warc
 from .common import table
 
 
@@ -76,6 +76,30 @@ def op6_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", 5, lambda r: r == 0, pu.TOXICITY)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base patterns, and random strings by two Markov models."""
+    rows = secrets.detect(table(spark, sf_dir, "documents"))
+    kinds = F.col("base")["kind"]
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return rows.select("doc_id", *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by 16 codebooks of 64 entries, after two rounds."""
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at line ends into prefix, middle and suffix, and rebuilt from its output."""
+    rows = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output = F.sha2("fim_output", 256)
+    return rows.select(
+        "doc_id", F.col("fim_lines").alias("n"), F.col("fim_form").alias("form"), F.col("fim_prefix").alias("prefix_chars"), F.col("fim_middle").alias("middle_chars"),
+        output.alias("output_sha256"), F.sha2(fim.restore(F.col("fim_output"), F.col("fim_form")), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name) and callable(f)}
 
@@ -125,5 +149,33 @@ SELECT page_id, CAST(b AS BIGINT) AS payload_bytes, p.d AS payload_digest, CASE
 """
 
 
+OP13_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+d AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, ('0x' || x[1:8])::UBIGINT AS h1, ('0x' || x[9:16])::UBIGINT AS h2, ('0x' || x[25:32])::UBIGINT AS h4 FROM h),
+k AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+_ASSIGNED = """a{i} AS MATERIALIZED (SELECT x.vec_id, x.part, arg_min(c.idx, d * 64 + c.idx) AS idx, min(d) AS d FROM (SELECT x.vec_id, x.part, c.idx,
+  (x.v[1] - c.v[1]) ** 2 + (x.v[2] - c.v[2]) ** 2 + (x.v[3] - c.v[3]) ** 2 + (x.v[4] - c.v[4]) ** 2 AS d FROM x JOIN c{i} c USING (part)) x JOIN c{i} c USING (part, idx) GROUP BY 1, 2)"""
+_UPDATED = """c{j} AS MATERIALIZED (SELECT c.part, c.idx, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (SELECT part, idx, [floor(avg(v[1])), floor(avg(v[2])), floor(avg(v[3])), floor(avg(v[4]))] AS v
+  FROM a{i} JOIN x USING (vec_id, part) GROUP BY 1, 2) m USING (part, idx))"""
+#: Vectors of 64 components, each vec_id once.
+OP12_SQL = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda e: floor(CAST(e AS DOUBLE) * 256)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS v FROM k, (SELECT unnest(range(16)) AS part)),
+c0 AS MATERIALIZED (SELECT part, rank - 1 AS idx, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM k) USING (vec_id) WHERE rank <= 64),
+{", ".join(_ASSIGNED.replace("{i}", str(i)) + "," + _UPDATED.replace("{i}", str(i)).replace("{j}", str(i + 1)) for i in range(2))}, {_ASSIGNED.replace("{i}", "2")},
+s AS (SELECT sha256(string_agg(concat_ws(',', CAST(v[1] AS BIGINT), CAST(v[2] AS BIGINT), CAST(v[3] AS BIGINT), CAST(v[4] AS BIGINT)), ',' ORDER BY part, idx)) AS h FROM c2),
+r AS (SELECT vec_id, string_agg(printf('%02x', idx), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM r JOIN k USING (vec_id), s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL.strip(), "op8_quality_rules": OP8_SQL.strip(), "op9_near_duplicates": OP9_SQL.strip()}
+    return {"op12_vector_codes": OP12_SQL.strip(), "op13_fill_in_middle": OP13_SQL.strip(), "op4_warc": OP4_SQL.strip(), "op8_quality_rules": OP8_SQL.strip(), "op9_near_duplicates": OP9_SQL.strip()}
