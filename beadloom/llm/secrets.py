@@ -2,14 +2,15 @@
 
 The models give the chance of a character after the two before it, one of random strings and one of ordinary identifiers.
 A candidate is a run of identifier characters; it is a secret if the logarithm of the ratio of both chances, over the whole
-run, is above a threshold. Both are trained here, from labelled samples: strings that a base pattern marks are labelled
+run, is above a threshold for any run, and above one per character. Both are trained here, from labelled samples: strings that a base pattern marks are labelled
 random (if they mix letters and digits), as are generated strings of common alphabets; identifiers outside of the base spans,
 and each three words of a text put together as programs do, are labelled ordinary. Samples are counted over all documents, as numbers of character triples, so what reaches the driver
 is a row per triple that occurs, of at most 2 * 67 ** 3, however many documents there are.
 
 Defined cases: a null or empty text has no spans; texts of any length are taken whole; of spans that tie in their start the
 kind as listed decides; an added span never overlaps a base span; equal rows give a row each; a null doc_id stays null;
-other columns are ignored; a table without rows, or without any base match, is scored by the generated strings alone.
+other columns are ignored; a table without any base match is scored by the generated random strings and its own
+identifiers; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -168,16 +169,20 @@ def chances(counts: np.ndarray) -> np.ndarray:
     return np.log(p3).reshape(-1)
 
 
-def fit(ordinary: np.ndarray, random_: np.ndarray, per_alphabet: int = 400, prior: float = 1e-4, per_character: float = 3.0) -> Model:
-    """Models from counts of triples. `prior` is the expected share of random strings among candidates."""
+def fit(ordinary: np.ndarray, random_: np.ndarray, per_alphabet: int = 400, prior: float = 1e-4, recall: float = 0.995) -> Model:
+    """Models from counts of triples. `prior` is the expected share of random strings among candidates; the threshold per
+    character is what a share of `recall` of other generated strings is above, but at most 2."""
     made = np.bincount(triples(generated(per_alphabet)), minlength=SIZE**3)
     # labelled strings weigh at most as much as the generated, so that one common format doesn't hide the others
     weight = min(1.0, made.sum() / max(1, random_.sum()))
     ratios = chances(random_ * weight + made) - chances(ordinary)
-    return Model(ratios.astype(np.float32), math.log((1 - prior) / prior), per_character)
+    model = Model(ratios.astype(np.float32), math.log((1 - prior) / prior), 0.0)
+    other = [model.ratio(s) / len(s) for s in generated(per_alphabet, 12) if mixed(s)]
+    model.per_character = min(2.0, float(np.quantile(other, 1 - recall)))
+    return model
 
 
-def learn(docs: DataFrame, per_alphabet: int = 400, prior: float = 1e-4, per_character: float = 3.0) -> Model:
+def learn(docs: DataFrame, per_alphabet: int = 400, prior: float = 1e-4, recall: float = 0.995) -> Model:
     """The models, from counts over all documents."""
 
     def run(batches):
@@ -200,7 +205,7 @@ def learn(docs: DataFrame, per_alphabet: int = 400, prior: float = 1e-4, per_cha
     table = rows.toArrow()  # at most a row per label and triple
     counts = np.zeros((2, SIZE**3), np.int64)
     counts[table["label"].to_numpy(), table["cell"].to_numpy()] = table["n"].to_numpy()
-    return fit(counts[ORDINARY], counts[RANDOM], per_alphabet, prior, per_character)
+    return fit(counts[ORDINARY], counts[RANDOM], per_alphabet, prior, recall)
 
 
 def find(text: str | None, model: Model) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
