@@ -166,6 +166,13 @@ count(*) AS clusters, CAST(sum(size) AS BIGINT) AS positions FROM sz GROUP BY 1"
     "bpm_rpm_ratio": f"WITH {_LABEL} SELECT CAST(sum(n_bpm) AS BIGINT) AS bpm, CAST(sum(n_rpm) AS BIGINT) AS rpm, round(CAST(sum(n_bpm) AS DOUBLE) / nullif(sum(n_rpm), 0), 6) AS ratio FROM sz",
     "fastq_round_trip": "SELECT chunk >= 4 AS packed, name, seq, '+' AS plus, CAST(length(seq) AS BIGINT) AS qual_length FROM reads_v",
     "bam_round_trip": f"SELECT qname, flag, ref_name, CAST(start_pos AS BIGINT) AS ref_start, CAST(end_pos AS BIGINT) AS ref_end, concat(end_pos - start_pos, 'M') AS cigar, barcode FROM ({_ALIGNED})",
+    "fastq_split": "SELECT name, seq, CAST(length(seq) AS BIGINT) AS qual_length, true AS gapless FROM reads_v",
+    "bam_region": f"""SELECT r.region, qname, flag, CAST(start_pos AS BIGINT) AS ref_start, CAST(end_pos AS BIGINT) AS ref_end FROM ({_ALIGNED}) JOIN
+  (VALUES ('chr3', 500, 1200), ('chrX', 0, 300), ('45S', 2000, 2001)) r(region, a, b) ON ref_name = region AND start_pos < b AND end_pos > a""",
+    "bam_header": """SELECT 'RG' AS kind, library AS name, NULL::BIGINT AS length FROM positions_v WHERE read_type = 'RPM' GROUP BY library UNION ALL SELECT 'RG', 'template', NULL
+UNION ALL SELECT 'SQ', unnest(list_concat(list_transform(range(1, 23), lambda i: concat('chr', i)), ['chrX', '45S', 'MT'])), 44444444""",
+    "bam_typed_tags": f"""SELECT qname, barcode, CAST(start_pos - 100 AS BIGINT) AS nm, CASE WHEN flag > 100 THEN 'x' ELSE 'y' END AS zs, concat(start_pos, ',-1') AS zb, 'Z,i,A,Bi' AS types,
+  CAST(start_pos % 61 AS BIGINT) AS mapq, ref_name AS mate_ref, CAST(end_pos AS BIGINT) AS mate_start, CAST(-start_pos AS BIGINT) AS insert_size FROM ({_ALIGNED})""",
     "bam_by_label": f"WITH {_LABEL} SELECT label, count(*) AS n, 0::BIGINT AS elsewhere FROM ({_ALIGNED}) JOIN lab USING (barcode) GROUP BY label",
     "strand_of_alignments": f"SELECT ref_name, CASE WHEN flag & 16 = 0 THEN '+' ELSE '-' END AS strand, count(*) AS n FROM ({_ALIGNED}) GROUP BY 1, 2",
     "name_sort": f"SELECT qname, flag FROM ({_ALIGNED})",

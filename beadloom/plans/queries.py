@@ -54,6 +54,16 @@ def fastq_round_trip(spark, d):
     return fastq.read(spark, folder).select(F.endswith("file", F.lit(".gz")).alias("packed"), "name", "seq", "plus", F.length("qual").cast("long").alias("qual_length"))
 
 
+@query
+def fastq_split(spark, d):
+    """Plain FASTQ read in ranges of 128 KB, records numbered within their file."""
+    folder = store.scratch(spark)
+    fastq.write(_records(view(spark, d, "reads_v")), folder)
+    rows = fastq.read(spark, folder, split_bytes=1 << 17)
+    files = rows.groupBy("file").agg(((F.count("*") == F.max("rec_no") + 1) & (F.countDistinct("rec_no") == F.count("*"))).alias("gapless"))
+    return rows.join(files, "file").select("name", "seq", F.length("qual").cast("long").alias("qual_length"), "gapless")
+
+
 REFERENCES = [(f"chr{i}", 44444444) for i in range(1, 23)] + [("chrX", 44444444), ("45S", 44444444), ("MT", 44444444)]
 
 
@@ -76,6 +86,45 @@ def bam_round_trip(spark, d):
     return rows.select("qname", F.col("flag").cast("long").alias("flag"), "ref_name", F.col("ref_start").cast("long").alias("ref_start"), F.col("ref_end").cast("long").alias("ref_end"), "cigar", F.element_at("tags", "BC").alias("barcode"))
 
 
+REGIONS = [("chr3", 500, 1200), ("chrX", 0, 300), ("45S", 2000, 2001)]
+
+
+@query
+def bam_region(spark, d):
+    """Alignments written in ranges of the genome with an index each, and three regions fetched by the index."""
+    folder = store.scratch(spark)
+    bam.write_sorted(_alignments(view(spark, d, "positions_v")), folder, REFERENCES)
+    found = [bam.fetch(spark, folder, *r).select(F.lit(r[0]).alias("region"), "qname", F.col("flag").cast("long").alias("flag"), F.col("ref_start").cast("long").alias("ref_start"), F.col("ref_end").cast("long").alias("ref_end")) for r in REGIONS]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def bam_header(spark, d):
+    """The headers of files per library, written from a template with other lines, merged over the files."""
+    p, folder = view(spark, d, "positions_v"), store.scratch(spark)
+    template = bam.Header.build(REFERENCES, ["template"])
+    bam.write_by(_alignments(p).join(p.select("barcode", "library").distinct(), "barcode"), folder, template, "library")
+    return bam.header_lines(spark, folder).groupBy("kind", "name").agg(F.max("length").alias("length")).filter("kind <> 'HD'")
+
+
+@query
+def bam_typed_tags(spark, d):
+    """Tags of four types, mates and mapping qualities, written and read back."""
+    folder = store.scratch(spark)
+    p = _alignments(view(spark, d, "positions_v").withColumn("n", F.col("ord4") - 100))
+    start = F.col("ref_start").cast("string")
+    values = F.create_map(F.lit("BC"), F.col("barcode"), F.lit("NM"), (F.col("ref_start") - 100).cast("string"), F.lit("ZS"), F.when(F.col("flag") > 100, "x").otherwise("y"), F.lit("ZB"), F.concat_ws(",", start, F.lit("-1")))
+    types = F.create_map(*[F.lit(x) for x in ("BC", "Z", "NM", "i", "ZS", "A", "ZB", "Bi")])
+    more = {"tags": values, "tag_types": types, "mapq": F.col("ref_start") % 61, "mate_ref": F.col("ref_name"), "mate_start": F.col("ref_end"), "insert_size": -F.col("ref_start")}
+    bam.write(p.withColumns(more), folder, bam.Header.build(REFERENCES))
+    rows = bam.read(spark, folder)
+    tag = lambda c, k: F.element_at(c, k)
+    return rows.select(
+        "qname", tag("tags", "BC").alias("barcode"), tag("tags", "NM").cast("long").alias("nm"), tag("tags", "ZS").alias("zs"), tag("tags", "ZB").alias("zb"),
+        F.concat_ws(",", *[tag("tag_types", k) for k in ("BC", "NM", "ZS", "ZB")]).alias("types"), F.col("mapq").cast("long").alias("mapq"), "mate_ref", F.col("mate_start").cast("long").alias("mate_start"), F.col("insert_size").cast("long").alias("insert_size"),
+    )
+
+
 @query
 def bam_by_label(spark, d):
     """Alignments routed to BAM files per label of their cluster, with read groups, and read back."""

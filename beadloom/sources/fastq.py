@@ -1,7 +1,12 @@
-"""FASTQ as a Spark data source: spark.read.format("fastq").load(path). One file is one partition, as its records have no marks.
+"""FASTQ as a Spark data source, and read in ranges of bytes.
 
 Fields: file, rec_no (from 0, within the file), name, seq, plus, qual. A record that is cut short or malformed is an error.
-Records pass to Spark in Arrow batches. The writer packs with .option("compression", "gzip").
+
+`read` cuts plain files into ranges. As a line that begins with "@" may be one of qualities, no range can tell from its own
+bytes where a record begins; so a first pass counts line ends per range, a running sum over the ranges of a file gives the
+number of each range's first line, and thereby both the place of its first record and that record's number. A packed file is
+one range, as it can't be read from the middle. spark.read.format("fastq").load(path) reads a file per task, in one pass.
+The writer packs with .option("compression", "gzip").
 """
 
 from __future__ import annotations
@@ -10,36 +15,72 @@ import gzip
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from .store import Written, lines, list_files, locate, show
+from ..operators import order
+from .ragged import places, strings
+from .store import Written, list_files, locate, open_maybe_gzip, show
 
 SCHEMA = "file string, rec_no long, name string, seq string, plus string, qual string"
 
 
 ARROW = pa.schema([("file", pa.string()), ("rec_no", pa.int64()), *((c, pa.string()) for c in ("name", "seq", "plus", "qual"))])
-#: Records of an Arrow batch.
-BATCH = 4096
-
-
-def in_batches(records: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    while held := list(islice(records, BATCH)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-
-
-def parse(rows: Iterator[bytes], file: str) -> Iterator[tuple]:
-    for rec_no, name in enumerate(rows):
-        seq, plus, qual = (next(rows, None) for _ in range(3))
-        if qual is None:
-            raise ValueError(f"{file}: record {rec_no} is cut short")
-        if name[:1] != b"@" or plus[:1] != b"+" or len(seq) != len(qual):
-            raise ValueError(f"{file}: record {rec_no} is malformed")
-        yield file, rec_no, name.decode(), seq.decode(), plus.decode(), qual.decode()
+#: Bytes of text that are taken apart at once, and of a range.
+CHUNK, SPLIT_BYTES = 4 << 20, 64 << 20
+#: Tasks at most that ranges are dealt to.
+MOST_TASKS = 20_000
+
+
+def frame(data: bytes, ends: np.ndarray, file: str, rec_no: int) -> pa.RecordBatch:
+    """Whole records: data begins with one, and `ends` are the places of its line ends, four per record."""
+    raw = np.frombuffer(data, np.uint8)
+    begin = np.concatenate((np.zeros(1, np.int64), ends[:-1] + 1))
+    stop = ends.copy()
+    while (cr := (stop > begin) & (raw[np.maximum(stop - 1, 0)] == 13)).any():
+        stop -= cr
+    first = np.where(stop > begin, raw[np.minimum(begin, len(raw) - 1)], 0).reshape(-1, 4)
+    size = (stop - begin).reshape(-1, 4)
+    bad = (first[:, 0] != ord("@")) | (first[:, 2] != ord("+")) | (size[:, 1] != size[:, 3])
+    if bad.any():
+        raise ValueError(f"{file}: record {rec_no + int(bad.argmax())} is malformed")
+    texts = [strings(raw[places(begin[i::4], size[:, i])], size[:, i]) for i in range(4)]
+    for t in texts:
+        t.validate(full=True)
+    n = len(size)
+    return pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(np.arange(rec_no, rec_no + n)), *texts], schema=ARROW)
+
+
+def parse(f, file: str, rec_no: int = 0, skip: int = 0, records: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Records of a stream behind `skip` line ends: `records` of them, or all. The last line may lack its end."""
+    data, ended = b"", False
+    while not ended and records != 0:
+        more = f.read(CHUNK)
+        ended = not more
+        data += more
+        if ended and data and data[-1:] != b"\n":
+            data += b"\n"
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+        if skip:
+            cut = min(skip, len(ends))
+            if cut:
+                data = data[ends[cut - 1] + 1 :]
+                ends = ends[cut:] - (ends[cut - 1] + 1)
+            skip -= cut
+            if skip:
+                data, ends = b"", ends[:0]
+        n = len(ends) // 4 if records is None else min(len(ends) // 4, records)
+        if n:
+            yield frame(data, ends[: 4 * n], file, rec_no)
+            data = data[ends[4 * n - 1] + 1 :]
+            rec_no += n
+            records = None if records is None else records - n
+    if records or (records is None and data):
+        raise ValueError(f"{file}: record {rec_no} is cut short")
 
 
 @dataclass
@@ -54,8 +95,9 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[FilePart]:
         return [FilePart(p) for p in list_files(self.path)]
 
-    def read(self, partition: FilePart) -> Iterator[tuple]:
-        return in_batches(parse(lines(partition.path), partition.path), ARROW)
+    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
+        with open_maybe_gzip(partition.path) as f:
+            yield from parse(f, partition.path)
 
 
 @dataclass
@@ -107,9 +149,67 @@ class FastqSource(DataSource):
         return _Writer(self.options["path"], self.options.get("compression", "none").lower() == "gzip")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").load(path)
+def _ranges(spark: SparkSession, path: str, split_bytes: int) -> tuple[DataFrame, int]:
+    """(file, start, stop, size of each range, dealt over tasks; number of tasks)."""
+    found = []
+    for p in list_files(path):
+        fs, q = locate(p)
+        size = fs.get_file_info(q).size
+        found += [(p, a, min(a + split_bytes, size), size) for a in range(0, size, split_bytes)]
+    parts = max(1, min(len(found), MOST_TASKS))
+    return spark.createDataFrame(found, "file string, start long, stop long, size long").repartition(parts, "file", "start"), parts
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Line ends in each range of a plain file; a packed file's first range stands for all of it, with -1."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            fs, p = locate(r["file"])
+            with fs.open_input_file(p) as f:
+                n = -1
+                if f.read(2) == b"\x1f\x8b":
+                    if r["start"]:
+                        continue
+                    r["stop"] = r["size"]
+                else:
+                    n, at = 0, r["start"]
+                    f.seek(at)
+                    while at < r["stop"]:
+                        data = f.read(min(CHUNK, r["stop"] - at))
+                        n += data.count(b"\n")
+                        at += len(data)
+                    if at == r["size"] and data[-1:] != b"\n":
+                        n += 1  # the last line lacks its end
+            yield pa.RecordBatch.from_pylist([r | {"lines": n}])
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that follow a line end in each range, and the first of a file."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            file, before, lines = r["file"], r["before"], r["lines"]
+            if lines < 0:
+                with open_maybe_gzip(file) as f:
+                    yield from parse(f, file)
+                continue
+            # record r follows the line end 4 * r, counted from 1; the first follows none
+            first = before // 4 + 1 if r["start"] else 0
+            last = min((before + lines) // 4 + 1, -(-r["total"] // 4))
+            fs, p = locate(file)
+            with fs.open_input_file(p) as f:
+                f.seek(r["start"])
+                yield from parse(f, file, first, 4 * first - before, max(last - first, 0))
+
+
+def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The records of a file or folder, in ranges of `split_bytes`."""
+    spark.dataSource.register(FastqSource)  # so that records can be written as the format from here on
+    ranges, parts = _ranges(spark, path, split_bytes)
+    counted = ranges.mapInArrow(_count, "file string, start long, stop long, size long, lines long")
+    file = Window.partitionBy("file")  # a row per range
+    before = F.sum("lines").over(file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    numbered = counted.withColumns({"before": F.coalesce(before, F.lit(0)), "total": F.sum("lines").over(file)})
+    return numbered.repartition(parts, "file", "start").mapInArrow(_read_ranges, SCHEMA)
 
 
 def write(records: DataFrame, path: str, packed: bool = False) -> None:
@@ -144,8 +244,8 @@ def group_samples(files: DataFrame) -> DataFrame:
 
 def split_manifest(files: DataFrame, k: int) -> DataFrame:
     """sample, read, path -> with chunk: a sample's files in order, cut at the k-th parts of their number (halves to even)."""
-    w = Window.partitionBy("sample", "read")  # the files of one sample
-    rows = files.withColumn("__i", F.row_number().over(w.orderBy("path")) - 1).withColumn("__n", F.count("*").over(w))
-    cuts = sum((F.when(F.col("__i") >= F.bround(F.col("__n") * F.lit(i / k), 0), 1).otherwise(0) for i in range(1, k)), F.lit(0))
-    return rows.withColumn("chunk", cuts).drop("__i", "__n")
-
+    by = ["sample", "read"]
+    numbered = order.running_sums(files.withColumn("__one", F.lit(1).cast("long")), "path", {"__i": "__one"}, by)
+    rows = numbered.join(files.groupBy(*by).agg(F.count("*").alias("__n")), by)
+    cuts = sum((F.when(F.col("__i") > F.bround(F.col("__n") * F.lit(i / k), 0), 1).otherwise(0) for i in range(1, k)), F.lit(0))
+    return rows.withColumn("chunk", cuts).drop("__i", "__n", "__one")

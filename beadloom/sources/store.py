@@ -22,7 +22,7 @@ def locate(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the session's spark.checkpoint.dir, which driver and executors share.
+    """A new folder below the session's spark.checkpoint.dir, which driver and executors share; it goes with the application.
 
     Only a session on one machine gets a folder of its own where that is unset.
     """
@@ -31,7 +31,10 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="beadloom-")
-    return f"{base.rstrip('/')}/beadloom-files-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/beadloom-files-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)  # lives as long as the application
+    return path
 
 
 @dataclass

@@ -3,8 +3,10 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 
+from beadloom.operators import order
 from beadloom.sources import bam, fastq, tables
 
 RECORDS = [("@r1 x", "ACGT", "+", "@III"), ("@r2", "", "+r2", ""), ("@r3", "NN", "+", "##")]
@@ -114,3 +116,52 @@ def test_values_get_few_files(spark, tmp_path):
     rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'b' ELSE 'a' END AS label").repartition(8)
     tables.write_by(rows, str(tmp_path / "w"), "label", files=2)
     assert all(1 <= len(list((tmp_path / "w" / f"label={x}").glob("*.parquet"))) <= 2 for x in "ab") and spark.read.parquet(str(tmp_path / "w")).count() == 4000
+
+
+TRICKY = [("@a", "@+@+", "+", "@@@@"), ("@+", "+", "+@", "@"), ("@", "", "+", ""), ("@@", "@", "+", "+"), ("@x", "+A", "+x", "@+")] * 3
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_fastq_cut_at_every_offset(spark, tmp_path, end):
+    """Lines of all kinds begin with @ or +, so only the number of a line tells what it is."""
+    text = "".join(end.join(r) + end for r in TRICKY)
+    for name, data in (("whole", text), ("open", text[: -len(end)])):
+        (tmp_path / f"{name}.fastq").write_bytes(data.encode())
+    want = sorted((n, i, *r) for n in ("whole.fastq", "open.fastq") for i, r in enumerate(TRICKY))
+    rows = lambda df: sorted((r.file.split("/")[-1], r.rec_no, r.name, r.seq, r.plus, r.qual) for r in df.collect())
+    for size in (1, 7, 10_000):
+        assert rows(fastq.read(spark, str(tmp_path), split_bytes=size)) == want
+    # each cut of a file in two, without Spark
+    path = str(tmp_path / "open.fastq")
+    size = (tmp_path / "open.fastq").stat().st_size
+    for cut in range(1, size):
+        ranges = [{"file": path, "start": a, "stop": b, "size": size} for a, b in ((0, cut), (cut, size))]
+        counted = [b.to_pylist()[0] for b in fastq._count([pa.RecordBatch.from_pylist(ranges)])]
+        total = sum(r["lines"] for r in counted)
+        parts = [r | {"before": b, "total": total} for r, b in zip(counted, (0, counted[0]["lines"]))]
+        got = [tuple(r.values())[1:] for b in fastq._read_ranges([pa.RecordBatch.from_pylist(parts)]) for r in b.to_pylist()]
+        assert got == [(i, *r) for i, r in enumerate(TRICKY)], cut
+    assert fastq.read(spark, path, split_bytes=9).rdd.getNumPartitions() > 8
+
+
+@pytest.mark.parametrize(("text", "message"), [("@r\nACGT\n+\n", "cut short"), ("@r\nA\n+\nI\n\n", "cut short"), ("@r\nA\n+\nI\n@s\nAC\n+\nI\n", "record 1 is malformed"), ("r\nA\n+\nI\n", "malformed"), ("@r\nA\n-\nI\n", "malformed")])
+def test_fastq_errors(spark, tmp_path, text, message):
+    (tmp_path / "a.fastq").write_text(text)
+    for read in (lambda: fastq.read(spark, str(tmp_path), split_bytes=3), lambda: spark.read.format("fastq").load(str(tmp_path))):
+        spark.dataSource.register(fastq.FastqSource)
+        with pytest.raises(Exception, match=message):
+            read().collect()
+
+
+def test_fastq_without_records(spark, tmp_path):
+    (tmp_path / "a.fastq").write_text("")
+    (tmp_path / "b.fastq.gz").write_bytes(gzip.compress(b""))
+    assert fastq.read(spark, str(tmp_path)).count() == 0
+
+
+def test_running_sums_over_texts(spark):
+    rows = spark.createDataFrame([(f"{i * 7919 % 5000:05}", "ab"[i % 10 == 0], 1) for i in range(5000)], "k string, g string, n long")
+    got = order.running_sums(rows, "k", {"s": "n"}, ["g"], 6).collect()
+    for g in "ab":
+        mine = sorted((r.k, r.s) for r in got if r.g == g)
+        assert [s for _, s in mine] == list(range(1, len(mine) + 1))
