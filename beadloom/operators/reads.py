@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import alignment, names
 
 # The assay's adapters, at the 3' end of mate 1, at the 5' end of mate 2, and at the 5' end of bead reads; the
 # least length.
 ADAPTER_1, ADAPTER_2 = "ATCAGCACTTAGCGTCAG", "CTGACGCTAAGTGCTGAT"
 BEAD_ADAPTERS = ["GGTGGTCTTT", "GCCTCTTGTT"]
 LEAST_LENGTH = 20
+#: Errors per adapter base, and least adapter bases, of an alignment that counts; sequences that are aligned at once.
+ERROR_RATE, OVERLAP, BATCH = 0.1, 3, 2048
 
 
 def aligned(positions: DataFrame) -> DataFrame:
@@ -127,6 +132,44 @@ def trim_pairs(pairs: DataFrame, least: int = LEAST_LENGTH, errors: int = 0) ->
     return cut.filter((F.length("seq1") >= least) & (F.length("seq2") >= least))
 
 
+def adapter_cuts(reads: DataFrame, ends: dict[str, tuple[list[str], bool]], rate: float = ERROR_RATE, overlap: int = OVERLAP) -> DataFrame:
+    """reads with a column `<name>_cut` per column of sequences in `ends`: name -> (adapters, whether they are at the 3' end).
+
+    Adapters are aligned with insertions, deletions and substitutions, up to `rate` per adapter base, and may be cut off at
+    that end of the sequence if `overlap` bases are left. The cut is where a 3' adapter begins (else the length), or where
+    a 5' adapter ends (else 0). Python aligns batches; a row goes in and out where it is, without a shuffle.
+    """
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    names_ = {c: f"{c}_cut" for c in ends}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                part = whole.slice(at, BATCH)
+                more = [pa.array(alignment.cuts(part.column(c), adapters, at_3, rate, overlap), pa.int32()) for c, (adapters, at_3) in ends.items()]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, *names_.values()])
+
+    return reads.mapInArrow(run, StructType([*reads.schema.fields, *[StructField(n, IntegerType()) for n in names_.values()]]))
+
+
+def trim_aligned(pairs: DataFrame, first: list[str] = [ADAPTER_1], second: list[str] = [ADAPTER_2], least: int = LEAST_LENGTH, rate: float = ERROR_RATE, overlap: int = OVERLAP) -> DataFrame:  # noqa: B006
+    """Pairs (seq1, seq2, and qual1, qual2 if there): mate 1 up to its 3' adapter, mate 2 from behind its 5' adapter, both aligned
+    with errors and where they are cut off at the end; a pair stays if both mates are long enough."""
+    cut = adapter_cuts(pairs, {"seq1": (first, True), "seq2": (second, False)}, rate, overlap)
+    one = lambda c: F.substring(c, F.lit(1), F.col("seq1_cut"))
+    two = lambda c: F.substring(c, F.col("seq2_cut") + 1, F.length(c))
+    kept = {c: f(c) for c, f in (("seq1", one), ("qual1", one), ("seq2", two), ("qual2", two)) if c in pairs.columns}
+    return cut.withColumns(kept).drop("seq1_cut", "seq2_cut").filter((F.length("seq1") >= least) & (F.length("seq2") >= least))
+
+
+def trim_front_aligned(reads: DataFrame, adapters: list[str] = BEAD_ADAPTERS, least: int = 0, rate: float = ERROR_RATE, overlap: int = OVERLAP) -> DataFrame:
+    """Reads (seq, and qual if there) from behind the best of several 5' adapters, aligned with errors."""
+    cut = adapter_cuts(reads, {"seq": (adapters, False)}, rate, overlap)
+    kept = {c: F.substring(c, F.col("seq_cut") + 1, F.length(c)) for c in ("seq", "qual") if c in reads.columns}
+    return cut.withColumns(kept).drop("seq_cut").filter(F.length("seq") >= least)
+
+
 def quality_trim(reads: DataFrame, cutoff: int = 20, offset: int = 33) -> DataFrame:
     """The 3' end cut where the running sum of (cutoff - quality), from the end, is greatest; seq and qual alike.
 

@@ -7,12 +7,17 @@ windows of a read meet those strings by a hash join. No pair of read and tag is
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import names
+from ..functions import names, walking
 from ..functions.names import MISSING
 
 # The layout's measures.
@@ -97,14 +102,14 @@ def lookup_next(starts: DataFrame, near: DataFrame, sizes: list[int], laxity: in
 
 
 def _slots(layout: str, spacer: int, span: int) -> list[tuple[int, str, int, bool]]:
-    """(number, kind, distance behind the terminal tag, is the first) of a layout's slots other than the terminal."""
+    """(number, kind, distance behind the first tag, is the first) of a layout's slots other than a terminal or bead tag."""
     found, at = [], 0
     for i, p in enumerate(x.strip() for x in layout.split("|")):
         if p == "SPACER":
             at += spacer
-        elif p == "Y":
+        elif p in ("Y", "DPM"):
             if i:
-                raise ValueError("the terminal tag comes first")
+                raise ValueError("a terminal tag or a bead's comes first")
         elif p in ("ODD", "EVEN"):
             found.append((len(found), p, at, i == 0))
             at += span
@@ -122,9 +127,10 @@ def walk_layout(reads: DataFrame, layout: str, near: dict[str, DataFrame], sizes
     to laxity are tried in order, at each the shorter windows first; the first window that overruns the read ends a slot.
     """
     slots = _slots(layout, spacer, span)
-    terminal = layout.split("|")[0].strip() == "Y"
+    head = layout.split("|")[0].strip()
+    terminal = head in ("Y", "DPM")
     rows = reads.select("rec_no", "seq", *carry)
-    rows = attach_tag(rows, "seq", offset, near["Y"], sizes["Y"], "terminal", "advance") if terminal else rows.withColumns({"terminal": F.lit(None).cast("string"), "advance": F.lit(0)})
+    rows = attach_tag(rows, "seq", offset, near[head], sizes[head], "terminal", "advance") if terminal else rows.withColumns({"terminal": F.lit(None).cast("string"), "advance": F.lit(0)})
     windows = [(-1, "", 0, True, 0, 0, 0), *((s, kind, at, first, o, n, max(sizes[kind])) for s, kind, at, first in slots for o in range(laxity + 1) for n in sorted(sizes[kind]))]
     fields = ("slot", "kind", "at", "is_first", "o", "size", "longest")
     grid = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, w)]) for w in windows])
@@ -133,6 +139,8 @@ def walk_layout(reads: DataFrame, layout: str, near: dict[str, DataFrame], sizes
     reached = F.col("is_first") | (length - start >= span)
     fits = (start + F.col("o") + F.col("size") <= length) & ((F.col("o") == 0) | (start + F.col("o") - 1 + F.col("longest") <= length))
     w = w.filter((F.col("slot") < 0) | (reached & fits)).withColumn("neighbour", F.when(F.col("slot") >= 0, F.concat("kind", F.substring("seq", (start + F.col("o") + 1).cast("int"), F.col("size")))))
+    if not slots:
+        return rows.select("rec_no", F.array("terminal").alias("barcode"), *carry)
     lookup = reduce(DataFrame.unionByName, [near[k].select(F.concat(F.lit(k), "neighbour").alias("neighbour"), "name") for k in sorted({k for _, k, _, _ in slots})])
     hits = w.join(lookup, "neighbour", "left").filter((F.col("slot") < 0) | F.col("name").isNotNull())
     hits = hits.select("rec_no", "slot", "o", "size", "name", F.when(F.col("slot") < 0, F.col("carried")).alias("carried"))
@@ -170,14 +178,100 @@ def lookups(config: DataFrame, most: int = 3) -> tuple[dict[str, DataFrame], dic
 def identify(pairs: DataFrame, config: DataFrame, layout1: str = "DPM", layout2: str = "Y|SPACER|ODD|SPACER|EVEN", offset1: int = 0, offset2: int = 0, most: int = 3) -> DataFrame:
     """Pairs (rec_no, name1, seq1, name2, seq2, ...) with the barcode found in both mates, and annotated names.
 
-    The bead's tag is looked up in mate 1, the layout is walked in mate 2; the barcode is padded to the number of tags of
-    both layouts and put behind both names. One pass over the pairs and one shuffle by record.
+    With the bead's tag alone in mate 1, it is looked up and the layout is walked in mate 2: one pass over the pairs and one
+    shuffle by record. Any other layout of mate 1 is walked, too, which takes a shuffle more. A part that is no kind of tag is
+    an error. The barcode is put behind both names.
     """
     near, sizes = lookups(config, most)
-    n_tags = sum(x.strip() != "SPACER" for x in [*layout1.split("|"), *layout2.split("|")])
     rest = tuple(c for c in pairs.columns if c != "rec_no")
-    beads = attach_tag(pairs, "seq1", offset1, near["DPM"], sizes["DPM"], "bead") if sizes["DPM"] else pairs.withColumn("bead", F.lit(MISSING))
-    walked = walk_layout(beads.withColumn("seq", F.col("seq2")), layout2, near, sizes, offset2, carry=("bead", *rest))
-    barcode = names.pad(F.concat(F.array("bead"), "barcode"), n_tags)
-    out = walked.withColumn("barcode", barcode)
+    parts1 = [x.strip() for x in layout1.split("|")]
+    _slots(layout1, SPACER, TAG_SPAN)
+    if parts1[0] == "DPM" and set(parts1[1:]) <= {"SPACER"}:
+        first = attach_tag(pairs, "seq1", offset1, near["DPM"], sizes["DPM"], "bead") if sizes["DPM"] else pairs.withColumn("bead", F.lit(MISSING))
+        first = first.withColumn("bead", F.array("bead"))
+    else:
+        first = walk_layout(pairs.withColumn("seq", F.col("seq1")), layout1, near, sizes, offset1, carry=rest).withColumnRenamed("barcode", "bead")
+    walked = walk_layout(first.withColumn("seq", F.col("seq2")), layout2, near, sizes, offset2, carry=("bead", *rest))
+    out = walked.withColumn("barcode", F.concat("bead", "barcode"))
     return out.withColumns({c: names.annotate(F.col(c), F.col("barcode")) for c in ("name1", "name2")}).select("rec_no", *rest, "barcode")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What a configuration says of the reads: the parts of both mates, the spacer's length, and how far a tag may be displaced."""
+
+    read1: tuple[str, ...]
+    read2: tuple[str, ...]
+    spacer: int = 6
+    laxity: int = 6
+
+    def kinds(self) -> list[str]:
+        return sorted({p for p in (*self.read1, *self.read2) if p != "SPACER"})
+
+
+#: Neighbours up to which tasks hold all of them (about 30 bytes each); with more, slots are looked up by joins.
+TASK_NEIGHBOURS = 1_000_000
+
+
+def _near_any(config: DataFrame, kinds: list[str], most: int, alphabet: str) -> tuple[dict[str, DataFrame], dict[str, list[int]], int]:
+    """(neighbours, lengths, expected number of neighbours) of each kind, each tag with its own tolerance."""
+    facts = config.filter(F.col("type").isin(kinds)).groupBy("type", F.length("tag").alias("n"), F.least("tolerance", F.lit(most)).alias("k")).agg(F.count("*").alias("tags")).collect()  # a row per kind, length and tolerance
+    missing = [k for k in kinds if all(r.type != k for r in facts)]
+    if missing:
+        raise ValueError(f"no tags of kind {', '.join(missing)}")
+    near = {}
+    for kind in kinds:
+        k = max(r.k for r in facts if r.type == kind)
+        near[kind] = nearest(hamming_ball(config.filter(F.col("type") == kind).withColumn("tolerance", F.least("tolerance", F.lit(most))), k, alphabet, tolerance="tolerance"))
+    expected = sum(r.tags * sum(math.comb(r.n, j) * (len(alphabet) - 1) ** j for j in range(r.k + 1)) for r in facts)
+    return near, {kind: sorted({r.n for r in facts if r.type == kind}) for kind in kinds}, expected
+
+
+def walk_in_tasks(pairs: DataFrame, near: dict[str, DataFrame], layout: Layout) -> DataFrame:
+    """pairs with `barcode`: every task holds all neighbours and walks batches of reads, slot by slot; rows stay where they are."""
+    table = reduce(DataFrame.unionByName, [near[k].select(F.lit(k).alias("kind"), "neighbour", "name") for k in near]).toArrow()  # at most TASK_NEIGHBOURS rows
+    coded = table["name"].combine_chunks().dictionary_encode()
+    known, tag, kind = coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.array(table["kind"].to_pylist())
+    neighbours = table["neighbour"].to_pylist()
+    built = {k: walking.Kind.build([neighbours[i] for i in np.flatnonzero(kind == k)], tag[kind == k].astype(np.int64)) for k in near}
+    shared = pairs.sparkSession.sparkContext.broadcast((known, built))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, built = shared.value
+        for batch in batches:
+            found = [walking.walk(batch.column(c), parts, built, layout.spacer, layout.laxity) for c, parts in (("seq1", layout.read1), ("seq2", layout.read2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, walking.names_of(np.concatenate(found), known)], names=[*batch.schema.names, "barcode"])
+
+    return pairs.mapInArrow(run, T.StructType([*pairs.schema.fields, T.StructField("barcode", T.ArrayType(T.StringType()))]))
+
+
+def walk_by_joins(pairs: DataFrame, near: dict[str, DataFrame], sizes: dict[str, list[int]], layout: Layout) -> DataFrame:
+    """pairs with `barcode`: a join and a shuffle per slot, for tables of any number of neighbours."""
+    rows = pairs.withColumns({"__found": F.array().cast("array<string>")})
+    for seq, parts in (("seq1", layout.read1), ("seq2", layout.read2)):
+        rows = rows.withColumn("__at", F.lit(0))
+        for i, part in enumerate(parts):
+            if part == "SPACER":
+                rows = rows.withColumn("__at", F.least(F.col("__at") + layout.spacer, F.length(seq)))
+                continue
+            reach = layout.laxity if i else 0
+            windows = rows.select("rec_no", F.col(seq).alias("s"), "__at", F.inline(_grid(sizes[part], reach))).filter(F.col("__at") + F.col("o") + F.col("size") <= F.length("s"))
+            hits = windows.withColumn("neighbour", F.substring("s", F.col("__at") + F.col("o") + 1, F.col("size"))).join(near[part], "neighbour")
+            best = hits.groupBy("rec_no").agg(F.min(F.struct("o", "size", "name")).alias("__hit"))
+            missed = F.least(F.col("__at") + reach + max(sizes[part]), F.length(seq))
+            rows = rows.join(best, "rec_no", "left").withColumns(
+                {"__at": F.coalesce(F.col("__at") + F.col("__hit.o") + F.col("__hit.size"), missed), "__found": F.concat("__found", F.array(F.coalesce("__hit.name", F.lit(MISSING))))}
+            ).drop("__hit")
+    return rows.withColumnRenamed("__found", "barcode").drop("__at")
+
+
+def identify_any_layout(pairs: DataFrame, config: DataFrame, layout: Layout, most: int = 3, alphabet: str = "ACGTN") -> DataFrame:
+    """Pairs (rec_no, name1, seq1, name2, seq2, ...) with the barcode of any layout on either mate, and annotated names.
+
+    A tag is looked for from where the one before it ended, so a slot's place depends on all before it. Each tag allows its own
+    tolerance of substitutions, of N too; of two tags near the same string the last of the configuration counts. A part
+    without tags in the configuration is an error.
+    """
+    near, sizes, expected = _near_any(config, layout.kinds(), most, alphabet)
+    out = walk_in_tasks(pairs, near, layout) if expected <= TASK_NEIGHBOURS else walk_by_joins(pairs, near, sizes, layout)
+    return out.withColumns({c: names.annotate(F.col(c), F.col("barcode")) for c in ("name1", "name2")})

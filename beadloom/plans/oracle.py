@@ -52,6 +52,31 @@ def _ecdf(value: str, source: str = "mr") -> str:
 FROM (SELECT {value}, count(*) AS n FROM {source} GROUP BY 1)"""
 
 
+def _walk(mate: int, parts: str, spacer: int, laxity: int) -> tuple[str, list[str]]:
+    """A table per part of a layout, each from where the one before it ended; and the names of those that hold tags."""
+    out, slots, last = [f"w{mate} AS (SELECT rec_no, seq{mate} AS seq, 0::BIGINT AS pos FROM pr)"], [], f"w{mate}"
+    for i, part in enumerate(parts.split("|")):
+        new = f"w{mate}_{i}"
+        if part == "SPACER":
+            out.append(f"{new} AS (SELECT rec_no, seq, least(pos + {spacer}, length(seq)) AS pos FROM {last})")
+        else:
+            reach = laxity if i else 0
+            out.append(f"""h{mate}_{i} AS (SELECT rec_no, arg_min(t.name, o * 1000000 + length(tag) * 10000 - t.ord) AS name, arg_min(pos + o + length(tag), o * 1000000 + length(tag) * 10000 - t.ord) AS stop
+  FROM {last}, (SELECT unnest(range(0, {reach + 1})) AS o), cf t WHERE kind = '{part}' AND pos + o + length(tag) <= length(seq) AND hamming(rpad(substr(seq, CAST(pos + o + 1 AS BIGINT), length(tag)), CAST(length(tag) AS INT), '-'), tag) <= tol GROUP BY rec_no)""")
+            out.append(f"{new} AS (SELECT w.rec_no, seq, coalesce(h.name, 'NOT_FOUND') AS name, coalesce(stop, least(pos + {reach} + (SELECT max(length(tag)) FROM cf WHERE kind = '{part}'), length(seq))) AS pos FROM {last} w LEFT JOIN h{mate}_{i} h USING (rec_no))")
+            slots.append(new)
+        last = new
+    return ",\n".join(out), slots
+
+
+_WALKS = [_walk(1, "DPM|SPACER|ODD", 4, 3), _walk(2, "Y|SPACER|ODD|EVEN|SPACER|ODD", 4, 3)]
+_SLOTS = [s for _, slots in _WALKS for s in slots]
+_ANY_LAYOUT = """WITH cf AS (SELECT CASE ord % 4 WHEN 0 THEN 'DPM' WHEN 1 THEN 'Y' WHEN 2 THEN 'ODD' ELSE 'EVEN' END AS kind, name, substr(tag, 1, CAST(6 + ord // 4 % 2 AS BIGINT)) AS tag, ord // 4 % 3 AS tol, ord FROM tags_v),
+ny AS (SELECT rec_no, CASE WHEN rec_no % 5 = 0 THEN concat(substr(seq, 1, 8), 'N', substr(seq, 10)) ELSE seq END AS seq FROM reads_v),
+pr AS (SELECT rec_no, substr(seq, 1, 20 + rec_no % 45) AS seq1, reverse(seq) AS seq2 FROM ny),
+""" + ",\n".join(w for w, _ in _WALKS) + f", bar AS (SELECT rec_no, concat_ws('|', {', '.join(s + '.name' for s in _SLOTS)}) AS barcode FROM {_SLOTS[0]} " + " ".join(f"JOIN {s} USING (rec_no)" for s in _SLOTS[1:]) + ")\n"
+
+
 _SQL = {
     "fastq_record_framing": "SELECT rec_no, name, seq, '+' AS plus, CAST(length(seq) AS BIGINT) AS qual_length FROM reads_v",
     "render_clusters": f"""WITH {_DEDUP}, x AS (SELECT barcode, {_TEXT} AS t, CASE WHEN read_type = 'BPM' THEN 1 WHEN read_type = 'RPM' AND chrom LIKE 'chr%' THEN 2 WHEN read_type = 'RPM' THEN 3 ELSE 4 END AS score FROM dd)
@@ -196,8 +221,27 @@ hit AS (SELECT * FROM ht WHERE rn = 1),
 t AS (SELECT y.rec_no, [coalesce(b.name, 'NOT_FOUND'), y.name, coalesce(h0.name, 'NOT_FOUND'), coalesce(h1.name, 'NOT_FOUND'), coalesce(h2.name, 'NOT_FOUND')] AS t FROM y LEFT JOIN b ON b.rec_no = y.rec_no AND b.rn = 1
   LEFT JOIN hit h0 ON h0.rec_no = y.rec_no AND h0.slot = 0 LEFT JOIN hit h1 ON h1.rec_no = y.rec_no AND h1.slot = 1 LEFT JOIN hit h2 ON h2.rec_no = y.rec_no AND h2.slot = 2)
 SELECT rec_no, concat('@SIM:1:', rec_no, '::[', array_to_string(t, ']['), ']') AS name1, concat('@SIM:1:', rec_no, '::[', array_to_string(t, ']['), ']') AS name2, array_to_string(t, '|') AS barcode FROM t""",
+    "identify_any_layout": _ANY_LAYOUT + "SELECT rec_no, concat('@SIM:1:', rec_no, '::[', replace(barcode, '|', ']['), ']') AS name1, barcode FROM bar",
     "trim_pairs": _TRIM.format(a=ADAPTER_1, b=ADAPTER_2, k=0, c=ADAPTER_1, d=ADAPTER_2),
     "trim_pairs_mismatch": _TRIM.format(a=ADAPTER_1, b=ADAPTER_2, k=1, c="T" + ADAPTER_1[1:], d=ADAPTER_2[:9] + "C" + ADAPTER_2[10:]),
+    "trim_aligned": f"""WITH RECURSIVE v AS (SELECT rec_no, seq, rec_no % 4 AS q,
+  ['{ADAPTER_1}', '{ADAPTER_1[:7]}A{ADAPTER_1[7:]}', '{ADAPTER_1[:11]}{ADAPTER_1[12:]}', '{ADAPTER_1[:4]}N{ADAPTER_1[5:]}'][rec_no % 4 + 1] AS a1,
+  ['{ADAPTER_2}', '{ADAPTER_2[:7]}A{ADAPTER_2[7:]}', '{ADAPTER_2[:11]}{ADAPTER_2[12:]}', '{ADAPTER_2[:4]}N{ADAPTER_2[5:]}'][rec_no % 4 + 1] AS a2 FROM reads_v),
+x AS (SELECT rec_no, CASE WHEN q = 0 THEN concat(substr(seq, 1, 30), substr('{ADAPTER_1}', 1, rec_no % 19)) ELSE concat(substr(seq, 1, rec_no % 45), a1, 'GGGG') END AS seq1,
+  CASE WHEN q = 0 THEN concat(substr('{ADAPTER_2}', rec_no % 19 + 1), substr(seq, 20, 40)) ELSE concat(substr(seq, 1, rec_no % 9), a2, substr(seq, 10, 50)) END AS seq2 FROM v),
+s AS (SELECT rec_no, 1 AS mate, reverse(seq1) AS r, '{ADAPTER_1[::-1]}' AS a FROM x UNION ALL SELECT rec_no, 2, seq2, '{ADAPTER_2}' FROM x),
+d AS (SELECT rec_no, mate, 0 AS j, CAST(range(0, 19) AS INT[]) AS k FROM s
+  UNION ALL SELECT rec_no, mate, j + 1, list_transform(range(1, 20), lambda i: list_min(list_transform(range(1, i + 1), lambda t: b[t] + (i - t) * 1024))) FROM (
+    SELECT d.rec_no, d.mate, j, list_prepend(0, list_transform(range(1, 19), lambda i: least(k[i] + CASE WHEN substr(a, i, 1) = substr(r, j + 1, 1) THEN 0 ELSE 1024 END, k[i + 1] + 1024))) AS b
+    FROM d JOIN s USING (rec_no, mate) WHERE j < length(r))),
+e AS (SELECT rec_no, mate, j, k[19] // 1024 AS err, 18 - k[19] % 1024 AS part FROM d),
+g AS (SELECT rec_no, mate, arg_max(j, (part - err) * 1000 + CASE WHEN mate = 1 THEN j ELSE -j END) AS j FROM e WHERE part >= 3 AND err <= part // 10 GROUP BY 1, 2),
+c AS (SELECT x.rec_no, substr(seq1, 1, length(seq1) - coalesce(g.j, 0)) AS seq1, substr(seq2, coalesce(h.j, 0) + 1) AS seq2
+  FROM x LEFT JOIN g ON g.rec_no = x.rec_no AND g.mate = 1 LEFT JOIN g h ON h.rec_no = x.rec_no AND h.mate = 2)
+SELECT rec_no, seq1, seq2 FROM c WHERE length(seq1) >= 20 AND length(seq2) >= 20""",
+    "trim_front": """WITH x AS (SELECT rec_no, CASE WHEN rec_no % 5 > 0 THEN concat(substr(seq, 1, rec_no % 12), CASE WHEN rec_no % 2 = 0 THEN 'GGTGGTCTTT' ELSE 'GCCTCTTGTT' END, substr(seq, 20, 20)) ELSE seq END AS seq FROM reads_v),
+p AS (SELECT *, least(CASE WHEN strpos(seq, 'GGTGGTCTTT') > 0 THEN strpos(seq, 'GGTGGTCTTT') ELSE 999 END, CASE WHEN strpos(seq, 'GCCTCTTGTT') > 0 THEN strpos(seq, 'GCCTCTTGTT') ELSE 999 END) AS i FROM x)
+SELECT rec_no, CASE WHEN i = 999 THEN seq ELSE substr(seq, i + 10) END AS seq FROM p""",
     "quality_trim": """WITH q AS (SELECT rec_no, seq, translate(seq, 'ACGT', 'I5+#') AS qual FROM reads_v),
 x AS (SELECT rec_no, k, sum(CASE substr(qual, 65 - k, 1) WHEN 'I' THEN -20 WHEN '5' THEN 0 WHEN '+' THEN 10 ELSE 18 END) OVER (PARTITION BY rec_no ORDER BY k) AS s FROM q, (SELECT unnest(range(1, 65)) AS k)),
 n AS (SELECT rec_no, coalesce(min(k) FILTER (WHERE s < 0), 65) AS stop FROM x GROUP BY rec_no),

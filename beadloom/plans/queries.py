@@ -279,6 +279,26 @@ def identify(spark, d):
     return found.select("rec_no", "name1", "name2", F.array_join("barcode", "|").alias("barcode"))
 
 
+def _any_layout(spark, d):
+    """Pairs with some N, a tag configuration and a layout of both mates, both read back from a file."""
+    folder = store.scratch(spark)
+    rows = tag_config(spark, d).select(F.concat_ws("\t", "type", "name", "tag", F.col("tolerance").cast("string")).alias("value"), "ord")
+    lines = ["READ1 = DPM | SPACER | ODD", "READ2 = Y|SPACER|ODD|EVEN|SPACER|ODD", "SPACER = 4", "LAXITY = 3", "# tags"]
+    first = rows.limit(1).select(F.explode(F.array(*[F.struct(F.lit(x).alias("value"), F.lit(i - 9).cast("long").alias("ord")) for i, x in enumerate(lines)])).alias("x")).select("x.*")
+    rows.unionByName(first).coalesce(1).sortWithinPartitions("ord").select("value").write.text(folder)  # a configuration is one small file
+    r = view(spark, d, "reads_v").withColumn("bare", F.concat(F.substring_index("name", "::", 1), F.lit(" 1:N:0")))
+    noisy = F.when(F.col("rec_no") % 5 == 0, F.overlay("seq", F.lit("N"), F.lit(9), F.lit(1))).otherwise(F.col("seq"))
+    pairs = r.select("rec_no", F.col("bare").alias("name1"), F.substring(noisy, F.lit(1), (20 + F.col("rec_no") % 45).cast("int")).alias("seq1"), F.col("bare").alias("name2"), F.reverse(noisy).alias("seq2"))
+    return pairs, tables.tag_config(spark, folder, skip=0), tables.layout(spark, folder)
+
+
+@query
+def identify_any_layout(spark, d):
+    """Both mates by the layout of a configuration; each tag is looked for from the end of the one before."""
+    found = tags.identify_any_layout(*_any_layout(spark, d))
+    return found.select("rec_no", "name1", F.array_join("barcode", "|").alias("barcode"))
+
+
 @over("reads_v")
 def pad_barcode(r):
     return r.select("rec_no", F.array_join(names.pad(names.tags(F.col("name")), 6), "|").alias("barcode"))
@@ -429,6 +449,28 @@ def trim_pairs_mismatch(r):
     return reads.trim_pairs(_with_adapters(r, "T" + reads.ADAPTER_1[1:], reads.ADAPTER_2[:9] + "C" + reads.ADAPTER_2[10:]), errors=1)
 
 
+@over("reads_v")
+def trim_aligned(r):
+    """Adapters with a base too many, a base too few or a wrong one, and cut off at the read's end in every fourth pair."""
+    k = F.col("rec_no")
+    one, two = reads.ADAPTER_1, reads.ADAPTER_2
+    variants = lambda a: F.element_at(F.array(*[F.lit(x) for x in (a, a[:7] + "A" + a[7:], a[:11] + a[12:], a[:4] + "N" + a[5:])]), (k % 4 + 1).cast("int"))
+    whole1 = F.concat(F.substring("seq", F.lit(1), (k % 45).cast("int")), variants(one), F.lit("GGGG"))
+    part1 = F.concat(F.substring("seq", F.lit(1), F.lit(30)), F.substring(F.lit(one), F.lit(1), (k % 19).cast("int")))
+    whole2 = F.concat(F.substring("seq", F.lit(1), (k % 9).cast("int")), variants(two), F.substring("seq", F.lit(10), F.lit(50)))
+    part2 = F.concat(F.substring(F.lit(two), (k % 19 + 1).cast("int"), F.lit(18)), F.substring("seq", F.lit(20), F.lit(40)))
+    pairs = r.select("rec_no", F.when(k % 4 == 0, part1).otherwise(whole1).alias("seq1"), F.when(k % 4 == 0, part2).otherwise(whole2).alias("seq2"))
+    return reads.trim_aligned(pairs)
+
+
+@over("reads_v")
+def trim_front(r):
+    """Bead reads from behind the first exact adapter."""
+    k = F.col("rec_no")
+    made = F.concat(F.substring("seq", F.lit(1), (k % 12).cast("int")), F.element_at(F.array(*[F.lit(a) for a in reads.BEAD_ADAPTERS]), (k % 2 + 1).cast("int")), F.substring("seq", F.lit(20), F.lit(20)))
+    return reads.trim_front(r.select("rec_no", F.when(k % 5 > 0, made).otherwise(F.col("seq")).alias("seq")), reads.BEAD_ADAPTERS)
+
+
 @over("reads_v")
 def quality_trim(r):
     """Qualities made from the bases, so that tails differ."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clusters, order
+from ..operators.tags import Layout
 from .store import Written, locate, show
 
 
@@ -20,6 +21,19 @@ def tag_config(spark: SparkSession, path: str, skip: int = 3) -> DataFrame:
     return rows.select(F.col("f")[0].alias("type"), F.col("f")[1].alias("name"), F.col("f")[2].alias("tag"), F.col("f")[3].try_cast("int").alias("tolerance"), "ord").dropna()
 
 
+def layout(spark: SparkSession, path: str) -> Layout:
+    """The layout that a tag table begins with: lines READ1, READ2, SPACER and LAXITY, "name = value"; an error without READ1
+    or READ2, or for a number that is none."""
+    rows = spark.read.text(path).select(F.regexp_extract("value", r"^(READ1|READ2|SPACER|LAXITY)\s*=\s*(.*?)\s*$", 1).alias("k"), F.regexp_extract("value", r"^\w+\s*=\s*(.*?)\s*$", 1).alias("v"))
+    found = {r.k: r.v for r in rows.filter("k <> ''").collect()}  # four lines
+    if not {"READ1", "READ2"} <= found.keys():
+        raise ValueError(f"{path} has no line READ1 or no line READ2")
+    parts = [tuple(p.strip() for p in found[k].split("|")) for k in ("READ1", "READ2")]
+    if any(not p for x in parts for p in x):
+        raise ValueError(f"{path} has an empty part in a layout")
+    return Layout(*parts, **{k.lower(): int(found[k]) for k in ("SPACER", "LAXITY") if k in found})
+
+
 def rounds(spark: SparkSession, path: str) -> DataFrame:
     """pos, name of a rounds table; further columns are ignored."""
     rows = spark.read.text(path).select(F.split("value", "\t").alias("f")).filter(F.size("f") >= 2)
