@@ -129,10 +129,15 @@ def parse(lines: DataFrame) -> DataFrame:
 
 
 def stripped_lookup(positions: DataFrame) -> DataFrame:
-    """Barcode without library -> number and digest of its distinct positions."""
+    """Barcode without library -> number of its distinct positions, the first and the last of them; `lookup` has all."""
+    return lookup(positions).groupBy("barcode").agg(F.count("*").alias("n_positions"), F.min("position").alias("first_position"), F.max("position").alias("last_position"))
+
+
+def lookup(positions: DataFrame, stripped: bool = True) -> DataFrame:
+    """barcode (without library), position: the set of rendered positions of each barcode, a row per member, so of any size."""
     text = names.position_text(F.col("read_type"), F.col("feature"), F.col("chrom"), F.col("start_pos"), F.col("end_pos"))
-    rows = positions.select(names.strip_library(F.col("barcode")).alias("barcode"), text.alias("position")).distinct()
-    return rows.groupBy("barcode").agg(F.count("*").alias("n_positions"), F.min("position").alias("first_position"), F.max("position").alias("last_position"))
+    key = names.strip_library(F.col("barcode")) if stripped else F.col("barcode")
+    return positions.select(key.alias("barcode"), text.alias("position")).distinct()
 
 
 def conditions(positions: DataFrame, round_tag: str = "ROUND1_") -> DataFrame:
@@ -156,12 +161,14 @@ def bead_matrix(positions: DataFrame, beads: list[str]) -> DataFrame:
     return positions.filter("read_type = 'BPM'").groupBy("barcode").agg(*[F.count_if(F.col("chrom") == b).alias(b) for b in beads])
 
 
-def subsample_curves(positions: DataFrame, chunks: int) -> DataFrame:
-    """For n = 0 .. chunks-1: categories of clusters seen in chunks 0..n, by cluster and by read.
+def chunk_counts(positions: DataFrame, *chunk: str) -> DataFrame:
+    """Per barcode without library (and chunk): bead, RNA and all positions."""
+    counts = [F.count_if(F.expr("read_type = 'BPM'")).alias("bpm"), F.count_if(F.expr("read_type = 'RPM'")).alias("rpm"), F.count("*").alias("n")]
+    return positions.select(names.strip_library(F.col("barcode")).alias("b"), "read_type", *chunk).groupBy("b", *chunk).agg(*counts)
 
-    A cluster's counts per chunk are running sums over at most `chunks` rows, so no chunk is joined with its predecessors.
-    """
-    per = positions.select(names.strip_library(F.col("barcode")).alias("b"), "chunk", "read_type").groupBy("b", "chunk").agg(F.count_if(F.expr("read_type = 'BPM'")).alias("bpm"), F.count_if(F.expr("read_type = 'RPM'")).alias("rpm"), F.count("*").alias("n"))
+
+def curves(per: DataFrame, chunks: int) -> DataFrame:
+    """`subsample_curves` from counts per (barcode, chunk)."""
     one = per.groupBy("b").agg(*[F.coalesce(F.sum(F.when(F.col("chunk") == c, F.col(k))), F.lit(0)).alias(f"{k}{c}") for c in range(chunks) for k in ("bpm", "rpm", "n")])
     upto = lambda k, c: sum((F.col(f"{k}{i}") for i in range(c + 1)), F.lit(0))
     steps = F.array(*[F.struct(F.lit(c).alias("n_chunk"), category(upto("bpm", c), upto("rpm", c)).alias("category"), upto("n", c).alias("reads")) for c in range(chunks)])
@@ -169,3 +176,11 @@ def subsample_curves(positions: DataFrame, chunks: int) -> DataFrame:
     w = Window.partitionBy("n_chunk")  # three rows each
     share = lambda c: F.round(F.try_divide(F.col(c).cast("double"), F.sum(c).over(w)), 6)
     return rows.withColumns({"cluster_share": share("clusters"), "read_share": share("reads")})
+
+
+def subsample_curves(positions: DataFrame, chunks: int) -> DataFrame:
+    """For n = 0 .. chunks-1: categories of clusters seen in chunks 0..n, by cluster and by read.
+
+    A cluster's counts per chunk are running sums over at most `chunks` rows, so no chunk is joined with its predecessors.
+    """
+    return curves(chunk_counts(positions, "chunk"), chunks)

@@ -96,11 +96,11 @@ def max_representation(positions: DataFrame, min_bpm: int = 2, include_none: boo
 
 
 def ecdf(rows: DataFrame, value: str) -> DataFrame:
-    """Value and share of rows at or below it, per distinct value; rows are counted per value before the running sum."""
+    """Value and share of rows at or below it, per distinct value; rows are counted per value before the running sum, which is
+    over ranges of values."""
     per = rows.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(F.lit(0))  # distinct values only
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return per.select("value", "n", F.round(F.sum("n").over(upto) / F.sum("n").over(whole), 6).alias("share"))
+    upto = order.running_sums(per, "value", {"__upto": "n"})
+    return upto.select("value", "n", F.round(F.col("__upto") / F.lit(rows.count()), 6).alias("share"))
 
 
 def equal_width_histogram(rows: DataFrame, value: str, by: list[str], bins: int = 50) -> DataFrame:

@@ -207,7 +207,9 @@ UNION ALL SELECT 'SQ', unnest(list_concat(list_transform(range(1, 23), lambda i:
     "tag_tables": "SELECT 'ODD' AS type, name, tag, CAST(ord % 3 AS BIGINT) AS tolerance FROM tags_v",
     "round_tables": "SELECT CAST(pos AS BIGINT) AS pos, count(DISTINCT name) AS names, min(name) AS first FROM format_v GROUP BY pos",
     "manifests": """SELECT DISTINCT concat('S', rec_no % 9) AS sample, read, concat(folder, rec_no % 5) AS path FROM reads_v, (VALUES ('R1', '/a/'), ('R2', '/b/')) t(read, folder)
-UNION ALL SELECT * FROM (VALUES ('settings', 'assembly', 'mm10'), ('settings', 'num_tags', '6'), ('settings', 'bID', 'config.txt')) u""",
+UNION ALL SELECT * FROM (VALUES ('settings', 'assembly', 'mm10'), ('settings', 'num_tags', '6'), ('settings', 'bID', 'config.txt')) u
+UNION ALL SELECT 'settings', concat('samples[', s, ']', part), CASE part WHEN '.name' THEN concat('S', s) WHEN '.reads[0]' THEN CAST(n AS VARCHAR) ELSE 'R1, R2' END
+  FROM (SELECT rec_no % 9 AS s, count(DISTINCT rec_no % 5) AS n FROM reads_v GROUP BY 1), (VALUES ('.name'), ('.reads[0]'), ('.reads[1]')) p(part)""",
     "bead_of_position": "SELECT chrom AS bead, count(*) AS n FROM positions_v WHERE read_type = 'BPM' GROUP BY 1",
     "identify": """WITH cf AS (SELECT CASE ord % 4 WHEN 0 THEN 'DPM' WHEN 1 THEN 'Y' WHEN 2 THEN 'ODD' ELSE 'EVEN' END AS kind, name, substr(tag, 1, CAST(6 + ord // 4 % 2 AS BIGINT)) AS tag, ord // 4 % 3 AS tol, ord FROM tags_v),
 r AS (SELECT rec_no, seq AS seq1, reverse(seq) AS seq2 FROM reads_v),
@@ -251,9 +253,16 @@ SELECT rec_no, substr(seq, 1, 64 - coalesce(cut, 0)) AS seq, substr(qual, 1, 64
     "split_manifest": """WITH f AS (SELECT concat('S', chunk) AS sample, concat('/d/', lpad(CAST(rec_no AS VARCHAR), 9, '0')) AS path FROM reads_v),
 x AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY path) - 1 AS i, count(*) OVER (PARTITION BY sample) AS n FROM f)
 SELECT sample, path, CAST((i >= round_even(n * 0.25::DOUBLE, 0))::INT + (i >= round_even(n * 0.5::DOUBLE, 0))::INT + (i >= round_even(n * 0.75::DOUBLE, 0))::INT AS BIGINT) AS chunk FROM x""",
-    "assembly_registry": "SELECT assembly, ord::BIGINT AS ord, chrom, size::BIGINT AS size FROM (VALUES "
+    "assembly_registry": "SELECT assembly, ord::BIGINT AS ord, t.chrom, size::BIGINT AS size, coalesce(n, 0) AS n FROM (VALUES "
     + ", ".join(f"('{name}', {i}, '{c}', {n})" for name in SIZES for i, c, n in chromosomes(name))
-    + ") t(assembly, ord, chrom, size)",
+    + ") t(assembly, ord, chrom, size) LEFT JOIN (SELECT chrom, count(*) AS n FROM positions_v WHERE read_type = 'RPM' GROUP BY chrom) p ON p.chrom = t.chrom",
 }
 
+_SQL["cluster_merge_sorted"] = _SQL["cluster_merge"]
+_SQL["subsample_cached"] = _SQL["subsample_cumulative"]
+_SQL["error_blocks_stream"] = (
+    _SQL["error_blocks"].replace("SELECT *, regexp", "SELECT *, line_no % 3 AS log_no, regexp").replace("OVER (ORDER", "OVER (PARTITION BY log_no ORDER").replace("PARTITION BY block", "PARTITION BY log_no, block")
+    .replace("SELECT CAST(block", "SELECT log_no, CAST(block").replace("GROUP BY block", "GROUP BY log_no, block")
+)
+
 ORACLE = {name: oracle(sql) for name, sql in _SQL.items()}

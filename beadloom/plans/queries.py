@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import clusters, genome, qc, reads, tags
-from ..sources import bam, fastq, store, tables
+from ..sources import bam, chunks, fastq, store, tables
+from ..streaming import logs
 from .adapters import view
 
 ADAPTERS = ["ATCAGC", "CTGACG"]
@@ -172,14 +173,15 @@ def round_tables(spark, d):
 
 @query
 def manifests(spark, d):
-    """A JSON manifest of files, and flat settings, written and read back."""
+    """A JSON manifest of files, and nested settings, written and read back."""
     folder, other = store.scratch(spark), store.scratch(spark)
     r = view(spark, d, "reads_v").select(F.concat(F.lit("S"), (F.col("rec_no") % 9).cast("string")).alias("sample"), (F.col("rec_no") % 5).cast("string").alias("k")).distinct()
     each = r.groupBy("sample").agg(F.array_sort(F.collect_list("k")).alias("k"))
     entry = F.struct("sample", F.create_map(F.lit("R1"), F.transform("k", lambda x: F.concat(F.lit("/a/"), x)), F.lit("R2"), F.transform("k", lambda x: F.concat(F.lit("/b/"), x))).alias("r"))
     each.select(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(folder)
-    texts = spark.createDataFrame([("# settings\nassembly: mm10\nnum_tags: 6  # tags\nbID: 'config.txt'\nlist:\n  - a",)], "value string")
-    texts.coalesce(1).write.text(other)
+    nested = r.groupBy("sample").agg(F.count("*").alias("n")).groupBy().agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("  - name: "), "sample", F.lit("\n    reads: ["), F.col("n").cast("string"), F.lit(", 'R1, R2']")))), "\n").alias("l"))
+    head = "# settings\nassembly: mm10\nnum_tags: 6  # tags\nbID: 'config.txt'\nsamples:\n"
+    nested.select(F.concat(F.lit(head), "l").alias("value")).coalesce(1).write.text(other)
     found = tables.settings(spark, other).filter("value <> ''").select(F.lit("settings").alias("sample"), F.col("key").alias("read"), F.col("value").alias("path"))
     return tables.manifest(spark, folder).unionByName(found)
 
@@ -206,9 +208,15 @@ def route_by_label(p):
     return reads.label_reads(reads.aligned(built), clusters.label(built)).filter("fate = 'written'").groupBy("label").agg(F.count("*").alias("n"), F.countDistinct("barcode").alias("barcodes"))
 
 
-@over("log_v")
-def concat_reports(r):
-    return r.select(F.concat(F.lit("report_"), (F.col("line_no") % 5).cast("string"), F.lit(".txt")).alias("file"), F.upper(F.trim("line")).alias("line"), "line_no")
+@query
+def concat_reports(spark, d):
+    """Five reports written as text files in a folder each, and read under each other with the name of their folder."""
+    folder = store.scratch(spark)
+    r = view(spark, d, "log_v")
+    text = F.concat(F.col("line_no").cast("string"), F.lit("\t"), "line").alias("value")
+    r.select(F.concat(F.lit("report_"), (F.col("line_no") % 5).cast("string"), F.lit(".txt")).alias("report"), text).write.partitionBy("report").text(folder)
+    line = F.substring_index("line", "\t", -1)
+    return tables.reports(spark, folder).select(F.regexp_extract("folder", "^report=(.*)$", 1).alias("file"), F.upper(F.trim(line)).alias("line"), F.substring_index("line", "\t", 1).cast("long").alias("line_no"))
 
 
 @over("positions_v")
@@ -582,6 +590,17 @@ def cluster_merge(p):
     return merged.groupBy("barcode", "read_type").agg(F.count("*").alias("n"), F.sum("start_pos").alias("starts"), F.count_if(F.expr("feature = '-'")).alias("minus"))
 
 
+@query
+def cluster_merge_sorted(spark, d):
+    """Clusters of each chunk kept in buckets of barcodes, sorted; merged without a shuffle."""
+    folder = store.scratch(spark)
+    table = f"clusters_{folder[-32:]}"
+    p = view(spark, d, "positions_v")
+    for part in ("chunk < 2", "chunk >= 2"):  # two runs add to one table
+        chunks.write_clusters(p.filter(part), table, folder, 8)
+    return chunks.merge_clusters(spark, table).groupBy("barcode", "read_type").agg(F.count("*").alias("n"), F.sum("start_pos").alias("starts"), F.count_if(F.expr("feature = '-'")).alias("minus"))
+
+
 @over("positions_v")
 def cluster_label(p):
     return clusters.label(clusters.build(p))
@@ -688,6 +707,18 @@ def subsample_cumulative(p):
     return clusters.subsample_curves(p, 4).withColumn("n_chunk", F.col("n_chunk").cast("long"))
 
 
+@query
+def subsample_cached(spark, d):
+    """The same curves from counts kept per chunk; the second update counts the new chunks only."""
+    folder = store.scratch(spark)
+    view(spark, d, "positions_v").select("barcode", "read_type", "chunk").write.partitionBy("chunk").parquet(f"{folder}/chunks")
+    cache = chunks.CurveCache(spark, f"{folder}/cache")
+    read = lambda s, path: s.read.parquet(path)
+    for upto in (2, 4):
+        cache.update({c: f"{folder}/chunks/chunk={c}" for c in range(upto)}, read)
+    return cache.curves().withColumn("n_chunk", F.col("n_chunk").cast("long"))
+
+
 @over("positions_v")
 def merge_alignments(p):
     first, second = p.filter("chrom = '45S'"), p.filter("read_type = 'RPM' AND chrom <> '45S'")
@@ -729,8 +760,11 @@ def split_manifest(r):
 
 @query
 def assembly_registry(spark, d):
+    """The chromosomes of all assemblies in order, with the RNA positions on each."""
     every = [genome.assembly(spark, name).select(F.lit(name).alias("assembly"), F.col("ord").cast("long").alias("ord"), "chrom", "size") for name in genome.SIZES]
-    return tables.consolidate([("", "", e) for e in every]).drop("sample", "rule")
+    registry = tables.consolidate([("", "", e) for e in every]).drop("sample", "rule")
+    on = view(spark, d, "positions_v").filter("read_type = 'RPM'").groupBy("chrom").agg(F.count("*").alias("n"))
+    return registry.join(on, "chrom", "left").select("assembly", "ord", "chrom", "size", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @over("positions_v")
@@ -754,6 +788,21 @@ def error_blocks(r):
     return qc.error_blocks(r).withColumn("block", F.col("block").cast("long"))
 
 
+@query
+def error_blocks_stream(spark, d):
+    """Three logs that arrive in three runs of a stream, which goes on from its checkpoint each time."""
+    lines = view(spark, d, "log_v").select((F.col("line_no") % 3).alias("log_no"), "line_no", "line")
+    ends = lines.groupBy("log_no").agg((F.max("line_no") + 1).alias("line_no")).withColumn("line", F.lit(None).cast("string"))
+    folder = store.scratch(spark)
+    cuts = [0, *lines.approxQuantile("line_no", [0.3, 0.7], 0.01), float(1 << 60)]
+    for a, b in zip(cuts, cuts[1:]):
+        lines.unionByName(ends).filter((F.col("line_no") >= a) & (F.col("line_no") < b)).write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(lines.schema).parquet(f"{folder}/in")
+        found = logs.error_blocks(arriving, "log_no")
+        found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 # distributions
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -51,11 +52,111 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def settings(spark: SparkSession, path: str) -> DataFrame:
-    """key, value of a flat YAML file: `key: value` lines, quotes taken off, comments and lists left out."""
-    rows = spark.read.text(path).filter(F.col("value").rlike(r"^[A-Za-z_][\w-]*\s*:"))
-    key = F.trim(F.substring_index("value", ":", 1))
-    rest = F.trim(F.regexp_replace(F.regexp_replace("value", r"^[^:]*:", ""), r"\s+#.*$", ""))
-    return rows.select(key.alias("key"), F.regexp_replace(rest, r"""^(["'])(.*)\1$""", "$2").alias("value"))
+    """key, value of a YAML file: a row per scalar, the key of a nested one being its path (a.b[0].c), quotes taken off, comments
+    left out. Maps and lists in blocks or in brackets are read; an empty value is an empty text."""
+    text = spark.read.text(path, wholetext=True).first()  # one small file
+    return spark.createDataFrame(yaml_scalars(text[0] if text else ""), "key string, value string")
+
+
+def yaml_scalars(text: str) -> list[tuple[str, str]]:
+    """(path, value) of the scalars of a YAML text of block and bracketed maps and lists; an error for what else is there."""
+    rows = []
+    for line in text.split("\n"):
+        bare = _uncommented(line).rstrip()
+        if bare.strip() and bare.strip() not in ("---", "..."):
+            rows.append((len(bare) - len(bare.lstrip(" ")), bare.strip()))
+    out: list[tuple[str, str]] = []
+    end = _block(rows, 0, -1, "", out)
+    if end != len(rows):
+        raise ValueError(f"can't read: {rows[end][1]}")
+    return out
+
+
+def _uncommented(line: str) -> str:
+    quote = ""
+    for i, c in enumerate(line):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "\"'" and (not i or line[i - 1] in " [{,:"):
+            quote = c
+        elif c == "#" and (not i or line[i - 1] in " \t"):
+            return line[:i]
+    return line
+
+
+def _key(text: str) -> tuple[str, str] | None:
+    """(key, rest) of "key: rest"."""
+    m = re.match(r"""("[^"]*"|'[^']*'|[^\s"'\[\]{},#&*!|>%@`-][^:#]*?|-[^\s:][^:#]*?)\s*:(?:\s+(.*)|$)""", text)
+    return (_bare(m.group(1)), m.group(2) or "") if m else None
+
+
+def _bare(text: str) -> str:
+    text = text.strip()
+    return text[1:-1].replace("''", "'") if len(text) > 1 and text[0] == text[-1] and text[0] in "\"'" else text
+
+
+def _block(rows: list[tuple[int, str]], i: int, above: int, path: str, out: list[tuple[str, str]]) -> int:
+    """Reads the rows that are indented more than `above`, all alike; returns the number of the row behind them."""
+    if i == len(rows) or rows[i][0] <= above:
+        return i
+    depth, item = rows[i][0], 0
+    dash = lambda x: x == "-" or x.startswith("- ")
+    is_list = dash(rows[i][1])
+    while i < len(rows) and rows[i][0] == depth and dash(rows[i][1]) == is_list:
+        text = rows[i][1]
+        if is_list:
+            here, rest = f"{path}[{item}]", text[1:].strip()
+            item += 1
+            if rest and rest[0] not in "[{" and (rest.startswith("- ") or _key(rest)):
+                rows[i] = (depth + len(text) - len(text[1:].lstrip()), rest)  # a map or list that begins behind the dash
+                i = _block(rows, i, depth, here, out)
+                continue
+        elif found := _key(text):
+            here, rest = f"{path}.{found[0]}" if path else found[0], found[1].strip()
+        else:
+            raise ValueError(f"can't read: {text}")
+        i += 1
+        if rest:
+            _flow(rest, here, out)
+        else:
+            # a list may stand as deep as its key
+            deeper = depth - 1 if i < len(rows) and rows[i][0] == depth and rows[i][1][:1] == "-" and text[:1] != "-" else depth
+            start = i
+            i = _block(rows, i, deeper, here, out) if deeper == depth or rows[i][0] == depth else i
+            if i == start:
+                out.append((here, ""))
+    return i
+
+
+def _flow(text: str, path: str, out: list[tuple[str, str]]) -> None:
+    """A scalar, or a bracketed list or map."""
+    if text[0] not in "[{":
+        out.append((path, _bare(text)))
+        return
+    if text[-1] != {"[": "]", "{": "}"}[text[0]]:
+        raise ValueError(f"can't read: {text}")
+    parts, depth, quote, start = [], 0, "", 1
+    for i, c in enumerate(text[1:-1] + ",", 1):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "\"'":
+            quote = c
+        elif c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+        elif c == "," and not depth:
+            parts.append(text[start:i].strip())
+            start = i + 1
+    for k, part in enumerate(x for x in parts if x):
+        if text[0] == "[":
+            _flow(part, f"{path}[{k}]", out)
+        else:
+            key, rest = _key(part) or (_bare(part), "")
+            if rest:
+                _flow(rest, f"{path}.{key}", out)
+            else:
+                out.append((f"{path}.{key}", ""))
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
@@ -100,8 +201,9 @@ def write_by(rows: DataFrame, path: str, column: str, files: int = 8) -> None:
 
 
 def reports(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text reports with the file that they are from."""
-    return spark.read.text(path).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("value").alias("line"))
+    """Lines of text reports with the file that they are from, and its folder."""
+    place = F.split("_metadata.file_path", "/")
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(F.element_at(place, -1).alias("file"), F.element_at(place, -2).alias("folder"), F.col("value").alias("line"))
 
 
 def consolidate(parts: list[tuple[str, str, DataFrame]]) -> DataFrame:

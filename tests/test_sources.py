@@ -106,7 +106,7 @@ def test_files_of_lost_tasks_stay_hidden(spark, tmp_path):
 
 def test_settings_and_cluster_files(spark, tmp_path):
     (tmp_path / "c.yaml").write_text("# all\nassembly: \"mm10\"\nmax_size: 13   # reads\nempty:\nlist:\n  - a\nurl: http://x:1/y\n")
-    assert {r.key: r.value for r in tables.settings(spark, str(tmp_path / "c.yaml")).collect()} == {"assembly": "mm10", "max_size": "13", "empty": "", "list": "", "url": "http://x:1/y"}
+    assert {r.key: r.value for r in tables.settings(spark, str(tmp_path / "c.yaml")).collect()} == {"assembly": "mm10", "max_size": "13", "empty": "", "list[0]": "a", "url": "http://x:1/y"}
     p = spark.createDataFrame([(b, "RPM", "+", "chr1", i, i + 9) for b, n in (("a.b", 20000), ("c", 1)) for i in range(n)], "barcode string, read_type string, feature string, chrom string, start_pos int, end_pos int")
     assert sum(r.lines for r in tables.write_clusters(p, str(tmp_path / "k")).collect()) == 2
     assert tables.read_clusters(spark, str(tmp_path / "k")).groupBy("barcode").count().orderBy("barcode").collect() == [("a.b", 20000), ("c", 1)]
@@ -165,3 +165,37 @@ def test_running_sums_over_texts(spark):
     for g in "ab":
         mine = sorted((r.k, r.s) for r in got if r.g == g)
         assert [s for _, s in mine] == list(range(1, len(mine) + 1))
+
+
+YAML = """# head
+a: 1
+b:
+  - x: "q: #1"   # a comment
+    y: [1, {k: v, e: }, 'it''s, ok']
+  - plain text # more
+  -
+    deep: {m: [], n: z}
+list:
+- one
+- - inner
+  - 'two'
+url: http://h:80/p#frag
+"quoted key": -5
+none:
+last:
+    nested:
+        value: end
+"""
+
+
+def test_nested_settings(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text(YAML)
+    got = dict(tuple(r) for r in tables.settings(spark, str(tmp_path / "c.yaml")).collect())
+    assert got == {
+        "a": "1", "b[0].x": "q: #1", "b[0].y[0]": "1", "b[0].y[1].k": "v", "b[0].y[1].e": "", "b[0].y[2]": "it's, ok", "b[1]": "plain text", "b[2].deep.n": "z", "list[0]": "one", "list[1][0]": "inner", "list[1][1]": "two",
+        "url": "http://h:80/p#frag", "quoted key": "-5", "none": "", "last.nested.value": "end",
+    }
+    assert tables.yaml_scalars("") == tables.yaml_scalars("# x\n\n---\n") == []
+    for bad in ("a: 1\n  b: 2\n c: 3", "just text", "a: [1, 2", "a: 1\n- b"):
+        with pytest.raises(ValueError, match="can't read"):
+            tables.yaml_scalars(bad)
