@@ -3,9 +3,9 @@
 A token sequence is the BPE encoding of its bytes exactly when each neighbouring pair of its tokens is the encoding
 of that pair's bytes. So the encodings of all strings are the paths of a nondeterministic transducer whose states
 are (tokens not yet emitted, place in the vocabulary's trie), and whose token boundaries are allowed by that pair
-test. Its subsets are determinised on demand: a state is the tuple of live hypotheses, a step reads one byte, and the
-tokens that all hypotheses share are emitted as soon as one hypothesis is left, so the lookahead lasts only as long as
-hypotheses disagree.
+test. Its subsets are determinised on demand into a subsequential transducer: a state is the tuple of live hypotheses with
+what each has yet to emit, an arc reads one byte and emits the tokens that all hypotheses then share, so the lookahead lasts
+only as long as hypotheses disagree. Matches of any length go through it, a lookup a byte.
 
 Defined cases: null and empty texts have no tokens; a null doc_id stays null; texts of any length are encoded whole (one
 match of the pattern, however long, is a stream through the transducer, and only its undecided tokens are held); other
@@ -21,7 +21,6 @@ import hashlib
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import regex
@@ -31,10 +30,8 @@ from .common import SegmentCache, map_batches
 
 #: Determinised states kept at most; beyond, the table is emptied and grows anew.
 MAX_STATES = 250_000
-NODE_BITS = 24
-NODE = (1 << NODE_BITS) - 1
-#: A pre-token of so many bytes is shorter than the lookahead may be, so its tokens are read off at once.
-SHORT = 32
+NODE_BITS, LAST_BITS = 24, 24
+NODE, LAST, TOP = (1 << NODE_BITS) - 1, (1 << LAST_BITS) - 1, NODE_BITS + LAST_BITS
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,7 +40,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Steps(dict):
-    """state << 8 | byte -> state << 8 behind it, worked out when first asked for."""
+    """state << 8 | byte -> state << 8 behind it, or ~number of an arc that emits tokens; worked out when first asked for."""
 
     def __init__(self, work_out: Callable[[int], int]):
         super().__init__()
@@ -57,8 +54,8 @@ class Steps(dict):
 class Transducer:
     """Encoder of one pre-token at a time, from a table of ranks.
 
-    A hypothesis is (last whole token, trie node of the open token). After each byte at most one token can end,
-    as every prefix has one encoding; the state behind it names it, and walking back over these ends gives the tokens.
+    A hypothesis is (last whole token, trie node of the open token, tokens that it hasn't emitted). After each byte at most one
+    token can end, as every prefix has one encoding.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -67,7 +64,7 @@ class Transducer:
         self.length = {i: len(t) for t, i in ranks.items()}
         # edges of the trie by node << 8 | byte: (child, token that ends there or -1)
         child: dict[int, int] = {}
-        token_at, depth, inner = [-1], [0], {0}
+        token_at, inner = [-1], {0}
         for token, rank in ranks.items():
             node = 0
             for b in token:
@@ -75,25 +72,32 @@ class Transducer:
                 if nxt is None:
                     nxt = child[node << 8 | b] = len(token_at)
                     token_at.append(-1)
-                    depth.append(depth[node] + 1)
                     inner.add(node)
                 node = nxt
             token_at[node] = rank
         self.edge = {k: (c, token_at[c], c in inner) for k, c in child.items()}
-        self.depth = depth
         self.spines: dict[int, tuple[list, list]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # a hypothesis is packed: (last token + 1) << NODE_BITS | node
+        # a hypothesis is packed: number of the tokens not emitted << TOP | (last token + 1) << NODE_BITS | node
         start = (0,)
         self.number = {start: 0}
         self.state = [start]
-        self.sure = [0]  # of a state with one hypothesis: bytes in its open token; else -1
-        self.ended = [-1]  # of a state: the token that ends where it begins, or -1
+        self.held: list[tuple] = [()]
+        self.held_number: dict[tuple, int] = {(): 0}
+        self.final: list[tuple] = [()]  # of a state: what is left to emit if the match ends there
+        self.arcs: list[tuple[int, tuple]] = []  # arcs that emit: (state << 8 behind it, tokens)
         self.step = Steps(self._advance)
         self.pairs: dict[int, bool] = {}
 
+    def _hold(self, tokens: tuple) -> int:
+        found = self.held_number.get(tokens)
+        if found is None:
+            found = self.held_number[tokens] = len(self.held)
+            self.held.append(tokens)
+        return found << TOP
+
     def merge(self, data: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by repeated merging of the pair with the lowest rank, leftmost first; for one token's bytes."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -140,83 +144,80 @@ class Transducer:
                 return True
 
     def _advance(self, key: int) -> int:
-        """The step of a key of `step`, from the hypotheses of its state."""
-        live, ended = [], -1
-        edge, pairs = self.edge.get, self.pairs
+        """The arc of a key of `step`, from the hypotheses of its state."""
+        live, ended, final = [], -1, ()
+        edge, pairs, held = self.edge.get, self.pairs, self.held
         byte = key & 255
         for h in self.state[key >> 8]:
-            found = edge((h & NODE) << 8 | byte)
+            node = h & NODE
+            found = edge(node << 8 | byte)
             if found is not None:
                 nxt, token, inner = found
                 if token >= 0 and ended < 0:
-                    last = h >> NODE_BITS
+                    last = h >> NODE_BITS & LAST
+                    sides = True
                     if last:
-                        sides = pairs.get(last << NODE_BITS | token)
+                        pair = last << LAST_BITS | token
+                        sides = pairs.get(pair)
                         if sides is None:
-                            sides = pairs[last << NODE_BITS | token] = self.follows(last - 1, token)
-                        if sides:
-                            ended = token
-                    else:
-                        ended = token
+                            sides = pairs[pair] = self.follows(last - 1, token)
+                    if sides:
+                        final = (*held[h >> TOP], token)
+                        ended = self._hold(final) | (token + 1) << NODE_BITS
                 if inner:
-                    live.append(h - (h & NODE) + nxt)
+                    live.append(h + nxt - node)
         if ended >= 0:
-            live.append((ended + 1) << NODE_BITS)
+            live.append(ended)
+        # what all hypotheses share goes out on the arc
+        kinds = {h >> TOP for h in live}
+        out: tuple = ()
+        if len(kinds) == 1:
+            out = held[kinds.pop()]
+            if out:
+                live = [h & (1 << TOP) - 1 for h in live]
+        elif 0 not in kinds:
+            least, most = min(held[k] for k in kinds), max(held[k] for k in kinds)
+            n = next((i for i, (a, b) in enumerate(zip(least, most)) if a != b), min(len(least), len(most)))
+            if n:
+                out, moved = least[:n], {k: self._hold(held[k][n:]) for k in kinds}
+                live = [h & (1 << TOP) - 1 | moved[h >> TOP] for h in live]
         new = tuple(live)
         to = self.number.get(new)
         if to is None:
             to = self.number[new] = len(self.state)
             self.state.append(new)
-            self.sure.append(self.depth[new[0] & NODE] if len(new) == 1 else -1)
-            self.ended.append(ended)
-        return to << 8
-
-    def _back(self, ends: list[int], at: int) -> list[int]:
-        """The tokens up to `at`, read backwards off the ends of tokens."""
-        ids, length = [], self.length
-        while at:
-            token = ends[at - 1]
-            ids.append(token)
-            at -= length[token]
-        ids.reverse()
-        return ids
+            self.final.append(final[len(out) :] if ended >= 0 else ())
+        if not out:
+            return to << 8
+        self.arcs.append((to << 8, out))
+        return ~(len(self.arcs) - 1)
 
     def encode(self, data: bytes) -> list[int]:
         """Token ids of one pre-token."""
-        whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
         if len(self.state) > MAX_STATES:
             self._reset()
-        return list(chain.from_iterable(self.stream(data))) if len(data) > SHORT else self._short(data)
-
-    def _short(self, data: bytes) -> list[int]:
-        """As `stream`, for a few bytes: all steps first, then the tokens off the ends, which are the same."""
-        step, ended, length = self.step, self.ended, self.length
-        to = 0
-        states = [to := step[to | b] for b in data]
-        ids, at = [], len(data)
-        while at:
-            token = ended[states[at - 1] >> 8]
-            ids.append(token)
-            at -= length[token]
-        ids.reverse()
+        ids: list[int] = []
+        at, step, arcs = 0, self.step, self.arcs
+        for b in data:
+            at = step[at | b]
+            if at < 0:
+                at, tokens = arcs[~at]
+                ids += tokens
+        ids += self.final[at >> 8]
+        if len(ids) > 1 and (whole := self.ranks.get(data)) is not None:
+            return [whole]  # a token that no merges make: a match that is one is that token all the same
         return ids
 
     def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
-        """Tokens of a stream of bytes, given out at every state with one hypothesis: all before its open token are sure."""
-        ends: list[int] = []
-        at, step, put, ended, sure = 0, self.step, ends.append, self.ended, self.sure
+        """Tokens of a stream of bytes, given out by the arcs as they are passed."""
+        at, step, arcs = 0, self.step, self.arcs
         for b in data:
             at = step[at | b]
-            put(ended[at >> 8])
-            held = sure[at >> 8]
-            if 0 <= held < len(ends):
-                cut = len(ends) - held
-                yield [ends[0]] if cut == 1 else self._back(ends, cut)
-                del ends[:cut]
-        if ends:
-            yield self._back(ends, len(ends))
+            if at < 0:
+                at, tokens = arcs[~at]
+                yield list(tokens)
+        if self.final[at >> 8]:
+            yield list(self.final[at >> 8])
 
 
 _MARKS = frozenset(".,;:!?|")

@@ -43,7 +43,8 @@ class WordEncoder:
     """Ids by the tokenizers library, for a vocabulary whose words are parted by white space, with bounded caches.
 
     Its normaliser turns line ends and tabs into spaces and no word of it reaches over a space, so texts are cut
-    there. Words of Latin letters, whose lower case is plain, and marks behind them are looked up apart.
+    there. Words of Latin letters, whose lower case is plain, and marks behind them are looked up apart. A text that holds
+    the string of an added token goes to the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -51,7 +52,8 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # strings of added tokens are found in the text itself, over any borders of words
+        self.added = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.char = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.char == "H" else "<u4")
         # what the byte-level step makes of each Latin letter; a lower-case word then goes straight to the model
@@ -82,6 +84,8 @@ class WordEncoder:
     def packed(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(a[:2] in text for a in self.added) and any(a in text.lower() for a in self.added):
+            return self._encode(text)
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 

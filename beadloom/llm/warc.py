@@ -148,15 +148,11 @@ def describe(headers: dict[str, str], block: bytes) -> dict:
     }
 
 
-def plan(pages: DataFrame, min_payload: int = 100) -> DataFrame:
-    """page_id, digest, refers_to of the rows that revisit another page's payload.
-
-    Only digests are shuffled; digests of very many pages are looked up by broadcast, the others by a join.
-    """
-    digests = materialise(pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha2("html", 256).alias("digest")).filter(F.octet_length("html") >= min_payload))
-    groups = materialise(digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 AND refers_to IS NOT NULL"))
-    found = attach(digests, groups, "digest", "n", digests.count())
-    return found.filter("page_id IS NULL OR page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+def originals(pages: DataFrame, min_payload: int = 100) -> DataFrame:
+    """digest, refers_to (the least page_id), n of the payloads of at least `min_payload` bytes that several rows have. Only digests
+    are shuffled."""
+    digests = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha2("html", 256).alias("digest")).filter(F.octet_length("html") >= min_payload)
+    return materialise(digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 AND refers_to IS NOT NULL"))
 
 
 def write(pages: DataFrame, folder: str, min_payload: int = 100) -> DataFrame:
@@ -165,9 +161,10 @@ def write(pages: DataFrame, folder: str, min_payload: int = 100) -> DataFrame:
     Names of files are those of a task's own run; only files that the index (a table) names count.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha2("html", 256))
-    revisits = plan(rows, min_payload)
-    rows = rows.alias("a").join(revisits.alias("b"), F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & (F.col("a.digest") == F.col("b.digest")), "left")
-    rows = rows.select("a.page_id", "url", "html", "a.digest", "refers_to")
+    # payloads of very many rows are looked up where their rows are, the others by a join on the digest alone
+    found = attach(rows, originals(rows, min_payload), "digest", "n", rows.count(), "left")
+    refers_to = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("refers_to")), F.col("refers_to"))
+    rows = found.select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_store(folder)

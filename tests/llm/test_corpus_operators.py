@@ -488,7 +488,6 @@ def test_pipeline_stages(spark):
     assert docs.filter("n_chars <> length(text)").isEmpty()
 
     t = Tokenizer.from_file(queries.tokenizer_file("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     ids = {d: np.array([*t.encode(x, add_special_tokens=False).ids, 1], "<u4") for d, x in after.items()}
     pieces = corpus_pipeline.STAGES[4][1](spark, docs, folder).collect()
     assert sum(r.length for r in pieces) == sum(map(len, ids.values()))

@@ -397,7 +397,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     odd = [*ODD, (11, "İstanbul ΣΑΣ don't stop\x1cthere's <|endoftext|> é x y"), (12, "word. Word, WORD! it's")]
     rows = packing.pack(documents(spark, odd), WORDS, size=64).collect()
     import zlib
