@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from .common import SegmentCache, map_batches
 
 #: Determinised states kept at most; beyond, the table is emptied and grows anew.
-MAX_STATES = 250_000
+MAX_STATES = 400_000
 NODE_BITS, LAST_BITS = 24, 24
 NODE, LAST, TOP = (1 << NODE_BITS) - 1, (1 << LAST_BITS) - 1, NODE_BITS + LAST_BITS
 
@@ -249,8 +249,8 @@ class TextEncoder:
     def _part(self, part: str) -> bytes:
         if part.isascii():  # most parts: a word, perhaps with one mark behind it; what the pattern would find
             word = part[1:] if part[0] == " " else part
-            if word.isalpha():
-                return self.pack(self.pieces[part])
+            if word.isalpha():  # a match as it is
+                return self.pack(self.machine.encode(part.encode()))
             if word[-1:] in _MARKS and word[:-1].isalpha():
                 return self.pack(self.pieces[part[:-1]] + self.pieces[word[-1]])
         found = self.find(part)

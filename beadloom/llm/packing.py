@@ -54,6 +54,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # strings of added tokens are found in the text itself, over any borders of words
         self.added = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.begins = sorted({a[:2] for a in self.added})
         self.char = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.char == "H" else "<u4")
         # what the byte-level step makes of each Latin letter; a lower-case word then goes straight to the model
@@ -75,6 +76,8 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
+        if word.isalpha() and (word.isascii() or max(word) < "Ā"):
+            return self.stems[word.lower()]
         stem = word.rstrip(_MARKS)
         if stem.isalpha() and max(stem) < "Ā":
             low = stem.lower()
@@ -84,7 +87,7 @@ class WordEncoder:
     def packed(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(a[:2] in text for a in self.added) and any(a in text.lower() for a in self.added):
+        if any(a in text for a in self.begins) and any(a in text.lower() for a in self.added):
             return self._encode(text)
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 

@@ -33,8 +33,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 
-# Letters of other scripts that look like Latin ones.
-HOMOGLYPHS = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅοαενιρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXIJSoaevipтukABEZHIKMNOPTYX".replace("т", "t")))
+# Letters and signs that look like Latin ones: Cyrillic small and capital, Greek small and capital, others.
+HOMOGLYPHS = dict(zip("авгеикмнопрстухѕіїјһӏԁԛԝ", "abreukmhonpctyxsiijhldqw")) | dict(zip("АВЕЅІЈКМНОРСТУХҮӀԌ", "ABESIJKMHOPCTYXYIG"))
+HOMOGLYPHS |= dict(zip("αβεικνορτυχγ", "abeikvoptuxy")) | dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX")) | dict(zip("ıſ‐‑‒−", "is----"))
+
 # Digits in words, English, German, French and Spanish.
 DIGIT_WORDS = {
     w: str(d)
@@ -46,6 +48,8 @@ DIGIT_WORDS = {
     )
     for w in words.split()
 }
+# Words before a digit that repeat it.
+REPEATS = {"double": 2, "triple": 3}
 # Those of them that are articles, too.
 ARTICLES = frozenset(("one", "un", "une"))
 # Words for the signs of addresses in these languages. "point" is prose behind an English "at".
@@ -67,13 +71,16 @@ MIN_DIGITS = 9
 MIN_BARE_WORDS = 4
 _NUMBER_WORD = r"(?<!\w)(?=[zoenutdfvcqsha])(?:%s)(?!\w)" % "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _NUMERAL = r"(?<![\w.])[0-9]++(?!\w|\.[0-9])"
-_NUMBER = re.compile(rf"{_NUMBER_WORD}|{_NUMERAL}")
+_REPEATED = rf"(?<!\w)(?:double|triple)[\s-]++(?:{_NUMBER_WORD}|[0-9](?!\w))"
+_NUMBER = re.compile(rf"{_REPEATED}|{_NUMBER_WORD}|{_NUMERAL}")
 _OPEN, _CLOSE = r"[\[({<]\s*+", r"\s*+[\])}>]"
 _AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
 _BETWEEN = re.compile(r"[\s,()/-]++")
 _SPELLED_DOT = re.compile(rf"\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\s*+\.\s*+")
 #: A number word beside another or a numeral, or a numeral beside one.
 _MIXED = re.compile(rf"{_NUMBER_WORD}(?:[\s,()/-]++|\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\.)(?:[0-9]|{_NUMBER_WORD})|[0-9](?:[\s,()/-]++|\s*+{_OPEN}(?:{_DOT}|\.){_CLOSE}\s*+|\s++(?:{_DOT})\s++|\.)(?={_NUMBER_WORD})")
+#: Numerals parted by spelled dots, as of an address: "10 dot 0 dot 0 dot 1".
+_DOTTED = re.compile(rf"[0-9]\s++(?:{_DOT})\s++[0-9]++\s++(?:{_DOT})\s")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Tokens of addresses; a run of white space is one token, so that it is read once.
 _TOKEN = re.compile(
@@ -82,6 +89,10 @@ _TOKEN = re.compile(
     rf"|(?P<atom>[\w%+-]++)|\s++|[^\w\s]",
     re.IGNORECASE,
 )
+#: An address whose signs are words between underscores or hyphens.
+_JOINED = re.compile(r"(?<![A-Za-z0-9_-])[a-z0-9]++(?:[_-]dot[_-][a-z0-9]++)*+([_-])at[_-][a-z0-9]++(?:[_-]dot[_-][a-z0-9]++)++(?![A-Za-z0-9])", re.IGNORECASE)
+_JOINED_SIGN = re.compile(r"[_-](at|dot)[_-]", re.IGNORECASE)
+_JOINED_HINT = re.compile(r"[_-]at[_-]", re.IGNORECASE).search
 _HINT = re.compile(rf"{_OPEN}(?:{_AT}|{_DOT}|@|\.){_CLOSE}|\s(?:{_DOT})\s|\s(?:arobase|arroba|ät)\s|\sat\s++[\w-]++\.\w", re.IGNORECASE)
 
 
@@ -183,10 +194,33 @@ class Mapped:
     _starts: list[int] = []
 
 
+def _beside_signs(text: str) -> list[tuple[int, int, str]]:
+    """Letters that aren't ASCII in the name or host of an @: whatever they are, they belong to the address. They become the
+    letter that they look like, or the one they are written with, or else x."""
+    changes, taken, at = [], 0, text.find("@")
+    while at >= 0:
+        start, end = at, at + 1
+        while start > taken and (text[start - 1].isalnum() or text[start - 1] in "_.%+-‐‑‒−"):
+            start -= 1
+        while end < len(text) and (text[end].isalnum() or text[end] in ".-‐‑‒−"):
+            end += 1
+        for i in range(start, end):
+            c = text[i]
+            if not c.isascii():
+                put = HOMOGLYPHS.get(c) or unicodedata.normalize("NFKD", c)[:1]
+                changes.append((i, i + 1, put if put.isascii() and (put.isalnum() or put == "-") else "x"))
+        taken = end
+        at = text.find("@", end)
+    return changes
+
+
 def _homoglyph_changes(text: str) -> list[tuple[int, int, str]]:
-    changes = []
-    for m in re.finditer(r"[^\x00-\x7fÀ-ɏ]", text):
+    changes = _beside_signs(text) if "@" in text else []
+    done = {s for s, _, _ in changes}
+    for m in re.finditer(r"[^\x00-\x7fÀ-İĲ-ɏ]", text):
         c = m.group()
+        if m.start() in done:
+            continue
         if c in "​‌‍⁠﻿­":
             changes.append((m.start(), m.end(), ""))
             continue
@@ -195,7 +229,7 @@ def _homoglyph_changes(text: str) -> list[tuple[int, int, str]]:
             put = unicodedata.normalize("NFKC", c)
         if put != c and put.isascii():
             changes.append((m.start(), m.end(), put))
-    return changes
+    return sorted(changes)
 
 
 def normalise(text: str) -> Mapped:
@@ -204,8 +238,10 @@ def normalise(text: str) -> Mapped:
     if not text.isascii():
         m.rewrite(_homoglyph_changes(m.text))
     low = _lower(m.text)
-    if _MIXED.search(low):
+    if _MIXED.search(low) or _DOTTED.search(low):
         m.rewrite(_number_changes(low))
+    if _JOINED_HINT(m.text):
+        m.rewrite([(s.start() + x.start(), s.start() + x.end(), "@" if x.group(1).lower() == "at" else ".") for s in _JOINED.finditer(m.text) for x in _JOINED_SIGN.finditer(s.group())])
     if _HINT.search(m.text):
         m.rewrite(_address_changes(m.text))
     return m
@@ -224,7 +260,12 @@ def _number_changes(text: str) -> list[tuple[int, int, str]]:
     groups: list[list[tuple[int, int, str]]] = []  # digits between dots
     at = 0
     for m in _NUMBER.finditer(text):
-        digits = DIGIT_WORDS.get(m.group()) or m.group()
+        word = m.group()
+        if word[:6] in REPEATS:
+            last = re.split(r"[\s-]+", word)[-1]
+            digits = (DIGIT_WORDS.get(last) or last) * REPEATS[word[:6]]
+        else:
+            digits = DIGIT_WORDS.get(word) or word
         token = (m.start(), m.end(), digits)
         if groups and _BETWEEN.fullmatch(text, at, m.start()):
             groups[-1].append(token)
@@ -246,10 +287,12 @@ def _number(text: str, groups: list[list[tuple[int, int, str]]]) -> list[tuple[i
         if groups and len(groups[k]) > 1 and text[slice(*groups[k][k][:2])] in ARTICLES and text[groups[k][inner][0]] <= "9":
             groups[k].pop(k)
     spelled = [any(text[s] > "9" for s, _, _ in g) for g in groups]
-    if not any(spelled):
-        return []
     values = ["".join(d for _, _, d in g) for g in groups]
     dotted = len(groups) == 4 and all(len(v) <= 3 and int(v) <= 255 for v in values)
+    # numerals alone are an address only if all their dots are words
+    words = dotted and all(any(c.isalpha() for c in text[a[-1][1] : b[0][0]]) for a, b in zip(groups, groups[1:]))
+    if not any(spelled) and not words:
+        return []
     out = []
     for k, g in enumerate(groups):
         if dotted and k:
@@ -358,11 +401,14 @@ def suspect(text: str) -> bool:
     if not text.isascii():
         try:
             text.encode("latin-1")  # the soft hyphen, and what NFKC makes ASCII
-            if _LATIN_1(text):
+            if _LATIN_1(text) or ("@" in text and _beside_signs(text)):
                 return True
         except UnicodeEncodeError:
             return True
-    return _HINT.search(text) is not None or _MIXED.search(_lower(text)) is not None
+    if _HINT.search(text) is not None or _JOINED_HINT(text) is not None:
+        return True
+    low = _lower(text)
+    return _MIXED.search(low) is not None or _DOTTED.search(low) is not None
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:

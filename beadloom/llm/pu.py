@@ -10,7 +10,7 @@ Only texts are inputs. Models are linear over hashed features of words (the word
 over dense measurements. What is counted, is counted over all documents by Spark: in how many each hashed feature occurs,
 which tells the features that set positives apart, and how many score above each threshold that the prior is read from
 (two classifiers, each for the half of the texts that it wasn't trained on). Only the gradient steps, with numpy on the
-driver, use samples: at most `max_positive` and `max_unlabelled` texts, one per id, drawn by a hash of the id.
+driver, and the share of texts that a threshold is lowered to, use samples: at most `max_positive` and `max_unlabelled` texts, one per id, drawn by a hash of the id.
 
 Defined cases: null and empty texts have no features and measurements 0 and get a score like others; texts of any length
 are taken whole; repeated rows and doc_ids give a row each, and count once in a sample (by the least text); a null doc_id
@@ -43,6 +43,8 @@ PREFIXES = (4, 5)
 DENSE = ("n_words", "symbols", "bangs", "pipes", "upper", "digits", "mean_word", "distinct", "window_repeats", "line_repeats")
 # Marks that are stripped from words.
 _STRIP = b".,;:!?\"'()[]{}*#$%&|<>-+=/"
+#: Words from which on features weigh less, and words at which they weigh 1.
+FEW, UNIT = 20, 60
 #: Bytes of text whose words are hashed at once; a longer word counts in pieces.
 PIECE = 1 << 20
 
@@ -67,6 +69,12 @@ class Config:
     #: rarer), and in at least so many positives (or documents of a sample of that size).
     least_z: float = 6.0
     least_texts: int = 4
+    #: Power of the number of words (at least FEW) by which a text's hashed features weigh less, so that a few in a long text
+    #: say less than in a short one; needs n_words among the measurements.
+    per_words: float = 0.0
+    #: The threshold is lowered until so much of the prior is above it among the unlabelled texts, but at most half the way to
+    #: texts without any feature that counts; 0: not at all.
+    above_share: float = 0.0
 
 
 @dataclass
@@ -195,21 +203,24 @@ def hash_each(texts: list[str | None], shapes: bool) -> list[np.ndarray]:
 
 
 def dense(raw: bytes, words: list[bytes], names: tuple[str, ...]) -> np.ndarray:
-    """The named measurements of a text."""
+    """The named measurements of a text; none other is worked out."""
     n = len(words)
     if not n:
         return np.zeros(len(names))
     joined = b"".join(words)
-    m: dict[str, float] = {"n_words": np.log1p(n), "mean_word": len(joined) / n, "distinct": len(set(words)) / n}
     share = lambda k, of: math.sqrt(k / of)
-    m["symbols"] = share(len(joined) - len(joined.translate(None, b"#*$%&<>")), n)
-    m["bangs"], m["pipes"] = share(joined.count(b"!!"), n), share(joined.count(b"|"), n)
-    m["upper"] = share(len(joined) - len(joined.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")), len(joined))
-    m["digits"] = share(len(joined) - len(joined.translate(None, b"0123456789")), len(joined))
-    m["window_repeats"] = share(n - 2 - len(set(zip(words, words[1:], words[2:]))), n - 2) if n > 2 else 0.0
-    lines = [x for x in raw.split(b"\n") if x.strip()]
-    m["line_repeats"] = share(len(lines) - len(set(lines)), len(lines))
-    return np.array([m[k] for k in names])
+    but = lambda drop: len(joined) - len(joined.translate(None, drop))
+
+    def lines() -> float:
+        found = [x for x in raw.split(b"\n") if x.strip()]
+        return share(len(found) - len(set(found)), len(found))
+
+    m: dict[str, Callable[[], float]] = {
+        "n_words": lambda: np.log1p(n), "mean_word": lambda: len(joined) / n, "distinct": lambda: len(set(words)) / n, "symbols": lambda: share(but(b"#*$%&<>"), n),
+        "bangs": lambda: share(joined.count(b"!!"), n), "pipes": lambda: share(joined.count(b"|"), n), "upper": lambda: share(but(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), len(joined)),
+        "digits": lambda: share(but(b"0123456789"), len(joined)), "window_repeats": lambda: share(n - 2 - len(set(zip(words, words[1:], words[2:]))), n - 2) if n > 2 else 0.0, "line_repeats": lines,
+    }
+    return np.array([m[k]() for k in names])
 
 
 def measurements(texts: list[str | None], names: tuple[str, ...]) -> list[np.ndarray]:
@@ -268,23 +279,31 @@ def risk(fp: np.ndarray, fu: np.ndarray, prior: float | None) -> tuple[float, np
     return float(plus + rest), rest_p - prior * _sigmoid(-fp) * a, rest_u
 
 
+def scales(config: Config, measured: np.ndarray) -> np.ndarray:
+    """What a text's hashed features are multiplied by."""
+    if not config.per_words:
+        return np.ones(len(measured))
+    n = np.expm1(measured[:, config.dense.index("n_words")])
+    return (UNIT / np.maximum(n, FEW)) ** config.per_words
+
+
 class Linear:
     """Scores of a linear model and their slope: weights are those of the hashed features, of the measurements, and a bias."""
 
-    def __init__(self, n_hashed: int, centre: np.ndarray, scale: np.ndarray):
-        self.hashes, self.centre, self.scale = n_hashed, centre, scale
+    def __init__(self, n_hashed: int, centre: np.ndarray, scale: np.ndarray, config: Config = Config(hashed=True)):
+        self.hashes, self.centre, self.scale, self.config = n_hashed, centre, scale, config
         self.size = n_hashed + len(centre) + 1
 
     def score(self, w: np.ndarray, x: tuple) -> np.ndarray:
         ids, row, dn = x
-        f = np.bincount(row, w[ids], len(dn)) if self.hashes else np.zeros(len(dn))
+        f = np.bincount(row, w[ids], len(dn)) * scales(self.config, dn) if self.hashes else np.zeros(len(dn))
         return f + ((dn - self.centre) / self.scale) @ w[self.hashes : -1] + w[-1]
 
     def slope(self, x: tuple, g: np.ndarray) -> np.ndarray:
         ids, row, dn = x
         out = np.zeros(self.size)
         if self.hashes:
-            out[: self.hashes] = np.bincount(ids, g[row], self.hashes)
+            out[: self.hashes] = np.bincount(ids, (g * scales(self.config, dn))[row], self.hashes)
         out[self.hashes : -1] = g @ ((dn - self.centre) / self.scale)
         out[-1] = g.sum()
         return out
@@ -299,7 +318,7 @@ def fit(positive: Rows, unlabelled: Rows, config: Config, prior: float | None) -
     both = np.concatenate([positive.dense, unlabelled.dense])
     used = np.unique(np.concatenate([positive.ids, unlabelled.ids]))
     positive, unlabelled = (Rows.of(r.sizes, np.searchsorted(used, r.ids), r.dense) for r in (positive, unlabelled))
-    line = Linear(len(used), both.mean(0), both.std(0) + 1e-3)
+    line = Linear(len(used), both.mean(0), both.std(0) + 1e-3, config)
     w, m, v = np.zeros(line.size), np.zeros(line.size), np.zeros(line.size)
     n_p, n_u = len(positive.sizes), len(unlabelled.sizes)
     steps = max(1, -(-n_u // config.batch))
@@ -324,7 +343,7 @@ def fit(positive: Rows, unlabelled: Rows, config: Config, prior: float | None) -
 def logits(model: Model, rows: Rows) -> np.ndarray:
     ids, row, dn = rows.take(np.arange(len(rows.sizes)))
     hashes = HASHES * model.config.hashed
-    f = np.bincount(row, model.weights[ids], len(dn)) if model.config.hashed else np.zeros(len(dn))
+    f = np.bincount(row, model.weights[ids], len(dn)) * scales(model.config, dn) if model.config.hashed else np.zeros(len(dn))
     return f + ((dn - model.centre) / model.scale) @ model.weights[hashes:-1] + model.bias
 
 
@@ -374,7 +393,17 @@ def train(positive: list, unlabelled: list, config: Config, n_texts: np.ndarray,
 
     halves = [fitted(positive[k::2], unlabelled[k::2], None) for k in (0, 1)]
     scores = [logits(m, Rows(positive[1 - k :: 2])) for k, m in enumerate(halves)]
-    return fitted(positive, unlabelled, estimate_prior(scores, lambda cuts: above(halves, cuts)))
+    prior = estimate_prior(scores, lambda cuts: above(halves, cuts))
+    model = fitted(positive, unlabelled, prior)
+    if config.above_share:
+        rows = Rows(unlabelled)
+        found = logits(model, rows)  # weights of features that aren't used are 0, so all features may be counted
+        ids, row, _ = rows.take(np.arange(len(rows.sizes)))
+        bare = found[np.bincount(row, model.weights[ids] != 0, len(found)) == 0]
+        # never more than half the way to texts without any feature that counts
+        least = min(0.0, float(bare.max()) / 2) if len(bare) else 0.0
+        model.bias -= min(0.0, max(least, float(np.quantile(found, 1 - min(1.0, config.above_share * prior)))))
+    return model
 
 
 def _sample(ids: DataFrame, at_most: int, salt: int) -> DataFrame:
@@ -496,18 +525,19 @@ def _scorer(model: Model | None, squash: bool = True) -> Callable[[], Callable[[
     values = model.weights[used]
     wd = model.weights[hashes:-1] / model.scale
     offset = model.bias - float(wd @ model.centre)
+    config = model.config
 
     def make():
         weights = np.zeros(HASHES + 1)
         weights[used] = values
 
         def run(texts: list) -> list[float]:
-            f = np.full(len(texts), offset)
+            f, measured = np.full(len(texts), offset), np.array(measurements(texts, names)).reshape(len(texts), -1)
             if hashes:
                 doc, found = hash_texts(texts, shapes)
-                f += np.bincount(doc, weights[found].sum(1), len(texts))
+                f += np.bincount(doc, weights[found].sum(1), len(texts)) * scales(config, measured)
             if len(wd):
-                f += np.array(measurements(texts, names)).reshape(len(texts), -1) @ wd
+                f += measured @ wd
             return (_sigmoid(f) if squash else f).tolist()
 
         return run
@@ -553,4 +583,4 @@ def predict(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_o
 
 
 QUALITY = Config(hashed=True, dense=DENSE, shapes=True, both_ways=True, epochs=60)
-TOXICITY = Config(hashed=True, epochs=30, rate=0.03, least_z=5.0)
+TOXICITY = Config(hashed=True, dense=("n_words",), epochs=30, rate=0.03, least_z=5.0, per_words=0.5, above_share=0.91)
