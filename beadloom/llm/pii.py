@@ -90,7 +90,7 @@ _TOKEN = re.compile(
     re.IGNORECASE,
 )
 #: An address whose signs are words between underscores or hyphens.
-_JOINED = re.compile(r"(?<![A-Za-z0-9_-])[a-z0-9]++(?:[_-]dot[_-][a-z0-9]++)*+([_-])at[_-][a-z0-9]++(?:[_-]dot[_-][a-z0-9]++)++(?![A-Za-z0-9])", re.IGNORECASE)
+_JOINED = re.compile(r"(?<![A-Za-z0-9_-])[a-z0-9]++(?:[_-](?!at[_-])[a-z0-9]++)*+[_-]at[_-][a-z0-9]++(?:[_-](?!dot[_-])[a-z0-9]++)*+(?:[_-]dot[_-][a-z0-9]++)++(?![A-Za-z0-9])", re.IGNORECASE)
 _JOINED_SIGN = re.compile(r"[_-](at|dot)[_-]", re.IGNORECASE)
 _JOINED_HINT = re.compile(r"[_-]at[_-]", re.IGNORECASE).search
 _HINT = re.compile(rf"{_OPEN}(?:{_AT}|{_DOT}|@|\.){_CLOSE}|\s(?:{_DOT})\s|\s(?:arobase|arroba|ät)\s|\sat\s++[\w-]++\.\w", re.IGNORECASE)

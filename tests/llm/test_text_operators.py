@@ -431,3 +431,60 @@ def test_no_rows_anywhere(spark):
     assert bpe.round_trip(none, RANKS, P.PATTERN).count() == 0 and pii.detect(none).count() == 0
     assert token_counts.count_tokens(none, RANKS, P.PATTERN, 50256).count() == 0
     assert none.filter(F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text,kind,found",
+    [
+        ("at 192 dot 168 dot 0 dot 1 now", "ip", ["192 dot 168 dot 0 dot 1"]),
+        ("ask kıra@example.com", "email", ["kıra@example.com", "ra@example.com"]),
+        ("to john‐doe@example.com", "email", ["john‐doe@example.com", "doe@example.com"]),
+        ("mail тоm@example.com.", "email", ["тоm@example.com", "m@example.com"]),
+        ("josé@exämple.com", "email", ["josé@exämple.com"]),
+        ("李雷@example.org", "email", ["李雷@example.org"]),
+        ("john_at_example_dot_com", "email", ["john_at_example_dot_com"]),
+        ("x john-doe-at-my-example-dot-co-dot-uk", "email", ["john-doe-at-my-example-dot-co-dot-uk"]),
+        ("jane-at-example-dot-co-dot-uk.", "email", ["jane-at-example-dot-co-dot-uk"]),
+        ("double seven five five one two three four five six six", "phone", ["double seven five five one two three four five six six"]),
+        ("+1 double five five 0 1 triple 2", "phone", ["+1 double five five 0 1 triple 2"]),
+        ("le café @ place", "email", []),
+        ("look_at_this, meet-at-noon, good_at_dot_painting", "email", []),
+        ("version 1 point 2 is 3 dot 4", "ip", []),
+        ("300 dot 1 dot 1 dot 1", "ip", []),
+        ("a double page, triple one", "phone", []),
+    ],
+)
+def test_more_disguises(text, kind, found):
+    spans = pii.find(text)[1]
+    assert [text[s:e] for k, s, e in spans if k == kind] == found
+    assert all(text[s:e] not in pii.mask(text) for _, s, e in spans)
+
+
+def test_letters_beside_signs_take_linear_time():
+    import time
+
+    for text in ("é" * 200_000 + "@", "é@" * 100_000, "é@é " * 60_000, "_at_" * 60_000, "a_dot_" * 60_000 + "at", "1 dot " * 60_000, "double " * 60_000):
+        began = time.process_time()
+        pii.find(text)
+        assert time.process_time() - began < 6, text[:20]
+
+
+def test_added_tokens_are_found_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    rng = random.Random(1)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", " ", "﻿", "cY", "'ll", "'s", "a", "<|", "é", "\n", "!!", "word", "İ"]
+    for _ in range(3000):
+        x = "".join(rng.choice(bits) for _ in range(rng.randint(0, 8)))
+        assert np.frombuffer(own.packed(x), own.dtype).tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
+def test_arcs_emit_for_matches_of_any_length():
+    """Tokens come out on the way, not only at a match's end, and what is held is short."""
+    machine = bpe.encoder(RANKS, P.PATTERN).machine
+    for word in (b"internationalisation", b"thereningly", b"abcdefgh" * 40):
+        parts = list(machine.stream(word))
+        assert [t for p in parts for t in p] == machine.encode(word) and len(parts) > 1, word
+    assert max(map(len, machine.held)) < 40
+    assert not hasattr(bpe, "SHORT")
