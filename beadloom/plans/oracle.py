@@ -82,8 +82,8 @@ _SQL = {
     "render_clusters": f"""WITH {_DEDUP}, x AS (SELECT barcode, {_TEXT} AS t, CASE WHEN read_type = 'BPM' THEN 1 WHEN read_type = 'RPM' AND chrom LIKE 'chr%' THEN 2 WHEN read_type = 'RPM' THEN 3 ELSE 4 END AS score FROM dd)
 SELECT concat(barcode, chr(9), string_agg(t, chr(9) ORDER BY score, t)) AS line FROM x GROUP BY barcode""",
     "parse_cluster_lines": f"WITH {_DEDUP} SELECT barcode, read_type, feature, chrom, CAST(start_pos AS BIGINT) AS start_pos, CAST(end_pos AS BIGINT) AS end_pos FROM dd",
-    "discover_samples": """SELECT concat('S', rec_no % 50, '_L', chunk) AS sample, concat('R', rec_no % 3 + 1) AS read, concat('/data/S', rec_no % 50, '_L', chunk, '_R', rec_no % 3 + 1, '.fastq.gz') AS paths
-FROM reads_v WHERE rec_no % 3 < 2 GROUP BY 1, 2, 3""",
+    "discover_samples": """SELECT sample, read, string_agg(DISTINCT file, ',' ORDER BY file) AS paths FROM (SELECT concat('S', rec_no % 7, '_L', chunk % 2) AS sample, concat('R', rec_no % 3 + 1) AS read,
+  concat('S', rec_no % 7, '_L', chunk % 2, '_R', rec_no % 3 + 1, CASE WHEN rec_no % 2 = 0 THEN '.fastq.gz' ELSE '.fq' END) AS file FROM reads_v) WHERE read <> 'R3' GROUP BY 1, 2""",
     "route_by_label": f"""WITH {_LABEL}, al AS (SELECT *, ord2 % 2 = 1 AS is_read1 FROM dd WHERE read_type = 'RPM'),
 lr AS (SELECT al.*, label, {_FULL} AS place FROM al JOIN lab USING (barcode)),
 lf AS (SELECT *, row_number() OVER (PARTITION BY barcode, place ORDER BY ord1, ord2, ord3, ord4, feature, chunk) AS rn FROM lr)

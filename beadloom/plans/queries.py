@@ -196,10 +196,14 @@ def parse_cluster_lines(p):
     return clusters.parse(clusters.render(clusters.build(p)))
 
 
-@over("reads_v")
-def discover_samples(r):
-    paths = r.select(F.concat(F.lit("/data/S"), (F.col("rec_no") % 50).cast("string"), F.lit("_L"), F.col("chunk").cast("string"), F.lit("_R"), (F.col("rec_no") % 3 + 1).cast("string"), F.lit(".fastq.gz")).alias("path")).distinct()
-    return fastq.group_samples(paths)
+@query
+def discover_samples(spark, d):
+    """Reads written as files named after sample, lane and mate, and the samples found by the names; those of mate 3 are none."""
+    r, folder = view(spark, d, "reads_v"), store.scratch(spark)
+    file = F.concat(F.lit("S"), (F.col("rec_no") % 7).cast("string"), F.lit("_L"), (F.col("chunk") % 2).cast("string"), F.lit("_R"), (F.col("rec_no") % 3 + 1).cast("string"), F.when(F.col("rec_no") % 2 == 0, ".fastq.gz").otherwise(".fq"))
+    fastq.write_named(r.select(file.alias("file"), "name", "seq", F.lit("+").alias("plus"), F.repeat(F.lit("F"), F.length("seq")).alias("qual")), folder, "file")
+    found = fastq.discover(spark, folder)
+    return found.select("sample", "read", F.array_join(F.transform(F.split("paths", ","), lambda p: F.element_at(F.split(p, "/"), -1)), ",").alias("paths"))
 
 
 @over("positions_v")

@@ -219,6 +219,45 @@ def write(records: DataFrame, path: str, packed: bool = False) -> None:
     records.select("name", "seq", "plus", "qual").write.format("fastq").option("compression", "gzip" if packed else "none").mode("append").save(path)
 
 
+def write_named(records: DataFrame, path: str, column: str) -> DataFrame:
+    """name, seq, plus, qual as a file per value of a column, which is its name; packed if that ends in .gz. Returns name and number
+    of records of each. A file is written by one task, as its rows come sorted by name."""
+    spark = records.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = records.select(column, "name", "seq", "plus", "qual").repartition(parts, column).sortWithinPartitions(column, "name")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = locate(path)
+        fs.create_dir(root, recursive=True)
+        out, raw, done = None, None, []
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                if raw is not out:
+                    raw.close()
+
+        for batch in batches:
+            for file, *record in zip(*(c.to_pylist() for c in batch.columns)):
+                if not done or done[-1][0] != file:
+                    close()
+                    mark = uuid.uuid4().hex
+                    done.append([file, mark, 0])
+                    raw = fs.open_output_stream(f"{root}/.{mark}", compression=None)
+                    out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if file.endswith(".gz") else raw
+                out.write("\n".join([*record, ""]).encode())
+                done[-1][2] += 1
+        close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), (pa.string(), pa.string(), pa.int64()))], names=["file", "mark", "records"])
+
+    found = rows.mapInArrow(run, "file string, mark string, records long").collect()  # a row per file
+    fs, root = locate(path)
+    for r in found:
+        fs.move(f"{root}/.{r.mark}", f"{root}/{r.file}")
+    return spark.createDataFrame([(r.file, r.records) for r in found], "file string, records long")
+
+
 def frame_lines(rows: DataFrame) -> DataFrame:
     """Numbered lines (file, line_no from 0, line) -> records; for text that is already a table."""
     part = F.col("line_no") % 4

@@ -199,3 +199,11 @@ def test_nested_settings(spark, tmp_path):
     for bad in ("a: 1\n  b: 2\n c: 3", "just text", "a: [1, 2", "a: 1\n- b"):
         with pytest.raises(ValueError, match="can't read"):
             tables.yaml_scalars(bad)
+
+
+def test_named_files(spark, tmp_path):
+    rows = [(f, *r) for f in ("s_R1.fq.gz", "s_R2.fq") for r in RECORDS]
+    found = fastq.write_named(spark.createDataFrame(rows, "file string, name string, seq string, plus string, qual string"), str(tmp_path / "n"), "file")
+    assert sorted(tuple(r) for r in found.collect()) == [("s_R1.fq.gz", 3), ("s_R2.fq", 3)]
+    assert sorted(p.name for p in (tmp_path / "n").iterdir() if p.name[0] != ".") == ["s_R1.fq.gz", "s_R2.fq"]
+    assert gzip.decompress((tmp_path / "n/s_R1.fq.gz").read_bytes()) == (tmp_path / "n/s_R2.fq").read_bytes() == as_text(RECORDS).encode()
