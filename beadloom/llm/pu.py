@@ -507,7 +507,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
     if min(len(positive), len(unlabelled)) < 2:
         return None
     n_texts, n = _count_features(docs, config) if config.hashed else (np.zeros(0), docs.count())
-    return train(positive, unlabelled, config, n_texts, n, lambda models, cuts: _count_above(docs, models, cuts))
+    model = train(positive, unlabelled, config, n_texts, n, lambda models, cuts: _count_above(docs, models, cuts))
+    # the sample's memory goes back to the system, not to the pool that received it
+    del rows, batch, ids, measured, items, positive, unlabelled
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def interleave(halves: list[list]) -> list:
