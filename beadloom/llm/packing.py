@@ -17,6 +17,7 @@ import gc
 import string
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,6 +36,8 @@ FEATURES = 4096
 #: Bytes of packed ids of a range, about, and ranges at most.
 RANGE_BYTES, MAX_RANGES = 4 << 20, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Words of each generation of a task's cache.
+CACHED = 400_000
 #: Marks that can stand behind a word; a run of them is a piece of its own (the apostrophe begins other pieces).
 _MARKS = "".join(c for c in string.punctuation if c != "'")
 
@@ -59,29 +62,27 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.char == "H" else "<u4")
         # what the byte-level step makes of each Latin letter; a lower-case word then goes straight to the model
         split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = {c: split(chr(c))[0][0] for c in range(0x21, 0x100) if not 0x7F <= c <= 0xA0}
-        self.stems = SegmentCache(self._stem, 400_000)
-        self.words = SegmentCache(self._word, 200_000)
-        self.words[""] = b""
+        # words as they stand in texts, and in lower case without marks, of which most are words themselves: one entry for both
+        self.words = SegmentCache(self._word, CACHED)
 
     def _stem(self, stem: str) -> bytes:
         """A run of lower-case Latin letters, or of marks."""
-        ids = [t.id for t in self.tokenizer.model.tokenize(stem.translate(self.letters))]
-        return struct.pack(f"<{len(ids)}{self.char}", *ids)
+        return array(self.char, [t.id for t in self.tokenize(stem if stem.isascii() else stem.translate(self.letters))]).tobytes()
 
     def _encode(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}{self.char}", *ids)
 
     def _word(self, word: str) -> bytes:
-        if not word:
-            return b""
         if word.isalpha() and (word.isascii() or max(word) < "Ā"):
-            return self.stems[word.lower()]
+            return self._stem(word) if word.islower() else self.words[word.lower()]
         stem = word.rstrip(_MARKS)
-        if stem.isalpha() and max(stem) < "Ā":
-            low = stem.lower()
-            return self.stems[low] + self.stems[word[len(stem) :]] if len(stem) < len(word) else self.stems[low]
+        if not stem:
+            return self._stem(word)
+        if len(stem) < len(word) and stem.isalpha() and (stem.isascii() or max(stem) < "Ā"):
+            return self.words[stem.lower()] + self.words[word[len(stem) :]]
         return self._encode(word)
 
     def packed(self, text: str | None) -> bytes:

@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from beadloom.llm import bpe, fingerprints, packing, pii, quality_rules, token_counts
+from beadloom.llm import bpe, common, fingerprints, packing, pii, quality_rules, token_counts
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 WORDS = P.path("word_bpe_49k.json")
@@ -488,3 +488,14 @@ def test_arcs_emit_for_matches_of_any_length():
         assert [t for p in parts for t in p] == machine.encode(word) and len(parts) > 1, word
     assert max(map(len, machine.held)) < 40
     assert not hasattr(bpe, "SHORT")
+
+
+def test_a_word_is_cached_once():
+    """Lower-case words are one entry as words of the text and as what other words are looked up by; ids as the library's."""
+    from tokenizers import Tokenizer
+
+    e = packing.WordEncoder(WORDS)
+    text = "été alpha alpha, Alpha ALPHA, beta !! été,"
+    assert np.frombuffer(e.packed(text), e.dtype).tolist() == Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
+    caches = [c for c in vars(e).values() if isinstance(c, common.SegmentCache)]
+    assert sum(len(c) + len(c.old) for c in caches) == len({"été", "alpha", "alpha,", "Alpha", "ALPHA,", "beta", "!!", "été,", ","})
