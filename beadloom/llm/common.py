@@ -156,9 +156,12 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
 
     `size` is the column of `groups` with the number of rows of each key, `total` the number of all rows.
     Keys with more than total/HEAVY_SHARE rows are at most HEAVY_SHARE, so they are broadcast; each of the
-    others has at most total/HEAVY_SHARE rows, so a shuffle on the key is even.
+    others has at most total/HEAVY_SHARE rows, so a shuffle on the key is even. Mostly there is no heavy key; then nothing
+    is broadcast and the rows are read once. `groups` is read for that first, so it should be a written table.
     """
     limit = max(1000, total // HEAVY_SHARE)
+    if (groups.agg(F.max(size)).first()[0] or 0) <= limit:
+        return rows.join(groups.drop(size).hint("merge"), key, how)
     heavy = groups.filter(F.col(size) > limit)
     light = groups.filter(F.col(size) <= limit).drop(size)
     mark = fresh(rows, "__heavy")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_batches, fresh, map_batches, materialise
+from .common import append_batches, discard, fresh, map_batches, materialise
 
 #: Texts that are taken at once.
 SLICE = 512
@@ -350,6 +350,8 @@ def logits(model: Model, rows: Rows) -> np.ndarray:
 #: Thresholds that the prior is read from are at these shares of the positives, from all down to 40 %.
 CUTS = np.linspace(0.0, 0.6, 41)
 LEAST_PRIOR = 0.001
+#: A text of the sample: whether it is a positive, its half, a hash of its id, features and measurements.
+SAMPLE = "positive boolean, half int, at long, ids binary, dense binary"
 
 
 def estimate_prior(positive: list[np.ndarray], above: Callable[[list[np.ndarray]], tuple[np.ndarray, int]]) -> float:
@@ -367,6 +369,14 @@ def estimate_prior(positive: list[np.ndarray], above: Callable[[list[np.ndarray]
     return float(np.clip(((u + spread) / p).min(), LEAST_PRIOR, 0.99))
 
 
+def apart(p: np.ndarray, n_p: int, n_texts: np.ndarray, n: int, config: Config) -> np.ndarray:
+    """Which hashed features set positives apart, by the numbers of n_p positives and of all n documents with each."""
+    rate = (n_texts + 1) / (n + 2)
+    z = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
+    used = (z >= config.least_z) & (p >= config.least_texts)
+    return used | ((z <= -config.least_z) & (rate * n_p >= config.least_texts)) if config.both_ways else used
+
+
 def mark(positive: list, n_texts: np.ndarray, n: int, config: Config) -> np.ndarray:
     """Which hashed features set positives apart; without this, a few positives are learned by heart.
 
@@ -375,11 +385,7 @@ def mark(positive: list, n_texts: np.ndarray, n: int, config: Config) -> np.ndar
     p = np.zeros(HASHES)
     for ids, _ in positive:
         p[np.unique(ids)] += 1
-    n_p = len(positive)
-    rate = (n_texts + 1) / (n + 2)
-    z = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
-    used = (z >= config.least_z) & (p >= config.least_texts)
-    return used | ((z <= -config.least_z) & (rate * n_p >= config.least_texts)) if config.both_ways else used
+    return apart(p, len(positive), n_texts, n, config)
 
 
 def train(positive: list, unlabelled: list, config: Config, n_texts: np.ndarray, n: int, above: Callable) -> Model:
@@ -474,6 +480,61 @@ def _count_above(docs: DataFrame, models: list[Model], cuts: list[np.ndarray]) -
     return np.array([by.get(k, 0) for k in range(len(CUTS))]), by.get(-1, 0)
 
 
+def _turns(rows: pa.Table, config: Config) -> tuple[Column, int]:
+    """(which of the sample's texts `interleave` takes: up to a hash for each flag and half, positives of a half; 0 if one has none)."""
+    if rows.num_rows > config.max_positive + config.max_unlabelled:
+        raise RuntimeError("more texts on the driver than the sample's bounds")
+    flags, halves, at = (np.array(rows.column(c).to_pylist(), t) for c, t in (("positive", bool), ("half", np.int32), ("at", np.int64)))
+    taken, turns = F.lit(False), 0
+    for flag in (False, True):
+        own = [np.sort(at[(flags == flag) & (halves == k)]) for k in (0, 1)]
+        turns = min(map(len, own))
+        for k, found in enumerate(own):
+            if len(found):
+                taken |= (F.col("positive") == flag) & (F.col("half") == k) & (F.col("at") <= int(found[turns - 1]))
+    return taken, turns
+
+
+def _count_by_half(positive: DataFrame) -> np.ndarray:
+    """In how many texts of each half each hashed feature occurs: a sum per feature and half."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * HASHES, np.int64)
+        for batch in batches:
+            for half, ids in zip(batch.column("half").to_pylist(), batch.column("ids").to_pylist()):
+                counts[half * HASHES + np.unique(np.frombuffer(ids, np.int32))] += 1
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(at, pa.int32()), "n": pa.array(counts[at], pa.int64())})
+
+    rows = positive.select("half", "ids").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * HASHES, np.int64)
+    out[rows["feature"].to_numpy()] = rows["n"].to_numpy()
+    return out.reshape(2, HASHES)
+
+
+def _usable(sample: DataFrame, turns: int, n_texts: np.ndarray, n: int, config: Config) -> DataFrame:
+    """The sample with the features that `mark` finds for all its positives or those of a half: what `train` goes by.
+
+    Those are few; all of a text's features are most of what it weighs.
+    """
+    if not (config.hashed and turns):
+        return sample
+    counts = _count_by_half(sample.filter("positive"))
+    used = np.logical_or.reduce([apart(p, n_p, n_texts, n, config) for p, n_p in ((counts[0], turns), (counts[1], turns), (counts.sum(0), 2 * turns))])
+    bits = np.packbits(used)
+
+    def make():
+        known = np.unpackbits(bits).astype(bool)
+
+        def run(batch: dict) -> dict:
+            each = (np.frombuffer(x, np.int32) for x in batch["ids"])
+            return batch | {"ids": [x[known[x]].tobytes() for x in each]}
+
+        return run
+
+    return map_batches(sample, make, SAMPLE)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, config: Config) -> Model | None:
     """A model from labels of the ids that `may_learn` holds for; None without positives."""
     trusted = labels.filter((F.col(label) == 1) & may_learn & F.col("doc_id").isNotNull()).select("doc_id").distinct()
@@ -491,10 +552,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
 
         return run
 
-    rows = map_batches(texts, make, "positive boolean, half int, at long, ids binary, dense binary").toArrow()
-    if rows.num_rows > config.max_positive + config.max_unlabelled:
-        raise RuntimeError("more texts on the driver than the sample's bounds")
-    # views of what was received, no copies: the sample is most of what the driver holds
+    sample = materialise(map_batches(texts, make, SAMPLE))
+    drawn = sample.select("positive", "half", "at").toArrow()
+    if min(drawn["positive"].to_pylist().count(flag) for flag in (True, False)) < 2:
+        return None
+    taken, turns = _turns(drawn, config)
+    n_texts, n = _count_features(docs, config) if config.hashed else (np.zeros(0), docs.count())
+    rows = _usable(sample.filter(taken), turns, n_texts, n, config).toArrow()
+    discard(sample)
+    # views of what was received, no copies
     items, flags, halves, at = [], [], [], []
     for batch in rows.to_batches():
         ids, measured = (_views(batch.column(c), t) for c, t in (("ids", np.int32), ("dense", np.float64)))
@@ -504,9 +570,6 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, con
     order = np.lexsort((flags, at)).tolist()
     items, flags, halves = ([x[i] for i in order] for x in (items, flags, halves))
     positive, unlabelled = (interleave([[x for x, p, h in zip(items, flags, halves) if p == want and h == k] for k in (0, 1)]) for want in (True, False))
-    if min(len(positive), len(unlabelled)) < 2:
-        return None
-    n_texts, n = _count_features(docs, config) if config.hashed else (np.zeros(0), docs.count())
     model = train(positive, unlabelled, config, n_texts, n, lambda models, cuts: _count_above(docs, models, cuts))
     # the sample's memory goes back to the system, not to the pool that received it
     del rows, batch, ids, measured, items, positive, unlabelled

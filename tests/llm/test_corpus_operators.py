@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from beadloom.llm import common, near_dup, pu, queries, warc
 
@@ -577,3 +578,34 @@ def test_archives_of_one_payload(spark, tmp_path, monkeypatch):
     got = [(r.page_id, r.record_type, r.refers_to) for r in warc.read(index, f"file://{tmp_path}").collect()]
     assert len(got) == len(rows) and sum(t == "response" for _, t, _ in got) == 7
     assert {(p, ref) for p, t, ref in got if t == "response"} == {(0, None), (9999, None)} and all(ref == 0 for _, t, ref in got if t == "revisit")
+
+
+def test_lookups_without_heavy_keys_broadcast_nothing(spark):
+    rows = spark.range(3000).selectExpr("id", "id % 700 AS k")
+    groups = common.materialise(rows.filter("k < 500").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most")))
+    for how in ("inner", "left"):
+        plain = rows.join(groups.drop("n"), "k", how)
+        found = common.attach(rows, groups, "k", "n", 3000, how)
+        assert found.columns == plain.columns and sorted(found.collect(), key=str) == sorted(plain.collect(), key=str)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    few = groups.withColumn("n", F.when(F.col("k") < 3, 5000).otherwise(F.col("n")))
+    assert sorted(common.attach(rows, few, "k", "n", 3000, "left").collect(), key=str) == sorted(plain.collect(), key=str)
+    assert common.attach(rows, groups.limit(0), "k", "n", 3000, "left").count() == 3000
+
+
+@pytest.mark.parametrize("config", [pu.QUALITY, pu.TOXICITY, pu.Config(hashed=False, dense=pu.DENSE)])
+def test_the_driver_receives_usable_features_only(spark, config):
+    """Of the sample's texts, only features that a classifier can use; and the model is that of all features."""
+    docs, labels = (common.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    seen, inner = [], pu.train
+    label = "toxic" if config == pu.TOXICITY else "quality"
+    try:
+        pu.train = lambda *a: seen.append(a) or inner(*a)
+        model = pu.learn(docs, labels, label, pu.fold(3) != 1, config)
+        usable, pu._usable = pu._usable, lambda sample, *a: sample
+        whole = pu.learn(docs, labels, label, pu.fold(3) != 1, config)
+    finally:
+        pu.train, pu._usable = inner, usable
+    few, all_ = (sum(len(ids) for rows in s[:2] for ids, _ in rows) for s in seen)
+    assert [len(x) for x in seen[0][:2]] == [len(x) for x in seen[1][:2]] and (few < all_ / 4 if config.hashed else few == all_ == 0)
+    assert (model.weights == whole.weights).all() and (model.bias, model.prior) == (whole.bias, whole.prior)
