@@ -62,7 +62,7 @@ def fastq_split(spark, d):
     fastq.write(_records(view(spark, d, "reads_v")), folder)
     rows = fastq.read(spark, folder, split_bytes=1 << 17)
     files = rows.groupBy("file").agg(((F.count("*") == F.max("rec_no") + 1) & (F.countDistinct("rec_no") == F.count("*"))).alias("gapless"))
-    return rows.join(files, "file").select("name", "seq", F.length("qual").cast("long").alias("qual_length"), "gapless")
+    return rows.join(F.broadcast(files), "file").select("name", "seq", F.length("qual").cast("long").alias("qual_length"), "gapless")  # a row per file
 
 
 REFERENCES = [(f"chr{i}", 44444444) for i in range(1, 23)] + [("chrX", 44444444), ("45S", 44444444), ("MT", 44444444)]

@@ -5,7 +5,8 @@ Fields: file, rec_no (from 0, within the file), name, seq, plus, qual. A record
 `read` cuts plain files into ranges. As a line that begins with "@" may be one of qualities, no range can tell from its own
 bytes where a record begins; so a first pass counts line ends per range, a running sum over the ranges of a file gives the
 number of each range's first line, and thereby both the place of its first record and that record's number. A packed file is
-one range, as it can't be read from the middle. spark.read.format("fastq").load(path) reads a file per task, in one pass.
+one range, as it can't be read from the middle. Small ranges share tasks, as the driver keeps account of every task. spark.read.format("fastq").load(path)
+reads a file per task, in one pass.
 The writer packs with .option("compression", "gzip").
 """
 
@@ -32,6 +33,8 @@ SCHEMA = "file string, rec_no long, name string, seq string, plus string, qual s
 ARROW = pa.schema([("file", pa.string()), ("rec_no", pa.int64()), *((c, pa.string()) for c in ("name", "seq", "plus", "qual"))])
 #: Bytes of text that are taken apart at once, and of a range.
 CHUNK, SPLIT_BYTES = 4 << 20, 64 << 20
+#: Bytes that are read at least.
+LEAST_READ = 64 << 10
 #: Tasks at most that ranges are dealt to.
 MOST_TASKS = 20_000
 
@@ -55,11 +58,15 @@ def frame(data: bytes, ends: np.ndarray, file: str, rec_no: int) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(np.arange(rec_no, rec_no + n)), *texts], schema=ARROW)
 
 
-def parse(f, file: str, rec_no: int = 0, skip: int = 0, records: int | None = None) -> Iterator[pa.RecordBatch]:
-    """Records of a stream behind `skip` line ends: `records` of them, or all. The last line may lack its end."""
-    data, ended = b"", False
+def parse(f, file: str, rec_no: int = 0, skip: int = 0, records: int | None = None, first_read: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Records of a stream behind `skip` line ends: `records` of them, or all. The last line may lack its end.
+
+    The first read is of `first_read` bytes at most, each later one twice the one before, up to CHUNK.
+    """
+    data, ended, step = b"", False, min(first_read, CHUNK)
     while not ended and records != 0:
-        more = f.read(CHUNK)
+        more = f.read(step)
+        step = min(2 * step, CHUNK)
         ended = not more
         data += more
         if ended and data and data[-1:] != b"\n":
@@ -150,14 +157,20 @@ class FastqSource(DataSource):
 
 
 def _ranges(spark: SparkSession, path: str, split_bytes: int) -> tuple[DataFrame, int]:
-    """(file, start, stop, size of each range, dealt over tasks; number of tasks)."""
+    """(file, start, stop, size of each range, dealt over tasks; number of tasks).
+
+    The number of tasks goes by bytes and cores, that of ranges by `split_bytes`; the driver holds a row per file.
+    """
     found = []
     for p in list_files(path):
         fs, q = locate(p)
-        size = fs.get_file_info(q).size
-        found += [(p, a, min(a + split_bytes, size), size) for a in range(0, size, split_bytes)]
-    parts = max(1, min(len(found), MOST_TASKS))
-    return spark.createDataFrame(found, "file string, start long, stop long, size long").repartition(parts, "file", "start"), parts
+        if size := fs.get_file_info(q).size:
+            found.append((p, size))
+    enough = max(8, 2 * spark.sparkContext.defaultParallelism, -(-sum(size for _, size in found) // SPLIT_BYTES))
+    parts = max(1, min(sum(-(-size // split_bytes) for _, size in found), enough, MOST_TASKS))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))
+    ranges = spark.createDataFrame(found, "file string, size long").select("file", F.explode(starts).alias("start"), "size")
+    return ranges.select("file", "start", F.least(F.col("start") + split_bytes, "size").alias("stop"), "size").repartition(parts, "file", "start"), parts
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +211,7 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fs, p = locate(file)
             with fs.open_input_file(p) as f:
                 f.seek(r["start"])
-                yield from parse(f, file, first, 4 * first - before, max(last - first, 0))
+                yield from parse(f, file, first, 4 * first - before, max(last - first, 0), max(r["stop"] - r["start"], LEAST_READ))
 
 
 def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:

@@ -1,6 +1,7 @@
 """Files written here and read back."""
 
 import gzip
+import io
 import json
 
 import pyarrow as pa
@@ -144,6 +145,29 @@ def test_fastq_cut_at_every_offset(spark, tmp_path, end):
     assert fastq.read(spark, path, split_bytes=9).rdd.getNumPartitions() > 8
 
 
+def test_small_fastq_ranges_share_tasks(spark, tmp_path):
+    """The number of tasks goes by bytes and cores; a range reads little more than its own bytes."""
+    records = [(f"@r{i}", "ACGT" * (i % 9), "+", "@+II" * (i % 9)) for i in range(3000)]
+    (tmp_path / "a.fastq").write_text(as_text(records))
+    df = fastq.read(spark, str(tmp_path), split_bytes=100)
+    assert (tmp_path / "a.fastq").stat().st_size > 100 * 1000 and df.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted((r.rec_no, r.name, r.seq, r.plus, r.qual) for r in df.collect()) == [(i, *r) for i, r in enumerate(records)]
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.taken += len(data)
+            return data
+
+    f = Counted(as_text(records).encode())
+    got = [r for b in fastq.parse(f, "a", 0, 0, 50, 2000) for r in b.to_pylist()]
+    assert [r["name"] for r in got] == [r[0] for r in records[:50]] and f.taken < 10_000
+    long = [("@x", "A" * 50_000, "+", "I" * 50_000)]  # over many reads
+    assert [b.to_pylist()[0]["seq"] for b in fastq.parse(Counted(as_text(long).encode()), "a", first_read=10)] == [long[0][1]]
+
+
 @pytest.mark.parametrize(("text", "message"), [("@r\nACGT\n+\n", "cut short"), ("@r\nA\n+\nI\n\n", "cut short"), ("@r\nA\n+\nI\n@s\nAC\n+\nI\n", "record 1 is malformed"), ("r\nA\n+\nI\n", "malformed"), ("@r\nA\n-\nI\n", "malformed")])
 def test_fastq_errors(spark, tmp_path, text, message):
     (tmp_path / "a.fastq").write_text(text)
