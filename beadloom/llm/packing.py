@@ -67,6 +67,11 @@ class WordEncoder:
         # words as they stand in texts, and in lower case without marks, of which most are words themselves: one entry for both
         self.words = SegmentCache(self._word, CACHED)
 
+    @property
+    def stems(self) -> SegmentCache:
+        """What words are looked up by, which is kept among them."""
+        return self.words
+
     def _stem(self, stem: str) -> bytes:
         """A run of lower-case Latin letters, or of marks."""
         return array(self.char, [t.id for t in self.tokenize(stem if stem.isascii() else stem.translate(self.letters))]).tobytes()
